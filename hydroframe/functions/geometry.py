@@ -49,12 +49,24 @@ def extent_struct(ext: Extent) -> Column:
 
 # --- rings ---------------------------------------------------------------------------------
 
+_names = iter(range(10**9))
+
+
+def let(expr: str, body) -> str:
+    """Bind ``expr`` to a fresh lambda name once: ``body(name)`` sees the value, the
+    expression is evaluated a single time however often ``body`` refers to it."""
+    v = f"_v{next(_names)}"
+    return f"element_at(transform(array({expr}), {v} -> {body(v)}), 1)"
+
+
 def open_ring_sql(ring: str) -> str:
     """GeoJSON ring ``array<array<double>>`` (closed) -> open ``array<struct<x,y>>``."""
-    pts = f"transform({ring}, p -> named_struct('x', CAST(p[0] AS DOUBLE), 'y', CAST(p[1] AS DOUBLE)))"
-    return (f"(CASE WHEN size({ring}) > 1 AND {ring}[0][0] = {ring}[size({ring})-1][0] "
-            f"AND {ring}[0][1] = {ring}[size({ring})-1][1] "
-            f"THEN slice({pts}, 1, size({ring}) - 1) ELSE {pts} END)")
+    def body(r):
+        pts = f"transform({r}, p -> named_struct('x', CAST(p[0] AS DOUBLE), 'y', CAST(p[1] AS DOUBLE)))"
+        return (f"CASE WHEN size({r}) > 1 AND {r}[0][0] = {r}[size({r})-1][0] "
+                f"AND {r}[0][1] = {r}[size({r})-1][1] "
+                f"THEN slice({pts}, 1, size({r}) - 1) ELSE {pts} END")
+    return let(ring, body)
 
 
 def _half_plane_sql(pts: str, axis: str, bound: float, keep_ge: bool) -> str:
@@ -72,17 +84,17 @@ def _half_plane_sql(pts: str, axis: str, bound: float, keep_ge: bool) -> str:
                 if axis == "x" else
                 f"named_struct('x', {a}.x + {t} * ({c}.x - {a}.x), 'y', {b})")
 
-    cur = f"element_at(ps, i + 1)"
-    prev = f"element_at(ps, CASE WHEN i = 0 THEN size(ps) ELSE i END)"
-    body = (f"CASE WHEN {inside(cur)} AND {inside(prev)} THEN array({cur}) "
-            f"WHEN {inside(cur)} THEN array({cut(prev, cur)}, {cur}) "
-            f"WHEN {inside(prev)} THEN array({cut(prev, cur)}) "
-            f"ELSE CAST(array() AS array<struct<x: double, y: double>>) END")
-    # aggregate over a one-element array binds the input to the name ``ps`` once, so
-    # nesting four passes does not copy the input expression.
-    return (f"aggregate(array({pts}), CAST(array() AS array<struct<x: double, y: double>>), "
-            f"(acc, ps) -> CASE WHEN size(ps) = 0 THEN ps "
-            f"ELSE flatten(transform(sequence(0, size(ps) - 1), i -> {body})) END)")
+    def body(ps):
+        i = f"{ps}_i"
+        cur = f"element_at({ps}, {i} + 1)"
+        prev = f"element_at({ps}, CASE WHEN {i} = 0 THEN size({ps}) ELSE {i} END)"
+        step = (f"CASE WHEN {inside(cur)} AND {inside(prev)} THEN array({cur}) "
+                f"WHEN {inside(cur)} THEN array({cut(prev, cur)}, {cur}) "
+                f"WHEN {inside(prev)} THEN array({cut(prev, cur)}) "
+                f"ELSE CAST(array() AS array<struct<x: double, y: double>>) END")
+        return (f"CASE WHEN size({ps}) = 0 THEN {ps} "
+                f"ELSE flatten(transform(sequence(0, size({ps}) - 1), {i} -> {step})) END")
+    return let(pts, body)
 
 
 def clip_ring_sql(pts: str, ext: Extent) -> str:
@@ -96,16 +108,20 @@ def clip_ring_sql(pts: str, ext: Extent) -> str:
 
 def ring_area_sql(pts: str) -> str:
     """Shoelace area of an open ring (absolute value)."""
-    return (f"abs(aggregate(sequence(0, size({pts}) - 1), CAST(0 AS DOUBLE), (acc, i) -> acc + "
-            f"element_at({pts}, i + 1).x * element_at({pts}, CASE WHEN i + 1 = size({pts}) THEN 1 ELSE i + 2 END).y - "
-            f"element_at({pts}, CASE WHEN i + 1 = size({pts}) THEN 1 ELSE i + 2 END).x * element_at({pts}, i + 1).y)"
-            f" / 2)")
+    def body(p):
+        i = f"{p}_i"
+        nxt = f"element_at({p}, CASE WHEN {i} + 1 = size({p}) THEN 1 ELSE {i} + 2 END)"
+        cur = f"element_at({p}, {i} + 1)"
+        return (f"CASE WHEN size({p}) < 3 THEN CAST(0 AS DOUBLE) ELSE abs(aggregate(sequence(0, size({p}) - 1), "
+                f"CAST(0 AS DOUBLE), (acc, {i}) -> acc + {cur}.x * {nxt}.y - {nxt}.x * {cur}.y) / 2) END")
+    return let(pts, body)
 
 
-def clip_polygon(rings_col: str, ext: Extent) -> Column:
-    """C2+C3 for polygons: clip every ring, drop rings that vanished.
+def clip_polygon_sql(rings: str, ext: Extent) -> str:
+    """C2+C3 for polygons: clip every ring, drop rings that vanished."""
+    return f"filter(transform({rings}, r -> {clip_ring_sql('r', ext)}), r -> size(r) > 2)"
+
 
-    ``rings_col`` is ``array<array<struct<x,y>>>`` (open rings). Result has the same type.
-    """
-    ring = clip_ring_sql("r", ext)
-    return F.expr(f"filter(transform({rings_col}, r -> {ring}), r -> size(r) > 2)")
+def clip_polygon(rings_col: str, ext: Extent) -> Column:
+    """C2+C3 for polygons: ``array<array<struct<x,y>>>`` (open rings) clipped to the rectangle."""
+    return F.expr(clip_polygon_sql(rings_col, ext))

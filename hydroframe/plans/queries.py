@@ -268,7 +268,7 @@ WATERBODY_PROPS = T.StructType([T.StructField("hylak_id", T.LongType()),
 def q_geojson(spark, sf):
     """A7 + I18 + F9: GeoJSON features parsed back into property columns and a bbox."""
     feats = vector.parse_features(fx.waterbody_geojson_text(spark, sf), "feature", WATERBODY_PROPS)
-    return feats.withColumns(vector.rings_bbox()).drop("rings")
+    return vector.with_rings_bbox(feats).drop("rings")
 
 
 @register("clipped_polygons", lambda: O.clipped_polygons_sql(CLIP_EXTENT))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.functions.geometry import (box_meets_extent, clip_polygon, open_ring_sql,
+from hydroframe.functions.geometry import (clip_polygon_sql, let, open_ring_sql,
                                            ring_area_sql)
 from hydroframe.params import Extent
 
@@ -53,29 +53,61 @@ def rings_of(coords: str) -> Column:
     return F.expr(f"transform({coords}, rr -> {open_ring_sql('rr')})")
 
 
-def rings_bbox(rings: str = "rings") -> dict[str, Column]:
-    """Bounding box of all rings (xmin, xmax, ymin, ymax)."""
-    xs = F.expr(f"flatten(transform({rings}, r -> transform(r, p -> p.x)))")
-    ys = F.expr(f"flatten(transform({rings}, r -> transform(r, p -> p.y)))")
-    return {"xmin": F.array_min(xs), "xmax": F.array_max(xs),
-            "ymin": F.array_min(ys), "ymax": F.array_max(ys)}
+def rings_bbox_sql(rings: str) -> str:
+    """Bounding box of all rings as one struct ``(xmin, xmax, ymin, ymax)``."""
+    def body(rs):
+        xs = f"flatten(transform({rs}, r -> transform(r, p -> p.x)))"
+        ys = f"flatten(transform({rs}, r -> transform(r, p -> p.y)))"
+        return (f"named_struct('xmin', array_min({xs}), 'xmax', array_max({xs}), "
+                f"'ymin', array_min({ys}), 'ymax', array_max({ys}))")
+    return let(rings, body)
 
 
-def rings_area(rings: str = "rings") -> Column:
+def with_rings_bbox(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """Add the bounding box of all rings as columns xmin, xmax, ymin, ymax (computed once,
+    as one struct, then expanded)."""
+    keep = [c for c in df.columns if c not in ("xmin", "xmax", "ymin", "ymax")]
+    return (df.select(*keep, F.expr(rings_bbox_sql(rings)).alias("_box"))
+              .select(*keep, *[F.col("_box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")]))
+
+
+def rings_area_sql(rings: str) -> str:
     """Area of the outer ring minus the holes (shoelace)."""
-    return F.expr(f"CASE WHEN size({rings}) = 0 THEN 0D ELSE {ring_area_sql(f'{rings}[0]')} - "
-                  f"aggregate(slice({rings}, 2, size({rings})), 0D, (acc, h) -> acc + {ring_area_sql('h')}) END")
+    def body(rs):
+        return (f"CASE WHEN size({rs}) = 0 THEN 0D ELSE {ring_area_sql(f'{rs}[0]')} - "
+                f"aggregate(slice({rs}, 2, size({rs})), 0D, (acc, h) -> acc + {ring_area_sql('h')}) END")
+    return let(rings, body)
+
+
+def rings_area(rings: str = "rings") -> Column:
+    return F.expr(rings_area_sql(rings))
 
 
 def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> DataFrame:
     """C1 + C2 + C3 for polygons: bbox meets the extent, rings clipped, features whose
-    clipped outer ring has no area dropped."""
-    with_box = df.withColumns(rings_bbox(rings))
-    clipped = (with_box.filter(box_meets_extent(ext))
-                       .withColumn(rings, clip_polygon(rings, ext)))
-    return (clipped.withColumn("area", rings_area(rings))
-                   .filter((F.size(rings) > 0) & (F.col("area") > 0))
-                   .withColumns(rings_bbox(rings)))
+    clipped rings have no area dropped; adds ``area`` and the clipped bbox.
+
+    The per-feature work is one expression evaluated once per row: a 0-or-1 element
+    array that ``inline`` expands. A filter on derived columns would be pushed below the
+    projection and re-evaluate the clip for every reference.
+    """
+    def per_feature(rs):
+        box = rings_bbox_sql(rs)
+
+        def clipped_body(c):
+            def with_area(a):
+                return (f"CASE WHEN size({c}) > 0 AND {a} > 0 THEN array(named_struct('{rings}', {c}, "
+                        f"'area', {a}, 'box', {rings_bbox_sql(c)})) END")
+            return let(rings_area_sql(c), with_area)
+
+        meets = let(box, lambda bx: (f"{bx}.xmax >= {ext.west!r} AND {bx}.xmin <= {ext.east!r} AND "
+                                     f"{bx}.ymax >= {ext.south!r} AND {bx}.ymin <= {ext.north!r}"))
+        return f"CASE WHEN {meets} THEN {let(clip_polygon_sql(rs, ext), clipped_body)} END"
+
+    others = [c for c in df.columns if c != rings]
+    kept = df.select(*others, F.expr(f"coalesce({let(rings, per_feature)}, array())").alias("_g"))
+    out = kept.select(*others, F.inline("_g"))
+    return out.select(*others, rings, "area", *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
 
 
 def to_feature_text(df: DataFrame, property_cols: list[str], rings: str = "rings") -> DataFrame:
