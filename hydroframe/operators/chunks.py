@@ -75,6 +75,12 @@ def write_chunks(tagged: DataFrame, path: str, mode: str = "overwrite") -> None:
     (tagged.write.mode(mode).partitionBy("chunk_id").option("compression", "zstd").parquet(path))
 
 
+def read_chunks(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
+    """A19 + J2: the chunk folders read back in one lazy multi-path scan (``chunk_id``
+    recovered from the folder names)."""
+    return spark.read.option("basePath", base).parquet(*paths)
+
+
 def concat_chunks(parts: list[DataFrame]) -> DataFrame:
     """Concatenate chunk cubes along time, no dedupe."""
     return reduce(lambda a, b: a.unionByName(b), parts)

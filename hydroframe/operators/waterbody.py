@@ -97,6 +97,8 @@ def assign_ids(df: DataFrame, mode: str, source_field: str | None = None,
     """Ids from position (0-based, ordered by the source id for determinism, the
     source field dropped), by renaming a field, or position as fallback when absent."""
     order_col = order_col or source_field
+    if mode == "none":
+        return df
     if mode == "position" or (mode == "rename" and source_field not in df.columns):
         keys = [order_col] if order_col and order_col in df.columns else list(df.columns)
         out = sequential_id(df, keys, id_col, start=0)

@@ -435,3 +435,33 @@ def _pet_sql(t: str, p: str, ks: str, kt: str) -> str:
     gamma = f"((1005{D} * {p}) / (0.622{D} * {lam}))"
     ep = f"(({slope} / ({slope} + {gamma})) * ((0.77{D} * {ks}) - 110{D} * ({ks} / ({kt} + 1e-5{D}))) + 20{D})"
     return f"({ep} / {lam} * 86400{D})"
+
+
+def waterbodies_near_gauges_sql(half: float) -> str:
+    h = f"{half}{D}"
+    return f"""WITH {WATERBODIES}, {GAUGES},
+a AS (SELECT grdc_no, lon - {h} AS xmin, lat - {h} AS ymin, lon + {h} AS xmax, lat + {h} AS ymax FROM gauges)
+SELECT a.grdc_no, w.hylak_id, greatest(w.xmin, a.xmin) AS xmin, least(w.xmax, a.xmax) AS xmax,
+  greatest(w.ymin, a.ymin) AS ymin, least(w.ymax, a.ymax) AS ymax
+FROM waterbodies w JOIN a ON w.xmax >= a.xmin AND w.xmin <= a.xmax AND w.ymax >= a.ymin AND w.ymin <= a.ymax
+WHERE greatest(w.xmin, a.xmin) < least(w.xmax, a.xmax) AND greatest(w.ymin, a.ymin) < least(w.ymax, a.ymax)"""
+
+
+def glaciers_sql(ext, min_area: float) -> str:
+    w, s, e, n = (f"{x}{D}" for x in (ext.west, ext.south, ext.east, ext.north))
+    return f"""WITH {WATERBODIES},
+f AS (SELECT hylak_id, Vol_total, Lake_area, greatest(xmin, {w}) AS xmin, least(xmax, {e}) AS xmax,
+    greatest(ymin, {s}) AS ymin, least(ymax, {n}) AS ymax
+  FROM waterbodies WHERE xmax >= {w} AND xmin <= {e} AND ymax >= {s} AND ymin <= {n})
+SELECT * FROM f WHERE xmin < xmax AND ymin < ymax AND Lake_area >= {min_area}{D}"""
+
+
+def forcing_write_check_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    return f"""WITH q AS ({daily_forcing_sql(p)})
+SELECT count(*) AS n_rows, min(CAST(temp AS FLOAT)) AS min_temp, max(CAST(temp AS FLOAT)) AS max_temp,
+  min(CAST(precip AS FLOAT)) AS min_precip, max(CAST(precip AS FLOAT)) AS max_precip FROM q"""
+
+
+def model_inputs_summary_sql(outputs: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS output, count(*) AS n_rows FROM ({sql}) AS t_{i}"
+                                for i, (name, sql) in enumerate(outputs.items()))

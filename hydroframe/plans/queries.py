@@ -8,13 +8,15 @@ at the edge is the feature being checked. Each has a DuckDB twin in ``ORACLES``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.operators import chunks, climate, discharge, lai, network, raster, waterbody
+from hydroframe.operators import chunks, climate, discharge, extent, lai, network, raster, waterbody
 from hydroframe.params import WHOLE_DOMAIN_JOB, Extent, JobParams
 from hydroframe.plans import oracle as O
 from hydroframe.sources import fixtures as fx
@@ -31,6 +33,7 @@ STATION_EXTENT = Extent(85.0, 26.0, 87.5, 30.0)
 # LAI period: [start, end) over the whole image archive; the last image day is the end (Q2).
 LAI_START, LAI_END = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
 OUTLET_XY = (12.0, 40.0)       # flow-network outlet point in grid units
+GAUGE_HALF_WIDTH = 0.25       # square area of interest around each gauge, degrees
 COARSE = dict(lat0=26.0, lon0=85.0, step=0.25)  # climate grid origin and spacing
 
 
@@ -293,6 +296,71 @@ def q_gauges(spark, sf):
                 .select("grdc_no", "station", "country", "lat", "lon", "area"))
 
 
+@register("waterbodies_near_gauges", lambda: O.waterbodies_near_gauges_sql(GAUGE_HALF_WIDTH))
+def q_near_gauges(spark, sf):
+    """E1 (+ C2/C3 per area): water bodies meeting the square area around each gauge,
+    clipped to it; a tiled equi-join instead of a nested-loop theta join."""
+    aois = extent.areas_from_points(fx.gauges(spark, sf), "grdc_no", GAUGE_HALF_WIDTH)
+    wb = fx.waterbodies(spark, sf).select("hylak_id", "xmin", "ymin", "xmax", "ymax")
+    return (extent.features_in_areas(wb, aois, "grdc_no", tile=0.5, clip=True)
+            .select("grdc_no", "hylak_id", "xmin", "xmax", "ymin", "ymax"))
+
+
+@register("glaciers", lambda: O.glaciers_sql(CLIP_EXTENT, network.AREA_FLOOR["glaciers"]))
+def q_glaciers(spark, sf):
+    """A5 + L4: the plain vector export (no ids, no height) with the 1.0 area floor."""
+    return waterbody.export_waterbodies(fx.waterbodies(spark, sf), CLIP_EXTENT, id_mode="none",
+                                        add_dam_height=False, min_area=network.AREA_FLOOR["glaciers"])
+
+
+@register("forcing_write_check", lambda: O.forcing_write_check_sql(JOB))
+def q_forcing_write_check(spark, sf):
+    """B2 + B7 + A19: the forcing cube written as day-partitioned float32 parquet, read back,
+    counted and ranged."""
+    path = sinks.scratch_path(spark, f"forcing-{uuid.uuid4().hex}")
+    sinks.write_cube(q_daily_forcing(spark, sf), path, CLIMATE_VARIABLES)
+    return sinks.write_back_check(spark, path, ["temp", "precip"])
+
+
+@register("chunk_merge", O.chunk_rollup_sql)
+def q_chunk_merge(spark, sf):
+    """K4 + J2 + A19: rows written one folder per chunk, the chunk folders read back in one
+    multi-path scan and concatenated (no dedupe)."""
+    dis = fx.discharge(spark, sf)
+    b = chunks.data_bounds(dis).first()
+    tagged = chunks.assign_chunks(dis, b["start"], b["end"])
+    path = sinks.scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
+    chunks.write_chunks(tagged, path)
+    n_chunks = chunks.chunk_table(spark, chunks.period_bounds(spark, b["start"], b["end"])).count()
+    parts = [f"{path}/chunk_id={k}" for k in range(n_chunks)]
+    back = chunks.read_chunks(spark, path, parts)
+    return chunks.chunk_rollup(back)
+
+
+def _summary_outputs() -> dict[str, tuple]:
+    return {
+        "forcing": (q_daily_forcing, lambda: O.daily_forcing_sql(JOB)),
+        "orography": (q_orography, lambda: O.orography_sql(JOB)),
+        "reservoirs": (q_reservoirs, lambda: O.reservoirs_sql(CLIP_EXTENT)),
+        "glaciers": (q_glaciers, lambda: O.glaciers_sql(CLIP_EXTENT, network.AREA_FLOOR["glaciers"])),
+        "terrain": (q_terrain_grid, O.terrain_grid_sql),
+        "soil": (q_soil_long, O.soil_long_sql),
+        "lai": (q_lai_cube, lambda: O.lai_cube_sql(LAI_START, LAI_END)),
+        "lai_slots": (q_lai_slots, lambda: O.lai_slots_sql(LAI_START, LAI_END)),
+        "chunks": (q_chunk_table, O.chunk_table_sql),
+    }
+
+
+@register("model_inputs_summary",
+          lambda: O.model_inputs_summary_sql({k: v[1]() for k, v in _summary_outputs().items()}))
+def q_model_inputs_summary(spark, sf):
+    """K8: the full chain (vectors, rasters, climate, LAI, chunk labels) as a manifest of
+    output row counts; one union plan, each branch its own aggregate."""
+    parts = [fn(spark, sf).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("output"), "n_rows")
+             for name, (fn, _) in _summary_outputs().items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
