@@ -121,6 +121,10 @@ def rules_for(source: str) -> dict[str, dict]:
     return out
 
 
-def variable_from_path(path_col: str = "_metadata.file_path") -> F.Column:
-    """The ``{variable}`` of a path template ``dir/{variable}.ext``."""
-    return F.regexp_extract(F.col(path_col), r"([^/]+)\.[A-Za-z0-9]+$", 1)
+def variable_from_path(template: str, path_col: str = "_metadata.file_path") -> F.Column:
+    """The ``{variable}`` of a catalog path template such as ``dir/{variable}.tif``
+    (one source, many variables), taken from each row's file path."""
+    import re
+    head, _, tail = template.partition("{variable}")
+    pattern = re.escape(head.rstrip("/").split("/")[-1] + "/" if head else "") + r"([^/]+)" + re.escape(tail)
+    return F.regexp_extract(F.col(path_col), pattern, 1)
