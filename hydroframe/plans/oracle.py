@@ -465,3 +465,12 @@ SELECT count(*) AS n_rows, min(CAST(temp AS FLOAT)) AS min_temp, max(CAST(temp A
 def model_inputs_summary_sql(outputs: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT '{name}' AS output, count(*) AS n_rows FROM ({sql}) AS t_{i}"
                                 for i, (name, sql) in enumerate(outputs.items()))
+
+
+def static_maps_sql() -> str:
+    from hydroframe.operators.lookup import MODEL_CONSTANTS
+    consts = ", ".join(f"{float(v)!r}{D} AS {k}" for k, v in MODEL_CONSTANTS.items())
+    return f"""WITH t AS ({terrain_grid_sql()}), {SOIL_WIDE}
+SELECT t.*, round(nullif(CAST(s.bd_sl1 AS DOUBLE), -32768{D}) * 0.001{D}, 6) AS bd_sl1,
+  round(nullif(CAST(s.ph_sl1 AS DOUBLE), -32768{D}) * 0.1{D}, 6) AS ph_sl1, {consts}
+FROM t JOIN soil_wide s ON t.cell = s.cell"""

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.operators import chunks, climate, discharge, extent, lai, network, raster, waterbody
+from hydroframe.operators import (chunks, climate, discharge, extent, lai, lookup, network, raster,
+                                  waterbody)
 from hydroframe.params import WHOLE_DOMAIN_JOB, Extent, JobParams
 from hydroframe.plans import oracle as O
 from hydroframe.sources import fixtures as fx
@@ -151,6 +152,17 @@ def q_soil_long(spark, sf):
     return _round(raster.soil_long(fx.soil_wide(spark, sf)), ["value"])
 
 
+@register("static_maps", O.static_maps_sql)
+def q_static_maps(spark, sf):
+    """E10 + F8 + F11: static maps per cell: terrain, top soil layer in model units and the
+    15 constant parameters (soil pivoted back from the long form on the cell key)."""
+    terrain = q_terrain_grid(spark, sf)
+    soil = raster.soil_long(fx.soil_wide(spark, sf)).filter(F.col("depth") == 1)
+    top = (soil.groupBy("cell").pivot("variable", ["bd", "ph"]).agg(F.max("value"))
+               .select("cell", F.round("bd", 6).alias("bd_sl1"), F.round("ph", 6).alias("ph_sl1")))
+    return lookup.with_constants(terrain.join(top, "cell"))
+
+
 @register("soil_missing_members", O.soil_missing_members_sql)
 def q_soil_missing(spark, sf):
     """A11 + E8: soil family members with no value in the table."""

@@ -100,9 +100,16 @@ def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> Data
                         f"'area', {a}, 'box', {rings_bbox_sql(c)})) END")
             return let(rings_area_sql(c), with_area)
 
-        meets = let(box, lambda bx: (f"{bx}.xmax >= {ext.west!r} AND {bx}.xmin <= {ext.east!r} AND "
-                                     f"{bx}.ymax >= {ext.south!r} AND {bx}.ymin <= {ext.north!r}"))
-        return f"CASE WHEN {meets} THEN {let(clip_polygon_sql(rs, ext), clipped_body)} END"
+        def decide(bx):
+            meets = (f"{bx}.xmax >= {ext.west!r} AND {bx}.xmin <= {ext.east!r} AND "
+                     f"{bx}.ymax >= {ext.south!r} AND {bx}.ymin <= {ext.north!r}")
+            inside = (f"{bx}.xmin >= {ext.west!r} AND {bx}.xmax <= {ext.east!r} AND "
+                      f"{bx}.ymin >= {ext.south!r} AND {bx}.ymax <= {ext.north!r}")
+            # Exact fast path: a feature inside the extent is its own clip; only features
+            # crossing an edge pay for the four half-plane passes.
+            clipped = f"CASE WHEN {inside} THEN {rs} ELSE {clip_polygon_sql(rs, ext)} END"
+            return f"CASE WHEN {meets} THEN {let(clipped, clipped_body)} END"
+        return let(box, decide)
 
     others = [c for c in df.columns if c != rings]
     kept = df.select(*others, F.expr(f"coalesce({let(rings, per_feature)}, array())").alias("_g"))

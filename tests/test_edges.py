@@ -347,3 +347,51 @@ def test_scalar_functions(spark):
                   scalar.replace_infinite(F.lit(float("inf")), 20.0).alias("inf")).first()
     assert r.n == 12.5 and r.b == 2.0 and r.ts == dt.datetime(2023, 11, 14, 22, 13, 20)
     assert r.m == "bd_sl3" and r.d == 6 and r.inf == 20.0
+
+
+# --- lookups, grid membership, merges (C11, D5, F8, J3, J6, L8) ---------------------------
+
+def test_lookup_join_small_and_large(spark):
+    from hydroframe.operators.lookup import landcover_params, lookup_join
+    grid = spark.createDataFrame([(1, 10), (2, 20), (3, 99)], "cell long, landcover int")
+    lut = spark.createDataFrame([(10, 0.5), (20, 0.7)], "class int, rootdepth double")
+    got = {r.cell: r.rootdepth for r in landcover_params(grid, lut).collect()}
+    assert got == {1: 0.5, 2: 0.7, 3: None}
+    big = lookup_join(grid, lut.withColumnRenamed("class", "landcover"), "landcover", max_rows=1)
+    assert big.count() == 3
+
+
+def test_in_grid_and_ordered_times(spark):
+    from hydroframe.operators.lookup import in_grid, ordered_times
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (5.0, 2.0)], "lat double, lon double")
+    axes = {"lat": spark.createDataFrame([(1.0,)], "lat double"),
+            "lon": spark.createDataFrame([(2.0,), (3.0,)], "lon double")}
+    assert in_grid(df, axes).count() == 2
+    t = spark.createDataFrame([(D(2020, 1, 3),), (D(2020, 1, 1),), (D(2020, 1, 3),)], "time date")
+    assert ordered_times(t).first().times == [D(2020, 1, 1), D(2020, 1, 3)]
+
+
+def test_constants(spark):
+    from hydroframe.operators.lookup import MODEL_CONSTANTS, with_constants
+    r = with_constants(spark.range(1)).first()
+    assert len(MODEL_CONSTANTS) == 15 and r.Cfmax == 3.75653 and r.rootdistpar == -500.0
+
+
+def test_concat_and_static_merge(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k long, v double")
+    b = spark.createDataFrame([(2, 2.0), (3, 3.0)], "k long, v double")
+    assert chunks.concat_chunks([a, b]).count() == 4
+    assert chunks.concat_dedupe([a, b]).count() == 3
+    static = spark.createDataFrame([(0, "s0"), (1, "s1")], "chunk_id int, m string")
+    forcing = spark.createDataFrame([(0, 1.0), (1, 2.0)], "chunk_id int, p double")
+    s, f = chunks.merge_static_forcing(static, forcing)
+    assert [r.m for r in s.collect()] == ["s0"] and f.count() == 2
+
+
+def test_river_floors_and_pet(spark):
+    df = spark.createDataFrame([(10.0, 0.5), (50.0, 2.0)], "rivwth double, rivdph double")
+    got = [(r.rivwth, r.rivdph) for r in network.river_floors(df).collect()]
+    assert got == [(30.0, 1.0), (50.0, 2.0)]
+    pet = spark.range(1).select(network.pet_debruin(F.lit(20.0), F.lit(1013.0), F.lit(200.0),
+                                                    F.lit(400.0)).alias("p")).first().p
+    assert 0.0 < pet < 10.0   # mm/day for a mild day
