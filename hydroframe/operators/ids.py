@@ -22,7 +22,12 @@ def sequential_id(df: DataFrame, order_cols: list[str], id_col: str, start: int
     """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order (ties broken by
     the columns given; pass a unique key last for a total order)."""
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order_cols).checkpoint(eager=True)
+    # Tiebreak: a content hash, then the row's scan position. Range partitioning cannot
+    # split equal sort keys; with a row-unique key a value held by a third of the rows is
+    # spread over many range partitions instead of landing in one task. Both are stable
+    # under recomputation of the (deterministic) input scan.
+    keyed = df.withColumns({"_h": F.xxhash64(*df.columns), "_m": F.monotonically_increasing_id()})
+    ordered = keyed.orderBy(*order_cols, "_h", "_m").drop("_h", "_m").checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_pid"),
                               mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"))

@@ -395,3 +395,14 @@ def test_river_floors_and_pet(spark):
     pet = spark.range(1).select(network.pet_debruin(F.lit(20.0), F.lit(1013.0), F.lit(200.0),
                                                     F.lit(400.0)).alias("p")).first().p
     assert 0.0 < pet < 10.0   # mm/day for a mild day
+
+
+def test_sequential_id_hot_key(spark):
+    n = 3000
+    # a third of the rows share one key
+    df = spark.range(0, n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
+    out = sequential_id(df, ["k"], "rid").collect()
+    assert sorted(r.rid for r in out) == list(range(n))
+    by_rid = sorted(out, key=lambda r: r.rid)
+    assert [r.k for r in by_rid] == sorted(r.k for r in out)
