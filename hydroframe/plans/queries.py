@@ -299,7 +299,7 @@ def q_clipped_polygons(spark, sf):
 def q_gauges(spark, sf):
     """A16 + B5 + C1: stations written as CSV, read back with a fixed schema, in extent."""
     from hydroframe.functions.geometry import point_in_extent
-    path = sinks.scratch_path(spark, f"stations-{abs(hash(sf))}")
+    path = sinks.scratch_path(spark, f"stations-{uuid.uuid4().hex}")
     g = fx.gauges(spark, sf).select("grdc_no", F.lit(None).cast("string").alias("river"), "station",
                                     "country", "lat", "lon", "area", F.lit(None).cast("double").alias("altitude"))
     sinks.write_series_csv(g, path)

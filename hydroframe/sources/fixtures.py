@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroframe.sources.tables import read_table
+from hydroframe.sources.tables import read_table, spread
 
 
 def _d(v: float) -> Column:
@@ -171,7 +171,9 @@ def discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def waterbody_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One GeoJSON Feature per row as text (GeoJSONSeq): properties + a closed box ring."""
-    wb = waterbodies(spark, sf_dir)
+    # JSON text and the geometry work above it are CPU-heavy per row: spread a single-split
+    # scan over all task slots first (a no-op for inputs with many splits).
+    wb = spread(waterbodies(spark, sf_dir))
 
     def pt(x, y):
         return F.array(F.col(x), F.col(y))

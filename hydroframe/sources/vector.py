@@ -94,10 +94,10 @@ def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> Data
     def per_feature(rs):
         box = rings_bbox_sql(rs)
 
-        def clipped_body(c):
+        def result(c, bx_sql):
             def with_area(a):
                 return (f"CASE WHEN size({c}) > 0 AND {a} > 0 THEN array(named_struct('{rings}', {c}, "
-                        f"'area', {a}, 'box', {rings_bbox_sql(c)})) END")
+                        f"'area', {a}, 'box', {bx_sql})) END")
             return let(rings_area_sql(c), with_area)
 
         def decide(bx):
@@ -105,10 +105,11 @@ def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> Data
                      f"{bx}.ymax >= {ext.south!r} AND {bx}.ymin <= {ext.north!r}")
             inside = (f"{bx}.xmin >= {ext.west!r} AND {bx}.xmax <= {ext.east!r} AND "
                       f"{bx}.ymin >= {ext.south!r} AND {bx}.ymax <= {ext.north!r}")
-            # Exact fast path: a feature inside the extent is its own clip; only features
-            # crossing an edge pay for the four half-plane passes.
-            clipped = f"CASE WHEN {inside} THEN {rs} ELSE {clip_polygon_sql(rs, ext)} END"
-            return f"CASE WHEN {meets} THEN {let(clipped, clipped_body)} END"
+            # Exact fast path: a feature inside the extent is its own clip (same rings, same
+            # box); only features crossing an edge pay for the four half-plane passes.
+            crossing = let(clip_polygon_sql(rs, ext), lambda c: result(c, rings_bbox_sql(c)))
+            return (f"CASE WHEN {inside} THEN {result(rs, bx)} "
+                    f"WHEN {meets} THEN {crossing} END")
         return let(box, decide)
 
     others = [c for c in df.columns if c != rings]
