@@ -151,6 +151,31 @@ def long_to_wide(long_df: DataFrame, keys: list[str], variables: list[str],
     return long_df.groupBy(*keys).pivot("variable", variables).agg(F.first(value))
 
 
+def pivot_latest(rows: DataFrame, keys: list[str], variables: list[str], value: str = "value",
+                 order: str = "obs_id") -> DataFrame:
+    """D12 + F2 in one aggregate: per key, one column per variable holding the value of the
+    row with the largest ``order`` among that variable's rows. ``max_by`` skips rows whose
+    ordering is NULL, so each column only sees its own variable; one partial-aggregated
+    exchange instead of a dedupe exchange followed by a pivot exchange. Rows must already
+    have usable values (C7), as a NULL value with the top ordering would win.
+    """
+    var = F.col("variable")
+    return rows.groupBy(*keys).agg(*[
+        F.max_by(F.col(value), F.when(var == v, F.col(order))).alias(v) for v in variables])
+
+
+def hourly_wide(spark: SparkSession, obs: DataFrame, params: JobParams,
+                source: str = "era5", variables: list[str] = CLIMATE_VARIABLES) -> DataFrame:
+    """A12 + F1 + C7 + E9/I5 + D12 + F2: hourly rows of the job as one column per variable."""
+    ext = params.extent.buffer(params.climate_buffer)
+    rows = (obs.transform(lambda d: select_region_period(d, ext, params.start_date, params.end_date))
+               .transform(clean_coordinates)
+               .transform(bands_to_variables)
+               .transform(drop_missing_values))
+    converted = apply_catalog_units(spark, rows, source)
+    return pivot_latest(converted, CUBE_KEYS, variables)
+
+
 def with_variable_metadata(wide: DataFrame, units: dict = CLIMATE_UNITS) -> DataFrame:
     """units and description per variable as column metadata."""
     return wide.select(*[

@@ -89,8 +89,7 @@ def q_cube_shape(spark, sf):
 def q_dense_cube(spark, sf):
     """E2 + F2 + Q4: all five variables scattered into the dense time x lat x lon cube."""
     rows = _climate_rows(spark, sf)
-    wide = climate.long_to_wide(climate.hourly_long(spark, fx.obs_hourly(spark, sf), JOB),
-                                climate.CUBE_KEYS, CLIMATE_VARIABLES)
+    wide = climate.hourly_wide(spark, fx.obs_hourly(spark, sf), JOB)
     dense = climate.densify(rows, wide, CLIMATE_VARIABLES)
     return _round(dense, CLIMATE_VARIABLES)
 

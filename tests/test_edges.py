@@ -406,3 +406,17 @@ def test_sequential_id_hot_key(spark):
     assert sorted(r.rid for r in out) == list(range(n))
     by_rid = sorted(out, key=lambda r: r.rid)
     assert [r.k for r in by_rid] == sorted(r.k for r in out)
+
+
+def test_pivot_latest_equals_dedupe_then_pivot(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(1, t, 1.0, 2.0, "temp", 10.0), (5, t, 1.0, 2.0, "temp", 11.0), (3, t, 1.0, 2.0, "precip", 0.5),
+         (2, t, 1.0, 2.0, "precip", 0.7), (4, t, 3.0, 2.0, "temp", 9.0)],
+        "obs_id long, time timestamp_ntz, lat double, lon double, variable string, value double")
+    one = climate.pivot_latest(rows, climate.CUBE_KEYS, ["temp", "precip", "kin"])
+    two = climate.long_to_wide(climate.resolve_duplicates(rows, ["time", "lat", "lon", "variable"]),
+                               climate.CUBE_KEYS, ["temp", "precip", "kin"])
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect()))
+    got = {r.lat: (r.temp, r.precip, r.kin) for r in one.collect()}
+    assert got == {1.0: (11.0, 0.5, None), 3.0: (9.0, None, None)}
