@@ -125,3 +125,56 @@ def clip_polygon_sql(rings: str, ext: Extent) -> str:
 def clip_polygon(rings_col: str, ext: Extent) -> Column:
     """C2+C3 for polygons: ``array<array<struct<x,y>>>`` (open rings) clipped to the rectangle."""
     return F.expr(clip_polygon_sql(rings_col, ext))
+
+
+# --- lines ---------------------------------------------------------------------------------
+
+def _segment_clip_sql(a: str, b: str, ext: Extent) -> str:
+    """Liang-Barsky: the part of segment a->b inside the rectangle, as
+    ``named_struct('t0', …, 't1', …)``; kept when t0 < t1 (a positive length)."""
+    W, S, E, N = (repr(float(v)) for v in (ext.west, ext.south, ext.east, ext.north))
+    dx, dy = f"({b}.x - {a}.x)", f"({b}.y - {a}.y)"
+    # (p, q) per boundary: entering when p < 0, leaving when p > 0, t = q / p
+    pq = [(f"(-{dx})", f"({a}.x - {W})"), (dx, f"({E} - {a}.x)"),
+          (f"(-{dy})", f"({a}.y - {S})"), (dy, f"({N} - {a}.y)")]
+    enter = ", ".join(f"CASE WHEN {p} < 0 THEN {q} / {p} END" for p, q in pq)
+    leave = ", ".join(f"CASE WHEN {p} > 0 THEN {q} / {p} END" for p, q in pq)
+    outside_parallel = " OR ".join(f"({p} = 0 AND {q} < 0)" for p, q in pq)
+    return (f"CASE WHEN {outside_parallel} THEN named_struct('t0', 1D, 't1', 0D) "
+            f"ELSE named_struct('t0', greatest(0D, {enter}), 't1', least(1D, {leave})) END")
+
+
+def clip_line_sql(line: str, ext: Extent) -> str:
+    """C2 for a polyline: the pieces inside the rectangle, consecutive pieces merged back
+    into polylines (an ``array<array<struct<x, y>>>``, empty when nothing is inside)."""
+    pt_t = "struct<x: double, y: double>"
+
+    def body(ln):
+        i = f"{ln}_i"
+        a, b = f"element_at({ln}, {i} + 1)", f"element_at({ln}, {i} + 2)"
+
+        def seg(t):
+            def piece(tt):
+                return (f"CASE WHEN {tt}.t0 < {tt}.t1 THEN array(named_struct("
+                        f"'a', named_struct('x', {a}.x + {tt}.t0 * ({b}.x - {a}.x), 'y', {a}.y + {tt}.t0 * ({b}.y - {a}.y)), "
+                        f"'b', named_struct('x', {a}.x + {tt}.t1 * ({b}.x - {a}.x), 'y', {a}.y + {tt}.t1 * ({b}.y - {a}.y)))) "
+                        f"ELSE CAST(array() AS array<struct<a: {pt_t}, b: {pt_t}>>) END")
+            return let(t, piece)
+        pieces = (f"flatten(transform(sequence(0, size({ln}) - 2), {i} -> "
+                  f"{seg(_segment_clip_sql(a, b, ext))}))")
+        merged = (f"aggregate({pieces}, CAST(array() AS array<array<{pt_t}>>), (acc, s) -> "
+                  f"CASE WHEN size(acc) > 0 AND element_at(element_at(acc, -1), -1) = s.a "
+                  f"THEN concat(slice(acc, 1, size(acc) - 1), array(concat(element_at(acc, -1), array(s.b)))) "
+                  f"ELSE concat(acc, array(array(s.a, s.b))) END)")
+        return f"CASE WHEN size({ln}) < 2 THEN CAST(array() AS array<array<{pt_t}>>) ELSE {merged} END"
+    return let(line, body)
+
+
+def line_length_sql(line: str) -> str:
+    """Planar length of a polyline (sum of segment lengths)."""
+    def body(ln):
+        i = f"{ln}_i"
+        a, b = f"element_at({ln}, {i} + 1)", f"element_at({ln}, {i} + 2)"
+        return (f"CASE WHEN size({ln}) < 2 THEN 0D ELSE aggregate(sequence(0, size({ln}) - 2), 0D, "
+                f"(acc, {i}) -> acc + sqrt(pow({b}.x - {a}.x, 2) + pow({b}.y - {a}.y, 2))) END")
+    return let(line, body)

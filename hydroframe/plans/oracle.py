@@ -474,3 +474,20 @@ def static_maps_sql() -> str:
 SELECT t.*, round(nullif(CAST(s.bd_sl1 AS DOUBLE), -32768{D}) * 0.001{D}, 6) AS bd_sl1,
   round(nullif(CAST(s.ph_sl1 AS DOUBLE), -32768{D}) * 0.1{D}, 6) AS ph_sl1, {consts}
 FROM t JOIN soil_wide s ON t.cell = s.cell"""
+
+
+def river_lines_clipped_sql(ext, min_uparea: float = 30.0) -> str:
+    W, S, E, N = (f"{float(v)!r}{D}" for v in (ext.west, ext.south, ext.east, ext.north))
+    pq = [("(-dx)", f"(x0 - {W})"), ("dx", f"({E} - x0)"), ("(-dy)", f"(y0 - {S})"), ("dy", f"({N} - y0)")]
+    enter = ", ".join(f"CASE WHEN {p} < 0 THEN {q} / {p} ELSE 0{D} END" for p, q in pq)
+    leave = ", ".join(f"CASE WHEN {p} > 0 THEN {q} / {p} ELSE 1{D} END" for p, q in pq)
+    outside = " OR ".join(f"({p} = 0 AND {q} < 0)" for p, q in pq)
+    return f"""WITH {FLOW_CELLS},
+seg AS (SELECT r.cell, CAST(r.x AS DOUBLE) AS x0, CAST(r.y AS DOUBLE) AS y0,
+    CAST(n.x AS DOUBLE) - CAST(r.x AS DOUBLE) AS dx, CAST(n.y AS DOUBLE) - CAST(r.y AS DOUBLE) AS dy
+  FROM flow_cells r JOIN flow_cells n ON n.cell = r.next_cell WHERE r.uparea >= {min_uparea}{D}),
+t AS (SELECT *, CASE WHEN {outside} THEN 1{D} ELSE greatest(0{D}, {enter}) END AS t0,
+    CASE WHEN {outside} THEN 0{D} ELSE least(1{D}, {leave}) END AS t1 FROM seg),
+c AS (SELECT cell, x0 + t0 * dx AS px, y0 + t0 * dy AS py, x0 + t1 * dx AS qx, y0 + t1 * dy AS qy FROM t WHERE t0 < t1)
+SELECT cell, round(sqrt(pow(qx - px, 2) + pow(qy - py, 2)), 6) AS length,
+  least(px, qx) AS xmin, greatest(px, qx) AS xmax, least(py, qy) AS ymin, greatest(py, qy) AS ymax FROM c"""

@@ -34,6 +34,7 @@ STATION_EXTENT = Extent(85.0, 26.0, 87.5, 30.0)
 # LAI period: [start, end) over the whole image archive; the last image day is the end (Q2).
 LAI_START, LAI_END = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
 OUTLET_XY = (12.0, 40.0)       # flow-network outlet point in grid units
+RIVER_EXTENT = Extent(4.5, 3.5, 24.5, 40.5)   # grid units; edges cut through reaches
 GAUGE_HALF_WIDTH = 0.25       # square area of interest around each gauge, degrees
 COARSE = dict(lat0=26.0, lon0=85.0, step=0.25)  # climate grid origin and spacing
 
@@ -294,6 +295,16 @@ def q_clipped_polygons(spark, sf):
     return _round(out.select("hylak_id", "xmin", "xmax", "ymin", "ymax", "area"), ["area"])
 
 
+@register("river_lines_clipped", lambda: O.river_lines_clipped_sql(RIVER_EXTENT))
+def q_river_lines(spark, sf):
+    """A2 + L2 + C1-C3 for lines: river reaches (cell to downstream cell) as GeoJSON lines,
+    clipped to an extent in grid units, with their length inside it."""
+    props = T.StructType([T.StructField("cell", T.LongType()), T.StructField("strord", T.IntegerType())])
+    lines = vector.parse_line_features(fx.river_lines_text(spark, sf), "feature", props)
+    out = vector.lines_in_extent(lines, RIVER_EXTENT)
+    return _round(out.select("cell", "length", "xmin", "xmax", "ymin", "ymax"), ["length"])
+
+
 @register("gauges_in_extent", lambda: O.gauges_in_extent_sql(STATION_EXTENT))
 def q_gauges(spark, sf):
     """A16 + B5 + C1: stations written as CSV, read back with a fixed schema, in extent."""

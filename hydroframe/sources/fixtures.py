@@ -187,3 +187,19 @@ def waterbody_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("geometry"),
     )
     return wb.select(F.to_json(feature).alias("feature"))
+
+
+def river_lines_text(spark: SparkSession, sf_dir: str, min_uparea: float = 30.0) -> DataFrame:
+    """River reaches as GeoJSON LineString text: every river cell (upstream area >= 30, L2)
+    joined to its downstream cell (equi-join on the cell id) gives a segment from cell centre
+    to cell centre, in grid units."""
+    cells = flow_cells(spark, sf_dir)
+    river = cells.filter(F.col("uparea") >= F.lit(min_uparea)).select("cell", "x", "y", "next_cell", "strord")
+    nxt = cells.select(F.col("cell").alias("next_cell"), F.col("x").alias("nx"), F.col("y").alias("ny"))
+    seg = river.join(nxt, "next_cell")
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct("cell", "strord").alias("properties"),
+        F.struct(F.lit("LineString").alias("type"),
+                 F.array(F.array("x", "y"), F.array("nx", "ny")).alias("coordinates")).alias("geometry"))
+    return seg.select(F.to_json(feature).alias("feature"))

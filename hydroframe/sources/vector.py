@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.functions.geometry import (clip_polygon_sql, let, open_ring_sql,
-                                           ring_area_sql)
+from hydroframe.functions.geometry import (clip_line_sql, clip_polygon_sql, let,
+                                           line_length_sql, open_ring_sql, ring_area_sql)
 from hydroframe.params import Extent
 
 POLYGON_COORDS = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -126,3 +126,47 @@ def to_feature_text(df: DataFrame, property_cols: list[str], rings: str = "rings
                        F.struct(*property_cols).alias("properties"),
                        F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"))
     return df.select(F.to_json(feature).alias("feature"))
+
+
+# --- line layers (rivers, A2) -----------------------------------------------------------------
+
+LINE_GEOMETRY = T.StructType([T.StructField("type", T.StringType()),
+                              T.StructField("coordinates", T.StringType())])
+
+
+def parse_line_features(text_df: DataFrame, col: str, properties: T.StructType) -> DataFrame:
+    """A2: LineString / MultiLineString features -> property columns + ``lines``
+    (``array<array<struct<x, y>>>``). Coordinates are read as raw JSON text first and parsed
+    by geometry type, so both types share one column."""
+    schema = T.StructType([T.StructField("type", T.StringType()),
+                           T.StructField("properties", properties),
+                           T.StructField("geometry", LINE_GEOMETRY)])
+    f = text_df.select(F.from_json(F.col(col), schema).alias("f"))
+    pts = "transform(l, p -> named_struct('x', CAST(p[0] AS DOUBLE), 'y', CAST(p[1] AS DOUBLE)))"
+    lines = F.expr(
+        "CASE f.geometry.type "
+        "WHEN 'LineString' THEN array(transform(from_json(f.geometry.coordinates, 'array<array<double>>'), "
+        "p -> named_struct('x', CAST(p[0] AS DOUBLE), 'y', CAST(p[1] AS DOUBLE)))) "
+        f"WHEN 'MultiLineString' THEN transform(from_json(f.geometry.coordinates, 'array<array<array<double>>>'), l -> {pts}) "
+        "END")
+    return f.select("f.properties.*", lines.alias("lines"))
+
+
+def lines_in_extent(df: DataFrame, ext: Extent, lines: str = "lines") -> DataFrame:
+    """C1 + C2 + C3 for line layers: every line clipped to the rectangle (pieces inside,
+    merged where they connect), features with nothing inside dropped; adds ``length`` and
+    the clipped bbox. Evaluated once per row inside an ``inline`` generator."""
+    def per_feature(ls):
+        clipped = f"flatten(transform({ls}, l -> {clip_line_sql('l', ext)}))"
+
+        def result(c):
+            length = f"aggregate({c}, 0D, (acc, l) -> acc + {line_length_sql('l')})"
+            return (f"CASE WHEN size({c}) > 0 THEN array(named_struct('{lines}', {c}, "
+                    f"'length', {length}, 'box', {rings_bbox_sql(c)})) END")
+        return let(clipped, result)
+
+    others = [c for c in df.columns if c != lines]
+    kept = df.select(*others, F.expr(f"coalesce({let(lines, per_feature)}, array())").alias("_g"))
+    out = kept.select(*others, F.inline("_g"))
+    return out.select(*others, lines, "length",
+                      *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])

@@ -123,3 +123,25 @@ def test_variable_metadata(spark):
     out = climate.with_variable_metadata(df)
     assert out.schema["precip"].metadata["units"] == "m"
     assert out.schema["other"].metadata == {}
+
+
+def test_line_clip_merges_pieces(spark):
+    props = T.StructType([T.StructField("id", T.LongType())])
+    feats = [
+        {"type": "Feature", "properties": {"id": 1}, "geometry": {"type": "LineString",
+         "coordinates": [[-1, 0.5], [0.5, 0.5], [0.5, 2], [1.5, 0.5]]}},
+        {"type": "Feature", "properties": {"id": 2}, "geometry": {"type": "MultiLineString",
+         "coordinates": [[[5, 5], [6, 6]], [[0.2, 0.2], [0.8, 0.8]]]}},
+        {"type": "Feature", "properties": {"id": 3}, "geometry": {"type": "LineString",
+         "coordinates": [[2, 2], [3, 3]]}},
+        {"type": "Feature", "properties": {"id": 4}, "geometry": {"type": "LineString",
+         "coordinates": [[1, -1], [1, 2]]}},
+    ]
+    df = spark.createDataFrame([(json.dumps(f),) for f in feats], "t string")
+    out = {r.id: r for r in vector.lines_in_extent(vector.parse_line_features(df, "t", props),
+                                                    Extent(0, 0, 1, 1)).collect()}
+    assert set(out) == {1, 2, 4}                       # 3 misses the extent
+    assert [(p.x, p.y) for p in out[1].lines[0]] == [(0.0, 0.5), (0.5, 0.5), (0.5, 1.0)]
+    assert out[1].length == pytest.approx(1.0)
+    assert out[2].length == pytest.approx(0.6 * 2 ** 0.5)
+    assert out[4].length == pytest.approx(1.0)          # along the east edge: kept
