@@ -420,3 +420,11 @@ def test_pivot_latest_equals_dedupe_then_pivot(spark):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect()))
     got = {r.lat: (r.temp, r.precip, r.kin) for r in one.collect()}
     assert got == {1.0: (11.0, 0.5, None), 3.0: (9.0, None, None)}
+
+
+def test_daily_time_shift_option(spark):
+    rows = [(1, dt.datetime(2024, 1, 1, 5), 26.0, 85.0, "26.0", "temperature_2m", 280.0)]
+    p = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-01", climate_buffer=0)
+    obs = _obs(spark, rows)
+    assert climate.daily_forcing(spark, obs, p).first().day == D(2024, 1, 1)
+    assert climate.daily_forcing(spark, obs, p, shift_days=1).first().day == D(2024, 1, 2)

@@ -36,3 +36,16 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["day", "lat", "lon", "precip", "temp", "kin", "kout", "press_msl"]
+
+
+def test_flagship_with_fixture_parameters_and_buffer(spark):
+    """The FIXTURES.md job (2x2 degree extent, one week) with the default 2-degree climate
+    buffer (A14, I19), against the same oracle built with those parameters."""
+    from hydroframe.operators import climate
+    from hydroframe.params import FIXTURE_JOB
+    from hydroframe.plans import oracle as O
+    from hydroframe.sources import fixtures as fx
+    for job in (FIXTURE_JOB, FIXTURE_JOB.with_(climate_buffer=0.0)):
+        df = climate.daily_forcing(spark, fx.obs_hourly(spark, SF_CHECK), job)
+        ok, msg = compare(df, O.daily_forcing_sql(job), SF_CHECK)
+        assert ok, msg
