@@ -428,3 +428,21 @@ def test_daily_time_shift_option(spark):
     obs = _obs(spark, rows)
     assert climate.daily_forcing(spark, obs, p).first().day == D(2024, 1, 1)
     assert climate.daily_forcing(spark, obs, p, shift_days=1).first().day == D(2024, 1, 2)
+
+
+def test_date_and_number_helpers(spark):
+    df = spark.createDataFrame([("2021-03-05", "x", dt.datetime(2021, 3, 5, 6, 7, 8))],
+                               "d string, bad string, ts timestamp_ntz")
+    r = df.select(scalar.parse_date("d").alias("d"), scalar.parse_date("bad").alias("bad"),
+                  scalar.iso_seconds("ts").alias("iso"), scalar.compact_date("ts").alias("ymd"),
+                  scalar.add_days("ts", 3).alias("plus3"),
+                  scalar.clip(F.lit(400.0), 5.0, 300.0).alias("hi"),
+                  scalar.clip(F.lit(None).cast("double"), 5.0, 300.0).alias("null_stays"),
+                  scalar.nodata_to_null(F.lit(-9999.0), -9999.0).alias("nod"),
+                  scalar.linspace_value(26.0, 28.0, F.lit(2), 5).alias("lin")).first()
+    assert r.d == D(2021, 3, 5) and r.bad is None
+    assert r.iso == "2021-03-05T06:07:08" and r.ymd == "20210305"
+    assert r.plus3 == dt.datetime(2021, 3, 8, 6, 7, 8)
+    assert r.hi == 300.0 and r.null_stays is None and r.nod is None and r.lin == 27.0
+    days = [x.d for x in spark.range(1).select(scalar.day_range(D(2021, 2, 27), D(2021, 3, 2)).alias("d")).collect()]
+    assert days == [D(2021, 2, 27), D(2021, 2, 28), D(2021, 3, 1), D(2021, 3, 2)]

@@ -145,3 +145,16 @@ def test_line_clip_merges_pieces(spark):
     assert out[1].length == pytest.approx(1.0)
     assert out[2].length == pytest.approx(0.6 * 2 ** 0.5)
     assert out[4].length == pytest.approx(1.0)          # along the east edge: kept
+
+
+def test_vector_sink_roundtrip_keeps_nested_geometry(spark):
+    props = T.StructType([T.StructField("hylak_id", T.LongType())])
+    feats = vector.parse_features(fx.waterbody_geojson_text(spark, SF_SMALL), "feature", props)
+    path = os.path.join(tempfile.mkdtemp(prefix="hf-vec-", dir="/tmp"), "wb")
+    sinks.write_vector(feats, path)
+    back = spark.read.parquet(path)
+    # parquet reads nested arrays back as nullable; the shape and leaf types are kept
+    assert back.schema["rings"].dataType.simpleString() == feats.schema["rings"].dataType.simpleString()
+    assert _rows(vector.with_rings_bbox(back).drop("rings")) == _rows(vector.with_rings_bbox(feats).drop("rings"))
+    empty = sinks.empty_result(spark, back.schema)
+    assert empty.count() == 0 and empty.schema == back.schema
