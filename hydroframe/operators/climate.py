@@ -21,6 +21,7 @@ from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VA
                                         GRAVITY, catalog_rules)
 
 CELL_KEYS = ["lat", "lon"]
+AXIS_BROADCAST_MAX_ROWS = 2_000_000  # an axis of (value, position) pairs: ~32 MB at most
 CUBE_KEYS = ["time", "lat", "lon"]
 
 
@@ -242,6 +243,9 @@ def densify(axes_source: DataFrame, values: DataFrame | None = None,
     la = _indexed_axis(axes_source.select("lat").distinct(), "lat")
     lo = _indexed_axis(axes_source.select("lon").distinct(), "lon")
     n_t, n_la, n_lo = t.count(), la.count(), lo.count()
+    # The counts are known, so the broadcast of each axis is a checked decision.
+    t, la, lo = (F.broadcast(a) if n <= AXIS_BROADCAST_MAX_ROWS else a
+                 for a, n in ((t, n_t), (la, n_la), (lo, n_lo)))
     total = n_t * n_la * n_lo
     idx = spark.range(0, total, numPartitions=partitions) if partitions else spark.range(0, total)
     per_time = n_la * n_lo

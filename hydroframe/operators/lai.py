@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hydroframe.operators.raster import valid_range
+from hydroframe.operators.lookup import lookup_join
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's image selection).
@@ -77,7 +77,7 @@ def lai_cube(pixels: DataFrame, slots: DataFrame, keys=("cell",)) -> DataFrame:
     Padding slots have no pixels and are kept as slot rows only by ``lai_slots``.
     """
     sl = slots.filter(~F.col("is_padding")).select("slot", F.col("time").alias("image_time"))
-    joined = pixels.join(sl, "image_time")  # slots: at most k rows; AQE broadcasts them
+    joined = pixels.join(F.broadcast(sl), "image_time")  # at most k rows by construction
     per_pixel = joined.groupBy("slot", "image_time", *keys).agg(
         F.max_by(F.col("raw_lai"), F.col("obs_id")).alias("raw_lai"))
     return per_pixel.select("slot", F.col("image_time").alias("time"), *keys,
@@ -100,7 +100,8 @@ def fallback_images(targets: DataFrame, days: DataFrame, target_col: str = "targ
     offs = F.sequence(F.lit(-FALLBACK_BEFORE_DAYS), F.lit(FALLBACK_AFTER_DAYS - 1))
     cand = targets.select(target_col, F.explode(offs).alias("off")) \
         .withColumn("cand_day", F.date_add(F.col(target_col), F.col("off")))
-    hits = cand.join(days.select(F.col("time").alias("cand_day")), "cand_day")
+    # Image days: one row per calendar day at most; broadcast after the bounded size check.
+    hits = lookup_join(cand, days.select(F.col("time").alias("cand_day")), "cand_day", how="inner")
     per_target = hits.groupBy(target_col).agg(
         F.max((F.col("off") == 0).cast("int")).alias("_exact"),
         F.min("cand_day").alias("_first"))

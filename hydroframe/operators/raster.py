@@ -1,7 +1,7 @@
 """Static rasters and the soil family.
 
 Rasters are long tables ``(cell, lat, lon, variable, value)``. Putting variables side by side
-is one ``pivot`` with its value list (one shuffle), not one join per variable.
+is one conditional aggregation keyed by the cell (one shuffle), not one join per variable.
 """
 
 from __future__ import annotations
@@ -37,11 +37,20 @@ def mask_nodata(long_df: DataFrame, nodata: dict[str, float], variable: str = "v
 
 
 def raster_grid(long_df: DataFrame, variables: list[str], nodata: dict[str, float],
-                int_vars=(), keys: list[str] = GRID_KEYS) -> DataFrame:
-    """A8/A9 + E10: static variables side by side on one grid, nodata masked."""
+                int_vars=(), key: str = "cell", carry: tuple = ("lat", "lon")) -> DataFrame:
+    """A8/A9 + E10: static variables side by side on one grid, nodata masked.
+
+    Grouped by the cell key alone (coordinates carried along), so the result is hash
+    partitioned by ``cell`` and joins with other per-cell maps need no further exchange.
+    This is the conditional aggregation ``pivot`` compiles to, written out.
+    """
     masked = mask_nodata(long_df, nodata)
-    wide = masked.groupBy(*keys).pivot("variable", variables).agg(F.max("value"))
-    return wide.withColumns({v: F.col(v).cast("int") for v in int_vars if v in variables})
+    var, val = F.col("variable"), F.col("value")
+    aggs = [F.max(c).alias(c) for c in carry]
+    for v in variables:
+        a = F.max(F.when(var == v, val))
+        aggs.append((a.cast("int") if v in int_vars else a).alias(v))
+    return masked.groupBy(key).agg(*aggs)
 
 
 def soil_members() -> list[str]:

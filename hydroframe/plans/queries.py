@@ -158,8 +158,12 @@ def q_static_maps(spark, sf):
     15 constant parameters (soil pivoted back from the long form on the cell key)."""
     terrain = q_terrain_grid(spark, sf)
     soil = raster.soil_long(fx.soil_wide(spark, sf)).filter(F.col("depth") == 1)
-    top = (soil.groupBy("cell").pivot("variable", ["bd", "ph"]).agg(F.max("value"))
-               .select("cell", F.round("bd", 6).alias("bd_sl1"), F.round("ph", 6).alias("ph_sl1")))
+    # One conditional aggregate keyed by cell (what pivot compiles to, minus its extra
+    # (cell, variable) exchange): partitioned like the terrain grid, so the join below
+    # needs no further exchange.
+    top = soil.groupBy("cell").agg(*[
+        F.round(F.max(F.when(F.col("variable") == v, F.col("value"))), 6).alias(f"{v}_sl1")
+        for v in ("bd", "ph")])
     return lookup.with_constants(terrain.join(top, "cell"))
 
 
