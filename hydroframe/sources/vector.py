@@ -84,21 +84,35 @@ def rings_area(rings: str = "rings") -> Column:
 
 
 def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> DataFrame:
-    """C1 + C2 + C3 for polygons: bbox meets the extent, rings clipped, features whose
-    clipped rings have no area dropped; adds ``area`` and the clipped bbox.
+    """C1 + C2 + C3 for single-polygon features (``rings``): see ``polygons_in_extent``."""
+    others = [c for c in df.columns if c != rings]
+    wrapped = df.select(*others, F.array(F.col(rings)).alias("_polys"))
+    out = polygons_in_extent(wrapped, ext, "_polys")
+    return out.select(*others, F.element_at("_polys", 1).alias(rings), "area", "xmin", "xmax", "ymin", "ymax")
+
+
+def polygons_in_extent(df: DataFrame, ext: Extent, polys: str = "polys") -> DataFrame:
+    """C1 + C2 + C3 for polygon layers (``polys``: one entry per polygon, each a list of
+    rings, outer first): bbox meets the extent, every ring clipped, polygons left without
+    area dropped, features left without polygons dropped; adds ``area`` (outer minus holes,
+    summed over polygons) and the clipped bbox.
 
     The per-feature work is one expression evaluated once per row: a 0-or-1 element
     array that ``inline`` expands. A filter on derived columns would be pushed below the
     projection and re-evaluate the clip for every reference.
     """
-    def per_feature(rs):
-        box = rings_bbox_sql(rs)
+    def per_feature(ps):
+        box = rings_bbox_sql(f"flatten({ps})")
 
         def result(c, bx_sql):
-            def with_area(a):
-                return (f"CASE WHEN size({c}) > 0 AND {a} > 0 THEN array(named_struct('{rings}', {c}, "
-                        f"'area', {a}, 'box', {bx_sql})) END")
-            return let(rings_area_sql(c), with_area)
+            def with_areas(areas):
+                kept = f"filter(zip_with({c}, {areas}, (pg, a) -> named_struct('pg', pg, 'a', a)), z -> z.a > 0)"
+
+                def finish(k):
+                    return (f"CASE WHEN size({k}) > 0 THEN array(named_struct('{polys}', transform({k}, z -> z.pg), "
+                            f"'area', aggregate({k}, 0D, (acc, z) -> acc + z.a), 'box', {bx_sql(f'flatten(transform({k}, z -> z.pg))')})) END")
+                return let(kept, finish)
+            return let(f"transform({c}, pg -> {rings_area_sql('pg')})", with_areas)
 
         def decide(bx):
             meets = (f"{bx}.xmax >= {ext.west!r} AND {bx}.xmin <= {ext.east!r} AND "
@@ -107,15 +121,37 @@ def features_in_extent(df: DataFrame, ext: Extent, rings: str = "rings") -> Data
                       f"{bx}.ymin >= {ext.south!r} AND {bx}.ymax <= {ext.north!r}")
             # Exact fast path: a feature inside the extent is its own clip (same rings, same
             # box); only features crossing an edge pay for the four half-plane passes.
-            crossing = let(clip_polygon_sql(rs, ext), lambda c: result(c, rings_bbox_sql(c)))
-            return (f"CASE WHEN {inside} THEN {result(rs, bx)} "
+            clipped = f"transform({ps}, pg -> {clip_polygon_sql('pg', ext)})"
+            crossing = let(clipped, lambda c: result(c, rings_bbox_sql))
+            return (f"CASE WHEN {inside} THEN {result(ps, lambda _: bx)} "
                     f"WHEN {meets} THEN {crossing} END")
         return let(box, decide)
 
-    others = [c for c in df.columns if c != rings]
-    kept = df.select(*others, F.expr(f"coalesce({let(rings, per_feature)}, array())").alias("_g"))
+    others = [c for c in df.columns if c != polys]
+    kept = df.select(*others, F.expr(f"coalesce({let(polys, per_feature)}, array())").alias("_g"))
     out = kept.select(*others, F.inline("_g"))
-    return out.select(*others, rings, "area", *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
+    return out.select(*others, polys, "area", *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
+
+
+POLYGON_GEOMETRY = T.StructType([T.StructField("type", T.StringType()),
+                                 T.StructField("coordinates", T.StringType())])
+
+
+def parse_polygon_features(text_df: DataFrame, col: str, properties: T.StructType) -> DataFrame:
+    """Polygon and MultiPolygon features -> property columns + ``polys``
+    (``array<array<ring>>``, one entry per polygon, outer ring first). Coordinates are read
+    as raw JSON text and parsed by geometry type, so both types share one column."""
+    schema = T.StructType([T.StructField("type", T.StringType()),
+                           T.StructField("properties", properties),
+                           T.StructField("geometry", POLYGON_GEOMETRY)])
+    f = text_df.select(F.from_json(F.col(col), schema).alias("f"))
+    ring = open_ring_sql("rr")
+    polys = F.expr(
+        "CASE f.geometry.type "
+        f"WHEN 'Polygon' THEN array(transform(from_json(f.geometry.coordinates, 'array<array<array<double>>>'), rr -> {ring})) "
+        f"WHEN 'MultiPolygon' THEN transform(from_json(f.geometry.coordinates, 'array<array<array<array<double>>>>'), "
+        f"pg -> transform(pg, rr -> {ring})) END")
+    return f.select("f.properties.*", polys.alias("polys"))
 
 
 def to_feature_text(df: DataFrame, property_cols: list[str], rings: str = "rings") -> DataFrame:

@@ -158,3 +158,30 @@ def test_vector_sink_roundtrip_keeps_nested_geometry(spark):
     assert _rows(vector.with_rings_bbox(back).drop("rings")) == _rows(vector.with_rings_bbox(feats).drop("rings"))
     empty = sinks.empty_result(spark, back.schema)
     assert empty.count() == 0 and empty.schema == back.schema
+
+
+def test_multipolygon_clip_area_and_holes(spark):
+    props = T.StructType([T.StructField("id", T.LongType())])
+    sq = lambda x0, y0, s: [[x0, y0], [x0 + s, y0], [x0 + s, y0 + s], [x0, y0 + s], [x0, y0]]
+    feats = [
+        # inside square with a hole: 4 - 1
+        {"type": "Feature", "properties": {"id": 1},
+         "geometry": {"type": "Polygon", "coordinates": [sq(1, 1, 2), sq(1.5, 1.5, 1)]}},
+        # two parts: one inside (area 1), one crossing the east edge x = 10 (half kept: 2)
+        {"type": "Feature", "properties": {"id": 2},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[sq(5, 5, 1)], [sq(8, 1, 4)]]}},
+        # two parts, both outside
+        {"type": "Feature", "properties": {"id": 3},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[sq(20, 20, 1)], [sq(30, 30, 1)]]}},
+        # one part outside, one part inside
+        {"type": "Feature", "properties": {"id": 4},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[sq(-5, -5, 1)], [sq(6, 6, 1)]]}},
+    ]
+    df = spark.createDataFrame([(json.dumps(f),) for f in feats], "t string")
+    out = {r.id: r for r in vector.polygons_in_extent(vector.parse_polygon_features(df, "t", props),
+                                                       Extent(0, 0, 10, 10)).collect()}
+    assert set(out) == {1, 2, 4}
+    assert out[1].area == pytest.approx(3.0) and len(out[1].polys) == 1
+    assert out[2].area == pytest.approx(1.0 + 2.0 * 4.0) and len(out[2].polys) == 2
+    assert (out[2].xmin, out[2].xmax, out[2].ymin, out[2].ymax) == (5.0, 10.0, 1.0, 6.0)
+    assert out[4].area == pytest.approx(1.0) and len(out[4].polys) == 1
