@@ -265,8 +265,10 @@ def day_gaps(long_df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     spark = long_df.sparkSession
     cal = spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("day"))
-    per_day = long_df.groupBy(F.to_date("time").alias("day")).agg(F.count("*").alias("n_rows"))
-    # At most one row per day of the period (the rows are already period-filtered).
+    day = F.to_date("time")
+    per_day = (long_df.filter(day.between(F.lit(start), F.lit(end)))
+                      .groupBy(day.alias("day")).agg(F.count("*").alias("n_rows")))
+    # At most one row per day of the period: a proven bound for the broadcast.
     return (cal.join(F.broadcast(per_day), "day", "left")
                .select("day", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                        F.when(F.col("n_rows").isNull(), "missing").otherwise("ok").alias("status")))
