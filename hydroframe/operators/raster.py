@@ -54,8 +54,8 @@ def raster_grid(long_df: DataFrame, variables: list[str], nodata: dict[str, floa
 
 
 def soil_members() -> list[str]:
-    """A11 (driver side): flat members first, then every depth variable x depth."""
-    return list(SOIL_FLAT_VARIABLES) + [f"{v}_sl{d}" for v in SOIL_DEPTH_VARIABLES for d in SOIL_DEPTHS]
+    """A11 (driver side): flat members first, then for each depth every depth variable."""
+    return list(SOIL_FLAT_VARIABLES) + [f"{v}_sl{d}" for d in SOIL_DEPTHS for v in SOIL_DEPTH_VARIABLES]
 
 
 def soil_member_table(spark: SparkSession) -> DataFrame:

@@ -137,6 +137,14 @@ def q_reservoirs(spark, sf):
     return _round(out, ["Dam_height"])
 
 
+def q_lakes(spark, sf):
+    """A4: lakes come from the same water-body asset and the same export as reservoirs
+    (ids by position, dam height); only the output name differs (Q20)."""
+    out = waterbody.export_waterbodies(fx.waterbodies(spark, sf), CLIP_EXTENT,
+                                       min_area=network.AREA_FLOOR["lakes"])
+    return _round(out, ["Dam_height"])
+
+
 # --- rasters -----------------------------------------------------------------------------
 
 @register("terrain_grid", O.terrain_grid_sql)
@@ -368,7 +376,10 @@ def _summary_outputs() -> dict[str, tuple]:
         "forcing": (q_daily_forcing, lambda: O.daily_forcing_sql(JOB)),
         "orography": (q_orography, lambda: O.orography_sql(JOB)),
         "reservoirs": (q_reservoirs, lambda: O.reservoirs_sql(CLIP_EXTENT)),
+        "lakes": (q_lakes, lambda: O.reservoirs_sql(CLIP_EXTENT)),
         "glaciers": (q_glaciers, lambda: O.glaciers_sql(CLIP_EXTENT, network.AREA_FLOOR["glaciers"])),
+        "rivers": (q_river_lines, lambda: O.river_lines_clipped_sql(RIVER_EXTENT)),
+        "stations": (q_gauges, lambda: O.gauges_in_extent_sql(STATION_EXTENT)),
         "terrain": (q_terrain_grid, O.terrain_grid_sql),
         "soil": (q_soil_long, O.soil_long_sql),
         "lai": (q_lai_cube, lambda: O.lai_cube_sql(LAI_START, LAI_END)),
