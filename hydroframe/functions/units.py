@@ -13,19 +13,30 @@ def convert(value: Column, mult: Column, add: Column) -> Column:
     return value * F.coalesce(mult, F.lit(1.0)) + F.coalesce(add, F.lit(0.0))
 
 
+_LOOKUP = object()
+
+
 def apply_rules_join(long_df: DataFrame, rules: DataFrame, source: str,
-                     variable_col: str = "variable", value_col: str = "value") -> DataFrame:
+                     variable_col: str = "variable", value_col: str = "value",
+                     default_nodata=_LOOKUP) -> DataFrame:
     """Join a long ``(variable, value)`` table to the catalog rules of one source.
 
     The rules side is the catalog (fixed, tens of rows), so it is broadcast: the join
     happens inside the scan stage, no shuffle. Applies nodata -> NULL, ``mult``/``add``
     and the rename, in the catalog's order (nodata first, then units).
     """
-    r = (rules.filter(F.col("source") == source)
-         .select(F.col("variable").alias("_rv"), "rename_to", "mult", "add", "nodata"))
+    src = rules.filter(F.col("source") == source)
+    r = (src.filter(F.col("variable") != "*")
+            .select(F.col("variable").alias("_rv"), "rename_to", "mult", "add", "nodata"))
+    # A source-wide nodata (variable "*") applies where a variable has none of its own.
+    # Callers that know it pass it; otherwise it is looked up (one row at most).
+    if default_nodata is _LOOKUP:
+        wide = src.filter(F.col("variable") == "*").select("nodata").limit(1).collect()
+        default_nodata = wide[0]["nodata"] if wide else None
     joined = long_df.join(F.broadcast(r), F.col(variable_col) == F.col("_rv"), "left")
+    nod = F.coalesce(F.col("nodata"), F.lit(default_nodata).cast("double"))
     v = F.col(value_col)
-    v = F.when(F.col("nodata").isNotNull() & (v == F.col("nodata")), F.lit(None)).otherwise(v)
+    v = F.when(nod.isNotNull() & (v == nod), F.lit(None)).otherwise(v)
     return (joined
             .withColumn(value_col, convert(v.cast("double"), F.col("mult"), F.col("add")))
             .withColumn(variable_col, F.coalesce(F.col("rename_to"), F.col(variable_col)))

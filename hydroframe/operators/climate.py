@@ -18,7 +18,7 @@ from hydroframe.functions.scalar import is_present, round_half_even, to_number
 from hydroframe.functions.units import apply_rules_join
 from hydroframe.params import Extent, JobParams
 from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VARIABLES,
-                                        GRAVITY, catalog_rules)
+                                        GRAVITY, catalog_rules, rules_for)
 
 CELL_KEYS = ["lat", "lon"]
 AXIS_BROADCAST_MAX_ROWS = 2_000_000  # an axis of (value, position) pairs: ~32 MB at most
@@ -97,7 +97,8 @@ def resolve_duplicates(df: DataFrame, keys: list[str], value: str = "value",
 
 def apply_catalog_units(spark: SparkSession, df: DataFrame, source: str) -> DataFrame:
     """E9 + I5: catalog unit rules of ``source`` on the long table (broadcast of the catalog)."""
-    return apply_rules_join(df, catalog_rules(spark, source), source)
+    wide_nodata = rules_for(source).get("*", {}).get("nodata")
+    return apply_rules_join(df, catalog_rules(spark, source), source, default_nodata=wide_nodata)
 
 
 def hourly_long(spark: SparkSession, obs: DataFrame, params: JobParams,

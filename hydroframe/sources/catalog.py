@@ -128,3 +128,43 @@ def variable_from_path(template: str, path_col: str = "_metadata.file_path") ->
     head, _, tail = template.partition("{variable}")
     pattern = re.escape(head.rstrip("/").split("/")[-1] + "/" if head else "") + r"([^/]+)" + re.escape(tail)
     return F.regexp_extract(F.col(path_col), pattern, 1)
+
+
+def catalog_rule_rows_from_yaml(path: str) -> list[tuple]:
+    """Parse a data-catalog YAML once on the driver (a small config file, not data)
+    into ``(source, variable, rename_to, mult, add, nodata)`` rows. ``nodata`` may be one
+    value for the whole source (variable ``*``) or a map per variable; ``unit_add.time`` is
+    kept as a row for the time-shift option (Q10)."""
+    try:
+        import yaml
+    except ImportError as e:  # pragma: no cover - PyYAML is optional
+        raise ImportError("reading a catalog YAML needs PyYAML") from e
+    with open(path, encoding="utf-8") as f:
+        doc = yaml.safe_load(f) or {}
+    rows: dict[tuple[str, str], dict] = {}
+
+    def put(src, var, **kw):
+        r = rows.setdefault((src, var), {"rename_to": None, "mult": None, "add": None, "nodata": None})
+        r.update({k: v for k, v in kw.items() if v is not None})
+
+    for src, spec in doc.items():
+        if not isinstance(spec, dict):
+            continue
+        for var, to in (spec.get("rename") or {}).items():
+            put(src, str(var), rename_to=str(to))
+        for var, m in (spec.get("unit_mult") or {}).items():
+            put(src, str(var), mult=float(m))
+        for var, a in (spec.get("unit_add") or {}).items():
+            put(src, str(var), add=float(a))
+        nod = spec.get("nodata")
+        if isinstance(nod, dict):
+            for var, v in nod.items():
+                put(src, str(var), nodata=float(v))
+        elif nod is not None:
+            put(src, "*", nodata=float(nod))
+    return [(s, v, r["rename_to"], r["mult"], r["add"], r["nodata"]) for (s, v), r in rows.items()]
+
+
+def catalog_rules_from_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """A user's catalog file as the ``catalog_rules`` table."""
+    return spark.createDataFrame(catalog_rule_rows_from_yaml(path), RULES_SCHEMA)

@@ -185,3 +185,40 @@ def test_multipolygon_clip_area_and_holes(spark):
     assert out[2].area == pytest.approx(1.0 + 2.0 * 4.0) and len(out[2].polys) == 2
     assert (out[2].xmin, out[2].xmax, out[2].ymin, out[2].ymax) == (5.0, 10.0, 1.0, 6.0)
     assert out[4].area == pytest.approx(1.0) and len(out[4].polys) == 1
+
+
+def test_catalog_yaml_rules_and_join(spark):
+    from hydroframe.functions.units import apply_rules_join
+    d = tempfile.mkdtemp(prefix="hf-cat-", dir="/tmp")
+    path = os.path.join(d, "catalog.yml")
+    with open(path, "w") as f:
+        f.write("""
+demo_climate:
+  data_type: RasterDataset
+  path: demo.nc
+  rename:
+    t2m: temp
+  unit_add:
+    temp: -273.15
+    time: 86400
+  unit_mult:
+    precip: 1000
+demo_vector:
+  data_type: GeoDataFrame
+  nodata: -99
+demo_raster:
+  nodata:
+    elevtn: -9999
+""")
+    rows = {(r[0], r[1]): r[2:] for r in catalog.catalog_rule_rows_from_yaml(path)}
+    assert rows[("demo_climate", "t2m")] == ("temp", None, None, None)
+    assert rows[("demo_climate", "temp")] == (None, None, -273.15, None)
+    assert rows[("demo_climate", "time")][2] == 86400.0
+    assert rows[("demo_vector", "*")][3] == -99.0
+    assert rows[("demo_raster", "elevtn")][3] == -9999.0
+    rules = catalog.catalog_rules_from_yaml(spark, path)
+    long_df = spark.createDataFrame([("precip", 0.002), ("area", -99.0), ("area", 5.0)], "variable string, value double")
+    got = sorted((r.variable, r.value) for r in apply_rules_join(long_df, rules, "demo_climate").collect())
+    assert got == [("area", -99.0), ("area", 5.0), ("precip", pytest.approx(2.0))]
+    got = [r.value for r in apply_rules_join(long_df, rules, "demo_vector").collect() if r.variable == "area"]
+    assert sorted(got, key=lambda x: (x is not None, x or 0)) == [None, 5.0]   # -99 is the source nodata
