@@ -22,7 +22,7 @@ from hydroframe.params import WHOLE_DOMAIN_JOB, Extent, JobParams
 from hydroframe.plans import oracle as O
 from hydroframe.sources import fixtures as fx
 from hydroframe.sources import sinks, vector
-from hydroframe.sources.catalog import CLIMATE_VARIABLES
+from hydroframe.sources.catalog import CLIMATE_VARIABLES, rules_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, Callable[[], str]] = {}
@@ -271,15 +271,17 @@ def q_model_cell_forcing(spark, sf):
     daily = climate.to_daily(climate.hourly_long(spark, fx.obs_hourly(spark, sf), JOB), round_places=None)
     z = (climate.orography_hourly(fx.geopotential_hourly(spark, sf), JOB)
          .groupBy("lat", "lon").agg(F.avg("elevtn").alias("z_forcing")))
-    coarse = daily.join(z, ["lat", "lon"])
+    # One elevation per climate cell (bounded by the grid): a size-checked lookup join.
+    coarse = lookup.lookup_join(daily, z, ["lat", "lon"], how="inner")
     fine = (raster.raster_grid(fx.terrain_long(spark, sf), ["elevtn"], raster.nodata_map("merit_hydro_1k"))
             .filter(F.col("elevtn").isNotNull()))
     j = network.attach_coarse_cell(fine, coarse, COARSE["lat0"], COARSE["lon0"], COARSE["step"],
                                    ["day", "precip", "temp", "kin", "kout", "press_msl", "z_forcing"])
     tc = network.lapse_corrected_temp("temp", "elevtn", "z_forcing")
     out = j.select("cell", "day", "precip", tc.alias("temp_corr"), "press_msl", "kin", "kout")
-    pet = network.pet_debruin(F.col("temp_corr"), F.col("press_msl"), F.col("kout"),
-                              F.col("kin") * F.lit(0.000277778))
+    # kin stays in J/m² per hour for this source; the hourly catalog's factor gives W/m².
+    toa_w = F.col("kin") * F.lit(rules_for("era5_hourly")["kin"]["mult"])
+    pet = network.pet_debruin(F.col("temp_corr"), F.col("press_msl"), F.col("kout"), toa_w)
     return _round(out.select("cell", "day", "precip", "temp_corr", pet.alias("pet")),
                   ["precip", "temp_corr", "pet"])
 
