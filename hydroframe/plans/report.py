@@ -31,6 +31,34 @@ def summarize(plan: str) -> dict:
     }
 
 
+def stage_times(event_dir: str) -> list[dict]:
+    """Stage durations and task counts from Spark event logs written to ``event_dir``
+    (``spark.eventLog.dir``; plain or zstd-compressed, rolling or single files)."""
+    import glob
+    import io
+    import json
+    import os
+    files = [f for f in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)
+             if os.path.isfile(f) and os.path.basename(f).startswith(("events_", "local-", "app-"))]
+    out = []
+    for path in sorted(files):
+        raw = open(path, "rb").read()
+        if path.endswith(".zstd"):
+            import zstandard
+            raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)).read()
+        for line in raw.decode("utf-8", "replace").splitlines():
+            try:
+                e = json.loads(line)
+            except ValueError:
+                continue
+            if e.get("Event") == "SparkListenerStageCompleted":
+                si = e["Stage Info"]
+                out.append({"stage": si["Stage ID"], "name": si.get("Stage Name", ""),
+                            "tasks": si["Number of Tasks"],
+                            "ms": si.get("Completion Time", 0) - si.get("Submission Time", 0)})
+    return out
+
+
 def main(sf_dir: str = "/root/testdata/sf0.01") -> None:
     import os
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -49,4 +77,10 @@ def main(sf_dir: str = "/root/testdata/sf0.01") -> None:
 
 
 if __name__ == "__main__":
-    main(*sys.argv[1:])
+    if sys.argv[1:2] == ["--events"]:
+        stages = stage_times(sys.argv[2])
+        print(f"{len(stages)} stages, {sum(s['ms'] for s in stages)} ms in total; slowest:")
+        for st in sorted(stages, key=lambda x: -x["ms"])[:10]:
+            print(f"  stage {st['stage']:4d} {st['tasks']:5d} tasks {st['ms']:7d} ms  {st['name'][:60]}")
+    else:
+        main(*sys.argv[1:])

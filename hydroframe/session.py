@@ -22,6 +22,34 @@ CORE_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB class inputs), applied with ``apply_cluster_conf``
+# where the cluster has not set them: start with many shuffle partitions and let AQE
+# coalesce them to ~256 MB each; split files at 256 MB; split skewed join partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``CLUSTER_CONF`` for keys the cluster configuration does not set (defaults do
+    not count as set); ``overrides`` always apply."""
+    overrides = overrides or {}
+    explicit = spark.sparkContext.getConf()
+    for k, v in {**CLUSTER_CONF, **overrides}.items():
+        if k in overrides or not explicit.contains(k):
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # static conf: keep the cluster's value
+                pass
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "hydroframe") -> SparkSession:
     """Local session for tests and the bench; on a cluster use the cluster's session."""
@@ -34,6 +62,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage/task times for later reading, without the UI
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_core_conf(spark)

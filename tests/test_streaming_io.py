@@ -222,3 +222,18 @@ demo_raster:
     assert got == [("area", -99.0), ("area", 5.0), ("precip", pytest.approx(2.0))]
     got = [r.value for r in apply_rules_join(long_df, rules, "demo_vector").collect() if r.variable == "area"]
     assert sorted(got, key=lambda x: (x is not None, x or 0)) == [None, 5.0]   # -99 is the source nodata
+
+
+def test_cluster_conf_respects_explicit_settings(spark):
+    from hydroframe.session import CLUSTER_CONF, apply_cluster_conf
+    keys = list(CLUSTER_CONF) + ["spark.sql.shuffle.partitions"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        apply_cluster_conf(spark)
+        # set explicitly by the test session's builder: kept
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("256m", str(256 * 1024 * 1024))
+    finally:
+        for k, v in before.items():
+            if v is not None:
+                spark.conf.set(k, v)
