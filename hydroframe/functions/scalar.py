@@ -69,13 +69,19 @@ def replace_infinite(c, value: float) -> Column:
 
 
 def epoch_ms_to_timestamp(c) -> Column:
-    """Epoch milliseconds -> naive UTC timestamp."""
+    """Epoch milliseconds -> naive UTC timestamp (the session zone is UTC, see
+    ``session.CORE_CONF``; the LTZ -> NTZ cast reads wall time in that zone)."""
     return F.timestamp_millis(col(c)).cast("timestamp_ntz")
 
 
-def parse_date(c) -> Column:
-    """``YYYY-MM-DD`` text -> date (NULL when unreadable)."""
-    return F.expr(f"try_to_date({_sql(c)}, 'yyyy-MM-dd')") if isinstance(c, str) else F.to_date(c)
+def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
+    """``YYYY-MM-DD`` text -> date (NULL when unreadable, also in ANSI mode)."""
+    return F.call_function("try_to_date", col(c), F.lit(fmt))
+
+
+def parse_timestamp(c, fmt: str = ISO_SECONDS) -> Column:
+    """ISO ``…T%H:%M:%S`` text -> naive timestamp (NULL when unreadable)."""
+    return F.try_to_timestamp(col(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def iso_seconds(c) -> Column:

@@ -58,8 +58,12 @@ def select_region_period(df: DataFrame, ext: Extent, start: dt.date, end: dt.dat
 def clean_coordinates(df: DataFrame, lat_text: str = "lat_text", lon: str = "lon",
                       places: int = 5) -> DataFrame:
     """I1 + C6 + I2: text coordinates -> numbers, unreadable rows dropped, half-even round."""
-    return (df.withColumn("lat", round_half_even(to_number(lat_text), places))
-              .withColumn("lon", round_half_even(F.col(lon).cast("double"), places))
+    types = dict(df.dtypes)
+    # Text coordinates are coerced (bad text -> NULL); numeric ones only widened.
+    lat_v = to_number(lat_text) if types.get(lat_text) == "string" else F.col(lat_text).cast("double")
+    lon_v = to_number(lon) if types.get(lon) == "string" else F.col(lon).cast("double")
+    return (df.withColumn("lat", round_half_even(lat_v, places))
+              .withColumn("lon", round_half_even(lon_v, places))
               .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
               .drop(lat_text))
 

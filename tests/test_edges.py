@@ -446,3 +446,9 @@ def test_date_and_number_helpers(spark):
     assert r.hi == 300.0 and r.null_stays is None and r.nod is None and r.lin == 27.0
     days = [x.d for x in spark.range(1).select(scalar.day_range(D(2021, 2, 27), D(2021, 3, 2)).alias("d")).collect()]
     assert days == [D(2021, 2, 27), D(2021, 2, 28), D(2021, 3, 1), D(2021, 3, 2)]
+
+
+def test_parse_timestamp_and_bad_dates(spark):
+    df = spark.createDataFrame([("2021-03-05T06:07:08", "2021-13-40")], "t string, d string")
+    r = df.select(scalar.parse_timestamp("t").alias("ts"), scalar.parse_date(F.col("d")).alias("d")).first()
+    assert r.ts == dt.datetime(2021, 3, 5, 6, 7, 8) and r.d is None
