@@ -277,3 +277,14 @@ def day_gaps(long_df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return (cal.join(F.broadcast(per_day), "day", "left")
                .select("day", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                        F.when(F.col("n_rows").isNull(), "missing").otherwise("ok").alias("status")))
+
+
+def day_tally(gaps: DataFrame) -> DataFrame:
+    """The success/failure tally of a period and the absent days as one sorted
+    ``YYYY-MM-DD,…`` string (bounded by the number of days in the period)."""
+    missing = F.col("status") == "missing"
+    return gaps.agg(F.count("*").alias("n_days"),
+                    F.count_if(~missing).alias("n_ok"),
+                    F.count_if(missing).alias("n_missing"),
+                    F.concat_ws(",", F.array_sort(F.collect_list(
+                        F.when(missing, F.date_format("day", "yyyy-MM-dd"))))).alias("missing_days"))

@@ -491,3 +491,11 @@ t AS (SELECT *, CASE WHEN {outside} THEN 1{D} ELSE greatest(0{D}, {enter}) END A
 c AS (SELECT cell, x0 + t0 * dx AS px, y0 + t0 * dy AS py, x0 + t1 * dx AS qx, y0 + t1 * dy AS qy FROM t WHERE t0 < t1)
 SELECT cell, round(sqrt(pow(qx - px, 2) + pow(qy - py, 2)), 6) AS length,
   least(px, qx) AS xmin, greatest(px, qx) AS xmax, least(py, qy) AS ymin, greatest(py, qy) AS ymax FROM c"""
+
+
+def day_tally_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    return f"""WITH g AS ({day_gaps_sql(p)})
+SELECT count(*) AS n_days, count(*) FILTER (WHERE status = 'ok') AS n_ok,
+  count(*) FILTER (WHERE status = 'missing') AS n_missing,
+  coalesce(string_agg(strftime(day, '%Y-%m-%d'), ',' ORDER BY day) FILTER (WHERE status = 'missing'), '') AS missing_days
+FROM g"""

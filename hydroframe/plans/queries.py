@@ -102,6 +102,12 @@ def q_day_gaps(spark, sf):
                             JOB.start_date, JOB.end_date)
 
 
+@register("climate_day_tally", lambda: O.day_tally_sql(JOB))
+def q_day_tally(spark, sf):
+    """Days with data vs absent days over the period, and which days are absent."""
+    return climate.day_tally(q_day_gaps(spark, sf))
+
+
 # --- water bodies ------------------------------------------------------------------------
 
 @register("dam_height", O.dam_height_sql)
