@@ -55,9 +55,11 @@ def read_stations(spark: SparkSession, path: str, schema: T.StructType = STATION
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def write_back_check(spark: SparkSession, path: str, range_cols: list[str]) -> DataFrame:
-    """Re-read what was written, count it and report min/max of some columns."""
-    back = spark.read.parquet(path)
+def write_back_check(spark: SparkSession, path: str, range_cols: list[str],
+                     schema: T.StructType | None = None) -> DataFrame:
+    """Re-read what was written, count it and report min/max of some columns. Pass the
+    written schema to check outputs that may be empty (no data files to infer from)."""
+    back = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     aggs = [F.count("*").alias("n_rows")]
     for c in range_cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]

@@ -237,3 +237,28 @@ def test_cluster_conf_respects_explicit_settings(spark):
         for k, v in before.items():
             if v is not None:
                 spark.conf.set(k, v)
+
+
+def test_build_model_inputs_writes_every_output(spark):
+    import datetime as _dt
+    from hydroframe.params import JobParams
+    from hydroframe.plans.job import JobInputs, build_model_inputs
+    out = os.path.join(tempfile.mkdtemp(prefix="hf-job-", dir="/tmp"), "job")
+    params = JobParams.of([84, 25, 96, 40], "1995-01-01", "2001-08-01", climate_buffer=0.0)
+    inputs = JobInputs(hourly_obs=fx.obs_hourly(spark, SF_SMALL),
+                       geopotential=fx.geopotential_hourly(spark, SF_SMALL),
+                       waterbodies=fx.waterbodies(spark, SF_SMALL),
+                       glaciers=fx.waterbodies(spark, SF_SMALL),
+                       terrain_long=fx.terrain_long(spark, SF_SMALL),
+                       soil_wide=fx.soil_wide(spark, SF_SMALL),
+                       lai_pixels=fx.lai_images(spark, SF_SMALL))
+    manifest = build_model_inputs(spark, inputs, params, out)
+    assert set(manifest) == {"reservoirs", "lakes", "glaciers", "terrain", "soil", "lai_slots", "lai",
+                             "forcing", "orography", "stations", "chunks", "catalog_rules"}
+    assert manifest["lai_slots"]["rows"] == 12
+    assert manifest["stations"]["rows"] == 0
+    assert manifest["chunks"]["rows"] == 27          # 1995-01 .. 2001-08 in 3-month chunks
+    assert manifest["reservoirs"]["rows"] == manifest["lakes"]["rows"] > 0
+    # climate is Jan 2024, outside this job's period: the forcing output is empty but written
+    assert manifest["forcing"]["rows"] == 0
+    assert set(spark.read.parquet(manifest["terrain"]["path"]).columns) >= {"cell", "elevtn", "flwdir"}
