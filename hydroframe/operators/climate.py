@@ -49,10 +49,15 @@ def half_open_period(start: dt.date, end: dt.date, time_col: str = "time") -> Co
 def select_region_period(df: DataFrame, ext: Extent, start: dt.date, end: dt.date) -> DataFrame:
     """The server-side part of a fetch: rows of the region and the day range.
 
-    Both predicates are on raw scan columns, so on a ``day``-partitioned table the period
-    prunes partitions and the box reaches the parquet reader as pushed filters.
+    Both predicates are on raw scan columns, so the box reaches the parquet reader as pushed
+    filters. On a table partitioned by ``day`` (the date of ``time``) the same period is also
+    stated on ``day``: Spark does not derive a partition filter from a ``time`` predicate,
+    and with it only the partitions of the period are listed and read.
     """
-    return df.filter(point_in_extent(ext, "lat", "lon") & climate_period(start, end))
+    cond = point_in_extent(ext, "lat", "lon") & climate_period(start, end)
+    if "day" in df.columns:
+        cond = cond & F.col("day").between(F.lit(start), F.lit(end))
+    return df.filter(cond)
 
 
 def clean_coordinates(df: DataFrame, lat_text: str = "lat_text", lon: str = "lon",

@@ -38,7 +38,9 @@ def upsert_days(spark: SparkSession, source_dir: str, sink_dir: str, params: Job
         if not days:
             return
         full = spark.read.schema(schema).parquet(source_dir)
-        touched = full.filter(F.to_date("time").isin(days))
+        # On a day-partitioned source the day predicate prunes the listing to these days.
+        day_key = F.col("day") if "day" in full.columns else F.to_date("time")
+        touched = full.filter(day_key.isin(days))
         out = daily_forcing(spark, touched, params, source)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("day").parquet(sink_dir))

@@ -262,3 +262,17 @@ def test_build_model_inputs_writes_every_output(spark):
     # climate is Jan 2024, outside this job's period: the forcing output is empty but written
     assert manifest["forcing"]["rows"] == 0
     assert set(spark.read.parquet(manifest["terrain"]["path"]).columns) >= {"cell", "elevtn", "flwdir"}
+
+
+def test_day_partitions_are_pruned(spark):
+    from hydroframe.params import JobParams
+    path = os.path.join(tempfile.mkdtemp(prefix="hf-part-", dir="/tmp"), "obs")
+    obs = fx.obs_hourly(spark, SF_SMALL)
+    obs.withColumn("day", F.to_date("time")).write.partitionBy("day").parquet(path)
+    part = spark.read.parquet(path)
+    p = JobParams.of([80, 20, 100, 70], "2024-01-05", "2024-01-07", climate_buffer=0)
+    q = climate.daily_forcing(spark, part, p)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
+    want = climate.daily_forcing(spark, obs, p)
+    assert _rows(q) == _rows(want.select(*q.columns))
