@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hydroframe.functions.scalar import nan_to_null
 from hydroframe.operators.waterbody import first_existing
 
 # FIXED VALUES: discharge variable names tried in order.
@@ -22,9 +23,11 @@ def discharge_variable(df: DataFrame) -> str | None:
 
 
 def result_cube(df: DataFrame, value_col: str | None = None) -> DataFrame:
-    """One value per ``(time, lat, lon)``; repeated keys keep the largest value."""
+    """One value per ``(time, lat, lon)``; repeated keys keep the largest value.
+    NaN counts as missing (Spark orders NaN above every number, the series statistics
+    must ignore it like a missing step)."""
     v = value_col or discharge_variable(df)
-    return df.groupBy("time", "lat", "lon").agg(F.max(v).alias("discharge"))
+    return df.groupBy("time", "lat", "lon").agg(F.max(nan_to_null(F.col(v).cast("double"))).alias("discharge"))
 
 
 def nearest_axis_value(cube: DataFrame, axis: str, target: float) -> DataFrame:

@@ -452,3 +452,11 @@ def test_parse_timestamp_and_bad_dates(spark):
     df = spark.createDataFrame([("2021-03-05T06:07:08", "2021-13-40")], "t string, d string")
     r = df.select(scalar.parse_timestamp("t").alias("ts"), scalar.parse_date(F.col("d")).alias("d")).first()
     assert r.ts == dt.datetime(2021, 3, 5, 6, 7, 8) and r.d is None
+
+
+def test_discharge_nan_is_missing(spark):
+    t = [dt.datetime(2020, 1, d) for d in (1, 2)]
+    raw = spark.createDataFrame([(t[0], 1.0, 10.0, float("nan")), (t[0], 1.0, 10.0, 3.0), (t[1], 1.0, 10.0, float("nan"))],
+                                "time timestamp_ntz, lat double, lon double, Q double")
+    s = discharge.outlet_series(discharge.result_cube(raw), lon=10.0, lat=1.0).orderBy("time").collect()
+    assert [r.discharge for r in s] == [3.0, None]
