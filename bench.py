@@ -33,6 +33,7 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in names:
         fn = Q.queries()[name]
+        spark.sparkContext.setJobDescription(name)  # attributes stages in the event log
         t0 = time.perf_counter()
         fn(spark, sf_dir).write.mode("overwrite").format("noop").save()
         times[name] = round(time.perf_counter() - t0, 3)

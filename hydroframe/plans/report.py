@@ -41,6 +41,7 @@ def stage_times(event_dir: str) -> list[dict]:
     files = [f for f in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)
              if os.path.isfile(f) and os.path.basename(f).startswith(("events_", "local-", "app-"))]
     out = []
+    desc: dict[int, str] = {}
     for path in sorted(files):
         raw = open(path, "rb").read()
         if path.endswith(".zstd"):
@@ -51,9 +52,13 @@ def stage_times(event_dir: str) -> list[dict]:
                 e = json.loads(line)
             except ValueError:
                 continue
+            if e.get("Event") == "SparkListenerStageSubmitted":
+                props = e.get("Properties") or {}
+                desc[e["Stage Info"]["Stage ID"]] = props.get("spark.job.description", "")
             if e.get("Event") == "SparkListenerStageCompleted":
                 si = e["Stage Info"]
                 out.append({"stage": si["Stage ID"], "name": si.get("Stage Name", ""),
+                            "query": desc.get(si["Stage ID"], ""),
                             "tasks": si["Number of Tasks"],
                             "ms": si.get("Completion Time", 0) - si.get("Submission Time", 0)})
     return out
@@ -81,6 +86,11 @@ if __name__ == "__main__":
         stages = stage_times(sys.argv[2])
         print(f"{len(stages)} stages, {sum(s['ms'] for s in stages)} ms in total; slowest:")
         for st in sorted(stages, key=lambda x: -x["ms"])[:10]:
-            print(f"  stage {st['stage']:4d} {st['tasks']:5d} tasks {st['ms']:7d} ms  {st['name'][:60]}")
+            print(f"  stage {st['stage']:4d} {st['tasks']:5d} tasks {st['ms']:7d} ms  "
+                  f"{st['query'][:28]:28s} {st['name'][:40]}")
+        per_query: dict[str, int] = {}
+        for st in stages:
+            per_query[st["query"]] = per_query.get(st["query"], 0) + st["ms"]
+        print("stage time per query (ms):", dict(sorted(per_query.items(), key=lambda kv: -kv[1])[:12]))
     else:
         main(*sys.argv[1:])

@@ -98,8 +98,9 @@ def polygons_in_extent(df: DataFrame, ext: Extent, polys: str = "polys") -> Data
     summed over polygons) and the clipped bbox.
 
     The per-feature work is one expression evaluated once per row: a 0-or-1 element
-    array that ``inline`` expands. A filter on derived columns would be pushed below the
-    projection and re-evaluate the clip for every reference.
+    array that ``inline_outer`` expands, then a filter on a generated column. A filter on
+    derived columns (or the size filter Catalyst infers for a plain ``inline``) would be
+    pushed below the projection and re-evaluate the clip.
     """
     def per_feature(ps):
         box = rings_bbox_sql(f"flatten({ps})")
@@ -129,7 +130,9 @@ def polygons_in_extent(df: DataFrame, ext: Extent, polys: str = "polys") -> Data
 
     others = [c for c in df.columns if c != polys]
     kept = df.select(*others, F.expr(f"coalesce({let(polys, per_feature)}, array())").alias("_g"))
-    out = kept.select(*others, F.inline("_g"))
+    # inline_outer + a filter on a generated column: with plain inline, Catalyst infers
+    # size(_g) > 0 and pushes it down to the scan, evaluating the clip a second time there.
+    out = kept.select(*others, F.inline_outer("_g")).filter(F.col("area").isNotNull())
     return out.select(*others, polys, "area", *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
 
 
@@ -203,6 +206,6 @@ def lines_in_extent(df: DataFrame, ext: Extent, lines: str = "lines") -> DataFra
 
     others = [c for c in df.columns if c != lines]
     kept = df.select(*others, F.expr(f"coalesce({let(lines, per_feature)}, array())").alias("_g"))
-    out = kept.select(*others, F.inline("_g"))
+    out = kept.select(*others, F.inline_outer("_g")).filter(F.col("length").isNotNull())
     return out.select(*others, lines, "length",
                       *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
