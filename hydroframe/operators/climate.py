@@ -17,6 +17,7 @@ from hydroframe.functions.geometry import point_in_extent
 from hydroframe.functions.scalar import is_present, round_half_even, to_number
 from hydroframe.functions.units import apply_rules_join
 from hydroframe.params import Extent, JobParams
+from hydroframe.session import ensure_checkpoint_dir
 from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VARIABLES,
                                         GRAVITY, catalog_rules, rules_for)
 
@@ -238,30 +239,46 @@ def _indexed_axis(axis: DataFrame, name: str) -> DataFrame:
     return axis.select(name, (F.row_number().over(Window.orderBy(name)) - 1).alias(f"{name}_i"))
 
 
+def axis_table(axes_source: DataFrame, axes: tuple[str, ...] = ("time", "lat", "lon")) -> DataFrame:
+    """D3/D4 in one pass: the distinct values of every axis as ``(axis, <one column per
+    axis>)`` rows, from a single scan and a single exchange (partial distinct map-side).
+    Its size is bounded by the grid and the period, not by the number of observations."""
+    types = dict(axes_source.dtypes)
+    fields = [F.struct(F.lit(a).alias("axis"),
+                       *[(F.col(b) if b == a else F.lit(None).cast(types[b])).alias(b) for b in axes])
+              for a in axes]
+    return axes_source.select(F.explode(F.array(*fields)).alias("_a")).select("_a.*").distinct()
+
+
 def densify(axes_source: DataFrame, values: DataFrame | None = None,
             value_cols: list[str] = (), partitions: int | None = None) -> DataFrame:
     """Scatter observed values into the dense ``time x lat x lon`` cube.
 
-    The axes are the distinct observed times, lats and lons of ``axes_source`` (Q3/Q4).
-    The dense index space is generated by ``spark.range`` (split over tasks, no single
-    task holds it) and decomposed into axis positions; the axes are attached by equi-joins
-    on position (AQE broadcasts them when their runtime size is small) and the values, one
-    row per ``(time, lat, lon)``, by a left equi-join. Never-observed points come out NULL.
+    The axes are the distinct observed times, lats and lons of ``axes_source`` (Q3/Q4),
+    taken in one pass over the source and checkpointed (a small table). The dense index
+    space is generated by ``spark.range`` (split over tasks, no single task holds it) and
+    decomposed into axis positions; the axes, whose counts are then known, are broadcast
+    when small and equi-joined on position, and the values (one row per
+    ``(time, lat, lon)``) are attached by a left equi-join. Never-observed points are NULL.
     """
     spark = axes_source.sparkSession
-    t = _indexed_axis(axes_source.select("time").distinct(), "time")
-    la = _indexed_axis(axes_source.select("lat").distinct(), "lat")
-    lo = _indexed_axis(axes_source.select("lon").distinct(), "lon")
-    n_t, n_la, n_lo = t.count(), la.count(), lo.count()
-    # The counts are known, so the broadcast of each axis is a checked decision.
-    t, la, lo = (F.broadcast(a) if n <= AXIS_BROADCAST_MAX_ROWS else a
-                 for a, n in ((t, n_t), (la, n_la), (lo, n_lo)))
+    ensure_checkpoint_dir(spark)
+    axes = axis_table(axes_source).checkpoint(eager=True)
+    counts = {r["axis"]: r["n"] for r in axes.groupBy("axis").agg(F.count("*").alias("n")).collect()}
+    n_t, n_la, n_lo = (counts.get(a, 0) for a in ("time", "lat", "lon"))
+
+    def indexed(name: str, n: int) -> DataFrame:
+        a = _indexed_axis(axes.filter(F.col("axis") == name).select(name), name)
+        # The count is known, so the broadcast of each axis is a checked decision.
+        return F.broadcast(a) if n <= AXIS_BROADCAST_MAX_ROWS else a
+
+    t, la, lo = indexed("time", n_t), indexed("lat", n_la), indexed("lon", n_lo)
     total = n_t * n_la * n_lo
     idx = spark.range(0, total, numPartitions=partitions) if partitions else spark.range(0, total)
     per_time = n_la * n_lo
     grid = (idx.select((F.col("id") / F.lit(per_time)).cast("bigint").alias("time_i"),
-                       ((F.col("id") % F.lit(per_time)) / F.lit(n_lo)).cast("bigint").alias("lat_i"),
-                       (F.col("id") % F.lit(n_lo)).alias("lon_i"))
+                       ((F.col("id") % F.lit(per_time)) / F.lit(max(n_lo, 1))).cast("bigint").alias("lat_i"),
+                       (F.col("id") % F.lit(max(n_lo, 1))).alias("lon_i"))
                 .join(t, "time_i").join(la, "lat_i").join(lo, "lon_i")
                 .select("time", "lat", "lon"))
     if values is None:
