@@ -1,8 +1,9 @@
 """Reading discharge results at an outlet.
 
 The cube is long ``(time, lat, lon, value)``. The nearest cell is found per axis with one
-partial aggregate each (``min_by`` over distances, ties to the first = smallest coordinate
-of the sorted axis), and the series is the time axis left-joined to that single cell.
+partial aggregate (``min_by`` over distances, ties to the first = smallest coordinate of the
+sorted axis), and the series is one ``groupBy(time)`` keeping the chosen cell's value: two
+passes over the result rows in all.
 """
 
 from __future__ import annotations
@@ -38,24 +39,32 @@ def nearest_axis_value(cube: DataFrame, axis: str, target: float) -> DataFrame:
         F.min_by(c, F.struct(F.abs(c - F.lit(target)), c)).alias(axis))
 
 
-def nearest_cell(cube: DataFrame, lon: float, lat: float) -> tuple[float, float]:
-    """Nearest ``(lat, lon)``; lat and lon are chosen separately. Returns two scalars."""
-    la = nearest_axis_value(cube, "lat", lat).first()["lat"]
-    lo = nearest_axis_value(cube, "lon", lon).first()["lon"]
-    return la, lo
-
-
-def outlet_series(cube: DataFrame, lon: float, lat: float) -> DataFrame:
-    """E4 + F10: the whole time axis at the chosen cell (missing steps stay NULL), with the
-    cell's coordinates as constant columns."""
-    cell_lat, cell_lon = nearest_cell(cube, lon, lat)
-    at_cell = (cube.filter((F.col("lat") == F.lit(cell_lat)) & (F.col("lon") == F.lit(cell_lon)))
-                   .select("time", "discharge"))
-    times = cube.select("time").distinct()
-    return (times.join(at_cell, "time", "left")
-                 .select("time", "discharge",
-                         F.lit(cell_lon).cast("double").alias("longitude"),
-                         F.lit(cell_lat).cast("double").alias("latitude")))
+def nearest_cell(df: DataFrame, lon: float, lat: float) -> tuple[float, float]:
+    """Nearest ``(lat, lon)``, each axis chosen separately, ties to the smaller value
+    (the first index of the ascending axis). One partial aggregate over the rows gives
+    both (``min_by`` over all rows equals ``min_by`` over the distinct axis values)."""
+    la, lo = F.col("lat"), F.col("lon")
+    r = df.agg(F.min_by(la, F.struct(F.abs(la - F.lit(lat)), la)).alias("lat"),
+               F.min_by(lo, F.struct(F.abs(lo - F.lit(lon)), lo)).alias("lon")).first()
+    return r["lat"], r["lon"]
+
+
+def outlet_series(df: DataFrame, lon: float, lat: float, value_col: str = "discharge") -> DataFrame:
+    """E4 + F10 (+ A20): the whole time axis with the value at the chosen cell (missing steps
+    NULL) and the cell's coordinates as constant columns.
+
+    Works on the cube or directly on raw result rows: one ``groupBy(time)`` whose value is
+    the max over the chosen cell's rows (repeated keys keep the largest, NaN is missing),
+    so every time of the table appears and only one pass over the rows is needed, with a
+    partial aggregate before the exchange.
+    """
+    cell_lat, cell_lon = nearest_cell(df, lon, lat)
+    at = (F.col("lat") == F.lit(cell_lat)) & (F.col("lon") == F.lit(cell_lon))
+    v = nan_to_null(F.col(value_col).cast("double"))
+    return (df.groupBy("time").agg(F.max(F.when(at, v)).alias("discharge"))
+              .select("time", "discharge",
+                      F.lit(cell_lon).cast("double").alias("longitude"),
+                      F.lit(cell_lat).cast("double").alias("latitude")))
 
 
 def series_stats(series: DataFrame, value: str = "discharge") -> DataFrame:

@@ -244,8 +244,8 @@ def q_chunk_rollup(spark, sf):
 @register("outlet_series", lambda: O.outlet_series_sql(JOB.outlet_lon, JOB.outlet_lat))
 def q_outlet_series(spark, sf):
     """K5 + E3 + E4 + F10: the discharge series at the cell nearest the outlet."""
-    cube = discharge.result_cube(fx.discharge(spark, sf))
-    return discharge.outlet_series(cube, JOB.outlet_lon, JOB.outlet_lat)
+    raw = fx.discharge(spark, sf)
+    return discharge.outlet_series(raw, JOB.outlet_lon, JOB.outlet_lat, discharge.discharge_variable(raw))
 
 
 @register("outlet_stats", lambda: O.outlet_stats_sql(JOB.outlet_lon, JOB.outlet_lat))

@@ -460,3 +460,6 @@ def test_discharge_nan_is_missing(spark):
                                 "time timestamp_ntz, lat double, lon double, Q double")
     s = discharge.outlet_series(discharge.result_cube(raw), lon=10.0, lat=1.0).orderBy("time").collect()
     assert [r.discharge for r in s] == [3.0, None]
+    # straight from the raw rows (duplicates and NaN handled by the same max)
+    s = discharge.outlet_series(raw, lon=10.0, lat=1.0, value_col="Q").orderBy("time").collect()
+    assert [r.discharge for r in s] == [3.0, None]
