@@ -219,13 +219,19 @@ def cube_axes(long_df: DataFrame) -> dict[str, DataFrame]:
 
 
 def cube_shape(long_df: DataFrame) -> DataFrame:
-    """D13 (+D2): per-axis counts, dense size and observed cells, in one aggregate."""
-    agg = long_df.agg(
+    """D13 (+D2): per-axis counts, dense size and observed cells, in one aggregate.
+
+    The distinct ``(time, lat, lon)`` points are taken first (one partial-aggregated
+    exchange); the remaining distinct counts run over those points, so Spark's expansion for
+    several distinct aggregates copies points, not every observation row.
+    """
+    pts = long_df.select("time", "lat", "lon").distinct()
+    agg = pts.agg(
         F.count_distinct("time").alias("n_time"),
         F.count_distinct("lat").alias("n_lat"),
         F.count_distinct("lon").alias("n_lon"),
         F.count_distinct("lat", "lon").alias("n_cells_observed"),
-        F.count_distinct("time", "lat", "lon").alias("n_points_observed"),
+        F.count("*").alias("n_points_observed"),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
     )
