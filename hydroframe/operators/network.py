@@ -4,10 +4,11 @@ L1: the upstream set of an outlet in a D8 network, by pointer doubling. The outl
 absorbing (it points to itself), every other cell points downstream. Each round replaces
 a pointer by the pointer of its target, so after r rounds a cell has jumped 2^r steps; a cell
 is upstream exactly when its final pointer is the outlet. Doubling steps grow with log2 of
-the longest river and each is one equi-join; every two steps the lineage is cut with a
-reliable checkpoint in ``spark.checkpoint.dir`` (so a lost executor recomputes two joins, not
-the whole chain) and one count checks convergence. Hot targets (many cells pointing at one
-cell near the outlet) are split by AQE's skew-join rule.
+the longest river and each is one equi-join of the still-active cells; every two steps the
+lineage is cut with a reliable checkpoint in ``spark.checkpoint.dir`` (so a lost executor
+recomputes two joins, not the whole chain) and one count checks convergence. Finished cells
+leave the join, so the outlet and terminal cells (the hottest keys) never enter it; a hot
+target inside the network is split by AQE's skew-join rule.
 """
 
 from __future__ import annotations
@@ -37,32 +38,47 @@ def upstream_cells(cells: DataFrame, outlet: int, max_rounds: int = 64,
                    steps_per_round: int = 2) -> DataFrame:
     """L1: all cells whose downstream path reaches ``outlet`` (the outlet included).
 
-    Each round applies ``steps_per_round`` doubling steps (pointers jump 4x per round with
-    the default), then writes a reliable checkpoint and counts changed pointers once.
+    Cells whose pointer can no longer change are marked ``done`` (it points at the outlet,
+    outside the table, or at a finished cell) and stay out of the join: the hottest join
+    keys (the outlet, the network's terminal cells) never enter it, and each round only
+    moves the cells still travelling. Each round applies ``steps_per_round`` doubling steps,
+    then writes a reliable checkpoint and checks once whether any cell is still active.
     """
     spark = cells.sparkSession
     ensure_checkpoint_dir(spark)
-    ptr = cells.select("cell", F.when(F.col("cell") == F.lit(outlet), F.col("cell"))
-                       .otherwise(F.col("next_cell")).alias("ptr"))
-    ptr = ptr.checkpoint(eager=True)
+    is_outlet = F.col("cell") == F.lit(outlet)
+    ptr = cells.select("cell", F.when(is_outlet, F.col("cell")).otherwise(F.col("next_cell")).alias("ptr"))
+    ptr = ptr.withColumn("done", F.col("ptr") == F.lit(outlet)).checkpoint(eager=True)
     for _ in range(max_rounds):
-        cur = ptr.select("cell", "ptr", F.col("ptr").alias("_start"))
-        for _ in range(steps_per_round):
-            nxt = ptr_lookup(cur)
-            cur = (cur.join(nxt, cur["ptr"] == nxt["_t"], "left")
-                      .select("cell", F.coalesce("_tp", "ptr").alias("ptr"), "_start"))
+        cur, held = ptr, []
+        for step in range(steps_per_round):
+            cur = _double(cur, outlet)
+            if step < steps_per_round - 1:
+                # read three times by the next step (finished, active, lookup): keep it
+                # (memory and disk); a lost block is recomputed from the last checkpoint
+                cur = cur.persist()
+                held.append(cur)
         cur = cur.checkpoint(eager=True)
-        changed = cur.filter(F.col("ptr") != F.col("_start")).limit(1).count()
-        ptr = cur.select("cell", "ptr")
-        if changed == 0:
+        for h in held:
+            h.unpersist()
+        ptr = cur
+        if cur.filter(~F.col("done")).limit(1).count() == 0:
             break
     keep = ptr.filter(F.col("ptr") == F.lit(outlet)).select("cell")
     return cells.join(keep, "cell", "left_semi")
 
 
-def ptr_lookup(ptr: DataFrame) -> DataFrame:
-    """The pointer table as a lookup side ``(_t -> _tp)`` (one row per cell)."""
-    return ptr.select(F.col("cell").alias("_t"), F.col("ptr").alias("_tp"))
+def _double(ptr: DataFrame, outlet: int) -> DataFrame:
+    """One doubling step for the active cells: ``ptr <- ptr(ptr)``; finished cells pass."""
+    lookup = ptr.select(F.col("cell").alias("_t"), F.col("ptr").alias("_tp"), F.col("done").alias("_td"))
+    active = ptr.filter(~F.col("done"))
+    stepped = (active.join(lookup, active["ptr"] == lookup["_t"], "left")
+                     .select("cell",
+                             F.coalesce("_tp", "ptr").alias("ptr"),
+                             # off the table, onto a finished cell, or onto the outlet: final
+                             (F.col("_t").isNull() | F.col("_td")
+                              | (F.coalesce("_tp", "ptr") == F.lit(outlet))).alias("done")))
+    return ptr.filter(F.col("done")).unionByName(stepped)
 
 
 def river_cells(cells: DataFrame, min_uparea: float = RIVER_MIN_UPAREA) -> DataFrame:
