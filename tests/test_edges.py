@@ -463,3 +463,19 @@ def test_discharge_nan_is_missing(spark):
     # straight from the raw rows (duplicates and NaN handled by the same max)
     s = discharge.outlet_series(raw, lon=10.0, lat=1.0, value_col="Q").orderBy("time").collect()
     assert [r.discharge for r in s] == [3.0, None]
+
+
+def test_upstream_hot_outlet_and_long_chain(spark):
+    # a third of the cells drain straight into the outlet (a hot key), a long chain of 300
+    # cells ends in it too, and a separate basin drains elsewhere
+    outlet = 10_000
+    edges = {outlet: outlet + 1}
+    edges.update({c: outlet for c in range(0, 300)})                 # hot: direct to outlet
+    edges.update({c: c + 1 for c in range(1000, 1299)})              # chain 1000 -> ... -> 1299
+    edges[1299] = outlet
+    edges.update({c: c + 1 for c in range(2000, 2300)})              # other basin, never reaches
+    cells = spark.createDataFrame([(c, 0, 0, n, 7, 1.0) for c, n in edges.items()],
+                                  "cell long, x long, y long, next_cell long, strord int, uparea double")
+    got = {r.cell for r in network.upstream_cells(cells, outlet).collect()}
+    assert got == _brute_upstream(edges, outlet)
+    assert len(got) == 1 + 300 + 300
