@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hydroframe.operators.lookup import lookup_join
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's image selection).
@@ -100,8 +99,9 @@ def fallback_images(targets: DataFrame, days: DataFrame, target_col: str = "targ
     offs = F.sequence(F.lit(-FALLBACK_BEFORE_DAYS), F.lit(FALLBACK_AFTER_DAYS - 1))
     cand = targets.select(target_col, F.explode(offs).alias("off")) \
         .withColumn("cand_day", F.date_add(F.col(target_col), F.col("off")))
-    # Image days: one row per calendar day at most; broadcast after the bounded size check.
-    hits = lookup_join(cand, days.select(F.col("time").alias("cand_day")), "cand_day", how="inner")
+    # Image days: at most one row per calendar day of the archive (366 a year), a proven
+    # bound, so the side is broadcast without a counting job.
+    hits = cand.join(F.broadcast(days.select(F.col("time").alias("cand_day"))), "cand_day")
     per_target = hits.groupBy(target_col).agg(
         F.max((F.col("off") == 0).cast("int")).alias("_exact"),
         F.min("cand_day").alias("_first"))

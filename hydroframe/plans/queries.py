@@ -277,8 +277,10 @@ def q_model_cell_forcing(spark, sf):
     daily = climate.to_daily(climate.hourly_long(spark, fx.obs_hourly(spark, sf), JOB), round_places=None)
     z = (climate.orography_hourly(fx.geopotential_hourly(spark, sf), JOB)
          .groupBy("lat", "lon").agg(F.avg("elevtn").alias("z_forcing")))
-    # One elevation per climate cell (bounded by the grid): a size-checked lookup join.
-    coarse = lookup.lookup_join(daily, z, ["lat", "lon"], how="inner")
+    # One elevation per climate cell: its size follows the climate grid, so AQE decides from
+    # the measured size at run time (broadcast when small, sort-merge otherwise) rather than
+    # an extra job evaluating it for a check.
+    coarse = daily.join(z, ["lat", "lon"])
     fine = (raster.raster_grid(fx.terrain_long(spark, sf), ["elevtn"], raster.nodata_map("merit_hydro_1k"))
             .filter(F.col("elevtn").isNotNull()))
     j = network.attach_coarse_cell(fine, coarse, COARSE["lat0"], COARSE["lon0"], COARSE["step"],
