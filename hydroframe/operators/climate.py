@@ -316,3 +316,9 @@ def day_tally(gaps: DataFrame) -> DataFrame:
                     F.count_if(missing).alias("n_missing"),
                     F.concat_ws(",", F.array_sort(F.collect_list(
                         F.when(missing, F.date_format("day", "yyyy-MM-dd"))))).alias("missing_days"))
+
+
+def observed_coordinates(rows: DataFrame) -> DataFrame:
+    """J1 + J3 + D2: the coordinate pairs of all days, concatenated and de-duplicated (one
+    partial-aggregated exchange; every row of a coordinate counts, with or without value)."""
+    return rows.select("lat", "lon").dropDuplicates(["lat", "lon"])

@@ -499,3 +499,8 @@ SELECT count(*) AS n_days, count(*) FILTER (WHERE status = 'ok') AS n_ok,
   count(*) FILTER (WHERE status = 'missing') AS n_missing,
   coalesce(string_agg(strftime(day, '%Y-%m-%d'), ',' ORDER BY day) FILTER (WHERE status = 'missing'), '') AS missing_days
 FROM g"""
+
+
+def climate_coordinates_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    return f"""WITH {climate_rows_sql(p)}
+SELECT DISTINCT lat, lon FROM rows"""

@@ -86,6 +86,12 @@ def q_cube_shape(spark, sf):
     return climate.cube_shape(_climate_rows(spark, sf))
 
 
+@register("climate_coordinates", lambda: O.climate_coordinates_sql(JOB))
+def q_climate_coordinates(spark, sf):
+    """J1 + J3 + D2: distinct coordinate pairs over all days of the period."""
+    return climate.observed_coordinates(_climate_rows(spark, sf))
+
+
 @register("climate_dense_cube", lambda: O.dense_cube_sql(JOB))
 def q_dense_cube(spark, sf):
     """E2 + F2 + Q4: all five variables scattered into the dense time x lat x lon cube."""
