@@ -42,16 +42,17 @@ CATALOG_RULES_FIXED = [
     ("modis_lai", "LAI", None, 0.1, None, None),
     ("hydro_lakes", "Area_avg", None, 1000000.0, None, None),
     ("hydro_reservoirs", "*", None, None, None, -99.0),
+    ("koppen_geiger", "koppen_geiger", None, None, None, 0.0),
+    ("gcn250", "*", None, None, None, 255.0),
+    ("grwl_mask", "*", None, None, None, 0.0),
+    ("gswo", "*", None, None, None, 255.0),
+    # nodata codes the raster fetch writes (not in the catalog file itself)
     ("merit_hydro_1k", "elevtn", None, None, None, -9999.0),
     ("merit_hydro_1k", "uparea", None, None, None, -9999.0),
     ("merit_hydro_1k", "strord", None, None, None, 255.0),
     ("merit_hydro_1k", "flwdir", None, None, None, 247.0),
     ("globcover", "globcover", None, None, None, 0.0),
     ("chelsa", "chelsa", None, None, None, -32767.0),
-    ("koppen_geiger", "koppen_geiger", None, None, None, 0.0),
-    ("gcn250", "*", None, None, None, 255.0),
-    ("grwl_mask", "*", None, None, None, 0.0),
-    ("gswo", "*", None, None, None, 255.0),
 ]
 
 # Nodata code the climate-class fetch writes (the catalog says 0 instead; Q13).
