@@ -29,13 +29,37 @@ def feature_schema(properties: T.StructType) -> T.StructType:
     ])
 
 
-def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
-    """A FeatureCollection file -> one row per feature (``properties.*`` + geometry)."""
-    doc = spark.read.option("multiLine", True).json(path)
+def read_feature_collection(spark: SparkSession, path: str,
+                            properties: T.StructType | None = None) -> DataFrame:
+    """FeatureCollection files -> one row per feature (``properties.*`` + geometry).
+
+    With ``properties`` given the read needs no schema-inference pass over the files, and
+    the geometry keeps its coordinates as raw JSON text (``polygons_of`` turns Polygon and
+    MultiPolygon geometry into ``polys``); without it the schema is inferred. Each file is
+    one document (one task); many files are read in parallel.
+    """
+    reader = spark.read.option("multiLine", True)
+    if properties is not None:
+        feat = T.StructType([T.StructField("type", T.StringType()),
+                             T.StructField("properties", properties),
+                             T.StructField("geometry", POLYGON_GEOMETRY)])
+        reader = reader.schema(T.StructType([T.StructField("type", T.StringType()),
+                                             T.StructField("features", T.ArrayType(feat))]))
+    doc = reader.json(path)
     return (doc.select(F.explode("features").alias("f"))
                .select("f.properties.*", F.col("f.geometry").alias("geometry")))
 
 
+def polygons_of(geometry: str = "geometry") -> Column:
+    """Polygon / MultiPolygon geometry with raw coordinates text -> ``polys``."""
+    ring = open_ring_sql("rr")
+    return F.expr(
+        f"CASE {geometry}.type "
+        f"WHEN 'Polygon' THEN array(transform(from_json({geometry}.coordinates, 'array<array<array<double>>>'), rr -> {ring})) "
+        f"WHEN 'MultiPolygon' THEN transform(from_json({geometry}.coordinates, 'array<array<array<array<double>>>>'), "
+        f"pg -> transform(pg, rr -> {ring})) END")
+
+
 def read_feature_lines(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
     """A7 at scale: one Feature per line, schema given (no inference pass)."""
     return parse_features(spark.read.text(path), "value", properties)
@@ -148,13 +172,7 @@ def parse_polygon_features(text_df: DataFrame, col: str, properties: T.StructTyp
                            T.StructField("properties", properties),
                            T.StructField("geometry", POLYGON_GEOMETRY)])
     f = text_df.select(F.from_json(F.col(col), schema).alias("f"))
-    ring = open_ring_sql("rr")
-    polys = F.expr(
-        "CASE f.geometry.type "
-        f"WHEN 'Polygon' THEN array(transform(from_json(f.geometry.coordinates, 'array<array<array<double>>>'), rr -> {ring})) "
-        f"WHEN 'MultiPolygon' THEN transform(from_json(f.geometry.coordinates, 'array<array<array<array<double>>>>'), "
-        f"pg -> transform(pg, rr -> {ring})) END")
-    return f.select("f.properties.*", polys.alias("polys"))
+    return f.select("f.properties.*", polygons_of("f.geometry").alias("polys"))
 
 
 def to_feature_text(df: DataFrame, property_cols: list[str], rings: str = "rings") -> DataFrame:

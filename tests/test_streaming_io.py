@@ -276,3 +276,19 @@ def test_day_partitions_are_pruned(spark):
     assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
     want = climate.daily_forcing(spark, obs, p)
     assert _rows(q) == _rows(want.select(*q.columns))
+
+
+def test_feature_collection_with_schema_and_multipolygons(spark):
+    d = tempfile.mkdtemp(prefix="hf-geo2-", dir="/tmp")
+    sq = lambda x0, y0: [[x0, y0], [x0 + 1, y0], [x0 + 1, y0 + 1], [x0, y0 + 1], [x0, y0]]
+    fc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"MAIN_BAS": 1}, "geometry": {"type": "Polygon", "coordinates": [sq(0, 0)]}},
+        {"type": "Feature", "properties": {"MAIN_BAS": 2},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[sq(2, 2)], [sq(4, 4)]]}}]}
+    with open(os.path.join(d, "b.geojson"), "w") as f:
+        json.dump(fc, f)
+    props = T.StructType([T.StructField("MAIN_BAS", T.LongType())])
+    feats = vector.read_feature_collection(spark, os.path.join(d, "b.geojson"), props)
+    polys = feats.select("MAIN_BAS", vector.polygons_of("geometry").alias("polys"))
+    out = {r.MAIN_BAS: r.area for r in vector.polygons_in_extent(polys, Extent(-10, -10, 10, 10)).collect()}
+    assert out == {1: pytest.approx(1.0), 2: pytest.approx(2.0)}
