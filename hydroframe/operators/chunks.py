@@ -30,8 +30,10 @@ def chunk_table(spark: SparkSession, bounds: DataFrame, months: int = CHUNK_MONT
     n = (F.floor(_months_from(F.col("start"), F.col("end")) / F.lit(months)) + 1).cast("int")
     k = F.col("chunk_id")
     first_of = F.trunc(F.add_months(F.col("start"), k * months), "MM")
-    return (bounds.select("start", "end", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_id"))
-                  .select("chunk_id",
+    # Other columns of ``bounds`` (e.g. a job id) are carried, so many periods chunk at once.
+    keep = [c for c in bounds.columns if c not in ("start", "end")]
+    return (bounds.select(*keep, "start", "end", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_id"))
+                  .select(*keep, "chunk_id",
                           F.when(k == 0, F.col("start")).otherwise(first_of).alias("chunk_start"),
                           F.least(F.last_day(F.add_months(F.col("start"), k * months + (months - 1))),
                                   F.col("end")).alias("chunk_end"))

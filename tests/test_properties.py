@@ -118,3 +118,35 @@ def test_always_twelve_slots(spark, n, step):
     assert [r.slot for r in got] == list(range(12))
     times = [r.time for r in got]
     assert times == sorted(times) and len(set(times)) == 12
+
+
+def _py_chunks(s, e, months=3):
+    """Independent model of the chunk rule: chunk k starts on s (k = 0) or on the 1st of
+    month s.month + 3k, ends on the last day of month s.month + 3k + 2, trimmed to e."""
+    import calendar
+    out, k = [], 0
+    while True:
+        m0 = s.month - 1 + months * k
+        y, m = s.year + m0 // 12, m0 % 12 + 1
+        start = s if k == 0 else dt.date(y, m, 1)
+        if start > e:
+            return out
+        m2 = m0 + months - 1
+        y2, mm2 = s.year + m2 // 12, m2 % 12 + 1
+        out.append((start, min(dt.date(y2, mm2, calendar.monthrange(y2, mm2)[1]), e)))
+        k += 1
+
+
+def test_chunks_match_calendar_model(spark):
+    from hydroframe.operators import chunks
+    rnd = random.Random(3)
+    periods = [(98, dt.date(2020, 11, 15), dt.date(2021, 12, 20)), (99, dt.date(2019, 12, 31), dt.date(2020, 3, 1))]
+    for i in range(60):
+        s = dt.date(1990, 1, 1) + dt.timedelta(days=rnd.randrange(0, 12000))
+        periods.append((i, s, s + dt.timedelta(days=rnd.randrange(0, 2000))))
+    bounds = spark.createDataFrame(periods, "pid int, start date, end date")
+    got: dict[int, list] = {}
+    for r in chunks.chunk_table(spark, bounds).orderBy("pid", "chunk_id").collect():   # one job
+        got.setdefault(r.pid, []).append((r.chunk_start, r.chunk_end))
+    for pid, s, e in periods:
+        assert got[pid] == _py_chunks(s, e), (s, e)
