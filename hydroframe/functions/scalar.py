@@ -132,8 +132,3 @@ def depth_of(member) -> Column:
 def base_of(member) -> Column:
     """the variable of ``{v}_sl{n}``."""
     return F.regexp_replace(col(member), r"_sl\d+$", "")
-
-
-def round_out(c, places: int = 6) -> Column:
-    """Round a double aggregate for reporting; sums are order-dependent in the last bits."""
-    return F.round(col(c), places)

@@ -41,12 +41,6 @@ def climate_period(start: dt.date, end: dt.date, time_col: str = "time") -> Colu
     return (t >= ts_literal(start)) & (t < ts_literal(end + dt.timedelta(days=1)))
 
 
-def half_open_period(start: dt.date, end: dt.date, time_col: str = "time") -> Column:
-    """``[start, end)``: the end day itself is excluded (LAI)."""
-    t = F.col(time_col)
-    return (t >= F.lit(start)) & (t < F.lit(end))
-
-
 def select_region_period(df: DataFrame, ext: Extent, start: dt.date, end: dt.date) -> DataFrame:
     """The server-side part of a fetch: rows of the region and the day range.
 

@@ -31,14 +31,6 @@ def result_cube(df: DataFrame, value_col: str | None = None) -> DataFrame:
     return df.groupBy("time", "lat", "lon").agg(F.max(nan_to_null(F.col(v).cast("double"))).alias("discharge"))
 
 
-def nearest_axis_value(cube: DataFrame, axis: str, target: float) -> DataFrame:
-    """E3 on one axis: the axis value nearest ``target``; on ties the smaller value
-    (= the first index of an ascending axis, like ``argmin``)."""
-    c = F.col(axis)
-    return cube.select(axis).distinct().agg(
-        F.min_by(c, F.struct(F.abs(c - F.lit(target)), c)).alias(axis))
-
-
 def nearest_cell(df: DataFrame, lon: float, lat: float) -> tuple[float, float]:
     """Nearest ``(lat, lon)``, each axis chosen separately, ties to the smaller value
     (the first index of the ascending axis). One partial aggregate over the rows gives

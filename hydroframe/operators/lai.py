@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hydroframe.functions.scalar import evenly_spaced_index
+from hydroframe.operators.raster import valid_range
+
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's image selection).
@@ -46,8 +49,7 @@ def select_slots(days: DataFrame, k: int = TARGET_SLICES, step_days: int = PAD_S
     ranked = days.select("time", (F.row_number().over(w) - 1).alias("rn"),
                          F.count("*").over(Window.partitionBy()).alias("n"))
     # rn is a pick position when some i in 0..k-1 has (i*(n-1)) div (k-1) == rn.
-    picks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                        lambda i: F.floor(i * (F.col("n") - 1) / F.lit(k - 1)).cast("bigint"))
+    picks = evenly_spaced_index(F.col("n"), k)
     chosen = ranked.filter((F.col("n") < k) | F.array_contains(picks, F.col("rn")))
     real = chosen.select((F.row_number().over(w) - 1).alias("slot"), "time",
                          F.col("n").alias("n_images"), F.lit(False).alias("is_padding"))
@@ -65,8 +67,7 @@ def select_slots(days: DataFrame, k: int = TARGET_SLICES, step_days: int = PAD_S
 
 def scaled_lai(raw: str = "raw_lai") -> F.Column:
     """I4 + C8: raw x 0.1, outside 0..10 -> missing."""
-    v = F.col(raw).cast("double") * F.lit(LAI_SCALE)
-    return F.when(v.between(F.lit(LAI_VALID[0]), F.lit(LAI_VALID[1])), v)
+    return valid_range(F.col(raw).cast("double") * F.lit(LAI_SCALE), *LAI_VALID)
 
 
 def lai_cube(pixels: DataFrame, slots: DataFrame, keys=("cell",)) -> DataFrame:

@@ -107,7 +107,7 @@ def model_grid(spark: SparkSession, ext: Extent, deg: float = DEG_PER_500M) -> D
                       (F.lit(ext.west) + j.cast("double") * F.lit(dlon)).alias("lon"))
 
 
-def valid_range(value: str = "value", lo: float = 0.0, hi: float = 10.0):
-    """Values outside [lo, hi] -> NULL."""
-    v = F.col(value)
+def valid_range(value="value", lo: float = 0.0, hi: float = 10.0):
+    """Values outside [lo, hi] -> NULL (both ends valid)."""
+    v = F.col(value) if isinstance(value, str) else value
     return F.when(v.between(F.lit(lo), F.lit(hi)), v)

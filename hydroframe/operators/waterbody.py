@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.functions.geometry import box_meets_extent, box_not_empty, clip_box
+from hydroframe.operators.extent import select_in_extent
 from hydroframe.functions.scalar import clip, nan_to_null
 from hydroframe.operators.ids import exact_median, sequential_id
 from hydroframe.params import Extent
@@ -124,9 +124,7 @@ def export_waterbodies(df: DataFrame, ext: Extent, id_mode: str = "position",
     ``min_area`` is the model builder's area floor (L4). A filter keeps its schema, so an
     extent with no hits yields an empty table with the full schema (B3).
     """
-    out = (df.filter(box_meets_extent(ext))
-             .withColumns(clip_box(ext))
-             .filter(box_not_empty()))
+    out = select_in_extent(df, ext, clip=True)
     if min_area is not None:
         acol = first_existing(out, AREA_CANDIDATES)
         if acol:

@@ -31,8 +31,3 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-def read_cubes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lazy multi-file cube read (A19/J2): one scan over all chunk outputs, no dedupe."""
-    return spark.read.parquet(*paths)

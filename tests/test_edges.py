@@ -479,3 +479,27 @@ def test_upstream_hot_outlet_and_long_chain(spark):
     got = {r.cell for r in network.upstream_cells(cells, outlet).collect()}
     assert got == _brute_upstream(edges, outlet)
     assert len(got) == 1 + 300 + 300
+
+
+def test_melt_wide_bands_and_wide_units(spark):
+    from hydroframe.functions.units import apply_renames, apply_units_wide
+    wide = spark.createDataFrame([(1, 0.002, 280.0, 101325.0)],
+                                 "obs_id long, total_precipitation double, temperature_2m double, mean_sea_level_pressure double")
+    long_df = climate.melt_bands(wide, ["obs_id"])
+    got = {r.variable: r.value for r in long_df.collect()}
+    assert got == {"precip": 0.002, "temp": 280.0, "press_msl": 101325.0}
+    conv = apply_units_wide(spark.createDataFrame([(0.002, 280.0, 5.0)], "precip double, temp double, other double"), "era5")
+    r = conv.first()
+    assert r.precip == pytest.approx(2.0) and r.temp == pytest.approx(6.85) and r.other == 5.0
+    ren = apply_renames(spark.createDataFrame([(1.0, 2.0)], "d2m double, u10 double"), "era5_daily_zarr")
+    assert ren.columns == ["temp_dew", "wind10_u"]
+
+
+def test_extent_struct_and_empty_schema(spark):
+    from hydroframe.functions.geometry import extent_struct
+    r = spark.range(1).select(extent_struct(Extent(85, 26, 87, 28).buffer(2.0)).alias("e")).first().e
+    assert (r.west, r.south, r.east, r.north) == (83.0, 24.0, 89.0, 30.0)
+    sch = waterbody.empty_vector_schema(with_id=True, with_height=True)
+    empty = spark.createDataFrame([], sch)
+    assert empty.count() == 0 and dict(empty.dtypes) == {"geometry": "string", "waterbody_id": "bigint",
+                                                          "Dam_height": "double"}

@@ -292,3 +292,16 @@ def test_feature_collection_with_schema_and_multipolygons(spark):
     polys = feats.select("MAIN_BAS", vector.polygons_of("geometry").alias("polys"))
     out = {r.MAIN_BAS: r.area for r in vector.polygons_in_extent(polys, Extent(-10, -10, 10, 10)).collect()}
     assert out == {1: pytest.approx(1.0), 2: pytest.approx(2.0)}
+
+
+def test_feature_lines_file(spark):
+    d = tempfile.mkdtemp(prefix="hf-seq-", dir="/tmp")
+    ring = [[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]
+    with open(os.path.join(d, "features.geojsonl"), "w") as f:
+        for i in range(5):
+            f.write(json.dumps({"type": "Feature", "properties": {"id": i},
+                                "geometry": {"type": "Polygon", "coordinates": [ring]}}) + "\n")
+    props = T.StructType([T.StructField("id", T.LongType())])
+    feats = vector.read_feature_lines(spark, os.path.join(d, "features.geojsonl"), props)
+    assert sorted(r.id for r in feats.collect()) == [0, 1, 2, 3, 4]
+    assert vector.features_in_extent(feats, Extent(-1, -1, 2, 2)).first().area == pytest.approx(1.0)
