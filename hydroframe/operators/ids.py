@@ -47,10 +47,10 @@ def exact_median(df: DataFrame, value_col: str, alias: str = "median") -> DataFr
     """Exact (interpolated) median of a column over all rows, without one task holding every
     value: sort, number rows, keep the one or two middle rows, average them."""
     vals = df.select(F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    n = vals.count()
+    numbered = sequential_id(vals, ["_v"], "_i")
+    n = numbered.count()  # reads the sorted checkpoint, not the source again
     if n == 0:
         return df.sparkSession.createDataFrame([(None,)], f"{alias} double")
     lo, hi = (n - 1) // 2, n // 2
-    numbered = sequential_id(vals, ["_v"], "_i")
     return (numbered.filter(F.col("_i").isin(lo, hi))
             .agg(F.avg("_v").alias(alias)))
