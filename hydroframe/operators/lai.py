@@ -110,3 +110,38 @@ def fallback_images(targets: DataFrame, days: DataFrame, target_col: str = "targ
                    .select(target_col,
                            F.when(F.col("_exact") == 1, F.col(target_col)).otherwise(F.col("_first")).alias("image_day"),
                            F.coalesce(F.col("_exact") == 1, F.lit(False)).alias("exact_day")))
+
+
+def lai_grid_cube(pixels: DataFrame, slots: DataFrame, ext, deg: float | None = None) -> DataFrame:
+    """A15 on the model grid (F13): the twelve slots x ``lat`` x ``lon`` cube of an extent.
+
+    Pixels ``(image_time, lat, lon, obs_id, raw_lai)`` are snapped to the nearest node of
+    the grid (integer row/column from the coordinates: an equi-key, not a nearest-neighbour
+    join); a node hit twice keeps the largest ``obs_id`` (D12). The dense index space
+    (slots x rows x columns) comes from ``spark.range`` and is left-joined to the values,
+    so nodes without a pixel and padding slots are NULL, as in the reference's cube.
+    """
+    from hydroframe.operators.raster import DEG_PER_500M, grid_shape
+    deg = deg or DEG_PER_500M
+    h, w, dlat, dlon = grid_shape(ext, deg)
+    row = F.round((F.lit(ext.north) - F.col("lat")) / F.lit(dlat if dlat else 1.0)).cast("bigint")
+    col = F.round((F.col("lon") - F.lit(ext.west)) / F.lit(dlon if dlon else 1.0)).cast("bigint")
+    sl = slots.select("slot", F.col("time").alias("image_time"), "time", "is_padding")
+    snapped = (pixels.join(F.broadcast(sl.filter(~F.col("is_padding")).select("slot", "image_time")),
+                           "image_time")  # at most k slot rows
+                     .select("slot", row.alias("row"), col.alias("col"), "obs_id", "raw_lai")
+                     .filter(F.col("row").between(0, h - 1) & F.col("col").between(0, w - 1)))
+    values = snapped.groupBy("slot", "row", "col").agg(
+        F.max_by(F.col("raw_lai"), F.col("obs_id")).alias("raw_lai"))
+    n_slots = TARGET_SLICES
+    dense = slots.sparkSession.range(0, n_slots * h * w).select(
+        (F.col("id") / F.lit(h * w)).cast("int").alias("slot"),
+        ((F.col("id") % F.lit(h * w)) / F.lit(w)).cast("bigint").alias("row"),
+        (F.col("id") % F.lit(w)).alias("col"))
+    times = F.broadcast(sl.select("slot", "time"))  # at most k rows
+    return (dense.join(times, "slot")
+                 .join(values, ["slot", "row", "col"], "left")
+                 .select("slot", "time",
+                         (F.lit(ext.north) - F.col("row").cast("double") * F.lit(dlat)).cast("float").alias("lat"),
+                         (F.lit(ext.west) + F.col("col").cast("double") * F.lit(dlon)).cast("float").alias("lon"),
+                         scaled_lai("raw_lai").cast("float").alias("Lai")))

@@ -92,13 +92,20 @@ def missing_members(expected: DataFrame, present: DataFrame) -> DataFrame:
     return expected.join(present, "member", "left_anti")
 
 
-def model_grid(spark: SparkSession, ext: Extent, deg: float = DEG_PER_500M) -> DataFrame:
-    """grid of an extent, ``int(span / deg)`` cells per axis, lat descending, lon
-    ascending, both end points in. Generated by ``spark.range`` (distributed), no join."""
+def grid_shape(ext: Extent, deg: float = DEG_PER_500M) -> tuple[int, int, float, float]:
+    """rows, columns and node spacing of the grid of an extent: ``int(span / deg)``
+    nodes per axis, both end points in."""
     w = int((ext.east - ext.west) / deg)
     h = int((ext.north - ext.south) / deg)
     dlat = (ext.north - ext.south) / (h - 1) if h > 1 else 0.0
     dlon = (ext.east - ext.west) / (w - 1) if w > 1 else 0.0
+    return h, w, dlat, dlon
+
+
+def model_grid(spark: SparkSession, ext: Extent, deg: float = DEG_PER_500M) -> DataFrame:
+    """grid of an extent, ``int(span / deg)`` cells per axis, lat descending, lon
+    ascending, both end points in. Generated by ``spark.range`` (distributed), no join."""
+    h, w, dlat, dlon = grid_shape(ext, deg)
     idx = spark.range(0, h * w)
     i = (F.col("id") / F.lit(w)).cast("bigint")
     j = F.col("id") % F.lit(w)

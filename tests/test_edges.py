@@ -503,3 +503,22 @@ def test_extent_struct_and_empty_schema(spark):
     empty = spark.createDataFrame([], sch)
     assert empty.count() == 0 and dict(empty.dtypes) == {"geometry": "string", "waterbody_id": "bigint",
                                                           "Dam_height": "double"}
+
+
+def test_lai_grid_cube(spark):
+    ext = Extent(85.0, 26.0, 85.02, 26.015)        # 4 x 3 nodes at 500 m
+    h, w, dlat, dlon = raster.grid_shape(ext, 500 / 111000)
+    assert (h, w) == (3, 4)
+    days = spark.createDataFrame([(D(2020, 1, 1) + dt.timedelta(days=4 * i),) for i in range(5)], "time date")
+    slots = lai.select_slots(days)                 # 5 real + 7 padding slots
+    px = spark.createDataFrame([
+        (D(2020, 1, 1), 26.015, 85.0, 1, 55),      # top-left node of slot 0 -> 5.5
+        (D(2020, 1, 1), 26.015, 85.0, 2, 77),      # same node, larger obs_id wins -> 7.7
+        (D(2020, 1, 5), 26.0, 85.02, 3, 120),      # bottom-right node of slot 1 -> 12.0 masked
+        (D(2020, 1, 5), 40.0, 85.0, 4, 10)],       # outside the grid: dropped
+        "image_time date, lat double, lon double, obs_id long, raw_lai long")
+    cube = lai.lai_grid_cube(px, slots, ext).collect()
+    assert len(cube) == 12 * h * w
+    vals = {(r.slot, round(r.lat, 4), round(r.lon, 4)): r.Lai for r in cube if r.Lai is not None}
+    assert vals == {(0, 26.015, 85.0): pytest.approx(7.7)}
+    assert {r.time for r in cube if r.slot == 11} == {D(2020, 1, 17) + dt.timedelta(days=30 * 7)}
