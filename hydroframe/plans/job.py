@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroframe.operators import chunks, climate, lai, raster, waterbody
+from hydroframe.operators import chunks, climate, lai, network, raster, waterbody
 from hydroframe.operators.network import AREA_FLOOR
 from hydroframe.params import JobParams
 from hydroframe.sources import sinks
@@ -32,7 +32,9 @@ class JobInputs:
     glaciers: DataFrame | None = None          # boxes with an area column
     terrain_long: DataFrame | None = None      # (cell, lat, lon, variable, value)
     soil_wide: DataFrame | None = None         # (cell, lat, lon, {var}_sl{n}…)
-    lai_pixels: DataFrame | None = None        # (image_time, cell, obs_id, raw_lai)
+    lai_pixels: DataFrame | None = None        # (image_time, lat, lon | cell, obs_id, raw_lai)
+    flow_cells: DataFrame | None = None        # (cell, x, y, next_cell, strord, uparea)
+    outlet_xy: tuple[float, float] | None = None  # sub-basin outlet in grid units
     stations_csv: str | None = None            # station CSV path (empty table when absent)
 
 
@@ -69,7 +71,15 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
         imgs = lai.images_in_period(inputs.lai_pixels, params.start_date, params.end_date)
         slots = lai.select_slots(lai.image_days(imgs))
         emit("lai_slots", slots)
-        emit("lai", lai.lai_cube(imgs, slots))
+        if {"lat", "lon"} <= set(imgs.columns):   # pixels with coordinates: the grid cube
+            emit("lai", lai.lai_grid_cube(imgs, slots, ext))
+        else:
+            emit("lai", lai.lai_cube(imgs, slots))
+    if inputs.flow_cells is not None:
+        emit("river_cells", network.river_cells(inputs.flow_cells))
+        if inputs.outlet_xy is not None:
+            outlet = network.snap_outlet(inputs.flow_cells, *inputs.outlet_xy)
+            emit("subbasin", network.upstream_cells(inputs.flow_cells, outlet))
     if inputs.hourly_obs is not None:
         daily = climate.daily_forcing(spark, inputs.hourly_obs, params, climate_source)
         emit("forcing", daily, cube_cols=climate.CLIMATE_VARIABLES)

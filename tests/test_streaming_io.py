@@ -251,10 +251,13 @@ def test_build_model_inputs_writes_every_output(spark):
                        glaciers=fx.waterbodies(spark, SF_SMALL),
                        terrain_long=fx.terrain_long(spark, SF_SMALL),
                        soil_wide=fx.soil_wide(spark, SF_SMALL),
-                       lai_pixels=fx.lai_images(spark, SF_SMALL))
+                       lai_pixels=fx.lai_images(spark, SF_SMALL),
+                       flow_cells=fx.flow_cells(spark, SF_SMALL), outlet_xy=(12.0, 3.0))
     manifest = build_model_inputs(spark, inputs, params, out)
     assert set(manifest) == {"reservoirs", "lakes", "glaciers", "terrain", "soil", "lai_slots", "lai",
-                             "forcing", "orography", "stations", "chunks", "catalog_rules"}
+                             "forcing", "orography", "stations", "chunks", "catalog_rules",
+                             "river_cells", "subbasin"}
+    assert manifest["subbasin"]["rows"] >= 1
     assert manifest["lai_slots"]["rows"] == 12
     assert manifest["stations"]["rows"] == 0
     assert manifest["chunks"]["rows"] == 27          # 1995-01 .. 2001-08 in 3-month chunks
