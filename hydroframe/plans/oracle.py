@@ -504,3 +504,24 @@ FROM g"""
 def climate_coordinates_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
     return f"""WITH {climate_rows_sql(p)}
 SELECT DISTINCT lat, lon FROM rows"""
+
+
+def lai_grid_cube_sql(start, end, ext, deg: float) -> str:
+    from hydroframe.operators.raster import grid_shape
+    h, w, dlat, dlon = grid_shape(ext, deg)
+    N, W = f"{float(ext.north)!r}{D}", f"{float(ext.west)!r}{D}"
+    dla, dlo = f"{dlat!r}{D}", f"{dlon!r}{D}"
+    return f"""WITH {_lai_slots_cte(start, end)},
+px AS (SELECT image_time, obs_id, raw_lai,
+    {N} - CAST(floor(cell / 5) AS DOUBLE) * {dla} AS lat, {W} + CAST(cell % 5 AS DOUBLE) * {dlo} AS lon
+  FROM lai_images),
+snapped AS (SELECT s.slot, CAST(round(({N} - p.lat) / {dla}) AS BIGINT) AS r, CAST(round((p.lon - {W}) / {dlo}) AS BIGINT) AS c,
+    p.obs_id, p.raw_lai FROM px p JOIN slots s ON p.image_time = s.time),
+vals AS (SELECT slot, r, c, arg_max(raw_lai, obs_id) AS raw FROM snapped
+  WHERE r BETWEEN 0 AND {h - 1} AND c BETWEEN 0 AND {w - 1} GROUP BY slot, r, c),
+dense AS (SELECT CAST(i // {h * w} AS INTEGER) AS slot, (i % {h * w}) // {w} AS r, i % {w} AS c FROM range(0, {12 * h * w}) t(i))
+SELECT d.slot, a.time, CAST({N} - CAST(d.r AS DOUBLE) * {dla} AS FLOAT) AS lat,
+  CAST({W} + CAST(d.c AS DOUBLE) * {dlo} AS FLOAT) AS lon,
+  CAST(CASE WHEN v.raw * 0.1{D} BETWEEN 0{D} AND 10{D} THEN v.raw * 0.1{D} END AS FLOAT) AS Lai
+FROM dense d JOIN all_slots a ON a.slot = d.slot
+LEFT JOIN vals v ON v.slot = d.slot AND v.r = d.r AND v.c = d.c"""

@@ -33,6 +33,8 @@ CLIP_EXTENT = Extent(86.0, 27.0, 94.0, 33.0)
 STATION_EXTENT = Extent(85.0, 26.0, 87.5, 30.0)
 # LAI period: [start, end) over the whole image archive; the last image day is the end (Q2).
 LAI_START, LAI_END = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
+# A 5 x 5 node grid at 500 m (5.5 node spacings wide, so int(span / deg) = 5 on both axes).
+LAI_GRID_EXTENT = Extent(85.0, 26.0, 85.0 + 5.5 * 500.0 / 111000.0, 26.0 + 5.5 * 500.0 / 111000.0)
 OUTLET_XY = (12.0, 40.0)       # flow-network outlet point in grid units
 RIVER_EXTENT = Extent(4.5, 3.5, 24.5, 40.5)   # grid units; edges cut through reaches
 GAUGE_HALF_WIDTH = 0.25       # square area of interest around each gauge, degrees
@@ -215,6 +217,15 @@ def q_lai_cube(spark, sf):
     return _round(cube.withColumn("slot", F.col("slot").cast("int")), ["lai"])
 
 
+@register("lai_grid_cube", lambda: O.lai_grid_cube_sql(LAI_START, LAI_END, LAI_GRID_EXTENT, raster.DEG_PER_500M))
+def q_lai_grid_cube(spark, sf):
+    """A15 + F13: the twelve-slot LAI cube on the extent's 500 m grid (padding slots and
+    nodes without a pixel are NULL)."""
+    px = fx.lai_pixels_on_grid(spark, sf, LAI_GRID_EXTENT, raster.DEG_PER_500M)
+    imgs = lai.images_in_period(px, LAI_START, LAI_END)
+    return lai.lai_grid_cube(imgs, lai.select_slots(lai.image_days(imgs)), LAI_GRID_EXTENT)
+
+
 @register("lai_slice_range", lambda: O.lai_slice_range_sql(LAI_START, LAI_END))
 def q_lai_range(spark, sf):
     """Missing-ignoring value range per slice."""

@@ -203,3 +203,14 @@ def river_lines_text(spark: SparkSession, sf_dir: str, min_uparea: float = 30.0)
         F.struct(F.lit("LineString").alias("type"),
                  F.array(F.array("x", "y"), F.array("nx", "ny")).alias("coordinates")).alias("geometry"))
     return seg.select(F.to_json(feature).alias("feature"))
+
+
+def lai_pixels_on_grid(spark: SparkSession, sf_dir: str, ext, deg: float) -> DataFrame:
+    """Leaf-area pixels with coordinates: the 25 fixture cells placed on the nodes of a 5 x 5
+    grid of ``ext`` (row = cell div 5, column = cell mod 5), derived from ``lai_images``."""
+    from hydroframe.operators.raster import grid_shape
+    h, w, dlat, dlon = grid_shape(ext, deg)
+    px = lai_images(spark, sf_dir)
+    return px.select("image_time", "obs_id", "raw_lai",
+                     (F.lit(ext.north) - F.floor(F.col("cell") / 5).cast("double") * F.lit(dlat)).alias("lat"),
+                     (F.lit(ext.west) + (F.col("cell") % 5).cast("double") * F.lit(dlon)).alias("lon"))
