@@ -308,3 +308,14 @@ def test_feature_lines_file(spark):
     feats = vector.read_feature_lines(spark, os.path.join(d, "features.geojsonl"), props)
     assert sorted(r.id for r in feats.collect()) == [0, 1, 2, 3, 4]
     assert vector.features_in_extent(feats, Extent(-1, -1, 2, 2)).first().area == pytest.approx(1.0)
+
+
+def test_cube_files_sorted_by_coordinates(spark):
+    import glob
+    import pyarrow.parquet as pq
+    path = os.path.join(tempfile.mkdtemp(prefix="hf-sort-", dir="/tmp"), "cube")
+    daily = climate.daily_forcing(spark, fx.obs_hourly(spark, SF_SMALL), WHOLE_DOMAIN_JOB)
+    sinks.write_cube(daily.repartition(3), path, ["precip", "temp"])
+    for f in glob.glob(os.path.join(path, "day=*", "*.parquet")):
+        lats = pq.read_table(f, columns=["lat"]).column("lat").to_pylist()
+        assert lats == sorted(lats)
