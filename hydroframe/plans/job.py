@@ -91,3 +91,21 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
     emit("chunks", chunks.chunk_table(spark, chunks.period_bounds(spark, params.start_date, params.end_date)))
     emit("catalog_rules", catalog_rules(spark))
     return written
+
+
+def extract_discharge_at_outlet(spark: SparkSession, results: DataFrame, lon: float, lat: float,
+                                out_dir: str) -> dict | None:
+    """K5: after a run, the discharge series at the outlet written as CSV (B5) and its
+    missing-ignoring statistics (D9). ``results`` is the long result table
+    ``(time, lat, lon, <one of the known discharge variables>)``; ``None`` when it holds
+    none of them. Only the one-row statistics reach the driver."""
+    from hydroframe.operators import discharge
+    var = discharge.discharge_variable(results)
+    if var is None:
+        return None
+    series = discharge.outlet_series(results, lon, lat, var)
+    path = os.path.join(out_dir, "discharge_at_outlet")
+    sinks.write_series_csv(series.orderBy("time"), path)
+    stats = discharge.series_stats(series).first().asDict()
+    stats.update({"path": path, "variable": var})
+    return stats

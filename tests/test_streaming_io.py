@@ -319,3 +319,15 @@ def test_cube_files_sorted_by_coordinates(spark):
     for f in glob.glob(os.path.join(path, "day=*", "*.parquet")):
         lats = pq.read_table(f, columns=["lat"]).column("lat").to_pylist()
         assert lats == sorted(lats)
+
+
+def test_extract_discharge_at_outlet(spark):
+    from hydroframe.plans.job import extract_discharge_at_outlet
+    out = tempfile.mkdtemp(prefix="hf-q-", dir="/tmp")
+    res = fx.discharge(spark, SF_SMALL)
+    stats = extract_discharge_at_outlet(spark, res, 85.4, 26.6, out)
+    assert stats["variable"] == "q" and stats["n_steps"] > 0
+    back = spark.read.option("header", True).csv(stats["path"])
+    assert back.count() == stats["n_steps"]
+    assert set(back.columns) == {"time", "discharge", "longitude", "latitude"}
+    assert extract_discharge_at_outlet(spark, res.withColumnRenamed("q", "other"), 85.4, 26.6, out) is None
