@@ -35,8 +35,19 @@ class JobParams:
 
     @staticmethod
     def of(extent, start: str, end: str, outlet=(0.0, 0.0), climate_buffer: float = 2.0):
-        return JobParams(Extent(*[float(v) for v in extent]), dt.date.fromisoformat(start),
-                         dt.date.fromisoformat(end), float(outlet[0]), float(outlet[1]),
+        """Job parameters from user input, checked like the reference's job form: four
+        extent values, two outlet values, ``YYYY-MM-DD`` dates, end not before start."""
+        if len(extent) != 4:
+            raise ValueError(f"Extent must have 4 values, got {len(extent)}")
+        if len(outlet) != 2:
+            raise ValueError(f"Outlet must have 2 values, got {len(outlet)}")
+        try:
+            s, e = dt.datetime.strptime(start, "%Y-%m-%d").date(), dt.datetime.strptime(end, "%Y-%m-%d").date()
+        except ValueError as err:
+            raise ValueError(f"Invalid date format: {err}") from err
+        if e < s:
+            raise ValueError("End date must be after start date")
+        return JobParams(Extent(*[float(v) for v in extent]), s, e, float(outlet[0]), float(outlet[1]),
                          float(climate_buffer))
 
     def with_(self, **kw) -> "JobParams":

@@ -522,3 +522,16 @@ def test_lai_grid_cube(spark):
     vals = {(r.slot, round(r.lat, 4), round(r.lon, 4)): r.Lai for r in cube if r.Lai is not None}
     assert vals == {(0, 26.015, 85.0): pytest.approx(7.7)}
     assert {r.time for r in cube if r.slot == 11} == {D(2020, 1, 17) + dt.timedelta(days=30 * 7)}
+
+
+def test_job_parameter_checks():
+    with pytest.raises(ValueError):
+        JobParams.of([1, 2, 3], "2020-01-01", "2020-01-02")
+    with pytest.raises(ValueError):
+        JobParams.of([1, 2, 3, 4], "2020-01-01", "2020-01-02", outlet=(1.0,))
+    with pytest.raises(ValueError):
+        JobParams.of([1, 2, 3, 4], "2020/01/01", "2020-01-02")
+    with pytest.raises(ValueError):
+        JobParams.of([1, 2, 3, 4], "2020-01-02", "2020-01-01")
+    p = JobParams.of([85, 26, 87, 28], "2020-01-01", "2020-01-01")
+    assert p.extent.buffer(2.0).as_list() == [83.0, 24.0, 89.0, 30.0] and p.climate_buffer == 2.0
