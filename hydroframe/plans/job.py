@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hydroframe.operators import chunks, climate, lai, network, raster, waterbody
 from hydroframe.operators.network import AREA_FLOOR
 from hydroframe.params import JobParams
-from hydroframe.sources import sinks
+from hydroframe.sources import sinks, vector
 from hydroframe.sources.catalog import catalog_rules
 
 
@@ -26,6 +26,9 @@ from hydroframe.sources.catalog import catalog_rules
 class JobInputs:
     """Input tables of one job; any may be ``None`` when the job has no such source."""
 
+    basins: DataFrame | None = None            # polygon features: properties + polys (parse_polygon_features)
+    rivers: DataFrame | None = None            # line features: properties + lines (parse_line_features)
+    landuse_long: DataFrame | None = None      # (cell, lat, lon, variable, value): globcover, chelsa, koppen_geiger
     hourly_obs: DataFrame | None = None        # (obs_id, time, lat, lon, lat_text, band, value)
     geopotential: DataFrame | None = None      # same shape, band 'geopotential'
     waterbodies: DataFrame | None = None       # (hylak_id, Vol_total, Lake_area, xmin, xmax, ymin, ymax)
@@ -54,6 +57,12 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
         written[name] = {"path": path, "rows": spark.read.schema(df.schema).parquet(path).count()}
 
     ext = params.extent
+    if inputs.basins is not None:
+        basins = vector.polygons_in_extent(inputs.basins, ext)
+        keep = [c for c in basins.columns if c in ("MAIN_BAS", "polys", "area", "xmin", "xmax", "ymin", "ymax")]
+        emit("basins", waterbody.basin_ids(basins.select(*keep)))
+    if inputs.rivers is not None:
+        emit("rivers", vector.lines_in_extent(inputs.rivers, ext))
     if inputs.waterbodies is not None:
         # reservoirs and lakes: the same asset and the same export (ids, dam height)
         emit("reservoirs", waterbody.export_waterbodies(inputs.waterbodies, ext,
@@ -65,6 +74,11 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
     if inputs.terrain_long is not None:
         emit("terrain", raster.raster_grid(inputs.terrain_long, ["elevtn", "uparea", "strord", "flwdir"],
                                            raster.nodata_map("merit_hydro_1k"), int_vars=raster.TERRAIN_INT_VARS))
+    if inputs.landuse_long is not None:
+        nodata = {**raster.nodata_map("globcover"), **raster.nodata_map("chelsa"),
+                  **raster.nodata_map("koppen_geiger")}
+        emit("landuse", raster.raster_grid(inputs.landuse_long, ["globcover", "chelsa", "koppen_geiger"],
+                                           nodata, int_vars=("globcover", "koppen_geiger")))
     if inputs.soil_wide is not None:
         emit("soil", raster.soil_long(inputs.soil_wide))
     if inputs.lai_pixels is not None:

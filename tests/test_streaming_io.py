@@ -331,3 +331,28 @@ def test_extract_discharge_at_outlet(spark):
     assert back.count() == stats["n_steps"]
     assert set(back.columns) == {"time", "discharge", "longitude", "latitude"}
     assert extract_discharge_at_outlet(spark, res.withColumnRenamed("q", "other"), 85.4, 26.6, out) is None
+
+
+def test_job_vectors_and_landuse(spark):
+    from hydroframe.params import JobParams
+    from hydroframe.plans.job import JobInputs, build_model_inputs
+    out = os.path.join(tempfile.mkdtemp(prefix="hf-job2-", dir="/tmp"), "job")
+    sq = lambda x0, y0: [[x0, y0], [x0 + 1, y0], [x0 + 1, y0 + 1], [x0, y0 + 1], [x0, y0]]
+    poly_text = spark.createDataFrame([(json.dumps({"type": "Feature", "properties": {"MAIN_BAS": 7},
+                                        "geometry": {"type": "Polygon", "coordinates": [sq(85.5, 26.5)]}}),)], "t string")
+    line_text = spark.createDataFrame([(json.dumps({"type": "Feature", "properties": {"rid": 1},
+                                        "geometry": {"type": "LineString", "coordinates": [[84, 27], [88, 27]]}}),)], "t string")
+    basins = vector.parse_polygon_features(poly_text, "t", T.StructType([T.StructField("MAIN_BAS", T.LongType())]))
+    rivers = vector.parse_line_features(line_text, "t", T.StructType([T.StructField("rid", T.LongType())]))
+    lu = spark.createDataFrame([(1, 26.5, 85.5, "globcover", 0.0), (1, 26.5, 85.5, "chelsa", 12.0),
+                                (1, 26.5, 85.5, "koppen_geiger", 32.0)],
+                               "cell long, lat double, lon double, variable string, value double")
+    params = JobParams.of([85, 26, 87, 28], "2024-01-01", "2024-01-02")
+    m = build_model_inputs(spark, JobInputs(basins=basins, rivers=rivers, landuse_long=lu), params, out)
+    assert m["basins"]["rows"] == 1 and m["rivers"]["rows"] == 1 and m["landuse"]["rows"] == 1
+    r = spark.read.parquet(m["rivers"]["path"]).first()
+    assert r.length == pytest.approx(2.0)                 # clipped to 85..87
+    b = spark.read.parquet(m["basins"]["path"]).first()
+    assert b.basid == 7 and b.area == pytest.approx(1.0)
+    g = spark.read.parquet(m["landuse"]["path"]).first()
+    assert g.globcover is None and g.chelsa == 12.0 and g.koppen_geiger == 32   # catalog nodata 0 for koppen
