@@ -240,7 +240,6 @@ def test_cluster_conf_respects_explicit_settings(spark):
 
 
 def test_build_model_inputs_writes_every_output(spark):
-    import datetime as _dt
     from hydroframe.params import JobParams
     from hydroframe.plans.job import JobInputs, build_model_inputs
     out = os.path.join(tempfile.mkdtemp(prefix="hf-job-", dir="/tmp"), "job")
