@@ -150,3 +150,60 @@ def test_chunks_match_calendar_model(spark):
         got.setdefault(r.pid, []).append((r.chunk_start, r.chunk_end))
     for pid, s, e in periods:
         assert got[pid] == _py_chunks(s, e), (s, e)
+
+
+def test_flagship_with_a_third_of_rows_on_one_key(spark):
+    from hydroframe.operators import climate
+    from hydroframe.params import JobParams
+    t0 = dt.datetime(2024, 1, 1, 5)
+    rows = []
+    # 3000 copies of one (time, cell, band): the largest obs_id wins
+    for i in range(3000):
+        rows.append((i, t0, 26.0, 85.0, "26.0", "temperature_2m", 270.0 + (i % 7)))
+    # 6000 other rows spread over hours and cells
+    rnd = random.Random(1)
+    for i in range(3000, 9000):
+        h = rnd.randrange(0, 48)
+        rows.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), 26.0 + 0.25 * rnd.randrange(4),
+                     85.0 + 0.25 * rnd.randrange(4), None, "total_precipitation", rnd.uniform(0, 1e-3)))
+    rows = [(r[0], r[1], r[2], r[3], r[4] if r[4] else str(r[2]), r[5], r[6]) for r in rows]
+    obs = spark.createDataFrame(rows, "obs_id long, time timestamp_ntz, lat double, lon double, "
+                                      "lat_text string, band string, value double").repartition(8)
+    p = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-02", climate_buffer=0)
+    got = {(r.day, r.lat, r.lon): r for r in climate.daily_forcing(spark, obs, p).collect()}
+    # independent model: dedupe by max obs_id per (time, lat, lon, band), then daily sum/mean
+    latest = {}
+    for oid, t, la, lo, _, band, v in rows:
+        k = (t, la, lo, band)
+        if k not in latest or oid > latest[k][0]:
+            latest[k] = (oid, v)
+    want_p, want_t = {}, {}
+    for (t, la, lo, band), (_, v) in latest.items():
+        key = (t.date(), la, lo)
+        if band == "total_precipitation":
+            want_p[key] = want_p.get(key, 0.0) + v * 1000.0
+        else:
+            want_t.setdefault(key, []).append(v - 273.15)
+    for key, v in want_p.items():
+        assert got[key].precip == pytest.approx(v, abs=1e-5)
+    assert got[(dt.date(2024, 1, 1), 26.0, 85.0)].temp == pytest.approx((270.0 + 2999 % 7) - 273.15, abs=1e-6)
+
+
+def test_tile_join_with_a_third_of_features_in_one_tile(spark):
+    from hydroframe.operators import extent
+    rnd = random.Random(2)
+    feats = []
+    for i in range(900):
+        if i % 3 == 0:   # hot tile
+            x, y = rnd.uniform(0.0, 0.9), rnd.uniform(0.0, 0.9)
+        else:
+            x, y = rnd.uniform(0, 20), rnd.uniform(0, 20)
+        feats.append((i, x, y, x + rnd.uniform(0.01, 0.5), y + rnd.uniform(0.01, 0.5)))
+    areas = [(j, x, y, x + 1.5, y + 1.5) for j, (x, y) in enumerate((rnd.uniform(-1, 19), rnd.uniform(-1, 19))
+                                                                      for _ in range(40))] + [(99, 0.0, 0.0, 1.0, 1.0)]
+    f = spark.createDataFrame(feats, "fid long, xmin double, ymin double, xmax double, ymax double")
+    a = spark.createDataFrame(areas, "aid long, xmin double, ymin double, xmax double, ymax double")
+    got = sorted((r.aid, r.fid) for r in extent.features_in_areas(f, a, "aid", tile=1.0).collect())
+    want = sorted((aid, fid) for fid, x0, y0, x1, y1 in feats for aid, a0, b0, a1, b1 in areas
+                  if x1 >= a0 and x0 <= a1 and y1 >= b0 and y0 <= b1)
+    assert got == want and len(got) == len(set(got))
