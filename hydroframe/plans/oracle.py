@@ -525,3 +525,23 @@ SELECT d.slot, a.time, CAST({N} - CAST(d.r AS DOUBLE) * {dla} AS FLOAT) AS lat,
   CAST(CASE WHEN v.raw * 0.1{D} BETWEEN 0{D} AND 10{D} THEN v.raw * 0.1{D} END AS FLOAT) AS Lai
 FROM dense d JOIN all_slots a ON a.slot = d.slot
 LEFT JOIN vals v ON v.slot = d.slot AND v.r = d.r AND v.c = d.c"""
+
+
+LANDUSE_LONG = f"""landuse_long AS (
+  SELECT p_partkey AS cell, 26{D} + 0.25{D} * floor(p_partkey / 50) AS lat, 85{D} + 0.25{D} * (p_partkey % 50) AS lon, variable,
+    CASE variable WHEN 'globcover' THEN CASE WHEN p_partkey % 13 = 0 THEN 0{D} ELSE (p_size % 23 + 1) * 10{D} END
+      WHEN 'chelsa' THEN CASE WHEN p_partkey % 17 = 0 THEN -32767{D} ELSE floor(p_retailprice) * 1{D} END
+      ELSE CASE WHEN p_partkey % 19 = 0 THEN 32{D} WHEN p_partkey % 23 = 0 THEN 0{D} ELSE (p_size % 30 + 1) * 1{D} END END AS value
+  FROM part CROSS JOIN (VALUES ('globcover'), ('chelsa'), ('koppen_geiger')) v(variable))"""
+
+
+def landuse_grid_sql() -> str:
+    return f"""WITH {LANDUSE_LONG},
+m AS (SELECT cell, lat, lon, variable,
+    CASE WHEN (variable = 'globcover' AND value = 0{D}) OR (variable = 'chelsa' AND value = -32767{D})
+      OR (variable = 'koppen_geiger' AND value = 0{D}) THEN NULL ELSE value END AS value FROM landuse_long)
+SELECT cell, max(lat) AS lat, max(lon) AS lon,
+  CAST(max(CASE WHEN variable = 'globcover' THEN value END) AS INTEGER) AS globcover,
+  max(CASE WHEN variable = 'chelsa' THEN value END) AS chelsa,
+  CAST(max(CASE WHEN variable = 'koppen_geiger' THEN value END) AS INTEGER) AS koppen_geiger
+FROM m GROUP BY cell"""

@@ -168,6 +168,16 @@ def q_terrain_grid(spark, sf):
                               raster.nodata_map("merit_hydro_1k"), int_vars=raster.TERRAIN_INT_VARS)
 
 
+@register("landuse_grid", O.landuse_grid_sql)
+def q_landuse_grid(spark, sf):
+    """A9 + C9 + E10: land cover, climate and climate class side by side, catalog nodata
+    masked (the climate class uses the catalog's code 0; the fetch's 32 stays a value, Q13)."""
+    nodata = {**raster.nodata_map("globcover"), **raster.nodata_map("chelsa"),
+              **raster.nodata_map("koppen_geiger")}
+    return raster.raster_grid(fx.landuse_long(spark, sf), fx.LANDUSE_VARIABLES, nodata,
+                              int_vars=("globcover", "koppen_geiger"))
+
+
 @register("soil_long", O.soil_long_sql)
 def q_soil_long(spark, sf):
     """A10 + F11 + C9 + I5: soil depth layers unpivoted, nodata masked, units applied."""

@@ -214,3 +214,28 @@ def lai_pixels_on_grid(spark: SparkSession, sf_dir: str, ext, deg: float) -> Dat
     return px.select("image_time", "obs_id", "raw_lai",
                      (F.lit(ext.north) - F.floor(F.col("cell") / 5).cast("double") * F.lit(dlat)).alias("lat"),
                      (F.lit(ext.west) + (F.col("cell") % 5).cast("double") * F.lit(dlon)).alias("lon"))
+
+
+LANDUSE_VARIABLES = ["globcover", "chelsa", "koppen_geiger"]
+
+
+def landuse_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land-cover, climate and climate-class rasters in long form, derived from ``part`` like
+    ``terrain_long``, with each variable's nodata code present (0, -32767, and both 0 and
+    32 for the climate class, the catalog's and the fetch's codes)."""
+    p = read_table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    var = F.col("variable")
+    value = (
+        F.when(var == "globcover",
+               F.when(pk % 13 == 0, _d(0.0)).otherwise((F.col("p_size") % 23 + 1) * _d(10.0)))
+        .when(var == "chelsa",
+              F.when(pk % 17 == 0, _d(-32767.0)).otherwise(F.floor(F.col("p_retailprice")) * _d(1.0)))
+        .otherwise(F.when(pk % 19 == 0, _d(32.0)).when(pk % 23 == 0, _d(0.0))
+                   .otherwise((F.col("p_size") % 30 + 1) * _d(1.0)))
+    )
+    return (p.select(pk.alias("cell"), _grid_lat(pk, 50).alias("lat"),
+                     (_d(85.0) + _d(0.25) * (pk % 50)).alias("lon"),
+                     "p_size", "p_retailprice", pk,
+                     F.explode(F.array(*[F.lit(v) for v in LANDUSE_VARIABLES])).alias("variable"))
+            .select("cell", "lat", "lon", "variable", value.alias("value")))
