@@ -121,16 +121,20 @@ def export_waterbodies(df: DataFrame, ext: Extent, id_mode: str = "position",
                        min_area: float | None = None) -> DataFrame:
     """Features meeting the extent, clipped to it, empty ones dropped, ids, height.
 
-    ``min_area`` is the model builder's area floor (L4). A filter keeps its schema, so an
-    extent with no hits yields an empty table with the full schema (B3).
+    ``min_area`` is the model builder's area floor (L4), applied after the ids are given.
+    A filter keeps its schema, so an extent with no hits yields an empty table with the full
+    schema (B3).
     """
     out = select_in_extent(df, ext, clip=True)
+    out = assign_ids(out, id_mode, source_field)
+    out = with_dam_height(out) if add_dam_height else out
     if min_area is not None:
+        # The model build applies the floor to the exported table: ids keep their export
+        # positions, and features without an area do not pass it.
         acol = first_existing(out, AREA_CANDIDATES)
         if acol:
             out = out.filter(F.col(acol) >= F.lit(min_area))
-    out = assign_ids(out, id_mode, source_field)
-    return with_dam_height(out) if add_dam_height else out
+    return out
 
 
 def empty_vector_schema(with_id: bool, with_height: bool) -> T.StructType:

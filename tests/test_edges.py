@@ -535,3 +535,11 @@ def test_job_parameter_checks():
         JobParams.of([1, 2, 3, 4], "2020-01-02", "2020-01-01")
     p = JobParams.of([85, 26, 87, 28], "2020-01-01", "2020-01-01")
     assert p.extent.buffer(2.0).as_list() == [83.0, 24.0, 89.0, 30.0] and p.climate_buffer == 2.0
+
+
+def test_area_floor_applies_after_ids(spark):
+    df = spark.createDataFrame(
+        [(1, 1e6, 0.5, 0.0, 1.0, 0.0, 1.0), (2, 1e6, 2.0, 0.0, 1.0, 0.0, 1.0), (3, 1e6, None, 0.0, 1.0, 0.0, 1.0)],
+        "hylak_id long, Vol_total double, Lake_area double, xmin double, xmax double, ymin double, ymax double")
+    out = waterbody.export_waterbodies(df, Extent(-1, -1, 2, 2), min_area=1.0).collect()
+    assert [(r.waterbody_id, r.Lake_area) for r in out] == [(1, 2.0)]   # ids from export positions
