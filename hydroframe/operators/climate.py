@@ -58,6 +58,8 @@ def select_region_period(df: DataFrame, ext: Extent, start: dt.date, end: dt.dat
 def clean_coordinates(df: DataFrame, lat_text: str = "lat_text", lon: str = "lon",
                       places: int = 5) -> DataFrame:
     """I1 + C6 + I2: text coordinates -> numbers, unreadable rows dropped, half-even round."""
+    if lat_text not in df.columns:   # no text form of the latitude: use the numeric column
+        lat_text = "lat"
     types = dict(df.dtypes)
     # Text coordinates are coerced (bad text -> NULL); numeric ones only widened.
     lat_v = to_number(lat_text) if types.get(lat_text) == "string" else F.col(lat_text).cast("double")
@@ -65,7 +67,7 @@ def clean_coordinates(df: DataFrame, lat_text: str = "lat_text", lon: str = "lon
     return (df.withColumn("lat", round_half_even(lat_v, places))
               .withColumn("lon", round_half_even(lon_v, places))
               .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-              .drop(lat_text))
+              .drop(*([lat_text] if lat_text != "lat" else [])))
 
 
 def bands_to_variables(df: DataFrame, bands: dict[str, str] = CLIMATE_BANDS,
@@ -105,14 +107,24 @@ def apply_catalog_units(spark: SparkSession, df: DataFrame, source: str) -> Data
     return apply_rules_join(df, catalog_rules(spark, source), source, default_nodata=wide_nodata)
 
 
+def job_rows(obs: DataFrame, params: JobParams) -> DataFrame:
+    """A12 + A14 + F1 + C7: the job's hourly rows as ``(…, variable, value)`` with usable
+    values. Accepts long rows (``band``, ``value``) or wide rows (one column per band, as
+    the hourly service returns them), melted here."""
+    ext = params.extent.buffer(params.climate_buffer)
+    rows = (obs.transform(lambda d: select_region_period(d, ext, params.start_date, params.end_date))
+               .transform(clean_coordinates))
+    if "band" in rows.columns:
+        rows = bands_to_variables(rows)
+    else:
+        rows = melt_bands(rows, [c for c in ("obs_id", "time", "lat", "lon") if c in rows.columns])
+    return drop_missing_values(rows)
+
+
 def hourly_long(spark: SparkSession, obs: DataFrame, params: JobParams,
                 source: str = "era5") -> DataFrame:
     """A12+A14: hourly long table of the job: region/period, clean, melt, dedupe, units."""
-    ext = params.extent.buffer(params.climate_buffer)
-    rows = (obs.transform(lambda d: select_region_period(d, ext, params.start_date, params.end_date))
-               .transform(clean_coordinates)
-               .transform(bands_to_variables)
-               .transform(drop_missing_values))
+    rows = job_rows(obs, params)
     deduped = resolve_duplicates(rows, ["time", "lat", "lon", "variable"])
     return apply_catalog_units(spark, deduped, source)
 
@@ -173,12 +185,7 @@ def pivot_latest(rows: DataFrame, keys: list[str], variables: list[str], value:
 def hourly_wide(spark: SparkSession, obs: DataFrame, params: JobParams,
                 source: str = "era5", variables: list[str] = CLIMATE_VARIABLES) -> DataFrame:
     """A12 + F1 + C7 + E9/I5 + D12 + F2: hourly rows of the job as one column per variable."""
-    ext = params.extent.buffer(params.climate_buffer)
-    rows = (obs.transform(lambda d: select_region_period(d, ext, params.start_date, params.end_date))
-               .transform(clean_coordinates)
-               .transform(bands_to_variables)
-               .transform(drop_missing_values))
-    converted = apply_catalog_units(spark, rows, source)
+    converted = apply_catalog_units(spark, job_rows(obs, params), source)
     return pivot_latest(converted, CUBE_KEYS, variables)
 
 

@@ -543,3 +543,23 @@ def test_area_floor_applies_after_ids(spark):
         "hylak_id long, Vol_total double, Lake_area double, xmin double, xmax double, ymin double, ymax double")
     out = waterbody.export_waterbodies(df, Extent(-1, -1, 2, 2), min_area=1.0).collect()
     assert [(r.waterbody_id, r.Lake_area) for r in out] == [(1, 2.0)]   # ids from export positions
+
+
+def test_wide_hourly_rows_equal_long_rows(spark):
+    t = dt.datetime(2024, 1, 1, 3)
+    wide = spark.createDataFrame(
+        [(1, t, 26.0, 85.0, 0.001, 280.0, None, 100.0, 101000.0),
+         (2, t + dt.timedelta(hours=1), 26.0, 85.0, 0.002, 282.0, 3600.0, 120.0, 101100.0)],
+        "obs_id long, time timestamp_ntz, lat double, lon double, total_precipitation double, "
+        "temperature_2m double, toa_incident_solar_radiation double, "
+        "mean_surface_direct_short_wave_radiation_flux double, mean_sea_level_pressure double")
+    long_rows = []
+    for r in wide.collect():
+        for b in climate.CLIMATE_BANDS:
+            long_rows.append((r.obs_id, r.time, r.lat, r.lon, str(r.lat), b, r[b]))
+    long_df = _obs(spark, long_rows)
+    p = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-01", climate_buffer=0)
+    a = climate.daily_forcing(spark, wide, p).collect()
+    b = climate.daily_forcing(spark, long_df, p).collect()
+    assert [tuple(x) for x in a] == [tuple(x) for x in b] and len(a) == 1
+    assert a[0].precip == pytest.approx(3.0)
