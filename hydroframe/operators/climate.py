@@ -203,9 +203,11 @@ def orography_hourly(geo: DataFrame, params: JobParams) -> DataFrame:
     """
     ext = params.extent.buffer(params.climate_buffer)
     rows = (geo.transform(lambda d: select_region_period(d, ext, params.start_date, params.end_date))
-               .transform(clean_coordinates)
-               .filter(F.col("band") == "geopotential")
-               .transform(drop_missing_values)
+               .transform(clean_coordinates))
+    # long rows (band, value) or wide rows with a ``geopotential`` column
+    rows = (rows.filter(F.col("band") == "geopotential") if "band" in rows.columns
+            else rows.withColumn("value", F.col("geopotential").cast("double")))
+    rows = (rows.transform(drop_missing_values)
                .withColumn("value", F.col("value") / F.lit(GRAVITY)))
     return resolve_duplicates(rows, CUBE_KEYS).withColumnRenamed("value", "elevtn")
 

@@ -563,3 +563,12 @@ def test_wide_hourly_rows_equal_long_rows(spark):
     b = climate.daily_forcing(spark, long_df, p).collect()
     assert [tuple(x) for x in a] == [tuple(x) for x in b] and len(a) == 1
     assert a[0].precip == pytest.approx(3.0)
+
+
+def test_orography_from_wide_rows(spark):
+    t = dt.datetime(2024, 1, 1, 3)
+    geo = spark.createDataFrame([(1, t, 26.0, 85.0, 9806.65), (2, t, 26.0, 85.0, 19613.3)],
+                                "obs_id long, time timestamp_ntz, lat double, lon double, geopotential double")
+    p = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-01", climate_buffer=0)
+    r = climate.orography_hourly(geo, p).collect()
+    assert len(r) == 1 and r[0].elevtn == pytest.approx(2000.0)   # largest obs_id wins
