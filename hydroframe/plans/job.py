@@ -43,7 +43,8 @@ class JobInputs:
 
 def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams,
                        out_dir: str, climate_source: str = "era5") -> dict[str, dict]:
-    """Run the chain and write every output; returns ``{output: {"path", "rows"}}``."""
+    """Run the chain and write every output; returns ``{output: {"path", "rows", "columns"}}``
+    (the write-back check of B7: each output re-read, counted, its columns listed)."""
     written: dict[str, dict] = {}
 
     def emit(name: str, df: DataFrame, cube_cols: list[str] | None = None) -> None:
@@ -54,7 +55,8 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
             sinks.write_vector(df, path)
         # Read back with the written schema: an empty partitioned cube has no data files,
         # and the schema keeps it a well-typed empty table.
-        written[name] = {"path": path, "rows": spark.read.schema(df.schema).parquet(path).count()}
+        back = spark.read.schema(df.schema).parquet(path)
+        written[name] = {"path": path, "rows": back.count(), "columns": back.columns}
 
     ext = params.extent
     if inputs.basins is not None:

@@ -261,6 +261,7 @@ def test_build_model_inputs_writes_every_output(spark):
     assert manifest["stations"]["rows"] == 0
     assert manifest["chunks"]["rows"] == 27          # 1995-01 .. 2001-08 in 3-month chunks
     assert manifest["reservoirs"]["rows"] == manifest["lakes"]["rows"] > 0
+    assert {"waterbody_id", "Dam_height"} <= set(manifest["reservoirs"]["columns"])
     # climate is Jan 2024, outside this job's period: the forcing output is empty but written
     assert manifest["forcing"]["rows"] == 0
     assert set(spark.read.parquet(manifest["terrain"]["path"]).columns) >= {"cell", "elevtn", "flwdir"}
