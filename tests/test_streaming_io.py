@@ -356,3 +356,14 @@ def test_job_vectors_and_landuse(spark):
     assert b.basid == 7 and b.area == pytest.approx(1.0)
     g = spark.read.parquet(m["landuse"]["path"]).first()
     assert g.globcover is None and g.chelsa == 12.0 and g.koppen_geiger == 32   # catalog nodata 0 for koppen
+
+
+def test_stream_restart_without_new_files_is_a_no_op(spark):
+    base = tempfile.mkdtemp(prefix="hf-stream2-", dir="/tmp")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    fx.obs_hourly(spark, SF_SMALL).write.parquet(os.path.join(src, "part1"))
+    for _ in range(2):   # the second start finds nothing new in the checkpointed offsets
+        start_daily_forcing_stream(spark, os.path.join(src, "*"), sink, ckpt, WHOLE_DOMAIN_JOB).awaitTermination()
+    got = spark.read.parquet(sink)
+    want = climate.daily_forcing(spark, fx.obs_hourly(spark, SF_SMALL), WHOLE_DOMAIN_JOB)
+    assert _rows(got.select(*want.columns)) == _rows(want)
