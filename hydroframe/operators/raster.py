@@ -81,6 +81,16 @@ def soil_long(wide: DataFrame, keys: list[str] = GRID_KEYS) -> DataFrame:
                           (v * F.coalesce(mult[base], F.lit(1.0))).alias("value"))
 
 
+def soil_grid(long_df: DataFrame, members: list[str], key: str = "cell",
+              carry: tuple = ("lat", "lon")) -> DataFrame:
+    """E10 for the soil family: the long soil table (model units, nodata NULL) back to one
+    column per member ``{v}_sl{n}``, one conditional aggregate keyed by the cell."""
+    member = member_name("variable", "depth")
+    aggs = [F.max(c).alias(c) for c in carry]
+    aggs += [F.max(F.when(member == m, F.col("value"))).alias(m) for m in members]
+    return long_df.groupBy(key).agg(*aggs)
+
+
 def present_members(long_df: DataFrame) -> DataFrame:
     """Members with at least one value in the table."""
     return (long_df.filter(F.col("value").isNotNull())

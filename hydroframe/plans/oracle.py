@@ -545,3 +545,10 @@ SELECT cell, max(lat) AS lat, max(lon) AS lon,
   max(CASE WHEN variable = 'chelsa' THEN value END) AS chelsa,
   CAST(max(CASE WHEN variable = 'koppen_geiger' THEN value END) AS INTEGER) AS koppen_geiger
 FROM m GROUP BY cell"""
+
+
+def soil_grid_sql() -> str:
+    mult = {"bd": 0.001, "ph": 0.1}
+    cols = ", ".join(f"round(nullif(CAST({v}_sl{n} AS DOUBLE), -32768{D}) * {mult[v]}{D}, 6) AS {v}_sl{n}"
+                     for v in ("bd", "ph") for n in range(1, 8))
+    return f"WITH {SOIL_WIDE}\nSELECT cell, lat, lon, {cols} FROM soil_wide"

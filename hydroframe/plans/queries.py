@@ -184,6 +184,14 @@ def q_soil_long(spark, sf):
     return _round(raster.soil_long(fx.soil_wide(spark, sf)), ["value"])
 
 
+@register("soil_grid", O.soil_grid_sql)
+def q_soil_grid(spark, sf):
+    """E10 + F11 + C9 + I5 for soil: one map per member in model units, nodata NULL."""
+    members = [f"{v}_sl{n}" for v in fx.SOIL_FIXTURE_VARS for n in range(1, 8)]
+    grid = raster.soil_grid(raster.soil_long(fx.soil_wide(spark, sf)), members)
+    return _round(grid, members)
+
+
 @register("static_maps", O.static_maps_sql)
 def q_static_maps(spark, sf):
     """E10 + F8 + F11: static maps per cell: terrain, top soil layer in model units and the
