@@ -212,15 +212,6 @@ def orography_hourly(geo: DataFrame, params: JobParams) -> DataFrame:
     return resolve_duplicates(rows, CUBE_KEYS).withColumnRenamed("value", "elevtn")
 
 
-def cube_axes(long_df: DataFrame) -> dict[str, DataFrame]:
-    """Distinct sorted axes. Each is small (bounded by extent/resolution and period)."""
-    return {
-        "time": long_df.select("time").distinct().orderBy("time"),
-        "lat": long_df.select("lat").distinct().orderBy("lat"),
-        "lon": long_df.select("lon").distinct().orderBy("lon"),
-    }
-
-
 def cube_shape(long_df: DataFrame) -> DataFrame:
     """D13 (+D2): per-axis counts, dense size and observed cells, in one aggregate.
 
