@@ -126,3 +126,21 @@ def row_and(docs: DataFrame, **cols: Column) -> DataFrame:
     """
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        *[c.alias(n) for n, c in cols.items()])
+
+
+def hash_fraction(key: str) -> Column:
+    """A number from 0 to 1 that a hash of the column sets: rows below a share are a fixed sample."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(77), F.col(key)), 11) / float(1 << 53)
+
+
+def without_ids(docs: DataFrame, key: str, drop: DataFrame, drop_col: str) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` is not in ``drop``; rows that stay are mostly not moved.
+
+    Null keys stay.
+    """
+    routed = route(docs, key, drop, drop_col)
+    sure = routed.where(~F.col("_maybe")).drop("_maybe")
+    ids = drop.select(F.col(drop_col).alias("_drop_id"))
+    maybe = routed.where(F.col("_maybe")).drop("_maybe")
+    left = maybe.join(ids, maybe[key] == ids["_drop_id"], "left_anti")
+    return sure.unionByName(left)

@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydroframe.llm import exact_dedup, packing, pfair_mix, stratified_shards
+from hydroframe.llm import (exact_dedup, html_tree, iblt_fingerprint, jaccard_join, langid, license_lookup, packing, pfair_mix,
+                            stratified_shards, toxicity)
 from hydroframe.llm.common import documents
+from hydroframe.sources.tables import read_table
+
+
+def op1_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt_fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+def op2_license_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_lookup.scan_licences(documents(spark, sf_dir))
 
 
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +28,14 @@ def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.pfair_mix(documents(spark, sf_dir))
 
 
+def op5_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -26,6 +44,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 OP7_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -37,9 +63,10 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_stratified_shards, op4_pfair_mix, op7_exact_dedup,
-                                    op8_best_fit_packing)}
+    return {f.__name__: f for f in (op1_iblt_fingerprint, op2_license_lookup, op3_stratified_shards, op4_pfair_mix, op5_html_tree,
+                                    op6_jaccard_join, op7_exact_dedup, op8_best_fit_packing, op9_toxicity,
+                                    op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op2_license_lookup": license_lookup.oracle(), "op7_exact_dedup": OP7_SQL}
