@@ -127,8 +127,3 @@ def depth_of(member) -> Column:
     """the depth number of ``{v}_sl{n}``; NULL for flat members."""
     d = F.regexp_extract(col(member), r"_sl(\d+)$", 1)
     return F.when(d == "", F.lit(None).cast("int")).otherwise(d.cast("int"))
-
-
-def base_of(member) -> Column:
-    """the variable of ``{v}_sl{n}``."""
-    return F.regexp_replace(col(member), r"_sl\d+$", "")

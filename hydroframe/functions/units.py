@@ -56,10 +56,14 @@ def unit_expr(source: str, variable: str, value: Column) -> Column:
     return out
 
 
-def apply_renames(df: DataFrame, source: str) -> DataFrame:
-    """catalog renames of one source, on a wide table."""
-    mapping = {v: r["rename_to"] for v, r in rules_for(source).items()
-               if r.get("rename_to") and v in df.columns}
+def apply_renames(df: DataFrame, source: str, rules: DataFrame | None = None) -> DataFrame:
+    """catalog renames of one source, on a wide table; ``rules`` is a user's own table
+    (a few rows per variable of the schema)."""
+    if rules is None:
+        named = {v: r["rename_to"] for v, r in rules_for(source).items()}
+    else:
+        named = {r["variable"]: r["rename_to"] for r in rules.filter(F.col("source") == source).collect()}
+    mapping = {v: to for v, to in named.items() if to and v in df.columns}
     return df.withColumnsRenamed(mapping) if mapping else df
 
 

@@ -19,7 +19,7 @@ from hydroframe.functions.units import apply_rules_join
 from hydroframe.params import Extent, JobParams
 from hydroframe.session import ensure_checkpoint_dir
 from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VARIABLES,
-                                        GRAVITY, catalog_rules, rules_for)
+                                        GRAVITY, catalog_rules, rules_for, time_shift_days)
 
 CELL_KEYS = ["lat", "lon"]
 AXIS_BROADCAST_MAX_ROWS = 2_000_000  # an axis of (value, position) pairs: ~32 MB at most
@@ -101,8 +101,12 @@ def resolve_duplicates(df: DataFrame, keys: list[str], value: str = "value",
     return df.groupBy(*keys).agg(F.max_by(F.col(value), F.col(order)).alias(value))
 
 
-def apply_catalog_units(spark: SparkSession, df: DataFrame, source: str) -> DataFrame:
-    """E9 + I5: catalog unit rules of ``source`` on the long table (broadcast of the catalog)."""
+def apply_catalog_units(spark: SparkSession, df: DataFrame, source: str,
+                        rules: DataFrame | None = None) -> DataFrame:
+    """E9 + I5: catalog unit rules of ``source`` on the long table (broadcast of the catalog);
+    ``rules`` is a user's own rule table (A17)."""
+    if rules is not None:
+        return apply_rules_join(df, rules, source)
     wide_nodata = rules_for(source).get("*", {}).get("nodata")
     return apply_rules_join(df, catalog_rules(spark, source), source, default_nodata=wide_nodata)
 
@@ -122,11 +126,11 @@ def job_rows(obs: DataFrame, params: JobParams) -> DataFrame:
 
 
 def hourly_long(spark: SparkSession, obs: DataFrame, params: JobParams,
-                source: str = "era5") -> DataFrame:
+                source: str = "era5", rules: DataFrame | None = None) -> DataFrame:
     """A12+A14: hourly long table of the job: region/period, clean, melt, dedupe, units."""
     rows = job_rows(obs, params)
     deduped = resolve_duplicates(rows, ["time", "lat", "lon", "variable"])
-    return apply_catalog_units(spark, deduped, source)
+    return apply_catalog_units(spark, deduped, source, rules)
 
 
 # Daily aggregation rule per variable (L5): precipitation is summed, the rest averaged.
@@ -158,9 +162,12 @@ def to_daily(long_df: DataFrame, variables: list[str] = CLIMATE_VARIABLES,
 
 
 def daily_forcing(spark: SparkSession, obs: DataFrame, params: JobParams,
-                  source: str = "era5", shift_days: int = 0) -> DataFrame:
-    """Flagship: daily precipitation/temperature/radiation/pressure per cell."""
-    return to_daily(hourly_long(spark, obs, params, source), shift_days=shift_days)
+                  source: str = "era5", shift_days: int = 0, rules: DataFrame | None = None) -> DataFrame:
+    """Flagship: daily precipitation/temperature/radiation/pressure per cell. A user's
+    ``rules`` bring their own units and time shift (Q10)."""
+    if rules is not None:
+        shift_days += time_shift_days(rules, source)
+    return to_daily(hourly_long(spark, obs, params, source, rules), shift_days=shift_days)
 
 
 def long_to_wide(long_df: DataFrame, keys: list[str], variables: list[str],

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from hydroframe.functions.scalar import evenly_spaced_index
@@ -59,12 +60,25 @@ def select_slots(days: DataFrame, k: int = TARGET_SLICES, step_days: int = PAD_S
                .select("last", "m", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(k) - F.col("m"), F.lit(0)))).alias("j"))
                .filter((F.col("j") >= 1) & (F.col("j") <= F.lit(k) - F.col("m")))
                .select((F.col("m") + F.col("j") - 1).alias("slot"),
-                       F.date_add(F.col("last"), (F.col("j") * step_days).cast("int")).alias("time"),
+                       _days_later("last", F.col("j") * step_days, days.schema["time"].dataType).alias("time"),
                        F.lit(None).cast("bigint").alias("n_images"),
                        F.lit(True).alias("is_padding")))
     return real.unionByName(pad).filter(F.col("slot") < k)
 
 
+def _days_later(col: str, n: Column, kind: T.DataType) -> Column:
+    """A date or time moved by whole days; a time keeps its time of day."""
+    if isinstance(kind, T.DateType):
+        return F.date_add(F.col(col), n.cast("int"))
+    return F.col(col) + F.make_dt_interval(days=n.cast("int"))
+
+
+def archive_period(images: DataFrame, col: str = "image_time") -> tuple[dt.date, dt.date]:
+    """First and last image day of a table (one aggregate row)."""
+    r = images.agg(F.to_date(F.min(col)).alias("a"), F.to_date(F.max(col)).alias("b")).first()
+    return r["a"], r["b"]
+
+
 def scaled_lai(raw: str = "raw_lai") -> F.Column:
     """I4 + C8: raw x 0.1, outside 0..10 -> missing."""
     return valid_range(F.col(raw).cast("double") * F.lit(LAI_SCALE), *LAI_VALID)
@@ -94,22 +108,21 @@ def fallback_images(targets: DataFrame, days: DataFrame, target_col: str = "targ
     """E5 + E6 / Q21: the image of the target day, else the *first by time* image in
     ``[day - 2, day + 3)`` (not the closest); NULL when none.
 
-    The range join becomes an equi-join: each target is exploded into its five candidate
-    days and joined to the distinct image days, then one aggregate per target decides.
+    Images may have a time of day: a day stands for its first image, and ``image_day`` is
+    that image's time. The range join becomes an equi-join: each target is exploded into its
+    five candidate days and left-joined to the days, then one aggregate per target decides.
     """
     offs = F.sequence(F.lit(-FALLBACK_BEFORE_DAYS), F.lit(FALLBACK_AFTER_DAYS - 1))
     cand = targets.select(target_col, F.explode(offs).alias("off")) \
         .withColumn("cand_day", F.date_add(F.col(target_col), F.col("off")))
-    # Image days: at most one row per calendar day of the archive (366 a year), a proven
-    # bound, so the side is broadcast without a counting job.
-    hits = cand.join(F.broadcast(days.select(F.col("time").alias("cand_day"))), "cand_day")
+    # One row per calendar day of the archive (366 a year) by this aggregate: a proven bound.
+    firsts = days.groupBy(F.to_date("time").alias("cand_day")).agg(F.min("time").alias("first_image"))
+    hits = cand.join(F.broadcast(firsts), "cand_day", "left")
+    on_day = F.col("off") == 0
     per_target = hits.groupBy(target_col).agg(
-        F.max((F.col("off") == 0).cast("int")).alias("_exact"),
-        F.min("cand_day").alias("_first"))
-    return (targets.join(per_target, target_col, "left")
-                   .select(target_col,
-                           F.when(F.col("_exact") == 1, F.col(target_col)).otherwise(F.col("_first")).alias("image_day"),
-                           F.coalesce(F.col("_exact") == 1, F.lit(False)).alias("exact_day")))
+        F.max(F.when(on_day, F.col("first_image"))).alias("_exact"), F.min("first_image").alias("_first"))
+    return per_target.select(target_col, F.coalesce("_exact", "_first").alias("image_day"),
+                             F.col("_exact").isNotNull().alias("exact_day"))
 
 
 def lai_grid_cube(pixels: DataFrame, slots: DataFrame, ext, deg: float | None = None) -> DataFrame:

@@ -5,10 +5,9 @@ absorbing (it points to itself), every other cell points downstream. Each round
 a pointer by the pointer of its target, so after r rounds a cell has jumped 2^r steps; a cell
 is upstream exactly when its final pointer is the outlet. Doubling steps grow with log2 of
 the longest river and each is one equi-join of the still-active cells; every two steps the
-lineage is cut with a reliable checkpoint in ``spark.checkpoint.dir`` (so a lost executor
-recomputes two joins, not the whole chain) and one count checks convergence. Finished cells
-leave the join, so the outlet and terminal cells (the hottest keys) never enter it; a hot
-target inside the network is split by AQE's skew-join rule.
+active cells are cut from their lineage with a reliable checkpoint in
+``spark.checkpoint.dir``. Finished cells leave the join, so the outlet and terminal cells (the
+hottest keys) never enter it; a hot target inside the network is split by AQE's skew-join rule.
 """
 
 from __future__ import annotations
@@ -34,51 +33,44 @@ def snap_outlet(cells: DataFrame, x: float, y: float, min_order: int = OUTLET_MI
     return None if row is None else row["cell"]
 
 
-def upstream_cells(cells: DataFrame, outlet: int, max_rounds: int = 64,
-                   steps_per_round: int = 2) -> DataFrame:
+def upstream_cells(cells: DataFrame, outlet: int, steps_per_round: int = 2) -> DataFrame:
     """L1: all cells whose downstream path reaches ``outlet`` (the outlet included).
 
-    Cells whose pointer can no longer change are marked ``done`` (it points at the outlet,
-    outside the table, or at a finished cell) and stay out of the join: the hottest join
-    keys (the outlet, the network's terminal cells) never enter it, and each round only
-    moves the cells still travelling. Each round applies ``steps_per_round`` doubling steps,
-    then writes a reliable checkpoint and checks once whether any cell is still active.
+    Each doubling step joins the cells still travelling with the table of travelling and
+    arrived cells: a pointer at the outlet or at an arrived cell has arrived, one that leaves
+    both is dead. Only travelling cells, and those that arrived in the round, are written.
+    After log2(cells) + 1 steps a path longer than the table can only be a cycle, so cells
+    that still travel lead into one and are not upstream of the outlet.
     """
     spark = cells.sparkSession
     ensure_checkpoint_dir(spark)
-    is_outlet = F.col("cell") == F.lit(outlet)
-    ptr = cells.select("cell", F.when(is_outlet, F.col("cell")).otherwise(F.col("next_cell")).alias("ptr"))
-    ptr = ptr.withColumn("done", F.col("ptr") == F.lit(outlet)).checkpoint(eager=True)
-    for _ in range(max_rounds):
-        cur, held = ptr, []
-        for step in range(steps_per_round):
-            cur = _double(cur, outlet)
-            if step < steps_per_round - 1:
-                # read three times by the next step (finished, active, lookup): keep it
-                # (memory and disk); a lost block is recomputed from the last checkpoint
-                cur = cur.persist()
-                held.append(cur)
-        cur = cur.checkpoint(eager=True)
-        for h in held:
-            h.unpersist()
-        ptr = cur
-        if cur.filter(~F.col("done")).limit(1).count() == 0:
+    own = cells.select("cell", F.col("next_cell").alias("ptr"))
+    n_cells = cells.count()
+    home = own.filter(F.col("cell") == F.lit(outlet)).select("cell", F.lit(outlet).alias("ptr"))
+    first = own.filter(F.col("cell") != F.lit(outlet))
+    arrived = home.unionByName(first.filter(F.col("ptr") == F.lit(outlet))).checkpoint(eager=True)
+    active = first.filter(F.col("ptr") != F.lit(outlet)).checkpoint(eager=True)
+    for done in range(0, max(1, n_cells).bit_length() + 1, steps_per_round):
+        if active.isEmpty():
             break
-    keep = ptr.filter(F.col("ptr") == F.lit(outlet)).select("cell")
-    return cells.join(keep, "cell", "left_semi")
-
-
-def _double(ptr: DataFrame, outlet: int) -> DataFrame:
-    """One doubling step for the active cells: ``ptr <- ptr(ptr)``; finished cells pass."""
-    lookup = ptr.select(F.col("cell").alias("_t"), F.col("ptr").alias("_tp"), F.col("done").alias("_td"))
-    active = ptr.filter(~F.col("done"))
-    stepped = (active.join(lookup, active["ptr"] == lookup["_t"], "left")
-                     .select("cell",
-                             F.coalesce("_tp", "ptr").alias("ptr"),
-                             # off the table, onto a finished cell, or onto the outlet: final
-                             (F.col("_t").isNull() | F.col("_td")
-                              | (F.coalesce("_tp", "ptr") == F.lit(outlet))).alias("done")))
-    return ptr.filter(F.col("done")).unionByName(stepped)
+        travelling, new = active, None
+        for _ in range(steps_per_round):
+            seen = arrived if new is None else arrived.unionByName(new)
+            stepped = _double(travelling, seen)
+            home = stepped.filter(F.col("ptr") == F.lit(outlet))
+            new = home if new is None else new.unionByName(home)
+            travelling = stepped.filter(F.col("ptr") != F.lit(outlet))
+        stamped = (travelling.withColumn("home", F.lit(False))
+                   .unionByName(new.withColumn("home", F.lit(True))).checkpoint(eager=True))
+        active = stamped.filter(~F.col("home")).select("cell", "ptr")
+        arrived = arrived.unionByName(stamped.filter("home").select("cell", "ptr"))
+    return cells.join(arrived.select("cell"), "cell", "left_semi")
+
+
+def _double(active: DataFrame, arrived: DataFrame) -> DataFrame:
+    """One doubling step, ``ptr <- ptr(ptr)``; cells whose pointer leads nowhere are gone."""
+    lookup = active.unionByName(arrived).select(F.col("cell").alias("_t"), F.col("ptr").alias("_tp"))
+    return active.join(lookup, active["ptr"] == lookup["_t"]).select("cell", F.col("_tp").alias("ptr"))
 
 
 def river_cells(cells: DataFrame, min_uparea: float = RIVER_MIN_UPAREA) -> DataFrame:
@@ -93,18 +85,19 @@ def river_floors(df: DataFrame, width: str = "rivwth", depth: str = "rivdph") ->
 
 
 def coarse_key(coord: str, origin: float, step: float) -> F.Column:
-    """Integer bucket of a coordinate on the coarse (climate) grid."""
-    return F.floor((F.col(coord) - F.lit(origin)) / F.lit(step)).cast("bigint")
+    """Number of the nearest node of the coarse (climate) grid; ``origin`` is a node."""
+    return F.floor((F.col(coord) - F.lit(origin)) / F.lit(step) + F.lit(0.5)).cast("bigint")
 
 
 def attach_coarse_cell(fine: DataFrame, coarse: DataFrame, lat0: float, lon0: float,
                        step: float, coarse_cols: list[str]) -> DataFrame:
-    """Each fine model cell gets the coarse climate cell it falls in (equi-join on
-    integer buckets, no range or nearest-neighbour join)."""
+    """Each fine model cell gets its nearest coarse climate cell (equi-join on integer
+    node numbers, no range or nearest-neighbour join); a cell whose node has no climate
+    rows stays, with NULLs."""
     f = fine.withColumns({"_ki": coarse_key("lat", lat0, step), "_kj": coarse_key("lon", lon0, step)})
     c = coarse.select(coarse_key("lat", lat0, step).alias("_ki"), coarse_key("lon", lon0, step).alias("_kj"),
                       *coarse_cols)
-    return f.join(c, ["_ki", "_kj"]).drop("_ki", "_kj")
+    return f.join(c, ["_ki", "_kj"], "left").drop("_ki", "_kj")
 
 
 # Standard-atmosphere lapse rate (K per m); a parameter, not a reference value.
@@ -116,6 +109,17 @@ def lapse_corrected_temp(temp: str, z_model: str, z_forcing: str, lapse: float =
     return F.col(temp) - F.lit(lapse) * (F.col(z_model) - F.col(z_forcing))
 
 
+# Barometric formula of the standard atmosphere; parameters, not reference values.
+SEA_LEVEL_KELVIN, GRAVITY, GAS_CONSTANT, MOLAR_MASS = 288.15, 9.80665, 8.3144621, 0.0289644
+
+
+def elevation_corrected_pressure(press_msl: str, z_model: str, lapse: float = LAPSE_RATE) -> F.Column:
+    """Sea-level pressure moved to the model elevation."""
+    exponent = GRAVITY * MOLAR_MASS / (GAS_CONSTANT * lapse)
+    ratio = (F.lit(SEA_LEVEL_KELVIN) - F.lit(lapse) * F.col(z_model)) / F.lit(SEA_LEVEL_KELVIN)
+    return F.col(press_msl) * F.pow(ratio, F.lit(exponent))
+
+
 def pet_debruin(temp_c: F.Column, press_hpa: F.Column, k_surface: F.Column, k_toa: F.Column,
                 timestep: float = 86400.0, cp: float = 1005.0, beta: float = 20.0,
                 cs: float = 110.0, albedo: float = 0.23) -> F.Column:

@@ -6,10 +6,10 @@ is one conditional aggregation keyed by the cell (one shuffle), not one join per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroframe.functions.scalar import base_of, depth_of, member_name
+from hydroframe.functions.scalar import member_name
 from hydroframe.params import Extent
 from hydroframe.sources.catalog import (SOIL_DEPTH_VARIABLES, SOIL_DEPTHS, SOIL_FLAT_VARIABLES,
                                         SOIL_MULT, SOIL_NODATA, rules_for)
@@ -68,38 +68,41 @@ def soil_member_table(spark: SparkSession) -> DataFrame:
     return flat.unionByName(deep).withColumn("member", member_name("variable", "depth"))
 
 
+def _member_parts(member: str) -> tuple[str, int | None]:
+    base, sep, depth = member.rpartition("_sl")
+    return (base, int(depth)) if sep and depth.isdigit() else (member, None)
+
+
+def _member_value(member: str) -> Column:
+    """C9 + I5 of one soil column: nodata -> NULL, catalog factor."""
+    v = F.col(member).cast("double")
+    return (F.when(v != F.lit(SOIL_NODATA), v) * F.lit(SOIL_MULT.get(_member_parts(member)[0], 1.0)))
+
+
 def soil_long(wide: DataFrame, keys: list[str] = GRID_KEYS) -> DataFrame:
     """F11 + C9 + I5: ``{v}_sl{n}`` columns -> ``(…, variable, depth, value)``; nodata
-    -32768 -> NULL; catalog factors (bd x0.001, oc/ph x0.1)."""
+    -32768 -> NULL; catalog factors (bd x0.001, oc/ph x0.1). Names and factors are literals
+    of the plan, so the stage is one compiled projection."""
     members = [c for c in wide.columns if c not in keys]
-    long_df = wide.select(*keys, *[F.col(m).cast("double").alias(m) for m in members]) \
-        .unpivot(keys, members, "member", "value")
-    mult = F.create_map(*[F.lit(x) for kv in SOIL_MULT.items() for x in kv])
-    base = base_of("member")
-    v = F.nullif(F.col("value"), F.lit(SOIL_NODATA))
-    return long_df.select(*keys, base.alias("variable"), depth_of("member").alias("depth"),
-                          (v * F.coalesce(mult[base], F.lit(1.0))).alias("value"))
-
-
-def soil_grid(long_df: DataFrame, members: list[str], key: str = "cell",
-              carry: tuple = ("lat", "lon")) -> DataFrame:
-    """E10 for the soil family: the long soil table (model units, nodata NULL) back to one
-    column per member ``{v}_sl{n}``, one conditional aggregate keyed by the cell."""
-    member = member_name("variable", "depth")
-    aggs = [F.max(c).alias(c) for c in carry]
-    aggs += [F.max(F.when(member == m, F.col("value"))).alias(m) for m in members]
-    return long_df.groupBy(key).agg(*aggs)
+    rows = [F.struct(F.lit(_member_parts(m)[0]).alias("variable"), F.lit(_member_parts(m)[1]).cast("int").alias("depth"),
+                     _member_value(m).alias("value")) for m in members]
+    return wide.select(*keys, F.inline(F.array(*rows)))
 
 
-def present_members(long_df: DataFrame) -> DataFrame:
-    """Members with at least one value in the table."""
-    return (long_df.filter(F.col("value").isNotNull())
-                   .select(member_name("variable", "depth").alias("member")).distinct())
+def soil_grid(wide: DataFrame, members: list[str], keys: list[str] = GRID_KEYS) -> DataFrame:
+    """E10 for the soil family: one column per member in model units, nodata NULL. The
+    source is wide already, so this is a projection without a shuffle."""
+    return wide.select(*keys, *[_member_value(m).alias(m) for m in members])
 
 
-def missing_members(expected: DataFrame, present: DataFrame) -> DataFrame:
-    """Members not yet present (anti join; skip-existing at table level)."""
-    return expected.join(present, "member", "left_anti")
+def missing_members(spark: SparkSession, wide: DataFrame, keys: list[str] = GRID_KEYS) -> DataFrame:
+    """Soil members without a single value in the wide table (skip-existing at table
+    level): one ``bool_or`` per column, then the expected members that are not true."""
+    present = [c for c in wide.columns if c not in keys]
+    seen = wide.agg(*[F.bool_or(_member_value(m).isNotNull()).alias(m) for m in present])
+    flags = F.array(*[F.struct(F.lit(m).alias("member"), F.coalesce(F.col(m), F.lit(False)).alias("there")) for m in present])
+    have = seen.select(F.inline(flags)).filter("there").select("member")
+    return soil_member_table(spark).join(F.broadcast(have), "member", "left_anti")  # one row per column
 
 
 def grid_shape(ext: Extent, deg: float = DEG_PER_500M) -> tuple[int, int, float, float]:

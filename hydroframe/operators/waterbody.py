@@ -14,6 +14,7 @@ from hydroframe.operators.extent import select_in_extent
 from hydroframe.functions.scalar import clip, nan_to_null
 from hydroframe.operators.ids import exact_median, sequential_id
 from hydroframe.params import Extent
+from hydroframe.sources.vector import polygons_in_extent
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's dam-height model).
@@ -60,7 +61,8 @@ def valid_volume_area(volume: Column, area: Column) -> Column:
 def dam_height_expr(volume: Column, area: Column) -> Column:
     """H1: blended estimate by size class, clipped to [5, 300]; invalid rows get 20 m.
 
-    Clipping comes before the infinity replacement, so an infinite estimate becomes 300 (Q18).
+    Clipping comes before the infinity replacement, so an infinite estimate becomes 300 (Q18);
+    an undefined one (both inputs infinite) is missing and gets 20.
     """
     est = height_estimates(volume, area)
     cls = size_class(volume)
@@ -70,7 +72,7 @@ def dam_height_expr(volume: Column, area: Column) -> Column:
                  + F.lit(w_cubic) * est["cubic"])
         blended = (F.when(cls == name, value) if blended is None
                    else blended.when(cls == name, value))
-    clipped = clip(blended, MIN_HEIGHT, MAX_HEIGHT)
+    clipped = clip(nan_to_null(blended), MIN_HEIGHT, MAX_HEIGHT)
     return F.when(valid_volume_area(volume, area), F.coalesce(clipped, F.lit(DEFAULT_HEIGHT))) \
             .otherwise(F.lit(DEFAULT_HEIGHT))
 
@@ -125,7 +127,18 @@ def export_waterbodies(df: DataFrame, ext: Extent, id_mode: str = "position",
     A filter keeps its schema, so an extent with no hits yields an empty table with the full
     schema (B3).
     """
-    out = select_in_extent(df, ext, clip=True)
+    return _exported(select_in_extent(df, ext, clip=True), id_mode, source_field, add_dam_height, min_area)
+
+
+def export_polygons(df: DataFrame, ext: Extent, id_mode: str = "position", source_field: str = "hylak_id",
+                    add_dam_height: bool = True, min_area: float | None = None, polys: str = "polys") -> DataFrame:
+    """A3-A6 with geometry: like ``export_waterbodies`` for polygon features; the clipped
+    rings, their area and box are kept beside the properties."""
+    return _exported(polygons_in_extent(df, ext, polys), id_mode, source_field, add_dam_height, min_area)
+
+
+def _exported(out: DataFrame, id_mode: str, source_field: str, add_dam_height: bool,
+              min_area: float | None) -> DataFrame:
     out = assign_ids(out, id_mode, source_field)
     out = with_dam_height(out) if add_dam_height else out
     if min_area is not None:
@@ -159,6 +172,16 @@ def dam_height_summary(df: DataFrame, h: str = "Dam_height") -> DataFrame:
     ).withColumn("median_height", F.round(F.lit(med).cast("double"), 6))
 
 
+def input_summary(df: DataFrame) -> DataFrame:
+    """Count and range of volume and area over the rows valid for an estimate."""
+    v = nan_to_null(F.col(first_existing(df, VOLUME_CANDIDATES)).cast("double"))
+    a = nan_to_null(F.col(first_existing(df, AREA_CANDIDATES)).cast("double"))
+    aggs = [F.count("*").alias("n_valid")]
+    for name, c in (("volume", "_v"), ("area", "_a")):
+        aggs += [F.round(f(c), 6).alias(f"{kind}_{name}") for kind, f in (("min", F.min), ("max", F.max), ("mean", F.avg))]
+    return df.filter(valid_volume_area(v, a)).select(v.alias("_v"), a.alias("_a")).agg(*aggs)
+
+
 def dam_height_by_class(df: DataFrame, h: str = "Dam_height") -> DataFrame:
     """Mean height and count per size class (classes by volume, valid or not)."""
     vcol = first_existing(df, VOLUME_CANDIDATES)

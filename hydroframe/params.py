@@ -23,6 +23,13 @@ class Extent:
         return [self.west, self.south, self.east, self.north]
 
 
+def _iso_date(text: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(text)
+    except ValueError:
+        return None
+
+
 @dataclass(frozen=True)
 class JobParams:
     extent: Extent
@@ -35,20 +42,19 @@ class JobParams:
 
     @staticmethod
     def of(extent, start: str, end: str, outlet=(0.0, 0.0), climate_buffer: float = 2.0):
-        """Job parameters from user input, checked like the reference's job form: four
-        extent values, two outlet values, ``YYYY-MM-DD`` dates, end not before start."""
-        if len(extent) != 4:
-            raise ValueError(f"Extent must have 4 values, got {len(extent)}")
-        if len(outlet) != 2:
-            raise ValueError(f"Outlet must have 2 values, got {len(outlet)}")
-        try:
-            s, e = dt.datetime.strptime(start, "%Y-%m-%d").date(), dt.datetime.strptime(end, "%Y-%m-%d").date()
-        except ValueError as err:
-            raise ValueError(f"Invalid date format: {err}") from err
-        if e < s:
-            raise ValueError("End date must be after start date")
-        return JobParams(Extent(*[float(v) for v in extent]), s, e, float(outlet[0]), float(outlet[1]),
-                         float(climate_buffer))
+        """Job parameters from user input: ``[west, south, east, north]``, ISO dates of the first
+        and last day, outlet ``(lon, lat)``. All faults found are named in one message."""
+        first, last = _iso_date(start), _iso_date(end)
+        faults = [text for text, wrong in (
+            ("extent needs west, south, east and north", len(extent) != 4),
+            ("outlet needs lon and lat", len(outlet) != 2),
+            (f"{start!r} is not a date like 2024-01-31", first is None),
+            (f"{end!r} is not a date like 2024-01-31", last is None),
+            ("the period ends before it starts", first is not None and last is not None and last < first)) if wrong]
+        if faults:
+            raise ValueError("; ".join(faults))
+        lon, lat = map(float, outlet)
+        return JobParams(Extent(*map(float, extent)), first, last, lon, lat, float(climate_buffer))
 
     def with_(self, **kw) -> "JobParams":
         return replace(self, **kw)
@@ -57,8 +63,7 @@ class JobParams:
 # Parameters suggested for the test tables (FIXTURES.md): a 2x2 degree extent, one week.
 FIXTURE_JOB = JobParams.of([85, 26, 87, 28], "2024-01-05", "2024-01-11", outlet=(85.4, 26.6))
 
-# The whole fixture domain: every observation of the test tables falls inside, so the
-# registered queries run over whole tables while still going through the extent and period
-# filters.
-WHOLE_DOMAIN_JOB = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-31",
-                                outlet=(85.4, 26.6), climate_buffer=0.0)
+# No bound on coordinates: whatever the table's size, the registered queries run over all of
+# it while still going through the extent filter. (The edge-cutting queries have their own.)
+EVERYWHERE = Extent(-1e9, -1e9, 1e9, 1e9)
+WHOLE_DOMAIN_JOB = JobParams(EVERYWHERE, dt.date(2024, 1, 1), dt.date(2024, 1, 31), 85.4, 26.6, climate_buffer=0.0)

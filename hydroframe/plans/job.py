@@ -31,8 +31,8 @@ class JobInputs:
     landuse_long: DataFrame | None = None      # (cell, lat, lon, variable, value): globcover, chelsa, koppen_geiger
     hourly_obs: DataFrame | None = None        # (obs_id, time, lat, lon, lat_text, band, value)
     geopotential: DataFrame | None = None      # same shape, band 'geopotential'
-    waterbodies: DataFrame | None = None       # (hylak_id, Vol_total, Lake_area, xmin, xmax, ymin, ymax)
-    glaciers: DataFrame | None = None          # boxes with an area column
+    waterbodies: DataFrame | None = None       # (hylak_id, Vol_total, Lake_area) and polys, or xmin, xmax, ymin, ymax
+    glaciers: DataFrame | None = None          # polys or boxes, with an area column
     terrain_long: DataFrame | None = None      # (cell, lat, lon, variable, value)
     soil_wide: DataFrame | None = None         # (cell, lat, lon, {var}_sl{n}…)
     lai_pixels: DataFrame | None = None        # (image_time, lat, lon | cell, obs_id, raw_lai)
@@ -41,10 +41,17 @@ class JobInputs:
     stations_csv: str | None = None            # station CSV path (empty table when absent)
 
 
+def _export_of(features: DataFrame):
+    """The export for a layer with rings, or with boxes only."""
+    return waterbody.export_polygons if "polys" in features.columns else waterbody.export_waterbodies
+
+
 def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams,
-                       out_dir: str, climate_source: str = "era5") -> dict[str, dict]:
+                       out_dir: str, climate_source: str = "era5",
+                       rules: DataFrame | None = None) -> dict[str, dict]:
     """Run the chain and write every output; returns ``{output: {"path", "rows", "columns"}}``
-    (the write-back check of B7: each output re-read, counted, its columns listed)."""
+    (the write-back check of B7: each output re-read, counted, its columns listed).
+    ``rules`` is the user's own catalog as a table (``catalog_rules_from_yaml``)."""
     written: dict[str, dict] = {}
 
     def emit(name: str, df: DataFrame, cube_cols: list[str] | None = None) -> None:
@@ -67,12 +74,12 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
         emit("rivers", vector.lines_in_extent(inputs.rivers, ext))
     if inputs.waterbodies is not None:
         # reservoirs and lakes: the same asset and the same export (ids, dam height)
-        emit("reservoirs", waterbody.export_waterbodies(inputs.waterbodies, ext,
-                                                        min_area=AREA_FLOOR["reservoirs"]))
-        emit("lakes", waterbody.export_waterbodies(inputs.waterbodies, ext, min_area=AREA_FLOOR["lakes"]))
+        export = _export_of(inputs.waterbodies)
+        emit("reservoirs", export(inputs.waterbodies, ext, min_area=AREA_FLOOR["reservoirs"]))
+        emit("lakes", export(inputs.waterbodies, ext, min_area=AREA_FLOOR["lakes"]))
     if inputs.glaciers is not None:
-        emit("glaciers", waterbody.export_waterbodies(inputs.glaciers, ext, id_mode="none",
-                                                      add_dam_height=False, min_area=AREA_FLOOR["glaciers"]))
+        emit("glaciers", _export_of(inputs.glaciers)(inputs.glaciers, ext, id_mode="none", add_dam_height=False,
+                                                     min_area=AREA_FLOOR["glaciers"]))
     if inputs.terrain_long is not None:
         emit("terrain", raster.raster_grid(inputs.terrain_long, ["elevtn", "uparea", "strord", "flwdir"],
                                            raster.nodata_map("merit_hydro_1k"), int_vars=raster.TERRAIN_INT_VARS))
@@ -97,7 +104,7 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
             outlet = network.snap_outlet(inputs.flow_cells, *inputs.outlet_xy)
             emit("subbasin", network.upstream_cells(inputs.flow_cells, outlet))
     if inputs.hourly_obs is not None:
-        daily = climate.daily_forcing(spark, inputs.hourly_obs, params, climate_source)
+        daily = climate.daily_forcing(spark, inputs.hourly_obs, params, climate_source, rules=rules)
         emit("forcing", daily, cube_cols=climate.CLIMATE_VARIABLES)
     if inputs.geopotential is not None:
         oro = climate.orography_hourly(inputs.geopotential, params).withColumn("day", F.to_date("time"))
@@ -105,7 +112,7 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
     stations = sinks.read_stations(spark, inputs.stations_csv or os.path.join(out_dir, "_no_stations"))
     emit("stations", stations)
     emit("chunks", chunks.chunk_table(spark, chunks.period_bounds(spark, params.start_date, params.end_date)))
-    emit("catalog_rules", catalog_rules(spark))
+    emit("catalog_rules", catalog_rules(spark) if rules is None else rules)
     return written
 
 

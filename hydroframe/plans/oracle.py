@@ -83,6 +83,14 @@ DISCHARGE = f"""discharge AS (
     l_quantity AS q
   FROM lineitem)"""
 
+# Fixed values, written out apart from the engine's own tables.
+ORACLE_SOIL_FLAT = ["tax_usda", "soilthickness"]
+ORACLE_SOIL_DEEP = ["sndppt", "sltppt", "oc", "ph", "bd", "clyppt"]
+ORACLE_CONSTANTS = {
+    "KsatHorFrac": 25.0, "Cfmax": 3.75653, "cf_soil": 0.038, "EoverR": 0.05, "InfiltCapPath": 5.0,
+    "InfiltCapSoil": 600.0, "MaxLeakage": 0.0, "rootdistpar": -500.0, "TT": 0.0, "TTI": 2.0, "TTM": 0.0,
+    "WHC": 0.1, "G_Cfmax": 5.3, "G_SIfrac": 0.002, "G_TT": 1.3}
+
 CATALOG_ERA5 = """rules AS (
   SELECT * FROM (VALUES ('temp', NULL::DOUBLE, -273.15::DOUBLE), ('temp_max', NULL, -273.15::DOUBLE),
     ('temp_min', NULL, -273.15::DOUBLE), ('kout', 0.000277778::DOUBLE, NULL),
@@ -271,9 +279,9 @@ def soil_long_sql() -> str:
 
 
 def soil_missing_members_sql() -> str:
-    from hydroframe.sources.catalog import SOIL_DEPTH_VARIABLES, SOIL_DEPTHS, SOIL_FLAT_VARIABLES
-    rows = [f"('{v}', '{v}', NULL::INTEGER)" for v in SOIL_FLAT_VARIABLES]
-    rows += [f"('{v}_sl{d}', '{v}', {d})" for v in SOIL_DEPTH_VARIABLES for d in SOIL_DEPTHS]
+    # The soil family, written out apart from the engine's own list.
+    rows = [f"('{v}', '{v}', NULL::INTEGER)" for v in ORACLE_SOIL_FLAT]
+    rows += [f"('{v}_sl{d}', '{v}', {d})" for v in ORACLE_SOIL_DEEP for d in (1, 2, 3, 4, 5, 6, 7)]
     present = []
     for v in ("bd", "ph"):
         for n in range(1, 8):
@@ -285,35 +293,61 @@ SELECT member, variable, CAST(depth AS INTEGER) AS depth FROM expected
 WHERE member NOT IN (SELECT member FROM present)"""
 
 
-def _lai_slots_cte(start, end, k: int = 12) -> str:
-    return f"""{LAI_IMAGES},
-days AS (SELECT DISTINCT image_time AS time FROM lai_images
-  WHERE image_time >= DATE '{start}' AND image_time < DATE '{end}'),
+def _lai_slots_cte(k: int = 12, days: str | None = None, images: str = LAI_IMAGES, kind: str = "DATE") -> str:
+    """Slots over the whole archive, or over the image times that ``days`` selects."""
+    days = days or """SELECT DISTINCT image_time AS time FROM lai_images
+  WHERE image_time < (SELECT max(image_time) FROM lai_images)"""
+    return f"""{images},
+days AS ({days}),
 r AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS rn, count(*) OVER () AS n FROM days),
 c AS (SELECT DISTINCT r.time, r.n FROM r, range({k}) t(i)
   WHERE r.n < {k} OR r.rn = CAST(floor(t.i * (r.n - 1) / {k - 1}) AS BIGINT)),
 slots AS (SELECT CAST(row_number() OVER (ORDER BY time) - 1 AS INTEGER) AS slot, time, n AS n_images, false AS is_padding FROM c),
-pads AS (SELECT CAST(m.m + j.j - 1 AS INTEGER) AS slot, CAST(m.last + to_days(CAST(j.j * 30 AS INTEGER)) AS DATE) AS time,
+pads AS (SELECT CAST(m.m + j.j - 1 AS INTEGER) AS slot, CAST(m.last + to_days(CAST(j.j * 30 AS INTEGER)) AS {kind}) AS time,
     NULL::BIGINT AS n_images, true AS is_padding
   FROM (SELECT max(time) AS last, count(*) AS m FROM slots) m, range(1, {k + 1}) j(j)
   WHERE m.m > 0 AND j.j <= {k} - m.m),
 all_slots AS (SELECT * FROM slots UNION ALL SELECT * FROM pads)"""
 
 
-def lai_slots_sql(start, end) -> str:
-    return f"WITH {_lai_slots_cte(start, end)}\nSELECT slot, time, n_images, is_padding FROM all_slots WHERE slot < 12"
+LAI_IMAGES_TIMED = f"""{LAI_IMAGES},
+lai_timed AS (SELECT image_time + to_minutes(CAST(obs_id % 1440 AS INTEGER)) AS image_time, cell, obs_id, raw_lai
+  FROM lai_images)"""
+
+
+def lai_slots_short_sql(n_days: int) -> str:
+    days = f"""SELECT min(image_time) AS time FROM lai_timed
+  WHERE image_time < (SELECT CAST(min(image_time) AS DATE) FROM lai_timed) + INTERVAL {n_days} DAY
+  GROUP BY CAST(image_time AS DATE)"""
+    cte = _lai_slots_cte(days=days, images=LAI_IMAGES_TIMED, kind="TIMESTAMP")
+    return f"WITH {cte}\nSELECT slot, time, n_images, is_padding FROM all_slots WHERE slot < 12"
+
+
+def image_fallback_timed_sql() -> str:
+    return f"""WITH {LAI_IMAGES_TIMED},
+targets AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS target_day FROM lineitem),
+firsts AS (SELECT CAST(image_time AS DATE) AS d, min(image_time) AS t FROM lai_timed GROUP BY 1),
+hits AS (SELECT g.target_day, f.t, f.d = g.target_day AS exact FROM targets g JOIN firsts f
+  ON f.d >= g.target_day - INTERVAL 2 DAY AND f.d < g.target_day + INTERVAL 3 DAY)
+SELECT g.target_day, coalesce(min(h.t) FILTER (WHERE h.exact), min(h.t)) AS image_day,
+  coalesce(bool_or(h.exact), false) AS exact_day
+FROM targets g LEFT JOIN hits h ON h.target_day = g.target_day GROUP BY g.target_day"""
+
+
+def lai_slots_sql() -> str:
+    return f"WITH {_lai_slots_cte()}\nSELECT slot, time, n_images, is_padding FROM all_slots WHERE slot < 12"
 
 
-def lai_cube_sql(start, end) -> str:
-    return f"""WITH {_lai_slots_cte(start, end)},
+def lai_cube_sql() -> str:
+    return f"""WITH {_lai_slots_cte()},
 p AS (SELECT s.slot, l.image_time AS time, l.cell, arg_max(l.raw_lai, l.obs_id) AS raw
   FROM lai_images l JOIN slots s ON l.image_time = s.time GROUP BY s.slot, l.image_time, l.cell)
 SELECT slot, time, cell,
   CASE WHEN raw * 0.1{D} BETWEEN 0{D} AND 10{D} THEN round(raw * 0.1{D}, 6) END AS lai FROM p"""
 
 
-def lai_slice_range_sql(start, end) -> str:
-    return f"""WITH q AS ({lai_cube_sql(start, end)})
+def lai_slice_range_sql() -> str:
+    return f"""WITH q AS ({lai_cube_sql()})
 SELECT slot, time, min(lai) AS lai_min, max(lai) AS lai_max, count(lai) AS n_valid FROM q GROUP BY slot, time"""
 
 
@@ -398,14 +432,17 @@ SELECT grdc_no, station, country, lat, lon, area FROM gauges
 WHERE lat BETWEEN {ext.south}{D} AND {ext.north}{D} AND lon BETWEEN {ext.west}{D} AND {ext.east}{D}"""
 
 
-def model_cell_forcing_sql(p: JobParams = WHOLE_DOMAIN_JOB, lat0=26.0, lon0=85.0, step=0.25) -> str:
+def model_cell_forcing_sql(p: JobParams = WHOLE_DOMAIN_JOB, lat0=26.0, lon0=85.0, step=0.25,
+                           off_grid: bool = False) -> str:
     import datetime as dt
     e = p.extent.buffer(p.climate_buffer)
     end_excl = p.end_date + dt.timedelta(days=1)
     daily_cols = []
     for v, agg in (("precip", "sum"), ("temp", "avg"), ("kin", "avg"), ("kout", "avg"), ("press_msl", "avg")):
         daily_cols.append(f"{agg}(CASE WHEN variable = '{v}' THEN value END) AS {v}")
-    pet = _pet_sql("tc", "c.press_msl", "c.kout", "(c.kin * 0.000277778{D})".replace("{D}", D))
+    pet = _pet_sql("tc", "c.press", "c.kout", "(c.kin * 0.000277778{D})".replace("{D}", D))
+    shift_lat = f" + 0.06{D} * (cell % 5 - 2)" if off_grid else ""
+    shift_lon = f" + 0.06{D} * (cell % 3 - 1)" if off_grid else ""
     return f"""WITH {hourly_long_sql(p)},
 daily AS (SELECT CAST(time AS DATE) AS day, lat, lon, {', '.join(daily_cols)} FROM units GROUP BY 1, 2, 3),
 {GEOPOTENTIAL},
@@ -415,17 +452,24 @@ gsel AS (SELECT obs_id, time, round_even(TRY_CAST(lat_text AS DOUBLE), 5) AS lat
     AND value IS NOT NULL AND NOT isnan(value)),
 oro AS (SELECT time, lat, lon, arg_max(value / 9.80665{D}, obs_id) AS elevtn FROM gsel GROUP BY time, lat, lon),
 zf AS (SELECT lat, lon, avg(elevtn) AS z_forcing FROM oro GROUP BY lat, lon),
-coarse AS (SELECT d.*, zf.z_forcing FROM daily d JOIN zf ON d.lat = zf.lat AND d.lon = zf.lon),
+coarse AS (SELECT d.*, zf.z_forcing FROM daily d LEFT JOIN zf ON d.lat = zf.lat AND d.lon = zf.lon),
 {TERRAIN_LONG},
-fine AS (SELECT cell, lat, lon, max(CASE WHEN variable = 'elevtn' AND value <> -9999{D} THEN value END) AS elevtn
+fine AS (SELECT cell, lat{shift_lat} AS lat, lon{shift_lon} AS lon,
+    max(CASE WHEN variable = 'elevtn' AND value <> -9999{D} THEN value END) AS elevtn
   FROM terrain_long GROUP BY cell, lat, lon),
-j AS (SELECT f.cell, c.day, f.elevtn, c.z_forcing, c.precip, c.kin, c.kout, c.press_msl,
+-- the nearest node of the climate grid, looked up among all nodes around the cell
+nodes AS (SELECT f.cell, min_by({lat0}{D} + {step}{D} * i.i, abs(f.lat - ({lat0}{D} + {step}{D} * i.i))) AS lat
+  FROM fine f, range(-1, 3) o(o), LATERAL (SELECT CAST(floor((f.lat - {lat0}{D}) / {step}{D}) AS BIGINT) + o.o AS i) i GROUP BY f.cell),
+nodes2 AS (SELECT f.cell, min_by({lon0}{D} + {step}{D} * i.i, abs(f.lon - ({lon0}{D} + {step}{D} * i.i))) AS lon
+  FROM fine f, range(-1, 3) o(o), LATERAL (SELECT CAST(floor((f.lon - {lon0}{D}) / {step}{D}) AS BIGINT) + o.o AS i) i GROUP BY f.cell),
+j AS (SELECT f.cell, c.day, f.elevtn, c.z_forcing, c.precip, c.kin, c.kout,
+    c.press_msl * pow((288.15{D} - 0.0065{D} * f.elevtn) / 288.15{D}, 9.80665{D} * 0.0289644{D} / (8.3144621{D} * 0.0065{D})) AS press,
     c.temp - 0.0065{D} * (f.elevtn - c.z_forcing) AS tc
-  FROM fine f JOIN coarse c
-    ON CAST(floor((f.lat - {lat0}{D}) / {step}{D}) AS BIGINT) = CAST(floor((c.lat - {lat0}{D}) / {step}{D}) AS BIGINT)
-   AND CAST(floor((f.lon - {lon0}{D}) / {step}{D}) AS BIGINT) = CAST(floor((c.lon - {lon0}{D}) / {step}{D}) AS BIGINT)
+  FROM fine f JOIN nodes n ON n.cell = f.cell JOIN nodes2 m ON m.cell = f.cell
+  LEFT JOIN coarse c ON c.lat = n.lat AND c.lon = m.lon
   WHERE f.elevtn IS NOT NULL)
-SELECT cell, day, round(precip, 6) AS precip, round(tc, 6) AS temp_corr, round({pet}, 6) AS pet FROM j c"""
+SELECT cell, day, round(precip, 6) AS precip, round(tc, 6) AS temp_corr, round(press, 6) AS press_corr,
+  round({pet}, 6) AS pet FROM j c"""
 
 
 def _pet_sql(t: str, p: str, ks: str, kt: str) -> str:
@@ -468,12 +512,65 @@ def model_inputs_summary_sql(outputs: dict[str, str]) -> str:
 
 
 def static_maps_sql() -> str:
-    from hydroframe.operators.lookup import MODEL_CONSTANTS
-    consts = ", ".join(f"{float(v)!r}{D} AS {k}" for k, v in MODEL_CONSTANTS.items())
+    consts = ", ".join(f"{v}{D} AS {k}" for k, v in ORACLE_CONSTANTS.items())
+    soil = ", ".join(f"round(nullif(CAST(s.{v}_sl{n} AS DOUBLE), -32768{D}) * {m}{D}, 6) AS {v}_sl{n}"
+                     for v, m in (("bd", 0.001), ("ph", 0.1)) for n in range(1, 8))
     return f"""WITH t AS ({terrain_grid_sql()}), {SOIL_WIDE}
-SELECT t.*, round(nullif(CAST(s.bd_sl1 AS DOUBLE), -32768{D}) * 0.001{D}, 6) AS bd_sl1,
-  round(nullif(CAST(s.ph_sl1 AS DOUBLE), -32768{D}) * 0.1{D}, 6) AS ph_sl1, {consts}
-FROM t JOIN soil_wide s ON t.cell = s.cell"""
+SELECT t.*, {soil}, {consts}
+FROM t LEFT JOIN soil_wide s ON t.cell = s.cell"""
+
+
+def lakes_sql(ext) -> str:
+    w, s, e, n = (f"{x}{D}" for x in (ext.west, ext.south, ext.east, ext.north))
+    return f"""WITH {WATERBODIES},
+f AS (SELECT hylak_id AS waterbody_id, Vol_total, Lake_area, greatest(xmin, {w}) AS xmin, least(xmax, {e}) AS xmax,
+    greatest(ymin, {s}) AS ymin, least(ymax, {n}) AS ymax
+  FROM waterbodies WHERE xmax >= {w} AND xmin <= {e} AND ymax >= {s} AND ymin <= {n})
+SELECT *, round({dam_height_sql_expr()}, 6) AS Dam_height FROM f
+WHERE xmin < xmax AND ymin < ymax AND Lake_area >= 0{D}"""
+
+
+def _triangle_clip_cte(ext, source: str, keys: str) -> str:
+    """Right triangles (xmin, ymin), (xmax, ymin), (xmin, ymax) cut by a rectangle, in closed form.
+
+    Below the hypotenuse y <= ymax - (x - xmin) (equal legs), the part inside the box is the
+    box clipped to the triangle's own box, minus the corner triangle beyond the hypotenuse.
+    """
+    w, s, e, n = (f"{x}{D}" for x in (ext.west, ext.south, ext.east, ext.north))
+    return f"""b AS (SELECT *, xmin AS ox, ymin AS oy, xmax - xmin AS leg, greatest(xmin, {w}) AS x0, least(xmax, {e}) AS x1,
+    greatest(ymin, {s}) AS y0, least(ymax, {n}) AS y1 FROM {source}),
+-- the hypotenuse is (x - ox) + (y - oy) = leg; room is what is left of it at the lower left corner
+c AS (SELECT *, leg - (x0 - ox) - (y0 - oy) AS room, x1 - x0 AS dx, y1 - y0 AS dy FROM b
+  WHERE x0 < x1 AND y0 < y1 AND leg - (x0 - ox) - (y0 - oy) > 0),
+clipped AS (SELECT {keys},
+    pow(room, 2) / 2 - pow(greatest(room - dx, 0{D}), 2) / 2 - pow(greatest(room - dy, 0{D}), 2) / 2
+      + pow(greatest(room - dx - dy, 0{D}), 2) / 2 AS area,
+    x0 AS cx0, x0 + least(dx, room) AS cx1, y0 AS cy0, y0 + least(dy, room) AS cy1 FROM c)"""
+
+
+def reservoir_polygons_sql(ext) -> str:
+    return f"""WITH {WATERBODIES}, {_triangle_clip_cte(ext, "waterbodies", "hylak_id, Vol_total, Lake_area")}
+SELECT CAST(row_number() OVER (ORDER BY hylak_id) - 1 AS BIGINT) AS waterbody_id, Vol_total, Lake_area, round(area, 6) AS area,
+  round(cx0, 6) AS xmin, round(cx1, 6) AS xmax, round(cy0, 6) AS ymin, round(cy1, 6) AS ymax,
+  round({dam_height_sql_expr()}, 6) AS Dam_height, true AS has_ring
+FROM clipped WHERE area > 0"""
+
+
+BASINS = f"""basins AS (
+  SELECT c_custkey AS key, 85{D} + 0.5{D} * (c_custkey % 30) AS xmin, 87{D} + 0.5{D} * (c_custkey % 30) AS xmax,
+    26{D} + 0.5{D} * (floor(c_custkey / 30) % 20) AS ymin, 28{D} + 0.5{D} * (floor(c_custkey / 30) % 20) AS ymax
+  FROM customer)"""
+
+
+def basins_sql(ext) -> str:
+    return f"""WITH {BASINS}, {_triangle_clip_cte(ext, "basins", "key")}
+SELECT key AS basid, round(area, 6) AS area, round(cx0, 6) AS xmin, round(cx1, 6) AS xmax, round(cy0, 6) AS ymin,
+  round(cy1, 6) AS ymax FROM clipped WHERE area > 0"""
+
+
+def basin_positions_sql(ext) -> str:
+    return f"""WITH {BASINS}, {_triangle_clip_cte(ext, "basins", "key")}
+SELECT CAST(row_number() OVER (ORDER BY key) AS BIGINT) AS basid, key, round(area, 6) AS area FROM clipped WHERE area > 0"""
 
 
 def river_lines_clipped_sql(ext, min_uparea: float = 30.0) -> str:
@@ -506,12 +603,14 @@ def climate_coordinates_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
 SELECT DISTINCT lat, lon FROM rows"""
 
 
-def lai_grid_cube_sql(start, end, ext, deg: float) -> str:
-    from hydroframe.operators.raster import grid_shape
-    h, w, dlat, dlon = grid_shape(ext, deg)
+def lai_grid_cube_sql(ext, metres: float = 500.0) -> str:
+    # F13 written out: int(span / (500 m in degrees)) nodes per axis, both ends in.
+    deg = metres / 111000.0
+    w, h = int((ext.east - ext.west) / deg), int((ext.north - ext.south) / deg)
+    dlat, dlon = (ext.north - ext.south) / (h - 1), (ext.east - ext.west) / (w - 1)
     N, W = f"{float(ext.north)!r}{D}", f"{float(ext.west)!r}{D}"
     dla, dlo = f"{dlat!r}{D}", f"{dlon!r}{D}"
-    return f"""WITH {_lai_slots_cte(start, end)},
+    return f"""WITH {_lai_slots_cte()},
 px AS (SELECT image_time, obs_id, raw_lai,
     {N} - CAST(floor(cell / 5) AS DOUBLE) * {dla} AS lat, {W} + CAST(cell % 5 AS DOUBLE) * {dlo} AS lon
   FROM lai_images),
@@ -552,3 +651,82 @@ def soil_grid_sql() -> str:
     cols = ", ".join(f"round(nullif(CAST({v}_sl{n} AS DOUBLE), -32768{D}) * {mult[v]}{D}, 6) AS {v}_sl{n}"
                      for v in ("bd", "ph") for n in range(1, 8))
     return f"WITH {SOIL_WIDE}\nSELECT cell, lat, lon, {cols} FROM soil_wide"
+
+
+def daily_forcing_catalog_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    own = f"""rules AS (
+  SELECT * FROM (VALUES ('precip', 500::DOUBLE, NULL::DOUBLE), ('kout', 0.5::DOUBLE, NULL),
+    ('temp', NULL, -200::DOUBLE)) r(variable, mult, "add"))"""
+    sql = daily_forcing_sql(p).replace(CATALOG_ERA5, own)
+    return sql.replace("CAST(time AS DATE) AS day", "CAST(time AS DATE) + 1 AS day").replace(
+        "GROUP BY CAST(time AS DATE)", "GROUP BY CAST(time AS DATE) + 1")
+
+
+def waterbodies_renamed_sql() -> str:
+    return f"WITH {WATERBODIES}\nSELECT hylak_id, Vol_total AS volume, Lake_area AS surface FROM waterbodies"
+
+
+def observations_on_axes_sql() -> str:
+    return f"""WITH {OBS_HOURLY}, {DISCHARGE}
+SELECT obs_id, time, lat, lon FROM obs_hourly
+WHERE lat IN (SELECT lat FROM discharge) AND lon IN (SELECT lon FROM discharge)"""
+
+
+def image_time_list_sql() -> str:
+    return f"""WITH {LAI_IMAGES}, d AS (SELECT DISTINCT image_time AS t FROM lai_images)
+SELECT count(*) AS n_images, string_agg(strftime(t, '%Y-%m-%d'), ',' ORDER BY t) AS times FROM d"""
+
+
+def variable_metadata_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    # Units and descriptions as the reference names them.
+    rows = [("precip", "m", "Total precipitation"), ("temp", "K", "Temperature at 2m"),
+            ("kin", "W/m²", "TOA incident solar radiation"),
+            ("kout", "W/m²", "Mean surface direct short wave radiation flux"), ("press_msl", "Pa", "Mean sea level pressure")]
+    values = ", ".join(f"('{v}', '{u}', '{n}')" for v, u, n in rows)
+    return f"""WITH {hourly_long_sql(p)}
+SELECT m.variable, m.units, m.long_name, count(u.value) AS n_values
+FROM (VALUES {values}) m(variable, units, long_name) LEFT JOIN units u ON u.variable = m.variable GROUP BY 1, 2, 3"""
+
+
+def observation_times_sql() -> str:
+    return """SELECT event_id, CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS time, CAST(ts AS DATE) AS day,
+  CAST(date_trunc('second', ts) AS TIMESTAMP) AS second FROM events"""
+
+
+def static_and_forcing_sql() -> str:
+    return f"""WITH {DISCHARGE},
+b AS (SELECT CAST(min(time) AS DATE) AS s FROM discharge),
+t AS (SELECT d.*, CAST(floor(((year(d.time) - year(b.s)) * 12 + month(d.time) - month(b.s)) / 3) AS INTEGER) AS chunk_id
+  FROM discharge d, b)
+SELECT 'static' AS part, count(*) AS n_rows, max(chunk_id) AS last_chunk
+FROM (SELECT DISTINCT chunk_id, lat, lon FROM t WHERE chunk_id = (SELECT min(chunk_id) FROM t))
+UNION ALL SELECT 'forcing', count(*), max(chunk_id) FROM t"""
+
+
+def river_dimensions_sql() -> str:
+    return f"""WITH {FLOW_CELLS}
+SELECT cell, greatest(strord * 8{D}, 30{D}) AS rivwth, greatest(strord * 0.25{D}, 1{D}) AS rivdph FROM flow_cells"""
+
+
+def landcover_parameters_sql() -> str:
+    return f"""WITH g AS ({landuse_grid_sql()})
+SELECT cell, globcover AS landcover, CASE WHEN globcover BETWEEN 10 AND 230 THEN (globcover // 10) * 0.01{D} END AS N,
+  CASE WHEN globcover BETWEEN 10 AND 230 THEN (globcover // 10) * 0.5{D} END AS RootingDepth FROM g"""
+
+
+def empty_export_sql() -> str:
+    # The FROM keeps the query on the table: no feature of it meets the extent.
+    return f"""WITH {WATERBODIES}
+SELECT count(*) FILTER (WHERE xmax >= -20{D} AND xmin <= -10{D}) AS n_rows,
+  'Dam_height,Lake_area,Vol_total,waterbody_id,xmax,xmin,ymax,ymin' AS columns FROM waterbodies"""
+
+
+def raster_files_sql() -> str:
+    return f"WITH {TERRAIN_LONG}\nSELECT cell, variable, value FROM terrain_long"
+
+
+def dam_height_inputs_sql() -> str:
+    aggs = ", ".join(f"round({f}({c}), 6) AS {k}_{n}" for n, c in (("volume", "Vol_total"), ("area", "Lake_area"))
+                     for k, f in (("min", "min"), ("max", "max"), ("mean", "avg")))
+    return f"""WITH {WATERBODIES}
+SELECT count(*) AS n_valid, {aggs} FROM waterbodies WHERE Vol_total > 0 AND Lake_area > 0"""

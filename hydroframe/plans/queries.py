@@ -18,11 +18,14 @@ from pyspark.sql import types as T
 
 from hydroframe.operators import (chunks, climate, discharge, extent, lai, lookup, network, raster,
                                   waterbody)
-from hydroframe.params import WHOLE_DOMAIN_JOB, Extent, JobParams
+from hydroframe.params import FIXTURE_JOB, WHOLE_DOMAIN_JOB, Extent, JobParams
 from hydroframe.plans import oracle as O
 from hydroframe.sources import fixtures as fx
 from hydroframe.sources import sinks, vector
-from hydroframe.sources.catalog import CLIMATE_VARIABLES, rules_for
+from hydroframe.sources.tables import read_table
+from hydroframe.functions import scalar, units
+from hydroframe.sources.catalog import (CLIMATE_VARIABLES, RULES_SCHEMA, catalog_rule_rows_of, rules_for,
+                                        variable_from_path)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, Callable[[], str]] = {}
@@ -31,8 +34,10 @@ JOB: JobParams = WHOLE_DOMAIN_JOB
 # Extent whose edges cut through the water-body boxes: clipping and edge-only drops happen.
 CLIP_EXTENT = Extent(86.0, 27.0, 94.0, 33.0)
 STATION_EXTENT = Extent(85.0, 26.0, 87.5, 30.0)
-# LAI period: [start, end) over the whole image archive; the last image day is the end (Q2).
-LAI_START, LAI_END = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
+# The climate buffer's default (I19): the buffered query cuts rows that lie beyond it.
+BUFFERED_JOB = FIXTURE_JOB
+# A period of a few image days: fewer images than slots.
+SHORT_LAI_DAYS = 5
 # A 5 x 5 node grid at 500 m (5.5 node spacings wide, so int(span / deg) = 5 on both axes).
 LAI_GRID_EXTENT = Extent(85.0, 26.0, 85.0 + 5.5 * 500.0 / 111000.0, 26.0 + 5.5 * 500.0 / 111000.0)
 OUTLET_XY = (12.0, 40.0)       # flow-network outlet point in grid units
@@ -62,6 +67,12 @@ def q_daily_forcing(spark: SparkSession, sf: str) -> DataFrame:
     return climate.daily_forcing(spark, fx.obs_hourly(spark, sf), JOB)
 
 
+@register("daily_forcing_buffered", lambda: O.daily_forcing_sql(BUFFERED_JOB))
+def q_daily_forcing_buffered(spark, sf):
+    """A14 + I19: the flagship on a small extent grown by the default buffer of 2 degrees."""
+    return climate.daily_forcing(spark, fx.obs_hourly(spark, sf), BUFFERED_JOB)
+
+
 @register("hourly_climate_long", lambda: O.hourly_climate_long_sql(JOB))
 def q_hourly_long(spark, sf):
     """A12 + F1 + D12 + E9/I5: the hourly long table in model units."""
@@ -126,6 +137,12 @@ def q_dam_height(spark, sf):
                   ["Dam_height"])
 
 
+@register("dam_height_inputs", O.dam_height_inputs_sql)
+def q_dam_height_inputs(spark, sf):
+    """Volume and area statistics of the rows that the height estimate can use."""
+    return waterbody.input_summary(fx.waterbodies(spark, sf))
+
+
 @register("dam_height_stats", O.dam_height_stats_sql)
 def q_dam_height_stats(spark, sf):
     """D6 + D8: summary statistics (exact median without a single-task sort)."""
@@ -151,14 +168,48 @@ def q_reservoirs(spark, sf):
     return _round(out, ["Dam_height"])
 
 
+@register("lakes", lambda: O.lakes_sql(CLIP_EXTENT))
 def q_lakes(spark, sf):
-    """A4: lakes come from the same water-body asset and the same export as reservoirs
-    (ids by position, dam height); only the output name differs (Q20)."""
-    out = waterbody.export_waterbodies(fx.waterbodies(spark, sf), CLIP_EXTENT,
+    """A4 + B4 (rename mode) + L4: lakes from the same asset, their own id field renamed."""
+    out = waterbody.export_waterbodies(fx.waterbodies(spark, sf), CLIP_EXTENT, id_mode="rename",
                                        min_area=network.AREA_FLOOR["lakes"])
     return _round(out, ["Dam_height"])
 
 
+LAKE_PROPS = T.StructType([T.StructField("hylak_id", T.LongType()), T.StructField("Vol_total", T.DoubleType()),
+                           T.StructField("Lake_area", T.DoubleType())])
+
+
+@register("reservoir_polygons", lambda: O.reservoir_polygons_sql(CLIP_EXTENT))
+def q_reservoir_polygons(spark, sf):
+    """A3 + A6 + B4 + C1-C3 + H1 with geometry: triangles clipped to the extent, their rings
+    exported with ids by position and dam heights (ring vertices, area and box reported)."""
+    feats = vector.parse_polygon_features(fx.waterbody_triangles_text(spark, sf), "feature", LAKE_PROPS)
+    out = waterbody.export_polygons(feats, CLIP_EXTENT)
+    corners = F.aggregate(F.flatten("polys"), F.lit(0), lambda n, r: n + F.size(r))
+    return _round(out.select("waterbody_id", "Vol_total", "Lake_area", "area", "xmin", "xmax", "ymin", "ymax",
+                             "Dam_height", (corners > 0).alias("has_ring")),
+                  ["area", "xmin", "xmax", "ymin", "ymax", "Dam_height"])
+
+
+@register("basins", lambda: O.basins_sql(CLIP_EXTENT))
+def q_basins(spark, sf):
+    """A1 + F5: basin polygons in the extent, ``MAIN_BAS`` renamed to ``basid``."""
+    props = T.StructType([T.StructField("MAIN_BAS", T.LongType())])
+    feats = vector.parse_polygon_features(fx.basin_text(spark, sf), "feature", props)
+    out = waterbody.basin_ids(vector.polygons_in_extent(feats, CLIP_EXTENT))
+    return _round(out.select("basid", "area", "xmin", "xmax", "ymin", "ymax"), ["area", "xmin", "xmax", "ymin", "ymax"])
+
+
+@register("basin_positions", lambda: O.basin_positions_sql(CLIP_EXTENT))
+def q_basin_positions(spark, sf):
+    """F5 fallback: basins without ``MAIN_BAS`` get a 1-based position."""
+    props = T.StructType([T.StructField("key", T.LongType())])
+    text = fx.basin_text(spark, sf, "key")
+    out = waterbody.basin_ids(vector.polygons_in_extent(vector.parse_polygon_features(text, "feature", props), CLIP_EXTENT))
+    return _round(out.select("basid", "key", "area"), ["area"])
+
+
 # --- rasters -----------------------------------------------------------------------------
 
 @register("terrain_grid", O.terrain_grid_sql)
@@ -184,67 +235,71 @@ def q_soil_long(spark, sf):
     return _round(raster.soil_long(fx.soil_wide(spark, sf)), ["value"])
 
 
+SOIL_GRID_MEMBERS = [f"{v}_sl{n}" for v in fx.SOIL_FIXTURE_VARS for n in range(1, 8)]
+
+
 @register("soil_grid", O.soil_grid_sql)
 def q_soil_grid(spark, sf):
     """E10 + F11 + C9 + I5 for soil: one map per member in model units, nodata NULL."""
-    members = [f"{v}_sl{n}" for v in fx.SOIL_FIXTURE_VARS for n in range(1, 8)]
-    grid = raster.soil_grid(raster.soil_long(fx.soil_wide(spark, sf)), members)
-    return _round(grid, members)
+    return _round(raster.soil_grid(fx.soil_wide(spark, sf), SOIL_GRID_MEMBERS), SOIL_GRID_MEMBERS)
 
 
 @register("static_maps", O.static_maps_sql)
 def q_static_maps(spark, sf):
-    """E10 + F8 + F11: static maps per cell: terrain, top soil layer in model units and the
-    15 constant parameters (soil pivoted back from the long form on the cell key)."""
-    terrain = q_terrain_grid(spark, sf)
-    soil = raster.soil_long(fx.soil_wide(spark, sf)).filter(F.col("depth") == 1)
-    # One conditional aggregate keyed by cell (what pivot compiles to, minus its extra
-    # (cell, variable) exchange): partitioned like the terrain grid, so the join below
-    # needs no further exchange.
-    top = soil.groupBy("cell").agg(*[
-        F.round(F.max(F.when(F.col("variable") == v, F.col("value"))), 6).alias(f"{v}_sl1")
-        for v in ("bd", "ph")])
-    return lookup.with_constants(terrain.join(top, "cell"))
+    """E10 + F8 + F11: static maps per cell: terrain, all soil layers in model units and the
+    15 constant parameters; a cell without soil stays, with NULLs."""
+    soil = q_soil_grid(spark, sf).drop("lat", "lon")
+    return lookup.with_constants(q_terrain_grid(spark, sf).join(soil, "cell", "left"))
 
 
 @register("soil_missing_members", O.soil_missing_members_sql)
 def q_soil_missing(spark, sf):
     """A11 + E8: soil family members with no value in the table."""
-    present = raster.present_members(raster.soil_long(fx.soil_wide(spark, sf)))
-    return raster.missing_members(raster.soil_member_table(spark), present) \
-        .select("member", "variable", "depth")
+    return raster.missing_members(spark, fx.soil_wide(spark, sf)).select("member", "variable", "depth")
 
 
 # --- leaf area ---------------------------------------------------------------------------
 
 def _lai_slots(spark, sf) -> DataFrame:
-    imgs = lai.images_in_period(fx.lai_images(spark, sf), LAI_START, LAI_END)
-    return lai.select_slots(lai.image_days(imgs))
+    """Slots over the whole archive: [first image day, last image day), the end day out (Q2)."""
+    images = fx.lai_images(spark, sf)
+    return lai.select_slots(lai.image_days(lai.images_in_period(images, *lai.archive_period(images))))
 
 
-@register("lai_slots", lambda: O.lai_slots_sql(LAI_START, LAI_END))
+@register("lai_slots", O.lai_slots_sql)
 def q_lai_slots(spark, sf):
     """C5 + G1-G6: twelve evenly spaced image slots (padded when fewer)."""
     return _lai_slots(spark, sf).withColumn("slot", F.col("slot").cast("int"))
 
 
-@register("lai_cube", lambda: O.lai_cube_sql(LAI_START, LAI_END))
+@register("lai_slots_short", lambda: O.lai_slots_short_sql(SHORT_LAI_DAYS))
+def q_lai_slots_short(spark, sf):
+    """G4 + G5 on timestamps: fewer images than slots; padding keeps the time of day."""
+    images = fx.lai_images_timed(spark, sf)
+    first, _ = lai.archive_period(images)
+    imgs = lai.images_in_period(images, first, first + dt.timedelta(days=SHORT_LAI_DAYS))
+    # One image a day (its first), so that the few days stay fewer than the slots.
+    days = imgs.groupBy(F.to_date("image_time").alias("d")).agg(F.min("image_time").alias("time")).select("time")
+    return lai.select_slots(days).withColumn("slot", F.col("slot").cast("int"))
+
+
+@register("lai_cube", O.lai_cube_sql)
 def q_lai_cube(spark, sf):
     """A15 + E5 + I4 + C8: pixel values of the chosen slots, scaled and masked."""
     cube = lai.lai_cube(fx.lai_images(spark, sf), _lai_slots(spark, sf))
     return _round(cube.withColumn("slot", F.col("slot").cast("int")), ["lai"])
 
 
-@register("lai_grid_cube", lambda: O.lai_grid_cube_sql(LAI_START, LAI_END, LAI_GRID_EXTENT, raster.DEG_PER_500M))
+@register("lai_grid_cube", lambda: O.lai_grid_cube_sql(LAI_GRID_EXTENT))
 def q_lai_grid_cube(spark, sf):
     """A15 + F13: the twelve-slot LAI cube on the extent's 500 m grid (padding slots and
     nodes without a pixel are NULL)."""
     px = fx.lai_pixels_on_grid(spark, sf, LAI_GRID_EXTENT, raster.DEG_PER_500M)
-    imgs = lai.images_in_period(px, LAI_START, LAI_END)
+    imgs = lai.images_in_period(px, *lai.archive_period(px))
     return lai.lai_grid_cube(imgs, lai.select_slots(lai.image_days(imgs)), LAI_GRID_EXTENT)
 
 
-@register("lai_slice_range", lambda: O.lai_slice_range_sql(LAI_START, LAI_END))
+@register("lai_slice_range", O.lai_slice_range_sql)
 def q_lai_range(spark, sf):
     """Missing-ignoring value range per slice."""
     cube = q_lai_cube(spark, sf)
@@ -258,6 +313,13 @@ def q_image_fallback(spark, sf):
     return lai.fallback_images(targets, lai.image_days(fx.lai_images(spark, sf)))
 
 
+@register("image_fallback_timed", O.image_fallback_timed_sql)
+def q_image_fallback_timed(spark, sf):
+    """E5 + E6 with image times of day: a target day finds the first image of the day."""
+    targets = fx.discharge(spark, sf).select(F.to_date("time").alias("target_day")).distinct()
+    return lai.fallback_images(targets, lai.image_days(fx.lai_images_timed(spark, sf)))
+
+
 # --- chunks ------------------------------------------------------------------------------
 
 @register("chunk_table", O.chunk_table_sql)
@@ -308,6 +370,26 @@ def q_river_cells(spark, sf):
 @register("model_cell_forcing", lambda: O.model_cell_forcing_sql(JOB, **COARSE))
 def q_model_cell_forcing(spark, sf):
     """L10 + L6 + L7: daily forcing on model cells, lapse-rate corrected, with PET."""
+    fine = (raster.raster_grid(_terrain_of(spark, sf, "elevtn"), ["elevtn"], raster.nodata_map("merit_hydro_1k"))
+            .filter(F.col("elevtn").isNotNull()))
+    return _model_cell_forcing(spark, sf, fine)
+
+
+@register("model_cell_nearest", lambda: O.model_cell_forcing_sql(JOB, off_grid=True, **COARSE))
+def q_model_cell_nearest(spark, sf):
+    """Model cells off the climate grid find their nearest climate cell."""
+    fine = (raster.raster_grid(_terrain_of(spark, sf, "elevtn"), ["elevtn"], raster.nodata_map("merit_hydro_1k"))
+            .filter(F.col("elevtn").isNotNull())
+            .withColumns({"lat": F.col("lat") + F.lit(0.06) * (F.col("cell") % 5 - 2),
+                          "lon": F.col("lon") + F.lit(0.06) * (F.col("cell") % 3 - 1)}))
+    return _model_cell_forcing(spark, sf, fine)
+
+
+def _terrain_of(spark, sf, variable: str) -> DataFrame:
+    return fx.terrain_long(spark, sf).filter(F.col("variable") == variable)
+
+
+def _model_cell_forcing(spark, sf, fine: DataFrame) -> DataFrame:
     # The unrounded daily values feed the corrections; round only the reported columns.
     daily = climate.to_daily(climate.hourly_long(spark, fx.obs_hourly(spark, sf), JOB), round_places=None)
     z = (climate.orography_hourly(fx.geopotential_hourly(spark, sf), JOB)
@@ -315,18 +397,18 @@ def q_model_cell_forcing(spark, sf):
     # One elevation per climate cell: its size follows the climate grid, so AQE decides from
     # the measured size at run time (broadcast when small, sort-merge otherwise) rather than
     # an extra job evaluating it for a check.
-    coarse = daily.join(z, ["lat", "lon"])
-    fine = (raster.raster_grid(fx.terrain_long(spark, sf), ["elevtn"], raster.nodata_map("merit_hydro_1k"))
-            .filter(F.col("elevtn").isNotNull()))
+    # A climate cell without orography and a model cell without climate stay, with NULLs.
+    coarse = daily.join(z, ["lat", "lon"], "left")
     j = network.attach_coarse_cell(fine, coarse, COARSE["lat0"], COARSE["lon0"], COARSE["step"],
                                    ["day", "precip", "temp", "kin", "kout", "press_msl", "z_forcing"])
     tc = network.lapse_corrected_temp("temp", "elevtn", "z_forcing")
-    out = j.select("cell", "day", "precip", tc.alias("temp_corr"), "press_msl", "kin", "kout")
+    press = network.elevation_corrected_pressure("press_msl", "elevtn")
+    out = j.select("cell", "day", "precip", tc.alias("temp_corr"), press.alias("press_corr"), "kin", "kout")
     # kin stays in J/m² per hour for this source; the hourly catalog's factor gives W/m².
     toa_w = F.col("kin") * F.lit(rules_for("era5_hourly")["kin"]["mult"])
-    pet = network.pet_debruin(F.col("temp_corr"), F.col("press_msl"), F.col("kout"), toa_w)
-    return _round(out.select("cell", "day", "precip", "temp_corr", pet.alias("pet")),
-                  ["precip", "temp_corr", "pet"])
+    pet = network.pet_debruin(F.col("temp_corr"), F.col("press_corr"), F.col("kout"), toa_w)
+    return _round(out.select("cell", "day", "precip", "temp_corr", "press_corr", pet.alias("pet")),
+                  ["precip", "temp_corr", "press_corr", "pet"])
 
 
 # --- vectors and sinks -------------------------------------------------------------------
@@ -410,10 +492,138 @@ def q_chunk_merge(spark, sf):
     tagged = chunks.assign_chunks(dis, b["start"], b["end"])
     path = sinks.scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
     chunks.write_chunks(tagged, path)
-    n_chunks = chunks.chunk_table(spark, chunks.period_bounds(spark, b["start"], b["end"])).count()
-    parts = [f"{path}/chunk_id={k}" for k in range(n_chunks)]
-    back = chunks.read_chunks(spark, path, parts)
-    return chunks.chunk_rollup(back)
+    return chunks.chunk_rollup(chunks.read_chunks(spark, path, tagged.schema))
+
+
+@register("chunk_overwrite", O.chunk_rollup_sql)
+def q_chunk_overwrite(spark, sf):
+    """The merged result of an earlier run (here: every other row) is overwritten whole."""
+    dis = fx.discharge(spark, sf)
+    b = chunks.data_bounds(dis).first()
+    tagged = chunks.assign_chunks(dis, b["start"], b["end"])
+    path = sinks.scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
+    chunks.write_chunks(tagged.filter(F.col("obs_id") % 2 == 0), path)
+    chunks.write_chunks(tagged, path)
+    return chunks.chunk_rollup(chunks.read_chunks(spark, path, tagged.schema))
+
+
+# --- catalog, lookups and small operators on the tables ----------------------------------
+
+USER_CATALOG = """
+era5:
+  unit_mult: {precip: 500, kout: 0.5}
+  unit_add: {temp: -200, time: 86400}
+lakes:
+  rename: {Vol_total: volume, Lake_area: surface}
+"""
+
+
+def _user_rules(spark) -> DataFrame:
+    return spark.createDataFrame(catalog_rule_rows_of(USER_CATALOG), RULES_SCHEMA)
+
+
+@register("daily_forcing_catalog", lambda: O.daily_forcing_catalog_sql(JOB))
+def q_daily_forcing_catalog(spark, sf):
+    """A17 + E9 + Q10: the flagship under a user's YAML catalog (own factors, a day's shift)."""
+    return climate.daily_forcing(spark, fx.obs_hourly(spark, sf), JOB, rules=_user_rules(spark))
+
+
+@register("waterbodies_renamed", O.waterbodies_renamed_sql)
+def q_waterbodies_renamed(spark, sf):
+    """A17 + F4: renames of a user's catalog on a feature table."""
+    return units.apply_renames(fx.waterbodies(spark, sf), "lakes", _user_rules(spark)).select("hylak_id", "volume", "surface")
+
+
+@register("observations_on_axes", O.observations_on_axes_sql)
+def q_on_axes(spark, sf):
+    """C11: observations whose latitude and longitude are nodes of the discharge grid."""
+    dis = fx.discharge(spark, sf)
+    obs = fx.obs_hourly(spark, sf).select("obs_id", "time", "lat", "lon")
+    return lookup.in_grid(obs, {"lat": dis, "lon": dis})
+
+
+@register("image_time_list", O.image_time_list_sql)
+def q_image_time_list(spark, sf):
+    """The ordered list of image days, as text."""
+    times = lookup.ordered_times(fx.lai_images(spark, sf), "image_time")
+    return times.select(F.size("times").cast("bigint").alias("n_images"),
+                        F.array_join(F.transform("times", lambda t: t.cast("string")), ",").alias("times"))
+
+
+@register("variable_metadata", lambda: O.variable_metadata_sql(JOB))
+def q_variable_metadata(spark, sf):
+    """unit and description that the columns of the hourly cube carry, with value counts."""
+    wide = climate.with_variable_metadata(climate.hourly_wide(spark, fx.obs_hourly(spark, sf), JOB))
+    meta = {c: wide.schema[c].metadata for c in CLIMATE_VARIABLES}
+    counts = wide.agg(*[F.count(c).alias(c) for c in CLIMATE_VARIABLES])
+    rows = [F.struct(F.lit(c).alias("variable"), F.lit(meta[c]["units"]).alias("units"),
+                     F.lit(meta[c]["long_name"]).alias("long_name"), F.col(c).alias("n_values")) for c in CLIMATE_VARIABLES]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+@register("observation_times", O.observation_times_sql)
+def q_observation_times(spark, sf):
+    """I6 + I7 + I8: epoch milliseconds and ISO text of each event back to times and days."""
+    ev = read_table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    text = ev.select("event_id", F.unix_millis("ts").alias("ms"), F.date_format("ts", "yyyy-MM-dd").alias("day_text"),
+                     scalar.iso_seconds("ts").alias("iso"))
+    return text.select("event_id", scalar.epoch_ms_to_timestamp("ms").alias("time"), scalar.parse_date("day_text").alias("day"),
+                       scalar.parse_timestamp("iso").alias("second"))
+
+
+@register("static_and_forcing", O.static_and_forcing_sql)
+def q_static_and_forcing(spark, sf):
+    """Static rows (here: the distinct cells of a chunk) from the first chunk only, forcing from all."""
+    dis = fx.discharge(spark, sf)
+    b = chunks.data_bounds(dis).first()
+    tagged = chunks.assign_chunks(dis, b["start"], b["end"])
+    static, forcing = chunks.merge_static_forcing(tagged.select("chunk_id", "lat", "lon").distinct(), tagged)
+    return (static.agg(F.lit("static").alias("part"), F.count("*").alias("n_rows"), F.max("chunk_id").alias("last_chunk"))
+            .unionByName(forcing.agg(F.lit("forcing").alias("part"), F.count("*").alias("n_rows"),
+                                     F.max("chunk_id").alias("last_chunk"))))
+
+
+@register("river_dimensions", O.river_dimensions_sql)
+def q_river_dimensions(spark, sf):
+    """L3: river width and depth of every cell, raised to their floors."""
+    cells = fx.flow_cells(spark, sf).select("cell", (F.col("strord") * 8.0).alias("rivwth"), (F.col("strord") * 0.25).alias("rivdph"))
+    return network.river_floors(cells)
+
+
+@register("landcover_parameters", O.landcover_parameters_sql)
+def q_landcover_parameters(spark, sf):
+    """Land-cover class of each cell to model parameters (a table of one row per class)."""
+    grid = q_landuse_grid(spark, sf).select("cell", F.col("globcover").alias("landcover"))
+    lut = spark.range(1, 24).select((F.col("id") * 10).cast("int").alias("class"), (F.col("id") * 0.01).alias("N"),
+                                    (F.col("id") * 0.5).alias("RootingDepth"))
+    return lookup.landcover_params(grid, lut)
+
+
+@register("vector_roundtrip", lambda: O.reservoirs_sql(CLIP_EXTENT))
+def q_vector_roundtrip(spark, sf):
+    """B1: the reservoir export written as a feature table and read back."""
+    path = sinks.scratch_path(spark, f"reservoirs-{uuid.uuid4().hex}")
+    sinks.write_vector(q_reservoirs(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@register("empty_export", O.empty_export_sql)
+def q_empty_export(spark, sf):
+    """An extent that no feature meets gives an empty table with the full schema."""
+    out = waterbody.export_waterbodies(fx.waterbodies(spark, sf), Extent(-20.0, -20.0, -10.0, -10.0))
+    return out.agg(F.count("*").alias("n_rows"), F.lit(",".join(sorted(out.columns))).alias("columns"))
+
+
+@register("raster_files", O.raster_files_sql)
+def q_raster_files(spark, sf):
+    """Terrain written one file family per variable, read back by the path template."""
+    path = sinks.scratch_path(spark, f"terrain-{uuid.uuid4().hex}")
+    terrain = fx.terrain_long(spark, sf)
+    for v in fx.TERRAIN_VARIABLES:
+        terrain.filter(F.col("variable") == v).select("cell", "value").write.parquet(f"{path}/{v}.maps")
+    back = spark.read.parquet(*[f"{path}/{v}.maps" for v in fx.TERRAIN_VARIABLES])
+    name = variable_from_path("{variable}.maps/", F.col("_metadata.file_path"))
+    return back.select("cell", name.alias("variable"), "value")
 
 
 def _summary_outputs() -> dict[str, tuple]:
@@ -421,14 +631,14 @@ def _summary_outputs() -> dict[str, tuple]:
         "forcing": (q_daily_forcing, lambda: O.daily_forcing_sql(JOB)),
         "orography": (q_orography, lambda: O.orography_sql(JOB)),
         "reservoirs": (q_reservoirs, lambda: O.reservoirs_sql(CLIP_EXTENT)),
-        "lakes": (q_lakes, lambda: O.reservoirs_sql(CLIP_EXTENT)),
+        "lakes": (q_lakes, lambda: O.lakes_sql(CLIP_EXTENT)),
         "glaciers": (q_glaciers, lambda: O.glaciers_sql(CLIP_EXTENT, network.AREA_FLOOR["glaciers"])),
         "rivers": (q_river_lines, lambda: O.river_lines_clipped_sql(RIVER_EXTENT)),
         "stations": (q_gauges, lambda: O.gauges_in_extent_sql(STATION_EXTENT)),
         "terrain": (q_terrain_grid, O.terrain_grid_sql),
         "soil": (q_soil_long, O.soil_long_sql),
-        "lai": (q_lai_cube, lambda: O.lai_cube_sql(LAI_START, LAI_END)),
-        "lai_slots": (q_lai_slots, lambda: O.lai_slots_sql(LAI_START, LAI_END)),
+        "lai": (q_lai_cube, O.lai_cube_sql),
+        "lai_slots": (q_lai_slots, O.lai_slots_sql),
         "chunks": (q_chunk_table, O.chunk_table_sql),
     }
 

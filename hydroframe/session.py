@@ -24,34 +24,6 @@ CORE_CONF = {
 }
 
 
-# Settings for a large cluster (100 TB class inputs), applied with ``apply_cluster_conf``
-# where the cluster has not set them: start with many shuffle partitions and let AQE
-# coalesce them to ~256 MB each; split files at 256 MB; split skewed join partitions.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "4000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.parquet.aggregatePushdown": "true",
-}
-
-
-def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
-    """Apply ``CLUSTER_CONF`` for keys the cluster configuration does not set (defaults do
-    not count as set); ``overrides`` always apply."""
-    overrides = overrides or {}
-    explicit = spark.sparkContext.getConf()
-    for k, v in {**CLUSTER_CONF, **overrides}.items():
-        if k in overrides or not explicit.contains(k):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf: keep the cluster's value
-                pass
-
-
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "hydroframe") -> SparkSession:
     """Local session for tests and the bench; on a cluster use the cluster's session."""
@@ -79,17 +51,15 @@ def apply_core_conf(spark: SparkSession) -> None:
     for k, v in CORE_CONF.items():
         if k.startswith("spark.ui."):
             continue
-        try:
+        if spark.conf.isModifiable(k):  # static settings stay the cluster's
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep the cluster's value
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here. When it is
-    unset (local tests, the bench) a fresh scratch folder is created and set.
+    On a cluster this setting points at shared storage and is only read here. Where it is
+    unset, a local master (tests, the bench) gets a fresh scratch folder; any other raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -98,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="hydroframe-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -128,20 +128,25 @@ def variable_from_path(template: str, path_col: str = "_metadata.file_path") ->
     import re
     head, _, tail = template.partition("{variable}")
     pattern = re.escape(head.rstrip("/").split("/")[-1] + "/" if head else "") + r"([^/]+)" + re.escape(tail)
-    return F.regexp_extract(F.col(path_col), pattern, 1)
+    return F.regexp_extract(F.col(path_col) if isinstance(path_col, str) else path_col, pattern, 1)
 
 
 def catalog_rule_rows_from_yaml(path: str) -> list[tuple]:
-    """Parse a data-catalog YAML once on the driver (a small config file, not data)
-    into ``(source, variable, rename_to, mult, add, nodata)`` rows. ``nodata`` may be one
+    """The rules of a data-catalog YAML file, read once on the driver (a small config
+    file, not data)."""
+    with open(path, encoding="utf-8") as f:
+        return catalog_rule_rows_of(f.read())
+
+
+def catalog_rule_rows_of(text: str) -> list[tuple]:
+    """Data-catalog YAML as ``(source, variable, rename_to, mult, add, nodata)`` rows. ``nodata`` may be one
     value for the whole source (variable ``*``) or a map per variable; ``unit_add.time`` is
     kept as a row for the time-shift option (Q10)."""
     try:
         import yaml
     except ImportError as e:  # pragma: no cover - PyYAML is optional
         raise ImportError("reading a catalog YAML needs PyYAML") from e
-    with open(path, encoding="utf-8") as f:
-        doc = yaml.safe_load(f) or {}
+    doc = yaml.safe_load(text) or {}
     rows: dict[tuple[str, str], dict] = {}
 
     def put(src, var, **kw):
@@ -169,3 +174,9 @@ def catalog_rule_rows_from_yaml(path: str) -> list[tuple]:
 def catalog_rules_from_yaml(spark: SparkSession, path: str) -> DataFrame:
     """A user's catalog file as the ``catalog_rules`` table."""
     return spark.createDataFrame(catalog_rule_rows_from_yaml(path), RULES_SCHEMA)
+
+
+def time_shift_days(rules: DataFrame, source: str) -> int:
+    """Q10: the catalog's ``unit_add.time`` of a source (seconds) in whole days; 0 without one."""
+    r = rules.filter((F.col("source") == source) & (F.col("variable") == "time")).select("add").first()
+    return int((r["add"] or 0) // 86400) if r else 0

@@ -157,6 +157,12 @@ def lai_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lai_images_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lai_images`` with a time of day: the observation id, modulo a day, in minutes."""
+    minutes = F.make_dt_interval(mins=(F.col("obs_id") % 1440).cast("int"))
+    return lai_images(spark, sf_dir).withColumn("image_time", F.col("image_time").cast("timestamp_ntz") + minutes)
+
+
 def discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Simulated discharge in long form; keys repeat, the cube keeps max(q) per cell."""
     li = read_table(spark, sf_dir, "lineitem")
@@ -174,19 +180,31 @@ def waterbody_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     # JSON text and the geometry work above it are CPU-heavy per row: spread a single-split
     # scan over all task slots first (a no-op for inputs with many splits).
     wb = spread(waterbodies(spark, sf_dir))
+    corners = [("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax")]
+    return _polygon_text(wb, ["hylak_id", "Vol_total", "Lake_area"], corners)
 
-    def pt(x, y):
-        return F.array(F.col(x), F.col(y))
 
-    ring = F.array(pt("xmin", "ymin"), pt("xmax", "ymin"), pt("xmax", "ymax"),
-                   pt("xmin", "ymax"), pt("xmin", "ymin"))
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct("hylak_id", "Vol_total", "Lake_area").alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
-        .alias("geometry"),
-    )
-    return wb.select(F.to_json(feature).alias("feature"))
+def waterbody_triangles_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water bodies as right triangles (the lower left half of their box), GeoJSON text."""
+    wb = spread(waterbodies(spark, sf_dir))
+    return _polygon_text(wb, ["hylak_id", "Vol_total", "Lake_area"], [("xmin", "ymin"), ("xmax", "ymin"), ("xmin", "ymax")])
+
+
+def basin_text(spark: SparkSession, sf_dir: str, key: str = "MAIN_BAS") -> DataFrame:
+    """Basins as right triangles with legs of two degrees, GeoJSON text; the id property is ``key``."""
+    c = spread(read_table(spark, sf_dir, "customer"))
+    ck = F.col("c_custkey")
+    x0, y0 = _d(85.0) + _d(0.5) * (ck % 30), _d(26.0) + _d(0.5) * (F.floor(ck / 30) % 20)
+    boxes = c.select(ck.alias(key), x0.alias("xmin"), (x0 + _d(2.0)).alias("xmax"), y0.alias("ymin"), (y0 + _d(2.0)).alias("ymax"))
+    return _polygon_text(boxes, [key], [("xmin", "ymin"), ("xmax", "ymin"), ("xmin", "ymax")])
+
+
+def _polygon_text(df: DataFrame, properties: list[str], corners: list[tuple[str, str]]) -> DataFrame:
+    """One GeoJSON Feature per row: a closed ring through pairs of coordinate columns."""
+    ring = F.array(*[F.array(F.col(x), F.col(y)) for x, y in corners + corners[:1]])
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"),
+                       F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    return df.select(F.to_json(feature).alias("feature"))
 
 
 def river_lines_text(spark: SparkSession, sf_dir: str, min_uparea: float = 30.0) -> DataFrame:

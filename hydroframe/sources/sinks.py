@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +19,7 @@ STATION_SCHEMA = T.StructType([
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for job outputs under the shared checkpoint folder of the session."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") else base
-    return os.path.join(base, "outputs", name)
+    return f"{ensure_checkpoint_dir(spark)}/outputs/{name}"
 
 
 def write_vector(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -34,12 +31,12 @@ def write_cube(df: DataFrame, path: str, value_cols: list[str], day_col: str = "
                mode: str = "overwrite", sort_cols: tuple = ("lat", "lon")) -> None:
     """B2: a cube partitioned by day, values as float32, zstd.
 
-    Rows are sorted by ``lat, lon`` inside each task before writing (a local sort, no
-    shuffle), so every file's row groups cover narrow coordinate ranges and an extent filter
-    on a later read skips row groups from their min/max statistics. No repartition by day:
-    a day holding a third of the rows would otherwise be written by one task.
+    Rows are rebalanced by day first, so there are about as many files as days; AQE splits
+    a day that holds many rows over several tasks. Within each task rows are sorted by
+    ``lat, lon``, so every file's row groups cover narrow coordinate ranges and an extent
+    filter on a later read skips row groups from their min/max statistics.
     """
-    out = df.withColumns({c: F.col(c).cast("float") for c in value_cols})
+    out = df.withColumns({c: F.col(c).cast("float") for c in value_cols}).hint("rebalance", day_col)
     keys = [c for c in (day_col, *sort_cols) if c in out.columns]
     if keys:
         out = out.sortWithinPartitions(*keys)
@@ -57,11 +54,16 @@ def write_series_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_stations(spark: SparkSession, path: str, schema: T.StructType = STATION_SCHEMA) -> DataFrame:
-    """Station CSV with a fixed header; an empty table with the schema if absent."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" not in path and not os.path.exists(local):
+    """Station CSV with a fixed header; an empty table with the schema if absent.
+
+    Spark's reader looks the path up in its own filesystem, so one rule holds for all schemes.
+    """
+    try:
+        return spark.read.schema(schema).option("header", True).csv(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty_result(spark, schema)
-    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def write_back_check(spark: SparkSession, path: str, range_cols: list[str],

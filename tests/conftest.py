@@ -13,5 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from hydroframe.session import get_spark
     s = get_spark(master="local[*]", shuffle_partitions=8)
+    s.conf.set("spark.sql.codegen.fallback", "false")  # generated code that does not compile fails the test
     yield s
     s.stop()

@@ -572,3 +572,53 @@ def test_orography_from_wide_rows(spark):
     p = JobParams.of([80, 20, 100, 70], "2024-01-01", "2024-01-01", climate_buffer=0)
     r = climate.orography_hourly(geo, p).collect()
     assert len(r) == 1 and r[0].elevtn == pytest.approx(2000.0)   # largest obs_id wins
+
+
+def test_cycles_are_not_upstream(spark):
+    edges = {1: 2, 2: 3, 3: 99, 4: 5, 5: 4, 6: 4, 7: 7, 8: 1, 10: 3}
+    cells = spark.createDataFrame([(c, 0, 0, n, 7, 1.0) for c, n in edges.items()],
+                                  "cell long, x long, y long, next_cell long, strord int, uparea double")
+    assert {r.cell for r in network.upstream_cells(cells, 3).collect()} == {1, 2, 3, 8, 10}
+    assert {r.cell for r in network.upstream_cells(cells, 4).collect()} == {4, 5, 6}
+
+
+def test_long_river_is_followed_to_its_source(spark):
+    cells = spark.range(1000).selectExpr("id as cell", "id as x", "id as y", "id + 1 as next_cell", "7 as strord", "1.0 as uparea")
+    assert network.upstream_cells(cells, 900).count() == 901
+
+
+def test_undefined_dam_height_is_the_default(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(inf, inf), (inf, 1.0), (1.0, inf)], "Vol_total double, Lake_area double")
+    got = [r.Dam_height for r in waterbody.with_dam_height(df).collect()]
+    assert got[0] == 20.0 and got[1] == 300.0
+
+
+def test_whole_domain_keeps_rows_beyond_the_fixture(spark):
+    from hydroframe.functions.geometry import point_in_extent
+    from hydroframe.params import WHOLE_DOMAIN_JOB
+    df = spark.createDataFrame([(26.0, 85.0), (2526.0, 87.0), (-400.0, 0.0)], "lat double, lon double")
+    assert df.filter(point_in_extent(WHOLE_DOMAIN_JOB.extent)).count() == 3
+
+
+def test_images_with_a_time_of_day(spark):
+    t = dt.datetime(2024, 1, 5, 10, 30)
+    days = spark.createDataFrame([(t,), (dt.datetime(2024, 1, 5, 8, 0),)], "time timestamp_ntz")
+    targets = spark.createDataFrame([(D(2024, 1, 5),), (D(2024, 1, 6),), (D(2024, 1, 9),)], "target_day date")
+    got = {r.target_day: (r.image_day, r.exact_day) for r in lai.fallback_images(targets, days).collect()}
+    first = dt.datetime(2024, 1, 5, 8, 0)
+    assert got == {D(2024, 1, 5): (first, True), D(2024, 1, 6): (first, False), D(2024, 1, 9): (None, False)}
+    slots = sorted(lai.select_slots(days).collect(), key=lambda r: r.slot)
+    assert [s.time for s in slots[:3]] == [first, t, t + dt.timedelta(days=30)] and len(slots) == 12
+
+
+def test_cells_off_the_grid_find_the_nearest_node(spark):
+    fine = spark.createDataFrame([(1, 26.24, 85.0), (2, 26.12, 85.13), (3, 40.0, 85.0)], "cell long, lat double, lon double")
+    coarse = spark.createDataFrame([(26.0, 85.0, "a"), (26.25, 85.0, "b"), (26.0, 85.25, "c")], "lat double, lon double, v string")
+    got = {r.cell: r.v for r in network.attach_coarse_cell(fine, coarse, 26.0, 85.0, 0.25, ["v"]).collect()}
+    assert got == {1: "b", 2: "c", 3: None}
+
+
+def test_empty_basin_of_parameter_faults():
+    with pytest.raises(ValueError, match="extent needs.*not a date"):
+        JobParams.of([1, 2, 3], "2020-13-01", "2020-01-02")

@@ -1,4 +1,4 @@
-"""Streaming ingestion, sinks and vector sources."""
+"""Sinks and vector sources."""
 
 import datetime as dt
 import json
@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from hydroframe.operators import climate
 from hydroframe.params import WHOLE_DOMAIN_JOB, Extent
 from hydroframe.sources import catalog, fixtures as fx, sinks, vector
-from hydroframe.streaming.forcing_stream import start_daily_forcing_stream
 from tests.conftest import SF_SMALL
 
 
@@ -20,25 +19,6 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_stream_matches_batch_with_late_rows(spark):
-    base = tempfile.mkdtemp(prefix="hf-stream-", dir="/tmp")
-    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
-    obs = fx.obs_hourly(spark, SF_SMALL)
-    early = obs.filter(F.col("time") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
-    late = obs.filter(F.col("time") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
-    # first batch: early days minus a few rows that arrive later
-    held_back = early.filter(F.col("obs_id") % 7 == 0)
-    early.filter(F.col("obs_id") % 7 != 0).write.parquet(os.path.join(src, "part1"))
-    q = start_daily_forcing_stream(spark, os.path.join(src, "*"), sink, ckpt, WHOLE_DOMAIN_JOB)
-    q.awaitTermination()
-    late.unionByName(held_back).write.parquet(os.path.join(src, "part2"))
-    q = start_daily_forcing_stream(spark, os.path.join(src, "*"), sink, ckpt, WHOLE_DOMAIN_JOB)
-    q.awaitTermination()
-    got = spark.read.parquet(sink).select("day", "lat", "lon", "precip", "temp", "kin", "kout", "press_msl")
-    want = climate.daily_forcing(spark, obs, WHOLE_DOMAIN_JOB)
-    assert _rows(got) == _rows(want.select(*got.columns))
-
-
 def test_cube_sink_roundtrip(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="hf-cube-", dir="/tmp"), "cube")
     daily = climate.daily_forcing(spark, fx.obs_hourly(spark, SF_SMALL), WHOLE_DOMAIN_JOB)
@@ -224,21 +204,6 @@ demo_raster:
     assert sorted(got, key=lambda x: (x is not None, x or 0)) == [None, 5.0]   # -99 is the source nodata
 
 
-def test_cluster_conf_respects_explicit_settings(spark):
-    from hydroframe.session import CLUSTER_CONF, apply_cluster_conf
-    keys = list(CLUSTER_CONF) + ["spark.sql.shuffle.partitions"]
-    before = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        apply_cluster_conf(spark)
-        # set explicitly by the test session's builder: kept
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
-        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("256m", str(256 * 1024 * 1024))
-    finally:
-        for k, v in before.items():
-            if v is not None:
-                spark.conf.set(k, v)
-
-
 def test_build_model_inputs_writes_every_output(spark):
     from hydroframe.params import JobParams
     from hydroframe.plans.job import JobInputs, build_model_inputs
@@ -358,12 +323,42 @@ def test_job_vectors_and_landuse(spark):
     assert g.globcover is None and g.chelsa == 12.0 and g.koppen_geiger == 32   # catalog nodata 0 for koppen
 
 
-def test_stream_restart_without_new_files_is_a_no_op(spark):
-    base = tempfile.mkdtemp(prefix="hf-stream2-", dir="/tmp")
-    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
-    fx.obs_hourly(spark, SF_SMALL).write.parquet(os.path.join(src, "part1"))
-    for _ in range(2):   # the second start finds nothing new in the checkpointed offsets
-        start_daily_forcing_stream(spark, os.path.join(src, "*"), sink, ckpt, WHOLE_DOMAIN_JOB).awaitTermination()
-    got = spark.read.parquet(sink)
-    want = climate.daily_forcing(spark, fx.obs_hourly(spark, SF_SMALL), WHOLE_DOMAIN_JOB)
-    assert _rows(got.select(*want.columns)) == _rows(want)
+def test_stations_absent_or_present_by_any_scheme(spark):
+    base = tempfile.mkdtemp(prefix="hf-stations-", dir="/tmp")
+    g = spark.createDataFrame([(1, None, "s", "c", 1.0, 2.0, 3.0, None)], sinks.STATION_SCHEMA)
+    sinks.write_series_csv(g, os.path.join(base, "there"))
+    for prefix in ("", "file:", "file://"):
+        assert sinks.read_stations(spark, f"{prefix}{base}/there").count() == 1
+        absent = sinks.read_stations(spark, f"{prefix}{base}/not-there")
+        assert absent.count() == 0 and absent.schema == sinks.STATION_SCHEMA
+
+
+def test_cube_files_follow_days_not_tasks(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="hf-days-", dir="/tmp"), "cube")
+    rows = spark.range(0, 6000, numPartitions=24).selectExpr(
+        "date_add(date'2024-01-01', int(if(id % 3 = 0, 0, id % 20))) as day", "id * 0.1 as lat", "id % 7 * 1.0 as lon",
+        "cast(id as double) as precip")
+    sinks.write_cube(rows, path, ["precip"])
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 20 and spark.read.parquet(path).count() == 6000
+
+
+def test_chunk_without_rows_has_no_folder_and_reads_back(spark):
+    from hydroframe.operators import chunks
+    path = os.path.join(tempfile.mkdtemp(prefix="hf-quiet-", dir="/tmp"), "chunks")
+    rows = spark.createDataFrame([(dt.datetime(2020, 1, 5),), (dt.datetime(2020, 8, 5),)], "time timestamp_ntz")
+    tagged = chunks.assign_chunks(rows, dt.date(2020, 1, 1), dt.date(2020, 9, 30))
+    chunks.write_chunks(tagged, path)
+    back = chunks.chunk_rollup(chunks.read_chunks(spark, path, tagged.schema))
+    assert sorted((r.chunk_id, r.n_rows) for r in back.collect()) == [(0, 1), (2, 1)]
+
+
+def test_job_exports_polygon_layers(spark):
+    from hydroframe.params import JobParams
+    from hydroframe.plans.job import JobInputs, build_model_inputs
+    from hydroframe.plans.queries import LAKE_PROPS
+    feats = vector.parse_polygon_features(fx.waterbody_triangles_text(spark, SF_SMALL), "feature", LAKE_PROPS)
+    out = os.path.join(tempfile.mkdtemp(prefix="hf-poly-", dir="/tmp"), "job")
+    m = build_model_inputs(spark, JobInputs(waterbodies=feats), JobParams.of([86, 27, 94, 33], "2024-01-01", "2024-01-02"), out)
+    lakes = spark.read.parquet(m["lakes"]["path"])
+    assert {"waterbody_id", "polys", "area", "Dam_height"} <= set(lakes.columns) and lakes.count() > 0
