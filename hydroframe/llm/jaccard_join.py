@@ -7,16 +7,18 @@ form one class, and only classes are compared.
    Two linked sets share one of the first n - ceil(threshold n) + 1 shingles of this order,
    so only those prefixes are shuffled, and a shingle that one class alone has is dropped.
 2. Seed links: in the list of each shared shingle, every class is compared exactly with the
-   first class of the list. Their components are similar documents by proof; cut into chunks
+   first class of the list, if their parity bitmaps (n / 16 bytes a set) allow it: the bits
+   in which two bitmaps differ are at most the shingles in which the sets differ. Their components are similar documents by proof; cut into chunks
    of bounded size they are the groups, and every other class is a group of its own.
 3. Token-group matrix: shingle by shingle, a class (the query) meets the groups of other,
-   larger components. Each group stores the union of its members' shingles; a query whose
+   larger components; bitmaps rule most groups out before any set is moved. Each group left
+   stores the union of its members' shingles; a query whose
    overlap with the union falls short of the threshold cannot link to any member, and only
    the groups left are opened and compared member by member.
 4. Components over all links; equal sets and links already proved are never compared again,
    so a group of near copies costs its size, not its square.
 
-No link between different texts is lost: prefixes, sizes and unions are upper bounds. Sets are
+No link between different texts is lost: prefixes, sizes, bitmaps and unions are bounds. Sets are
 compared by 64-bit hashes of their shingles and classes named by a 64-bit hash of the set.
 
 Edge cases: null or blank texts have no shingles and link to nothing; fewer words than a
@@ -114,6 +116,29 @@ def linked(common, n1, n2, percent: int = PERCENT):
     return 100 * common >= percent * (n1 + n2 - common)
 
 
+def parity_bitmap(tokens: np.ndarray) -> bytes:
+    """One bit per hash slot, set if an odd number of shingles falls there; about n / 2 slots."""
+    slots = 1 << max(7, len(tokens).bit_length() - 1)
+    odd = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """At least so many shingles are in one of two sets only, by their bitmaps."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a, b = b, a
+    while len(b) > len(a):  # slots are the low bits of the hash: halves fold onto each other
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def most_difference(n1: int, n2: int, percent: int) -> int:
+    """Linked sets of these sizes differ in at most so many shingles (below 0: they cannot link)."""
+    common = -(-percent * (n1 + n2) // (100 + percent))
+    return n1 + n2 - 2 * common if common <= min(n1, n2) else -1
+
+
 def _sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
     return shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words)
 
@@ -123,26 +148,27 @@ def _sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
 def _first_pass(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        names = ["doc_id", "cls", "n", "block", "cells", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["doc_id", "cls", "n", "bitmap", "block", "cells", "counts"]
         for batch in batches:
-            cls, n = [], []
+            cls, n, bitmaps = [], [], []
             for tokens in _sets_of(batch, words):
                 c = class_of(tokens)
                 cls.append(c)
                 n.append(len(tokens))
+                bitmaps.append(parity_bitmap(tokens))
                 if len(tokens) and c not in seen:
                     seen.add(c)
                     np.add.at(sketch, tokens >> np.uint64(64 - SKETCH_BITS), np.uint32(1))
             none = [None] * len(cls)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip([batch.column("doc_id").to_pylist(), cls, n, none, none, none], kinds)],
+                [pa.array(x, t) for x, t in zip([batch.column("doc_id").to_pylist(), cls, n, bitmaps, none, none, none], kinds)],
                 names=names)
         rows = []
         for block, part in enumerate(sketch.reshape(-1, 1 << SKETCH_BLOCK)):
             cells = np.flatnonzero(part)
             if len(cells):
-                rows.append((None, None, None, block, cells.astype("<u2").tobytes(), part[cells].astype("<u4").tobytes()))
+                rows.append((None, None, None, None, block, cells.astype("<u2").tobytes(), part[cells].astype("<u4").tobytes()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=names)
     return run
@@ -228,6 +254,17 @@ def _third_pass(shared, words: int, bits: int = ROUTE_BITS):
     return run
 
 
+def _likely_pairs(percent: int):
+    """Pairs whose bitmaps do not rule a link out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb, ba, bb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ba", "bb"))
+            hit = np.array([least_difference(x, y) <= most_difference(p, q, percent)
+                            for x, y, p, q in zip(ba, bb, na, nb)], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)[hit]) for x in (a, b)], names=["a", "b"])
+    return run
+
+
 def _verify_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,6 +282,20 @@ def _verify_pairs(percent: int):
 
 # --- the token-group matrix ----------------------------------------------------------------
 
+def _likely_groups(percent: int):
+    """Queries with a member of the group that bitmaps do not rule out."""
+    def run(members: pa.Table, queries: pa.Table) -> pa.Table:
+        held = list(zip(members["n"].to_pylist(), members["bitmap"].to_pylist()))
+        rows = [q for q, n, bitmap in zip(queries["query"].to_pylist(), queries["q_n"].to_pylist(), queries["q_bitmap"].to_pylist())
+                if any(least_difference(b, bitmap) <= most for m, b in held
+                       if (most := most_difference(m, n, percent)) >= 0)]
+        first = (lambda c: queries[c][0].as_py()) if rows else None
+        return pa.table({"query": pa.array(rows, pa.int64()),
+                         "g_comp": pa.array([first("q_group")] * len(rows) if rows else [], pa.int64()),
+                         "chunk": pa.array([first("q_chunk")] * len(rows) if rows else [], pa.int32())})
+    return run
+
+
 def _open_groups(percent: int):
     """Queries against one group: bound by the union of its shingles, then member by member."""
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
@@ -274,7 +325,20 @@ def _open_groups(percent: int):
     return run
 
 
-def _group_links(postings: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _by_group(pairs: DataFrame, members: DataFrame, asked: DataFrame, held: list[str], asks: list[str]):
+    """Members and queries of each group, side by side, the queries in parts of bounded size."""
+    loads = pairs.groupBy("g_comp", "chunk").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).cast("int").alias("parts"))
+    parted = members.join(loads, (members["comp"] == loads["g_comp"]) & (members["chunk"] == loads["chunk"])).select(
+        F.col("comp").alias("m_comp"), members["chunk"].alias("m_chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("m_part"), *held)
+    loads = loads.select(F.col("g_comp").alias("l_comp"), F.col("chunk").alias("l_chunk"), F.col("parts").alias("l_parts"))
+    ask = asked.join(loads, (asked["g_comp"] == loads["l_comp"]) & (asked["chunk"] == loads["l_chunk"])).select(
+        F.col("g_comp").alias("q_group"), F.col("chunk").alias("q_chunk"),
+        F.pmod(F.xxhash64("query"), F.col("l_parts")).cast("int").alias("q_part"), *asks)
+    return parted.groupBy("m_comp", "m_chunk", "m_part").cogroup(ask.groupBy("q_group", "q_chunk", "q_part"))
+
+
+def _group_links(postings: DataFrame, comps: DataFrame, bitmaps: DataFrame, whole_sets, percent: int) -> DataFrame | None:
     """Links (a, b) between components, from queries against the groups of other components."""
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     of = comps.join(sizes, "component").select(F.col("node").alias("cls"), F.col("component").alias("comp"), "size")
@@ -291,24 +355,22 @@ def _group_links(postings: DataFrame, comps: DataFrame, sets: DataFrame, percent
     pairs = (asks.join(matrix, "token")
              .where("(size < g_size or (size = g_size and comp < g_comp)) and "
                     f"100 * n_max >= {percent} * n and 100 * n >= {percent} * n_min")
-             .select("query", "comp", "g_comp", "chunk").distinct())
+             .select("query", "g_comp", "chunk").distinct())
     pairs = written(pairs, "query_groups")
-    loads = pairs.groupBy("g_comp", "chunk").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).cast("int").alias("parts"))
-    own = known.select("cls", "comp", "chunk").distinct()
-    # Members of a group that share no shingle left still belong to its union.
-    own = own.unionByName(of.select("cls", "comp", "chunk")).distinct()
-    members = (own.join(loads, (own["comp"] == loads["g_comp"]) & (own["chunk"] == loads["chunk"]))
-               .select("cls", "comp", own["chunk"], F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-               .join(sets, "cls"))
-    asked = (pairs.join(loads, ["g_comp", "chunk"])
-             .withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int"))
-             .join(sets.select(F.col("cls").alias("query"), F.col("tokens").alias("asked")), "query"))
-    members = members.select(F.col("comp").alias("m_comp"), F.col("chunk").alias("m_chunk"),
-                             F.col("part").alias("m_part"), F.col("tokens").alias("held"))
-    asked = asked.select(F.col("g_comp").alias("q_group"), F.col("chunk").alias("q_chunk"),
-                         F.col("part").alias("q_part"), F.col("comp").alias("q_comp"), "asked")
-    return members.groupBy("m_comp", "m_chunk", "m_part").cogroup(
-        asked.groupBy("q_group", "q_chunk", "q_part")).applyInArrow(
+    # All members of a component are in its groups, those without a shared shingle left too.
+    members = written(known.select("cls", "comp", "chunk").unionByName(of.select("cls", "comp", "chunk")).distinct(), "members")
+    asked = pairs.join(bitmaps.select(F.col("cls").alias("query"), F.col("n").alias("q_n"), F.col("bitmap").alias("q_bitmap")), "query")
+    likely = written(_by_group(pairs, members.join(bitmaps, "cls"), asked, ["n", "bitmap"], ["query", "q_n", "q_bitmap"])
+                     .applyInArrow(_likely_groups(percent), "query long, g_comp long, chunk int"), "likely_groups")
+    if likely.isEmpty():
+        return None
+    groups = likely.select(F.col("g_comp").alias("comp"), "chunk").distinct()
+    opened = members.join(groups, ["comp", "chunk"])
+    sets = whole_sets(opened.select("cls").union(likely.select("query")).distinct(), "group_sets")
+    queries = likely.join(members.select(F.col("cls").alias("query"), F.col("comp").alias("q_comp")), "query").join(
+        sets.select(F.col("cls").alias("query"), F.col("tokens").alias("asked")), "query")
+    held = opened.join(sets, "cls").withColumnRenamed("tokens", "held")
+    return _by_group(likely, held, queries, ["held"], ["q_comp", "asked"]).applyInArrow(
         _open_groups(percent), "a long, b long")
 
 
@@ -319,32 +381,42 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     ready_workers(spark)
     sc = spark.sparkContext
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    first = written(slim.mapInArrow(_first_pass(words), "doc_id long, cls long, n long, block int, cells binary, counts binary"),
-                    "shingles")
+    first = written(slim.mapInArrow(_first_pass(words), "doc_id long, cls long, n long, bitmap binary, block int, "
+                                    "cells binary, counts binary"), "shingles")
     rows = first.where("block is null").select("doc_id", "cls", F.col("n").alias("n_shingles"))
+    bitmaps = first.where("block is null and n > 0").select("cls", "n", "bitmap").dropDuplicates(["cls"])
     sketch = sc.broadcast(_whole_sketch(first.where("block is not null")))
     texts = slim.select("text")
+
+    def whole_sets(classes: DataFrame, name: str) -> DataFrame:
+        shared = sc.broadcast(_shared_bitmap(classes.select(F.col(classes.columns[0]).alias("cls"))))
+        return written(texts.mapInArrow(_third_pass(shared, words), "cls long, tokens binary").dropDuplicates(["cls"]), name)
+
     prefixes = texts.mapInArrow(_second_pass(sketch, words, percent), "token long, cls long, n int")
     by_token = Window.partitionBy("token")
     low, high = F.min(F.struct("cls", "n")).over(by_token), F.max("cls").over(by_token)
     postings = written(prefixes.withColumn("low", low).withColumn("high", high).where("low.cls <> high")
                        .select("token", "cls", "n", F.col("low.cls").alias("center"), F.col("low.n").alias("n_center")),
                        "postings")
-    shared = sc.broadcast(_shared_bitmap(postings.select("cls").distinct()))
-    sets = written(texts.mapInArrow(_third_pass(shared, words), "cls long, tokens binary").dropDuplicates(["cls"]), "sets")
     pairs = (postings.where(f"cls <> center and 100 * n >= {percent} * n_center and 100 * n_center >= {percent} * n")
              .select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct())
-    joined = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
+    marked = (pairs.join(bitmaps.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("bb")), "b")
+              .join(bitmaps.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ba")), "a"))
+    likely = written(marked.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_likely_pairs(percent), "a long, b long"), "likely")
+    sets = whole_sets(likely.select("a").union(likely.select("b")).distinct(), "sets")
+    joined = (likely.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
               .join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a"))
     seeds = joined.select("a", "b", "ta", "tb").mapInArrow(_verify_pairs(percent), "a long, b long")
     seeded = written(components(seeds, "a", "b"), "seeded")
-    links = _group_links(postings, seeded, sets, percent)
-    merged = components(links, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("merged"))
-    final = (seeded.join(merged, "component", "left")
-             .select("node", F.coalesce("merged", "component").alias("comp")))
-    alone = merged.join(seeded.select("component"), "component", "left_anti").select(
-        F.col("component").alias("node"), F.col("merged").alias("comp"))
-    final = written(final.unionByName(alone), "components")
+    links = _group_links(postings, seeded, bitmaps, whole_sets, percent)
+    if links is None:
+        final = seeded.select("node", F.col("component").alias("comp"))
+    else:
+        merged = components(links, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        final = seeded.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("comp"))
+        alone = merged.join(seeded.select("component"), "component", "left_anti").select(
+            F.col("component").alias("node"), F.col("merged").alias("comp"))
+        final = written(final.unionByName(alone), "components")
     return (rows.join(final, rows["cls"] == final["node"], "left")
             .select("doc_id", "n_shingles", "cls", F.coalesce("comp", "cls").alias("comp")))
 

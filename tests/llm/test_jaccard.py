@@ -124,3 +124,20 @@ def test_prefixes_of_linked_sets_meet(percent):
         if len(b) and jaccard_join.linked(n, len(a), len(b), percent):
             pa, pb = (jaccard_join.prefix(x, sketch, percent) for x in (a, b))
             assert len(np.intersect1d(pa, pb))
+
+
+def test_bitmaps_never_rule_a_link_out():
+    rng = np.random.default_rng(2)
+    for _ in range(400):
+        n = int(rng.integers(1, 900))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.7, 1)], rng.integers(0, 2**63, rng.integers(0, 60)).astype(np.uint64)]))
+        if not len(b):
+            continue
+        common = len(np.intersect1d(a, b))
+        apart = len(a) + len(b) - 2 * common
+        least = jaccard_join.least_difference(jaccard_join.parity_bitmap(a), jaccard_join.parity_bitmap(b))
+        assert least <= apart
+        for percent in (50, 85, 100):
+            most = jaccard_join.most_difference(len(a), len(b), percent)
+            assert jaccard_join.linked(common, len(a), len(b), percent) == (apart <= most)
