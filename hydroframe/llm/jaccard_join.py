@@ -7,14 +7,16 @@ form one class, and only classes are compared.
    Two linked sets share one of the first n - ceil(threshold n) + 1 shingles of this order,
    so only those prefixes are shuffled, and a shingle that one class alone has is dropped.
 2. Seed links: in the list of each shared shingle, every class is compared exactly with the
-   first class of the list, if their parity bitmaps (n / 16 bytes a set) allow it: the bits
-   in which two bitmaps differ are at most the shingles in which the sets differ. Their components are similar documents by proof; cut into chunks
-   of bounded size they are the groups, and every other class is a group of its own.
-3. Token-group matrix: shingle by shingle, a class (the query) meets the groups of other,
-   larger components; bitmaps rule most groups out before any set is moved. Each group left
-   stores the union of its members' shingles; a query whose
-   overlap with the union falls short of the threshold cannot link to any member, and only
-   the groups left are opened and compared member by member.
+   class whose prefix is commonest (of a text and its edited copies, the text itself), if
+   their parity bitmaps (n / 16 bytes a set) allow it: the bits in which two bitmaps differ
+   are at most the shingles in which the sets differ. Their components are similar documents
+   by proof; classes without a link join the class that leads their longest list. Cut into
+   chunks of bounded size, these are the groups.
+3. Token-group matrix: shingle by shingle, a class (the query) meets the groups that hold
+   other components; bitmaps rule most groups out before any set is moved. Each group left
+   stores the union of its members' shingles; a query whose overlap with the union falls
+   short of the threshold cannot link to any member, and only the groups left are opened and
+   compared member by member.
 4. Components over all links; equal sets and links already proved are never compared again,
    so a group of near copies costs its size, not its square.
 
@@ -33,9 +35,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from hydroframe.llm.common import ready_workers, row_and, text_or_empty, without_ids, written
 from hydroframe.llm.components import components
@@ -45,7 +46,7 @@ PERCENT = 85
 SKETCH_BITS = 20     # cells of the count sketch: 4 MB
 SKETCH_BLOCK = 14    # cells that are merged together
 ROUTE_BITS = 26      # classes that share a shingle, as a bitmap of 8 MB
-GROUP_MEMBERS = 64
+GROUP_MEMBERS = 256
 QUERIES_A_TASK = 500  # queries that meet a group at once
 SLICE_BYTES = 1 << 20  # text hashed at a time
 
@@ -123,20 +124,28 @@ def parity_bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def least_difference(x: bytes, y: bytes) -> int:
-    """At least so many shingles are in one of two sets only, by their bitmaps."""
-    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    if len(a) > len(b):
-        a, b = b, a
-    while len(b) > len(a):  # slots are the low bits of the hash: halves fold onto each other
-        b = b[:len(b) // 2] ^ b[len(b) // 2:]
-    return int(np.bitwise_count(a ^ b).sum())
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps with fewer slots: slots are low bits of the hash, so halves fold onto each other."""
+    while bits.shape[-1] > size:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
-def most_difference(n1: int, n2: int, percent: int) -> int:
+def least_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At least so many shingles are in one of two sets only, by their bitmaps (last axis)."""
+    size = min(x.shape[-1], y.shape[-1])
+    return np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum(-1, dtype=np.int64)
+
+
+def most_difference(n1, n2, percent: int):
     """Linked sets of these sizes differ in at most so many shingles (below 0: they cannot link)."""
     common = -(-percent * (n1 + n2) // (100 + percent))
-    return n1 + n2 - 2 * common if common <= min(n1, n2) else -1
+    return np.where(common <= np.minimum(n1, n2), n1 + n2 - 2 * common, -1)
+
+
+def _bits(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8)
 
 
 def _sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
@@ -201,23 +210,29 @@ def prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
     return tokens[order[:keep]]
 
 
+def weight(tokens: np.ndarray, n: int, sketch: np.ndarray) -> int:
+    """How common a prefix is (its mean sketch count, in sixteenths), and the set's size below it."""
+    common = int(16 * sketch[tokens >> np.uint64(64 - SKETCH_BITS)].mean())
+    return (min(common, (1 << 30) - 1) << 32) | n
+
+
 def _second_pass(sketch, words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            parts, classes, sizes = [], [], []
+            parts, classes, weights = [], [], []
             for tokens in _sets_of(batch, words):
                 c = class_of(tokens)
                 if len(tokens) and c not in seen:
                     seen.add(c)
                     parts.append(prefix(tokens, sketch.value, percent))
                     classes.append(c)
-                    sizes.append(len(tokens))
+                    weights.append(weight(parts[-1], len(tokens), sketch.value))
             if parts:
                 many = [len(p) for p in parts]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(np.array(classes, np.int64), many)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), many))], names=["token", "cls", "n"])
+                     pa.array(np.repeat(np.array(weights, np.int64), many))], names=["token", "cls", "weight"])
     return run
 
 
@@ -259,8 +274,8 @@ def _likely_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, na, nb, ba, bb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ba", "bb"))
-            hit = np.array([least_difference(x, y) <= most_difference(p, q, percent)
-                            for x, y, p, q in zip(ba, bb, na, nb)], bool)
+            least = np.array([int(least_difference(_bits(x), _bits(y))) for x, y in zip(ba, bb)], np.int64)
+            hit = least <= most_difference(np.array(na, np.int64), np.array(nb, np.int64), percent)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)[hit]) for x in (a, b)], names=["a", "b"])
     return run
 
@@ -283,95 +298,94 @@ def _verify_pairs(percent: int):
 # --- the token-group matrix ----------------------------------------------------------------
 
 def _likely_groups(percent: int):
-    """Queries with a member of the group that bitmaps do not rule out."""
+    """Queries with a member of the group, of another component, that bitmaps do not rule out."""
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
-        held = list(zip(members["n"].to_pylist(), members["bitmap"].to_pylist()))
-        rows = [q for q, n, bitmap in zip(queries["query"].to_pylist(), queries["q_n"].to_pylist(), queries["q_bitmap"].to_pylist())
-                if any(least_difference(b, bitmap) <= most for m, b in held
-                       if (most := most_difference(m, n, percent)) >= 0)]
-        first = (lambda c: queries[c][0].as_py()) if rows else None
-        return pa.table({"query": pa.array(rows, pa.int64()),
-                         "g_comp": pa.array([first("q_group")] * len(rows) if rows else [], pa.int64()),
-                         "chunk": pa.array([first("q_chunk")] * len(rows) if rows else [], pa.int32())})
+        by_size: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        for comp, n, raw in zip(*(members[c].to_pylist() for c in ("comp", "n", "bitmap"))):
+            by_size.setdefault(len(raw), []).append((comp, n, _bits(raw)))
+        held = [(np.array([c for c, *_ in own]), np.array([n for _, n, _ in own]), np.stack([b for *_, b in own]))
+                for own in by_size.values()]
+        rows = [q for q, comp, n, raw in zip(*(queries[c].to_pylist() for c in ("query", "q_comp", "q_n", "q_bitmap")))
+                if any(((least_difference(bits, _bits(raw)) <= most_difference(sizes, n, percent)) & (comps != comp)).any()
+                       for comps, sizes, bits in held)]
+        group = queries["q_grp"][0].as_py() if rows else None
+        return pa.table({"query": pa.array(rows, pa.int64()), "grp": pa.array([group] * len(rows), pa.int64())})
     return run
 
 
 def _open_groups(percent: int):
     """Queries against one group: bound by the union of its shingles, then member by member."""
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
-        found = []
+        found: set[tuple[int, int]] = set()
         if members.num_rows and queries.num_rows:
+            comps = np.array(members["comp"].to_pylist(), np.int64)
             sets = [np.frombuffer(t, "<u8") for t in members["held"].to_pylist()]
             sizes = np.array([len(s) for s in sets])
             every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(every, kind="stable")
-            every, owner = every[order], owner[order]
             union = np.unique(every)
-            first = members["m_comp"][0].as_py()
             for comp, raw in zip(queries["q_comp"].to_pylist(), queries["asked"].to_pylist()):
                 q = np.frombuffer(raw, "<u8")
                 at = np.minimum(np.searchsorted(union, q), len(union) - 1)
                 inside = q[union[at] == q]
                 if 100 * len(inside) < percent * len(q):
                     continue  # no member can reach the threshold: the group stays closed
-                at = np.searchsorted(inside, every)
-                hit = inside[np.minimum(at, len(inside) - 1)] == every
+                hit = inside[np.minimum(np.searchsorted(inside, every), len(inside) - 1)] == every
                 common = np.bincount(owner[hit], minlength=len(sets))
-                if linked(common, len(q), sizes, percent).any():
-                    found.append(comp)
-        else:
-            first = None
-        return pa.table({"a": pa.array(found, pa.int64()), "b": pa.array([first] * len(found), pa.int64())})
+                hits = linked(common, len(q), sizes, percent) & (comps != comp)
+                found.update((comp, c) for c in np.unique(comps[hits]).tolist())
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
     return run
 
 
 def _by_group(pairs: DataFrame, members: DataFrame, asked: DataFrame, held: list[str], asks: list[str]):
     """Members and queries of each group, side by side, the queries in parts of bounded size."""
-    loads = pairs.groupBy("g_comp", "chunk").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).cast("int").alias("parts"))
-    parted = members.join(loads, (members["comp"] == loads["g_comp"]) & (members["chunk"] == loads["chunk"])).select(
-        F.col("comp").alias("m_comp"), members["chunk"].alias("m_chunk"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("m_part"), *held)
-    loads = loads.select(F.col("g_comp").alias("l_comp"), F.col("chunk").alias("l_chunk"), F.col("parts").alias("l_parts"))
-    ask = asked.join(loads, (asked["g_comp"] == loads["l_comp"]) & (asked["chunk"] == loads["l_chunk"])).select(
-        F.col("g_comp").alias("q_group"), F.col("chunk").alias("q_chunk"),
-        F.pmod(F.xxhash64("query"), F.col("l_parts")).cast("int").alias("q_part"), *asks)
-    return parted.groupBy("m_comp", "m_chunk", "m_part").cogroup(ask.groupBy("q_group", "q_chunk", "q_part"))
+    loads = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).cast("int").alias("parts"))
+    parted = members.join(loads, "grp").select(
+        F.col("grp").alias("m_grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("m_part"), "comp", *held)
+    ask = asked.join(loads, "grp").select(
+        F.col("grp").alias("q_grp"), F.pmod(F.xxhash64("query"), F.col("parts")).cast("int").alias("q_part"), "query", "q_comp", *asks)
+    return parted.groupBy("m_grp", "m_part").cogroup(ask.groupBy("q_grp", "q_part"))
 
 
 def _group_links(postings: DataFrame, comps: DataFrame, bitmaps: DataFrame, whole_sets, percent: int) -> DataFrame | None:
-    """Links (a, b) between components, from queries against the groups of other components."""
+    """Links (a, b) between components, from queries against the groups with members of others."""
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     of = comps.join(sizes, "component").select(F.col("node").alias("cls"), F.col("component").alias("comp"), "size")
-    of = of.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP_MEMBERS)).cast("int"))
-    known = postings.select("token", "cls", "n").distinct().join(of, "cls", "left").select(
-        "token", "cls", "n", F.coalesce("comp", "cls").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"),
-        F.coalesce("chunk", F.lit(0)).alias("chunk"))
+    known = postings.dropDuplicates(["token", "cls"]).join(of, "cls", "left").select(
+        "token", "cls", "n", "center", "listed", F.coalesce("comp", "cls").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
     # Shingles whose classes are all in one component have nothing left to find.
     low, high = F.min("comp").over(Window.partitionBy("token")), F.max("comp").over(Window.partitionBy("token"))
     known = written(known.withColumn("lo", low).withColumn("hi", high).where("lo <> hi").drop("lo", "hi"), "matrix")
-    matrix = known.groupBy("token", F.col("comp").alias("g_comp"), "chunk", F.col("size").alias("g_size")).agg(
-        F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    asks = known.select("token", F.col("cls").alias("query"), "n", "comp", "size")
+    # Groups: a component, or the classes without a link that the same class leads, in chunks.
+    home = known.groupBy("cls", "comp", "size").agg(F.max_by("center", F.struct("listed", "center")).alias("leader"))
+    home = home.withColumn("key", F.when(F.col("size") > 1, F.xxhash64("comp")).otherwise(F.xxhash64("leader", F.lit("leads"))))
+    many = home.groupBy(F.col("key").alias("_key")).agg(F.ceil(F.count(F.lit(1)) / GROUP_MEMBERS).alias("chunks"))
+    members = home.join(many, home["key"] == many["_key"]).select(
+        "cls", "comp", "size", F.xxhash64("key", F.pmod(F.xxhash64("cls"), F.col("chunks"))).alias("grp"))
+    members = written(members, "members")
+    rank = F.struct("size", "comp")
+    matrix = (known.select("token", "cls", "n").join(members, "cls").groupBy("token", "grp")
+              .agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(rank).alias("top")))
+    asks = known.select("token", F.col("cls").alias("query"), "n", F.struct("size", "comp").alias("own"))
+    # Of two components the smaller one asks: a group is met if a member's component ranks above.
     pairs = (asks.join(matrix, "token")
-             .where("(size < g_size or (size = g_size and comp < g_comp)) and "
-                    f"100 * n_max >= {percent} * n and 100 * n >= {percent} * n_min")
-             .select("query", "g_comp", "chunk").distinct())
+             .where(f"own < top and 100 * n_max >= {percent} * n and 100 * n >= {percent} * n_min")
+             .select("query", "grp").distinct())
     pairs = written(pairs, "query_groups")
-    # All members of a component are in its groups, those without a shared shingle left too.
-    members = written(known.select("cls", "comp", "chunk").unionByName(of.select("cls", "comp", "chunk")).distinct(), "members")
-    asked = pairs.join(bitmaps.select(F.col("cls").alias("query"), F.col("n").alias("q_n"), F.col("bitmap").alias("q_bitmap")), "query")
-    likely = written(_by_group(pairs, members.join(bitmaps, "cls"), asked, ["n", "bitmap"], ["query", "q_n", "q_bitmap"])
-                     .applyInArrow(_likely_groups(percent), "query long, g_comp long, chunk int"), "likely_groups")
+    own = members.select(F.col("cls").alias("query"), F.col("comp").alias("q_comp"))
+    asked = pairs.join(own, "query").join(
+        bitmaps.select(F.col("cls").alias("query"), F.col("n").alias("q_n"), F.col("bitmap").alias("q_bitmap")), "query")
+    held = members.select("cls", "comp", "grp").join(bitmaps, "cls")
+    likely = written(_by_group(pairs, held, asked, ["n", "bitmap"], ["q_n", "q_bitmap"])
+                     .applyInArrow(_likely_groups(percent), "query long, grp long"), "likely_groups")
     if likely.isEmpty():
         return None
-    groups = likely.select(F.col("g_comp").alias("comp"), "chunk").distinct()
-    opened = members.join(groups, ["comp", "chunk"])
+    opened = members.select("cls", "comp", "grp").join(likely.select("grp").distinct(), "grp")
     sets = whole_sets(opened.select("cls").union(likely.select("query")).distinct(), "group_sets")
-    queries = likely.join(members.select(F.col("cls").alias("query"), F.col("comp").alias("q_comp")), "query").join(
+    queries = likely.join(own, "query").join(
         sets.select(F.col("cls").alias("query"), F.col("tokens").alias("asked")), "query")
-    held = opened.join(sets, "cls").withColumnRenamed("tokens", "held")
-    return _by_group(likely, held, queries, ["held"], ["q_comp", "asked"]).applyInArrow(
-        _open_groups(percent), "a long, b long")
+    held = opened.join(sets.select("cls", F.col("tokens").alias("held")), "cls")
+    return _by_group(likely, held, queries, ["held"], ["asked"]).applyInArrow(_open_groups(percent), "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -392,12 +406,15 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         shared = sc.broadcast(_shared_bitmap(classes.select(F.col(classes.columns[0]).alias("cls"))))
         return written(texts.mapInArrow(_third_pass(shared, words), "cls long, tokens binary").dropDuplicates(["cls"]), name)
 
-    prefixes = texts.mapInArrow(_second_pass(sketch, words, percent), "token long, cls long, n int")
+    prefixes = texts.mapInArrow(_second_pass(sketch, words, percent), "token long, cls long, weight long")
     by_token = Window.partitionBy("token")
-    low, high = F.min(F.struct("cls", "n")).over(by_token), F.max("cls").over(by_token)
-    postings = written(prefixes.withColumn("low", low).withColumn("high", high).where("low.cls <> high")
-                       .select("token", "cls", "n", F.col("low.cls").alias("center"), F.col("low.n").alias("n_center")),
-                       "postings")
+    size = lambda w: F.col(w).bitwiseAND((1 << 32) - 1)
+    postings = (prefixes.withColumn("top", F.max(F.struct("weight", "cls")).over(by_token))
+                .withColumn("listed", F.count("cls").over(by_token))
+                .withColumn("low", F.min("cls").over(by_token)).withColumn("high", F.max("cls").over(by_token)))
+    postings = written(postings.where("low <> high").select(
+        "token", "cls", "listed", size("weight").alias("n"), F.col("top.cls").alias("center"), size("top.weight").alias("n_center")),
+        "postings")
     pairs = (postings.where(f"cls <> center and 100 * n >= {percent} * n_center and 100 * n_center >= {percent} * n")
              .select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct())
     marked = (pairs.join(bitmaps.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("bb")), "b")

@@ -136,7 +136,8 @@ def test_bitmaps_never_rule_a_link_out():
             continue
         common = len(np.intersect1d(a, b))
         apart = len(a) + len(b) - 2 * common
-        least = jaccard_join.least_difference(jaccard_join.parity_bitmap(a), jaccard_join.parity_bitmap(b))
+        bits = [np.frombuffer(jaccard_join.parity_bitmap(x), np.uint8) for x in (a, b)]
+        least = jaccard_join.least_difference(*bits)
         assert least <= apart
         for percent in (50, 85, 100):
             most = jaccard_join.most_difference(len(a), len(b), percent)
