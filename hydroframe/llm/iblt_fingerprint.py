@@ -222,10 +222,15 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     near_edited, near_next, paragraphs, differing_edited, differing_next."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     own = own.select("doc_id", F.xxhash64("text").alias("h"), "text", digests(F.col("text")).alias("a"))
-    rows = with_next(own).withColumn("edited", _edited(F.col("text"), F.col("next_text")))
-    rows = rows.withColumn("e", digests(F.col("edited")))
-    info = F.struct("doc_id", "h", "next_id", "next_h", F.char_length("text").cast("long").alias("n_chars"),
-                    F.sha2("edited", 256).alias("sha"), F.size("a").alias("na"), F.size("e").alias("ne"), F.size("b").alias("nb"))
+    # A generator's output is computed once; plain projections would be merged and the edited
+    # text and its digests computed again for every use.
+    rows = with_next(own)
+    rows = rows.select("block", "rn", "doc_id", "h", "a", "b", "next_id", "next_h", F.inline(F.array(F.struct(
+        F.char_length("text").cast("long").alias("n_chars"), _edited(F.col("text"), F.col("next_text")).alias("edited")))))
+    rows = rows.select("block", "rn", "doc_id", "h", "a", "b", "next_id", "next_h", "n_chars", F.inline(F.array(F.struct(
+        F.sha2("edited", 256).alias("sha"), digests(F.col("edited")).alias("e")))))
+    info = F.struct("doc_id", "h", "next_id", "next_h", "n_chars", "sha", F.size("a").alias("na"), F.size("e").alias("ne"),
+                    F.size("b").alias("nb"))
     results = written(_differences(rows, info, 0, True), "differences")
     out = _retried(results, own)
     label = lambda size, cells: F.concat(F.hex(F.col(size).cast("long")), F.lit("|"), F.col(cells))
