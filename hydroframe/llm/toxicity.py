@@ -6,12 +6,12 @@ dropped, runs shortened and single letters joined. A Viterbi search finds the li
 letters under a character trigram model of the corpus and fixed channel costs. Restored words
 are then scored with the words as written.
 
-The lexicon is learnt from a bounded sample of labelled rows (about ``PER_CLASS`` of each label,
-chosen by a hash of the id): words and word beginnings that are commoner in rows with label 1
-than chance among all candidates allows, and nearly always come with it. A text's score is
-the probability that any of its lexicon terms is right, or a low floor without one. Model
-sizes are bounded, so the model travels with the tasks; scoring is one pass over whole texts
-without a shuffle.
+The lexicon is learnt from all labelled rows that are not held out, so that a term's precision
+is its rate in the corpus at any input size: words and word beginnings that are commoner in rows
+with label 1 than chance among all candidates allows, and nearly always come with it. A text's
+score is the probability that any of its lexicon terms is right, or a low floor without one.
+Model sizes are bounded, so the model travels with the tasks; scoring is one pass over whole
+texts without a shuffle, counting terms moves the labelled rows only.
 
 Edge cases: a null text counts as empty and gets the floor; without labels every row gets it;
 labels of a repeated id count as 1 if any is; repeated rows are separate rows; an empty table
@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydroframe.llm.common import hash_fraction, ready_workers, row_and, written
+from hydroframe.llm.common import ready_workers, route, row_and, written
 
-PER_CLASS = 10_000
 HELD_OUT = (5, 0)  # ids whose CRC-32 leaves 0 modulo 5 are never learnt from
 MAX_TERMS = 20_000
 MAX_GRAMS = 40_000
 MIN_ROWS = 5        # rows with label 1 that a term needs
 MIN_PRECISION = 0.8
+ALL_ROWS = ""       # counted as a term that every row has; words are never empty
 FLOOR = 0.01
 
 # Letters that a symbol may stand for; other symbols can only be dropped.
@@ -156,7 +156,7 @@ def _count_terms(grams: dict[str, int]):
         for batch in batches:
             counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[toxic].update(terms(restorer.words(text or "")))
+                counts[toxic].update(terms(restorer.words(text or "")) | {ALL_ROWS})
             every = list(counts[0] | counts[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(every, pa.string()), pa.array([counts[1][t] for t in every], pa.int64()),
@@ -188,30 +188,28 @@ def remainder(doc_id: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % HELD_OUT[0], F.lit(1))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, doc_id: str = "doc_id",
-          text: str = "text", label: str = "toxic") -> Scorer:
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+          label: str = "toxic") -> Scorer:
     """Character model and lexicon from labelled rows of ``docs`` that are not held out."""
     ready_workers(docs.sparkSession)
     marked = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("toxic"))
     marked = marked.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(remainder("id") != HELD_OUT[1])
-    sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
-    if not sizes.get(1):
+    if not marked.where("toxic = 1").limit(1).count():
         return Scorer({}, {})
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_class / n))])
-    # A bounded sample: per_class ids of each label (in expectation), hence broadcast.
-    chosen = marked.where(hash_fraction("id") < share[F.col("toxic")])
     own = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    sample = written(own.join(F.broadcast(chosen), own["doc"] == chosen["id"]).select("text", "toxic"), "labelled")
-    grams = (sample.select("text").mapInArrow(_count_grams, "gram string, n long").groupBy("gram")
+    near = route(own, "doc", marked, "id").where("_maybe")  # rows without a label are not moved
+    # The same plan at any size: texts and labels meet by id, in tables of labels without texts.
+    labelled = near.join(marked.hint("shuffle_hash"), near["doc"] == marked["id"]).select("text", "toxic")
+    grams = (labelled.select("text").mapInArrow(_count_grams, "gram string, n long").groupBy("gram")
              .agg(F.sum("n").alias("n")).orderBy(F.length("gram"), F.desc("n"), "gram").limit(MAX_GRAMS))
     grams = {r["gram"]: r["n"] for r in grams.collect()}
-    counts = (sample.mapInArrow(_count_terms(grams), "term string, bad long, good long").groupBy("term")
+    counts = (labelled.mapInArrow(_count_terms(grams), "term string, bad long, good long").groupBy("term")
               .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= MIN_ROWS))
     counts = written(counts, "terms")
-    rows = sample.groupBy("toxic").count().collect()
-    n = {r["toxic"]: r["count"] for r in rows}
-    base = n.get(1, 0) / max(1, sum(n.values()))
+    rows = counts.where(F.col("term") == ALL_ROWS).collect()
+    counts = counts.where(F.col("term") != ALL_ROWS)
+    base = rows[0]["bad"] / (rows[0]["bad"] + rows[0]["good"]) if rows else 0
     if not 0 < base < 1:
         return Scorer(grams, {})
     # A term's surplus of label 1 over the base rate must beat what one of all terms has by chance.

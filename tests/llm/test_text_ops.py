@@ -180,6 +180,16 @@ def test_toxicity_reads_disguised_words(spark):
         assert scorer.score(clean() + " " + word + " " + clean()) < 0.5, word
 
 
+def test_toxicity_precision_is_the_rate_in_the_corpus_at_any_size(spark):
+    # "gadget" comes with label 1 in half of its rows, among many more rows with label 0
+    word = F.expr("case id % 60 when 0 then 'gadget awful' when 1 then 'gadget fine' else 'fine day' end")
+    docs = spark.range(80_000).select(F.col("id").alias("doc_id"), word.alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 60 == 0).cast("int").alias("toxic"))
+    scorer = toxicity.learn(docs, labels)
+    assert scorer.score("an awful day") >= 0.5
+    assert scorer.score("a gadget") < 0.5
+
+
 def test_toxicity_edges(spark):
     labels = read_table(spark, SF_CHECK, "labels")
     scorer = toxicity.learn(documents(spark, SF_CHECK), labels)
