@@ -6,6 +6,13 @@ dropped, runs shortened and single letters joined. A Viterbi search finds the li
 letters under a character trigram model of the corpus and fixed channel costs. Restored words
 are then scored with the words as written.
 
+The character model is counted over the texts of all documents; it reads no label. The full
+counts are a written table. Of it, the tasks get every letter, and the pairs and triples that make
+up ``MIN_SHARE`` of their rarest letter or more: a letter can have at most 3 / ``MIN_SHARE`` such
+triples, so their number follows the alphabets and not the input, and a rare script keeps as much
+detail as a common one. Ideographs and Hangul syllables are sent as single letters only: no symbol
+stands for them, so a lattice never has to choose between them.
+
 The lexicon is learnt from all labelled rows that are not held out, so that a term's precision
 is its rate in the corpus at any input size: words and word beginnings that are commoner in rows
 with label 1 than chance among all candidates allows, and nearly always come with it. A text's
@@ -27,6 +34,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +44,8 @@ from hydroframe.llm.common import ready_workers, route, row_and, written
 
 HELD_OUT = (5, 0)  # ids whose CRC-32 leaves 0 modulo 5 are never learnt from
 MAX_TERMS = 20_000
-MAX_GRAMS = 40_000
+MIN_SHARE = 1e-4    # of the occurrences of a gram's rarest letter; rarer grams are backed off
+MAX_WORDS = 300_000  # different words that a task holds at a time
 MIN_ROWS = 5        # rows with label 1 that a term needs
 MIN_PRECISION = 0.8
 ALL_ROWS = ""       # counted as a term that every row has; words are never empty
@@ -51,6 +60,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 REPEAT = re.compile(r"([^\W\d_])\1\1")
 SPELT = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\w)")  # single letters with blanks between them
 INSIDE = re.compile(r"[^\W\d_].*[\W\d_].*[^\W\d_]|^[\d@$!|+(€£¡*]+[^\W\d_]{2}|[^\W\d_]{2}[\d@$]+$", re.S)
+SYLLABLE = re.compile("[\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uac00-\ud7a3\uf900-\ufaff\U00020000-\U0003ffff]")
 MAX_STRETCH = 40  # longer stretches are keys, numbers or links: they are decoded in pieces
 
 # Channel costs, in nats: a look-alike for its letter, a dropped separator, a dropped look-alike,
@@ -134,20 +144,57 @@ def terms(words: set[str]) -> set[str]:
     return words | {w[:n] + "-" for w in words for n in (4, 5) if len(w) > n}
 
 
+def _grams_of(tokens: Counter[str]) -> pa.RecordBatch:
+    """Counts of letters, pairs and triples of the words in counted tokens, ^^ before and $ after each."""
+    words: Counter[str] = Counter()
+    for token, n in tokens.items():
+        for w in (token,) if token.isalpha() else WORDS.findall(token):
+            if len(w) <= MAX_STRETCH:
+                words[w] += n
+    letters = np.frombuffer("".join(f"^^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)),
+                      np.fromiter((len(w) + 3 for w in words), np.int64, len(words)))
+    inside = (letters[:-2] != ord("$")) & (letters[1:-1] != ord("$"))
+    triples, kinds = pd.factorize((letters[:-2] << 42 | letters[1:-1] << 21 | letters[2:])[inside])
+    sums = np.zeros(len(kinds), np.int64)
+    np.add.at(sums, triples, times[:-2][inside])
+    grams: Counter[str] = Counter()
+    for kind, n in zip(kinds.tolist(), sums.tolist()):
+        a, b, c = chr(kind >> 42), chr(kind >> 21 & 0x1FFFFF), chr(kind & 0x1FFFFF)
+        for gram in (a, a + b, a + b + c, *((b, c, b + c) if c == "$" else ())):
+            grams[gram] += n
+    return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()),
+                                       pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tokens: Counter[str] = Counter()
     for batch in batches:
-        words: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
-            words.update(WORDS.findall((text or "").lower()))
-        grams: Counter[str] = Counter()
-        for w, n in words.items():
-            if len(w) <= MAX_STRETCH:
-                padded = "^^" + w + "$"
-                for size in (1, 2, 3):
-                    for i in range(len(padded) - size + 1):
-                        grams[padded[i:i + size]] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()),
-                                          pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
+            tokens.update((text or "").lower().split())
+        if len(tokens) > MAX_WORDS:
+            yield _grams_of(tokens)
+            tokens.clear()
+    yield _grams_of(tokens)
+
+
+def _common_grams(letters: dict[str, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [len(g) == 1 or not SYLLABLE.search(g) and n >= MIN_SHARE * min(letters[c] for c in g)
+                    for g, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def count_grams(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """Counts of the letters, pairs and triples of the model, over the words of all ``docs``."""
+    every = (docs.select(F.col(text).alias("text")).mapInArrow(_count_grams, "gram string, n long")
+             .groupBy("gram").agg(F.sum("n").alias("n")))
+    every = written(every, "grams")
+    letters = {r["gram"]: r["n"] for r in every.where(F.char_length("gram") == 1).collect()}
+    common = every.mapInArrow(_common_grams(letters), "gram string, n long")
+    return {r["gram"]: r["n"] for r in common.collect()}
 
 
 def _count_terms(grams: dict[str, int]):
@@ -190,7 +237,7 @@ def remainder(doc_id: str) -> F.Column:
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic") -> Scorer:
-    """Character model and lexicon from labelled rows of ``docs`` that are not held out."""
+    """Character model from all of ``docs``, lexicon from labelled rows that are not held out."""
     ready_workers(docs.sparkSession)
     marked = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("toxic"))
     marked = marked.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -201,9 +248,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     near = route(own, "doc", marked, "id").where("_maybe")  # rows without a label are not moved
     # The same plan at any size: texts and labels meet by id, in tables of labels without texts.
     labelled = near.join(marked.hint("shuffle_hash"), near["doc"] == marked["id"]).select("text", "toxic")
-    grams = (labelled.select("text").mapInArrow(_count_grams, "gram string, n long").groupBy("gram")
-             .agg(F.sum("n").alias("n")).orderBy(F.length("gram"), F.desc("n"), "gram").limit(MAX_GRAMS))
-    grams = {r["gram"]: r["n"] for r in grams.collect()}
+    grams = count_grams(docs, text)
     counts = (labelled.mapInArrow(_count_terms(grams), "term string, bad long, good long").groupBy("term")
               .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= MIN_ROWS))
     counts = written(counts, "terms")

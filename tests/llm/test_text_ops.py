@@ -190,6 +190,23 @@ def test_toxicity_precision_is_the_rate_in_the_corpus_at_any_size(spark):
     assert scorer.score("a gadget") < 0.5
 
 
+def test_character_model_counts_all_texts(spark):
+    texts = ["plain words here"] * 40 + ["глупец дурак"] * 3 + ["哈哈 plain"]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    grams = toxicity.learn(docs_of(spark, texts), labels).grams
+    assert grams["pla"] == 41 and grams["ура"] == 3 and grams["哈"] == 2 and "哈哈" not in grams
+
+
+def test_character_model_keeps_rare_scripts_and_is_bounded_by_letters(spark):
+    # 46,656 triples of 36 letters, then a script with a single word
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèêàçñ"
+    texts = [" ".join(a + b + c for b in letters for c in letters) for a in letters] + ["дурак"]
+    grams = toxicity.count_grams(docs_of(spark, texts))
+    assert grams["ура"] == grams["^ду"] == 1 and all(grams[x] for x in ("abc", "ñçñ", "ßße"))
+    often = toxicity.count_grams(docs_of(spark, ["abc " * 300_000 + "acb", "abc", "дурак"]))
+    assert "acb" not in often and often["ура"] == 1
+
+
 def test_toxicity_edges(spark):
     labels = read_table(spark, SF_CHECK, "labels")
     scorer = toxicity.learn(documents(spark, SF_CHECK), labels)
