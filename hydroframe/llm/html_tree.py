@@ -4,8 +4,9 @@ A page is parsed into a tree (implied and missing end tags included). Elements t
 article text by tag, role, class or id are cut off. Every block with text of its own passes
 points for its length and commas to its ancestors, halved and thinned with the distance; an
 ancestor's points are discounted by its link density. The best container is widened to the
-article element around it, its siblings with enough points of their own are kept, and the
-text is read off block by block.
+article element around it, else to the outermost main element or element named as content, of
+which every block is kept that is not mostly links. Without either, its siblings with enough
+points of their own are kept. The text is read off block by block.
 
 One pass over whole pages, without a shuffle. Edge cases: null or empty html gives an empty
 text; html without tags is one block; unclosed comments, tags and elements run to the end;
@@ -47,6 +48,7 @@ social related recommended recommendations recirc outbrain taboola widget widget
 login search skip copyright legal disclaimer tags hidden""".split())
 HEAD_WORDS = frozenset(["header", "head", "topbar", "banner"])
 ARTICLE_WORDS = frozenset("article post story entry content main body".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
 |</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)
 |<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)
@@ -218,6 +220,22 @@ def best_container(root: Node) -> Node:
     return best
 
 
+def content_holder(best: Node) -> Node | None:
+    """The outermost element around a container, or itself, whose name says that it holds the article."""
+    holder, up = None, best
+    while up is not None:
+        if up.named:
+            holder = up
+        up = up.parent
+    return holder
+
+
+def _inside(node: Node | None, top: Node) -> bool:
+    while node is not None and node is not top:
+        node = node.parent
+    return node is top
+
+
 def main_text(page: str | None) -> str:
     """The article's text: white space made single, blocks joined by a line feed."""
     if not page:
@@ -227,6 +245,10 @@ def main_text(page: str | None) -> str:
     around = best.parent
     if around is None or best.tag == "article":
         return "\n".join(t for t, *_ in blocks(best))
+    holder = content_holder(best)
+    if holder is not None:
+        return "\n".join(text for text, block, linked in blocks(holder)
+                         if linked < 0.5 * len(text) or block.tag in HEADINGS or _inside(block, best))
     out = []
     for node in around.children:
         if not isinstance(node, Node) or node.cut:

@@ -129,6 +129,17 @@ def test_main_text(page, text):
     assert html_tree.main_text(page) == text
 
 
+@pytest.mark.parametrize("start,end", [("<main>", "</main>"), ("<div role=main>", "</div>"),
+                                       ("<div id=wrap><div class=post-content>", "</div></div>")])
+def test_main_text_keeps_every_section_of_the_content(start, end):
+    section = "<section><div><div><p>Part {}, with commas, and words, to be long enough.</p></div></div></section>"
+    page = ("<body><div>Site</div>" + start + "<h1>Title</h1>" + section.format(1) + section.format(2)
+            + "<p>Short.</p><ul><li>item</ul><div><a href=x>Read this</a> <a href=y>or that</a></div><div class=share>"
+            "Share, this, page</div>" + section.format(3) + "<h2><a href=#n>Notes</a></h2><div>End.</div>" + end + "</body>")
+    parts = [f"Part {i}, with commas, and words, to be long enough." for i in (1, 2, 3)]
+    assert html_tree.main_text(page).split("\n") == ["Title", *parts[:2], "Short.", "item", parts[2], "Notes", "End."]
+
+
 def test_pages_give_their_articles(spark):
     import html
     pages = {r["page_id"]: r["html"] for r in read_table(spark, SF_CHECK, "pages").collect()}
