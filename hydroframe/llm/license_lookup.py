@@ -4,7 +4,8 @@ A text is brought to a canonical form: letters lower-cased, copyright lines remo
 of anything but letters and digits made one blank, equivalent spellings made one. The SHA-256
 of the canonical form of an entire text is joined by hash with the digests of known licence
 texts. A line that is as a whole a known notice is looked up in the same way and reported
-beside it. The table of known texts is fixed, so it is broadcast; texts are never shuffled.
+beside it. The known texts are ``LICENCE_TEXTS``, those of ``LICENCE_DIGESTS`` and the caller's own;
+their table follows no input, so it is broadcast; documents are never shuffled.
 
 Edge cases: a null text counts as empty, which matches nothing; a text of copyright lines only
 is empty too; repeated rows are separate rows; an empty table gives an empty result; other
@@ -72,6 +73,23 @@ LICENCE_TEXTS: dict[str, list[str]] = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."],
 }
+# Digests of the canonical forms of published full texts.
+LICENCE_DIGESTS: dict[str, str] = {
+    "Apache-2.0": "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543",
+    "Artistic-1.0-Perl": "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702",
+    "BSD-3-Clause": "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651",
+    "CC0-1.0": "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e",
+    "GFDL-1.2": "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b",
+    "GFDL-1.3": "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d",
+    "GPL-1.0": "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224",
+    "GPL-2.0": "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+    "GPL-3.0": "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+    "LGPL-2.0": "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
+    "LGPL-2.1": "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "b4fb601cd1d708fd4d48958cfaecb8bb919d60af95b4704afb85d1a886f8b303",
+    "MPL-2.0": "12274540925f246f7614a52b7ebddfbe0463ff1ab194088c554c73552c45582d",
+}
 # Lines that only name a right holder, and spellings that count as the same word.
 COPYRIGHT_LINE = (r"^[ \t#*/;-]*((copyright|COPYRIGHT|Copyright)[ \t]*(\([cC]\)|©|[0-9][0-9][0-9][0-9]|<|\[|by )"
                   r"|\([cC]\)[ \t]*[0-9][0-9][0-9][0-9]|©|[aA]ll [rR]ights [rR]eserved)[^\n]*$")
@@ -92,28 +110,39 @@ def canonical(text: Column) -> Column:
     return out
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """license_id and canonical digest of every known text (a table of fixed size)."""
+def known_digests(spark: SparkSession, licences: DataFrame | None = None) -> DataFrame:
+    """license_id and canonical digest of every known text, and of ``licences`` (license_id, text)."""
     rows = [(k, t) for k, texts in sorted(LICENCE_TEXTS.items()) for t in texts]
     whole = F.inline(F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(t).alias("t")) for k, t in rows]))
-    return (spark.range(1).select(whole).select("license_id", F.sha2(canonical(F.col("t")), 256).alias("digest"))
+    texts = spark.range(1).select(whole).select("license_id", canonical(F.col("t")).alias("t"))
+    if licences is not None:
+        texts = texts.unionByName(licences.select("license_id", canonical(F.col("text")).alias("t")))
+    digests = texts.where("license_id is not null and t != ''").select("license_id", F.sha2("t", 256).alias("digest"))
+    full = F.inline(F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(d).alias("digest"))
+                              for k, d in LICENCE_DIGESTS.items()]))
+    return (digests.unionByName(spark.range(1).select(full))
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
-def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  licences: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, canonical_sha256, license_id, notice_ids.
 
     license_id names the licence that the entire text is (null if none); notice_ids lists the
-    licences, by name and joined by commas, whose notice is a whole line of it.
+    licences, by name and joined by commas, whose notice is a whole line of it. ``licences``
+    (license_id, text) are known beside the shipped ones.
     """
-    known = known_digests(docs.sparkSession)
+    known = known_digests(docs.sparkSession, licences)
     table = F.create_map(*[F.lit(x) for r in known.collect() for x in (r["digest"], r["license_id"])])
+    hint = NOTICE_HINT
+    if licences is not None and not licences.where(~F.lower("text").contains(NOTICE_HINT)).isEmpty():
+        hint = ""  # a given notice may lack the hint, so every line is looked up
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    hinted = F.filter(F.split("text", "\n"), lambda x: F.lower(x).contains(NOTICE_HINT))
+    hinted = F.filter(F.split("text", "\n"), lambda x: F.lower(x).contains(hint))
     found = F.transform(hinted, lambda x: F.try_element_at(table, F.sha2(canonical(x), 256)))
     notices = F.array_join(F.array_sort(F.array_distinct(F.array_compact(found))), ",")
     scanned = own.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"),
-                         F.when(F.lower("text").contains(NOTICE_HINT), notices).otherwise("").alias("notice_ids"))
+                         F.when(F.lower("text").contains(hint), notices).otherwise("").alias("notice_ids"))
     return (scanned.join(F.broadcast(known.withColumnRenamed("digest", "canonical_sha256")), "canonical_sha256", "left")
             .select("doc_id", "canonical_sha256", "license_id", "notice_ids"))
 

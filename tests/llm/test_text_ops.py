@@ -96,6 +96,27 @@ def test_licences_found_whatever_their_spelling(spark):
     assert license_lookup.scan_licences(empty_docs(spark)).count() == 0
 
 
+def test_full_licence_texts_are_known(spark):
+    import pathlib
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0",
+             "CC0-1.0": "CC0-1.0", "Artistic": "Artistic-1.0-Perl", "GFDL-1.3": "GFDL-1.3", "BSD": "BSD-3-Clause"}
+    there = {n: k for n, k in names.items() if pathlib.Path("/usr/share/common-licenses", n).exists()}
+    if not there:
+        pytest.skip("no licence texts on this machine")
+    texts = [pathlib.Path("/usr/share/common-licenses", n).read_text() for n in there]
+    rows = license_lookup.scan_licences(docs_of(spark, [t.replace("\n", " \n  ") for t in texts])).collect()
+    assert {r["doc_id"]: r["license_id"] for r in rows} == dict(enumerate(there.values()))
+
+
+def test_licences_of_the_caller_are_known(spark):
+    own = spark.createDataFrame([("House-1", "Use it as you like,\nat your own risk."), ("House-2", "Do what you want."),
+                                 (None, "x"), ("Empty", None)], "license_id string, text string")
+    docs = docs_of(spark, ["Use it as you like, at\nYOUR own risk", "code\n# Do what you want\ncode", "", "x"])
+    rows = license_lookup.scan_licences(docs, licences=own).collect()
+    assert [(r["license_id"], r["notice_ids"]) for r in sorted(rows, key=lambda r: r["doc_id"])] == [
+        ("House-1", ""), (None, "House-2"), (None, ""), (None, "")]
+
+
 def test_every_notice_of_one_line_holds_the_hint():
     for texts in license_lookup.LICENCE_TEXTS.values():
         assert all(license_lookup.NOTICE_HINT in t.lower() for t in texts if "\n" not in t)
