@@ -2,7 +2,7 @@
 
 Writers hide words by look-alike symbols, spaced letters and repeated letters. Each suspicious
 stretch becomes a lattice: every character offers the letters it may stand for, symbols may be
-dropped, runs shortened and single letters joined. A Viterbi search finds the likeliest
+dropped, runs shortened and single letters joined, with word ends between them. A Viterbi search finds the likeliest
 letters under a character trigram model of the corpus and fixed channel costs. Restored words
 are then scored with the words as written.
 
@@ -58,7 +58,9 @@ LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "
 EDGES = ".,;:?!\"')]}>*#%&"  # punctuation after a word
 WORDS = re.compile(r"[^\W\d_]+")
 REPEAT = re.compile(r"([^\W\d_])\1\1")
-SPELT = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\w)")  # single letters with blanks between them
+# Single letters, or symbols that stand for one, with blanks between them.
+_LETTER = rf"(?:\w|[{re.escape(''.join(c for c in LOOKALIKE if not c.isalnum()))}](?!\S))"
+SPELT = re.compile(rf"(?<![^\s\"\[{{]){_LETTER}(?:\s+{_LETTER}){{2,}}(?!\w)")
 INSIDE = re.compile(r"[^\W\d_].*[\W\d_].*[^\W\d_]|^[\d@$!|+(€£¡*]+[^\W\d_]{2}|[^\W\d_]{2}[\d@$]+$", re.S)
 SYLLABLE = re.compile("[\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uac00-\ud7a3\uf900-\ufaff\U00020000-\U0003ffff]")
 MAX_STRETCH = 40  # longer stretches are keys, numbers or links: they are decoded in pieces
@@ -66,6 +68,7 @@ MAX_STRETCH = 40  # longer stretches are keys, numbers or links: they are decode
 # Channel costs, in nats: a look-alike for its letter, a dropped separator, a dropped look-alike,
 # a dropped letter of a run of three or more.
 COST_LOOKALIKE, COST_DROP, COST_DROP_LOOKALIKE, COST_REPEAT = 1.0, 1.0, 15.0, 0.7
+SLACK, BEAM, WIDTH = 4.0, 12.0, 64  # nats that a reading of a spelt run may cost more than the best; the search's own
 DECODINGS = 3  # likeliest readings of a stretch that are looked up
 
 
@@ -84,23 +87,59 @@ class CharModel:
         return -math.log((g.get(a + b + c, 0) + 2 * two) / (g.get(a + b, 0) + 2))
 
 
+def _runs(stretch: str) -> list[tuple[str, int]]:
+    """Every character with the length of the run of equal ones that it stands in."""
+    return [(ch, n) for ch, g in groupby(stretch) for n in [len(list(g))] for _ in range(n)]
+
+
+def _steps(ch: str, length: int, a: str, b: str, cost: float, text: str, model: CharModel) -> list:
+    """What a character may add to a reading that ends in two letters: (letters, cost, reading)."""
+    options = [(c, COST_LOOKALIKE) for c in LOOKALIKE.get(ch, "")]
+    if ch.isalpha():
+        options.append((ch, 0.0))
+    steps = [((b, c), cost + paid + model.cost(a, b, c), text + c) for c, paid in options]
+    if not ch.isalpha():
+        steps.append(((a, b), cost + (COST_DROP_LOOKALIKE if options else COST_DROP), text))
+    if length > 2 and any(c == b for c, _ in options):  # one more of the letter just written
+        steps.append(((a, b), cost + COST_REPEAT, text))
+    return steps
+
+
+def segment(run: str, model: CharModel) -> list[str]:
+    """Words of a spelt-out run: a word may end after any character, at the model's cost.
+
+    All words on a reading that costs at most SLACK more than the cheapest one.
+    """
+    ends = [0.0] + [math.inf] * len(run)  # cheapest reading of the first characters
+    spans: list[tuple[int, int, float, str]] = []
+    alive: dict[tuple[str, str, int], tuple[float, str]] = {}
+    for i, (ch, length) in enumerate(_runs(run)):
+        if ends[i] < math.inf:
+            alive["^", "^", i] = (ends[i], "")
+        new: dict[tuple[str, str, int], tuple[float, str]] = {}
+        for (a, b, start), (cost, text) in alive.items():
+            for state, value, out in _steps(ch, length, a, b, cost, text, model):
+                if (*state, start) not in new or value < new[*state, start][0]:
+                    new[*state, start] = (value, out)
+        most = min((cost for cost, _ in new.values()), default=0.0) + BEAM
+        alive = dict(sorted((x for x in new.items() if x[1][0] <= most), key=lambda x: x[1])[:WIDTH])
+        for (a, b, start), (cost, text) in alive.items():
+            end = cost + (model.cost(a, b, "$") if text else 0.0)
+            spans.append((start, i + 1, end - ends[start], text))
+            ends[i + 1] = min(ends[i + 1], end)
+    rest = [math.inf] * len(run) + [0.0]
+    for start, end, cost, _ in reversed(spans):
+        rest[start] = min(rest[start], cost + rest[end])
+    return sorted({w for start, end, cost, w in spans if w and ends[start] + cost + rest[end] <= rest[0] + SLACK})
+
+
 def decode(stretch: str, model: CharModel) -> list[str]:
     """Likeliest letters behind a stretch of characters: Viterbi over the last two letters."""
     best: dict[tuple[str, str], tuple[float, str]] = {("^", "^"): (0.0, "")}
-    run = [n for _, g in groupby(stretch) for n in [len(list(g))] for _ in range(n)]
-    for ch, length in zip(stretch, run):
-        options = [(c, COST_LOOKALIKE) for c in LOOKALIKE.get(ch, "")]
-        if ch.isalpha():
-            options.append((ch, 0.0))
-        drop = COST_DROP_LOOKALIKE if options else COST_DROP
+    for ch, length in _runs(stretch):
         new: dict[tuple[str, str], tuple[float, str]] = {}
         for (a, b), (cost, text) in best.items():
-            steps = [((b, c), cost + paid + model.cost(a, b, c), text + c) for c, paid in options]
-            if not ch.isalpha():
-                steps.append(((a, b), cost + drop, text))
-            if length > 2 and any(c == b for c, _ in options):  # one more of the letter just written
-                steps.append(((a, b), cost + COST_REPEAT, text))
-            for state, value, out in steps:
+            for state, value, out in _steps(ch, length, a, b, cost, text, model):
                 if state not in new or value < new[state][0]:
                     new[state] = (value, out)
         best = dict(sorted(new.items(), key=lambda x: x[1])[:32])
@@ -111,8 +150,7 @@ def decode(stretch: str, model: CharModel) -> list[str]:
 def stretches(text: str, words: set[str]) -> set[str]:
     """Suspicious stretches of a lower-case text with the given words.
 
-    Tokens with something else than letters inside, words that repeat a letter three times,
-    and single letters spelt out with blanks, joined.
+    Tokens with something else than letters inside, and words that repeat a letter three times.
     """
     joined = f" {' '.join(words)} "
     found = {joined[joined.rfind(" ", 0, m.start()) + 1:joined.index(" ", m.end())]
@@ -123,20 +161,27 @@ def stretches(text: str, words: set[str]) -> set[str]:
             core = core.rstrip("$") if core.endswith("$$$") else core
             if not core.isalpha() and INSIDE.search(core):
                 found.add(core)
-    found.update(m[0].replace(" ", "") for m in SPELT.finditer(text))
     return {s[i:i + MAX_STRETCH] for s in found for i in range(0, len(s), MAX_STRETCH)}
 
 
+def spelt(text: str) -> set[str]:
+    """Single letters spelt out with blanks, joined; long runs in pieces that overlap by MAX_STRETCH."""
+    found = {"".join(m[0].split()) for m in SPELT.finditer(text)}
+    return {s[i:i + 2 * MAX_STRETCH] for s in found for i in range(0, max(1, len(s) - MAX_STRETCH), MAX_STRETCH)}
+
+
 class Restorer:
     """Words of a text as written and as restored; decoded stretches are remembered."""
 
     def __init__(self, grams: dict[str, int]):
         self.decode = lru_cache(maxsize=50_000)(lambda s, m=CharModel(grams): decode(s, m))
+        self.segment = lru_cache(maxsize=10_000)(lambda s, m=CharModel(grams): segment(s, m))
 
     def words(self, text: str) -> set[str]:
         low = text.lower()
         words = set(WORDS.findall(low))
-        return words.union(*(self.decode(s) for s in stretches(low, words))) - {""}
+        return words.union(*(self.decode(s) for s in stretches(low, words)),
+                           *(self.segment(s) for s in spelt(low))) - {""}
 
 
 def terms(words: set[str]) -> set[str]:

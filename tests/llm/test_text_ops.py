@@ -212,6 +212,21 @@ def test_toxicity_reads_disguised_words(spark):
         assert scorer.score(clean() + " " + word + " " + clean()) < 0.5, word
 
 
+def test_toxicity_reads_spelt_words_beside_other_letters():
+    words = ("you are a stupid man and an idiot or a class of the trash that i said did it in this house on the hill "
+             "to see a man in a car with a dog and i am an old student of arts and stories").split()
+    tokens = toxicity.Counter(words * 50)
+    batch = toxicity._grams_of(tokens)
+    grams = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    scorer = toxicity.Scorer(grams, {"stupid": 0.9, "idiot": 0.9})
+    for text in ("you are a s t u p i d man", "s t u p i d i d i o t", "$ t u p i d", "s  t  u p\ti d", "an 1 d i 0 t!",
+                 "a b " + "c l a s s " * 15 + "s t u p i d", "\"s t u p i d\""):
+        assert scorer.score(text) >= 0.5, text
+    assert {"stupid", "idiot"} <= toxicity.Restorer(grams).words("s t u p i d i d i o t")
+    for text in ("c l a s s", "t r a s h", "1 2 3 4 5 6", "| a | b |", "i a m a s t u d e n t", "* a\n* b"):
+        assert scorer.score(text) < 0.5, text
+
+
 def test_toxicity_precision_is_the_rate_in_the_corpus_at_any_size(spark):
     # "gadget" comes with label 1 in half of its rows, among many more rows with label 0
     word = F.expr("case id % 60 when 0 then 'gadget awful' when 1 then 'gadget fine' else 'fine day' end")
