@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hydroframe.llm import (exact_dedup, html_tree, iblt_fingerprint, jaccard_join, langid, license_lookup, packing, pfair_mix,
-                            prefix_trie, stratified_shards, toxicity)
+                            prefix_trie, spelling, stratified_shards, toxicity)
 from hydroframe.llm.common import documents
 from hydroframe.sources.tables import read_table
 
@@ -56,6 +56,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(documents(spark, sf_dir))
+
+
 OP7_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -69,9 +73,9 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_iblt_fingerprint, op2_license_lookup, op3_stratified_shards, op4_pfair_mix, op5_html_tree,
                                     op6_jaccard_join, op7_exact_dedup, op8_best_fit_packing, op9_toxicity,
-                                    op10_language_id, op11_prefix_trie)}
+                                    op10_language_id, op11_prefix_trie, op12_spelling_groups)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_license_lookup": license_lookup.oracle(), "op7_exact_dedup": OP7_SQL,
-            "op11_prefix_trie": prefix_trie.oracle()}
+            "op11_prefix_trie": prefix_trie.oracle(), "op12_spelling_groups": spelling.oracle()}
