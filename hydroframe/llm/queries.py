@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydroframe.llm import (exact_dedup, html_tree, iblt_fingerprint, jaccard_join, langid, license_lookup, packing, pfair_mix,
+from hydroframe.llm import (exact_dedup, html_tree, iblt_fingerprint, jaccard_join, langid, license_lookup, packing, pfair_mix, pii,
                             prefix_trie, spelling, stratified_shards, toxicity)
 from hydroframe.llm.common import documents
 from hydroframe.sources.tables import read_table
@@ -60,6 +60,11 @@ def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(documents(spark, sf_dir))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
+
+
 OP7_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -73,7 +78,8 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_iblt_fingerprint, op2_license_lookup, op3_stratified_shards, op4_pfair_mix, op5_html_tree,
                                     op6_jaccard_join, op7_exact_dedup, op8_best_fit_packing, op9_toxicity,
-                                    op10_language_id, op11_prefix_trie, op12_spelling_groups)}
+                                    op10_language_id, op11_prefix_trie, op12_spelling_groups,
+                                    op13_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
