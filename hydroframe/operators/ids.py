@@ -1,10 +1,12 @@
-"""Distributed positions: 0-based row ids in a total order, exact medians.
+"""Distributed positions and exact medians (B4, F5, D6) without sorting or moving whole rows.
 
-``row_number()`` over a window without ``partitionBy`` runs in one task. For feature tables
-that can be large we instead sort (range-partitioned, distributed), cut the lineage with a
-reliable ``checkpoint()`` so every later pass sees the same partitions, number rows inside
-each partition with ``monotonically_increasing_id`` (partition index in the high bits), and
-add per-partition offsets: one small aggregate (one row per partition) and a broadcast of it.
+Positions: rows are stored once as they come, with a row number of their own; only the sort
+columns and that number are range-partitioned, sorted and counted, and the positions are joined
+back. So an expensive input (clipped polygons, say) is computed once, and its wide columns never
+travel through the sort (range partitioning reads its input twice: a sample, then the data).
+
+Medians: a quantile sketch names two values around the middle, one aggregate counts the rows
+below, at and between them, and only the rows between are looked at again, until few are left.
 """
 
 from __future__ import annotations
@@ -13,44 +15,97 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hydroframe.session import ensure_checkpoint_dir
+from hydroframe.session import stored
 
 _LOW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
+SLICE_ROWS = 50_000       # values around the middle that the driver may sort
+SKETCH_ACCURACY = 10_000  # of the quantile sketch: its rank error is 1 / accuracy
 
 
 def sequential_id(df: DataFrame, order_cols: list[str], id_col: str, start: int = 0) -> DataFrame:
-    """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order (ties broken by
-    the columns given; pass a unique key last for a total order)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    # Tiebreak: a content hash, then the row's scan position. Range partitioning cannot
-    # split equal sort keys; with a row-unique key a value held by a third of the rows is
-    # spread over many range partitions instead of landing in one task. Both are stable
-    # under recomputation of the (deterministic) input scan.
-    keyed = df.withColumns({"_h": F.xxhash64(*df.columns), "_m": F.monotonically_increasing_id()})
-    ordered = keyed.orderBy(*order_cols, "_h", "_m").drop("_h", "_m").checkpoint(eager=True)
+    """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order.
+
+    Rows equal in ``order_cols`` are ordered by a hash of the whole row, then as they were
+    scanned. Range partitioning cannot split equal sort keys; with a row-unique key a value held
+    by a third of the rows is spread over many range partitions instead of landing in one task.
+    """
+    rows = stored(df.withColumns({"_h": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+                                  "_row": F.monotonically_increasing_id()}), "rows")
+    keys = rows.select(*order_cols, "_h", "_row").orderBy(*order_cols, "_h", "_row")
     mid = F.monotonically_increasing_id()
-    with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_pid"),
-                              mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"))
+    numbered = stored(keys.select("_row", F.shiftright(mid, _LOW_BITS).alias("_pid"),
+                                  mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos")), "positions")
     # One row per partition: size bounded by the partition count, broadcast is safe.
-    counts = with_pos.groupBy("_pid").agg(F.count("*").alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    return (with_pos.join(F.broadcast(offsets), "_pid")
-            .withColumn(id_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + F.lit(start))
-                        .cast("bigint"))
-            .drop("_pid", "_pos", "_off"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy("_pid").agg(F.count("*").alias("_n"))
+               .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    place = (numbered.join(F.broadcast(offsets), "_pid")
+             .select("_row", (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col)))
+    return rows.join(place, "_row").drop("_row", "_h")
+
+
+def value_at_rank(df: DataFrame, value_col: str, rank: int, n: int, slice_rows: int = SLICE_ROWS) -> float:
+    """The value with ``rank`` (from 0) among the ``n`` values that are present, exactly.
+
+    Each round narrows an open interval that holds the rank. Values at its ends are counted apart,
+    so ties in any number, even of a third of the rows, end the search instead of filling a slice.
+    Every round is one aggregate; the interval is a condition inside it and no filter, which
+    would be pushed below the projection and copy the column's expression.
+    """
+    c = F.col(value_col)
+    above, below, offset, inside = None, None, 0, n
+
+    def part():
+        keep = F.lit(True)
+        if above is not None:
+            keep &= c > F.lit(above)
+        if below is not None:
+            keep &= c < F.lit(below)
+        return F.when(keep, c)
+
+    while inside > slice_rows:
+        q, slack = (rank - offset + 0.5) / inside, 2.0 / SKETCH_ACCURACY
+        v = part()
+        lo, hi = df.agg(F.percentile_approx(v, [max(0.0, q - slack), min(1.0, q + slack)], SKETCH_ACCURACY)).first()[0]
+        less, at_lo, mid, at_hi = df.agg(F.count_if(v < lo), F.count_if(v == lo), F.count_if((v > lo) & (v < hi)),
+                                         F.count_if((v == hi) & F.lit(hi > lo))).first()
+        k = rank - offset
+        if k < less:                       # the sketch missed: the rank lies below its bracket
+            below, inside = lo, less
+        elif k < less + at_lo:
+            return lo
+        elif k < less + at_lo + mid:
+            above, below, offset, inside = lo, hi, offset + less + at_lo, mid
+        elif k < less + at_lo + mid + at_hi:
+            return hi
+        else:
+            above, offset, inside = hi, offset + less + at_lo + mid + at_hi, inside - less - at_lo - mid - at_hi
+    values = sorted(df.agg(F.collect_list(part())).first()[0])  # at most slice_rows
+    return values[rank - offset]
+
+
+def exact_medians(df: DataFrame, value_cols: list[str], slice_rows: int = SLICE_ROWS) -> dict[str, float | None]:
+    """The exact (interpolated) median of each numeric column; missing values are left out.
+
+    Only aggregates run over the whole column: nothing is sorted but the slice in the middle.
+    """
+    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in value_cols])
+    counts = clean.agg(*[F.count(c).alias(c) for c in value_cols]).first()
+    medians: dict[str, float | None] = {}
+    for name in value_cols:
+        n, c = counts[name], F.col(name)
+        if n == 0:
+            medians[name] = None
+            continue
+        low = value_at_rank(clean, name, (n - 1) // 2, n, slice_rows)
+        if n % 2 == 0:  # the upper middle value: the same, or the next larger one
+            upto, larger = clean.agg(F.count_if(c <= low), F.min(F.when(c > low, c))).first()
+            medians[name] = low if n // 2 < upto else (low + larger) / 2
+        else:
+            medians[name] = low
+    return medians
 
 
 def exact_median(df: DataFrame, value_col: str, alias: str = "median") -> DataFrame:
-    """Exact (interpolated) median of a column over all rows, without one task holding every
-    value: sort, number rows, keep the one or two middle rows, average them."""
-    vals = df.select(F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    numbered = sequential_id(vals, ["_v"], "_i")
-    n = numbered.count()  # reads the sorted checkpoint, not the source again
-    if n == 0:
-        return df.sparkSession.createDataFrame([(None,)], f"{alias} double")
-    lo, hi = (n - 1) // 2, n // 2
-    return (numbered.filter(F.col("_i").isin(lo, hi))
-            .agg(F.avg("_v").alias(alias)))
+    """``exact_medians`` of one column as a table of one row."""
+    return df.sparkSession.createDataFrame([(exact_medians(df, [value_col])[value_col],)], f"{alias} double")

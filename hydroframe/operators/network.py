@@ -1,21 +1,24 @@
 """Flow network and model-cell operators.
 
-L1: the upstream set of an outlet in a D8 network, by pointer doubling. The outlet is made
-absorbing (it points to itself), every other cell points downstream. Each round replaces
-a pointer by the pointer of its target, so after r rounds a cell has jumped 2^r steps; a cell
-is upstream exactly when its final pointer is the outlet. Doubling steps grow with log2 of
-the longest river and each is one equi-join of the still-active cells; every two steps the
-active cells are cut from their lineage with a reliable checkpoint in
-``spark.checkpoint.dir``. Finished cells leave the join, so the outlet and terminal cells (the
-hottest keys) never enter it; a hot target inside the network is split by AQE's skew-join rule.
+L1: the upstream set of an outlet in a D8 network. The outlet is made absorbing, every other
+cell points downstream. First each spatial block is contracted: within a block, in one task, a
+cell's pointer is followed until it leaves the block, so every cell knows its exit. Only cells
+that are entered from another block matter between blocks; on this border graph pointer
+doubling finds the cells that reach the outlet: after r rounds a pointer has jumped 2^r blocks.
+Doubling steps are equi-joins of border cells that still travel; finished cells leave them, so
+the outlet and terminal cells (the hottest keys) never enter, and a hot target inside the
+network is split by AQE's skew-join rule. A last join gives every cell the fate of its exit.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (methods of arrays)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydroframe.session import ensure_checkpoint_dir
+from hydroframe.session import ship_package, stored
 
 # FIXED VALUES taken from the model-builder settings.
 OUTLET_MIN_ORDER = 7      # sub-basin outlet on a stream of order >= 7
@@ -23,6 +26,8 @@ RIVER_MIN_UPAREA = 30.0   # river cells: upstream area >= 30
 RIVER_MIN_WIDTH, RIVER_MIN_DEPTH = 30.0, 1.0
 AREA_FLOOR = {"reservoirs": 0.0, "lakes": 0.0, "glaciers": 1.0}
 
+BLOCK_CELLS = 256         # side of a block in grid cells: a block is one task's work, 65,536 cells
+
 
 def snap_outlet(cells: DataFrame, x: float, y: float, min_order: int = OUTLET_MIN_ORDER) -> int | None:
     """L1 assumption: the outlet snaps to the nearest cell with stream order >= min_order
@@ -33,24 +38,64 @@ def snap_outlet(cells: DataFrame, x: float, y: float, min_order: int = OUTLET_MI
     return None if row is None else row["cell"]
 
 
-def upstream_cells(cells: DataFrame, outlet: int, steps_per_round: int = 2) -> DataFrame:
+def _exits(block: pa.Table, outlet: int) -> pa.Table:
+    """Follow the pointers inside one block: (cell, ptr) with the first cell beyond the block.
+
+    ``ptr`` is the outlet for cells that reach it, and null where a path ends or runs in a circle.
+    """
+    cell = block["cell"].to_numpy()
+    known = ~block["next_cell"].is_null().to_numpy()
+    nxt = block["next_cell"].fill_null(0).to_numpy()
+    order = np.argsort(cell, kind="stable")
+    ids = cell[order]
+    at = np.minimum(np.searchsorted(ids, nxt), len(ids) - 1)
+    stays = known & (ids[at] == nxt) & (cell != outlet)
+    ptr = np.where(stays, order[at], np.arange(len(cell)))  # a cell whose pointer leaves points to itself
+    for _ in range(len(cell).bit_length() + 1):
+        ptr = ptr[ptr]
+    last = np.where(cell == outlet, outlet, nxt)
+    gone = ~(known | (cell == outlet)) | stays  # the path ends, or goes round
+    return pa.table({"cell": cell, "ptr": pa.array(last[ptr], pa.int64(), mask=gone[ptr])})
+
+
+def contract_blocks(cells: DataFrame, outlet: int, block: int = BLOCK_CELLS) -> DataFrame:
+    """(cell, ptr): each cell's exit from its block of ``block`` x ``block`` grid cells.
+
+    Any partition of the cells is a valid one, blocks only keep paths together. Without
+    coordinates, and where a block holds more cells than its area, ids divide them.
+    """
+    ship_package(cells.sparkSession)
+    most = block * block
+    if {"x", "y"} <= set(cells.columns):
+        keys = [F.floor(F.col("x") / block).alias("_bx"), F.floor(F.col("y") / block).alias("_by")]
+    else:
+        keys = [F.lit(0).alias("_bx"), F.floor(F.col("cell") / most).alias("_by")]
+    own = cells.select(F.col("cell").cast("bigint").alias("cell"), F.col("next_cell").cast("bigint").alias("next_cell"), *keys)
+    largest = own.groupBy("_bx", "_by").count().agg(F.max("count")).first()[0] or 0
+    parts = -(-largest // most)
+    own = own.withColumn("_part", F.pmod(F.col("cell"), F.lit(max(1, parts))))
+
+    def follow(rows: pa.Table) -> pa.Table:
+        return _exits(rows, outlet)
+
+    return own.groupBy("_bx", "_by", "_part").applyInArrow(follow, "cell bigint, ptr bigint")
+
+
+def upstream_cells(cells: DataFrame, outlet: int, steps_per_round: int = 2, block: int = BLOCK_CELLS) -> DataFrame:
     """L1: all cells whose downstream path reaches ``outlet`` (the outlet included).
 
-    Each doubling step joins the cells still travelling with the table of travelling and
-    arrived cells: a pointer at the outlet or at an arrived cell has arrived, one that leaves
-    both is dead. Only travelling cells, and those that arrived in the round, are written.
-    After log2(cells) + 1 steps a path longer than the table can only be a cycle, so cells
-    that still travel lead into one and are not upstream of the outlet.
+    Each doubling step joins the border cells still travelling with the table of travelling and
+    arrived ones: a pointer at an arrived cell has arrived, one that leaves both is dead. After
+    log2(border cells) + 1 steps a longer path can only be a cycle, so cells that still travel
+    lead into one and are not upstream of the outlet.
     """
-    spark = cells.sparkSession
-    ensure_checkpoint_dir(spark)
-    own = cells.select("cell", F.col("next_cell").alias("ptr"))
-    n_cells = cells.count()
-    home = own.filter(F.col("cell") == F.lit(outlet)).select("cell", F.lit(outlet).alias("ptr"))
-    first = own.filter(F.col("cell") != F.lit(outlet))
-    arrived = home.unionByName(first.filter(F.col("ptr") == F.lit(outlet))).checkpoint(eager=True)
-    active = first.filter(F.col("ptr") != F.lit(outlet)).checkpoint(eager=True)
-    for done in range(0, max(1, n_cells).bit_length() + 1, steps_per_round):
+    exits = stored(contract_blocks(cells, outlet, block), "exits")
+    leaving = exits.filter(F.col("ptr") != F.lit(outlet))
+    entered = leaving.select(F.col("ptr").alias("cell")).distinct()
+    border = stored(exits.join(entered, "cell", "left_semi").filter(F.col("ptr").isNotNull()), "border")
+    arrived = border.filter(F.col("ptr") == F.lit(outlet))
+    active = border.filter(F.col("ptr") != F.lit(outlet))
+    for _ in range(0, max(1, border.count()).bit_length() + 1, steps_per_round):
         if active.isEmpty():
             break
         travelling, new = active, None
@@ -60,11 +105,12 @@ def upstream_cells(cells: DataFrame, outlet: int, steps_per_round: int = 2) -> D
             home = stepped.filter(F.col("ptr") == F.lit(outlet))
             new = home if new is None else new.unionByName(home)
             travelling = stepped.filter(F.col("ptr") != F.lit(outlet))
-        stamped = (travelling.withColumn("home", F.lit(False))
-                   .unionByName(new.withColumn("home", F.lit(True))).checkpoint(eager=True))
+        stamped = stored(travelling.withColumn("home", F.lit(False)).unionByName(new.withColumn("home", F.lit(True))), "round")
         active = stamped.filter(~F.col("home")).select("cell", "ptr")
         arrived = arrived.unionByName(stamped.filter("home").select("cell", "ptr"))
-    return cells.join(arrived.select("cell"), "cell", "left_semi")
+    reached = arrived.select(F.col("cell").alias("ptr"))
+    up = exits.filter(F.col("ptr") == F.lit(outlet)).select("cell").unionByName(leaving.join(reached, "ptr", "left_semi").select("cell"))
+    return cells.join(up, "cell", "left_semi")
 
 
 def _double(active: DataFrame, arrived: DataFrame) -> DataFrame:

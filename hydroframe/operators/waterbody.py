@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hydroframe.operators.extent import select_in_extent
 from hydroframe.functions.scalar import clip, nan_to_null
-from hydroframe.operators.ids import exact_median, sequential_id
+from hydroframe.operators.ids import exact_medians, sequential_id
 from hydroframe.params import Extent
 from hydroframe.sources.vector import polygons_in_extent
 
@@ -162,7 +162,7 @@ def empty_vector_schema(with_id: bool, with_height: bool) -> T.StructType:
 
 def dam_height_summary(df: DataFrame, h: str = "Dam_height") -> DataFrame:
     """D6 + D8: count, min, max, mean, exact median, sample std, count of heights > 0."""
-    med = exact_median(df, h, "median_height").first()["median_height"]
+    med = exact_medians(df, [h])[h]
     return df.agg(
         F.count("*").alias("n"),
         F.round(F.min(h), 6).alias("min_height"), F.round(F.max(h), 6).alias("max_height"),
@@ -173,13 +173,17 @@ def dam_height_summary(df: DataFrame, h: str = "Dam_height") -> DataFrame:
 
 
 def input_summary(df: DataFrame) -> DataFrame:
-    """Count and range of volume and area over the rows valid for an estimate."""
+    """Count, range, mean and exact median of volume and area over the rows valid for an
+    estimate (C10)."""
     v = nan_to_null(F.col(first_existing(df, VOLUME_CANDIDATES)).cast("double"))
     a = nan_to_null(F.col(first_existing(df, AREA_CANDIDATES)).cast("double"))
     aggs = [F.count("*").alias("n_valid")]
     for name, c in (("volume", "_v"), ("area", "_a")):
         aggs += [F.round(f(c), 6).alias(f"{kind}_{name}") for kind, f in (("min", F.min), ("max", F.max), ("mean", F.avg))]
-    return df.filter(valid_volume_area(v, a)).select(v.alias("_v"), a.alias("_a")).agg(*aggs)
+    valid = df.filter(valid_volume_area(v, a)).select(v.alias("_v"), a.alias("_a"))
+    medians = exact_medians(valid, ["_v", "_a"])
+    return valid.agg(*aggs).withColumns({f"median_{name}": F.round(F.lit(medians[c]).cast("double"), 6)
+                                         for name, c in (("volume", "_v"), ("area", "_a"))})
 
 
 def dam_height_by_class(df: DataFrame, h: str = "Dam_height") -> DataFrame:

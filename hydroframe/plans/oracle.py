@@ -727,6 +727,6 @@ def raster_files_sql() -> str:
 
 def dam_height_inputs_sql() -> str:
     aggs = ", ".join(f"round({f}({c}), 6) AS {k}_{n}" for n, c in (("volume", "Vol_total"), ("area", "Lake_area"))
-                     for k, f in (("min", "min"), ("max", "max"), ("mean", "avg")))
+                     for k, f in (("min", "min"), ("max", "max"), ("mean", "avg"), ("median", "median")))
     return f"""WITH {WATERBODIES}
 SELECT count(*) AS n_valid, {aggs} FROM waterbodies WHERE Vol_total > 0 AND Lake_area > 0"""

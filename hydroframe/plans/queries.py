@@ -460,10 +460,10 @@ def q_gauges(spark, sf):
 @register("waterbodies_near_gauges", lambda: O.waterbodies_near_gauges_sql(GAUGE_HALF_WIDTH))
 def q_near_gauges(spark, sf):
     """E1 (+ C2/C3 per area): water bodies meeting the square area around each gauge,
-    clipped to it; a tiled equi-join instead of a nested-loop theta join."""
+    clipped to it; an equi-join on quadtree leaves instead of a nested-loop theta join."""
     aois = extent.areas_from_points(fx.gauges(spark, sf), "grdc_no", GAUGE_HALF_WIDTH)
     wb = fx.waterbodies(spark, sf).select("hylak_id", "xmin", "ymin", "xmax", "ymax")
-    return (extent.features_in_areas(wb, aois, "grdc_no", tile=0.5, clip=True)
+    return (extent.features_in_areas(wb, aois, "grdc_no", clip=True)
             .select("grdc_no", "hylak_id", "xmin", "xmax", "ymin", "ymax"))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every hydroframe job relies on. Time is naive UTC throughout (the inputs carry
 # timestamp_ntz), AQE re-plans joins and partition counts from runtime statistics, and its
@@ -76,6 +77,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: ``df`` written as Parquet below the shared checkpoint folder and read back.
+
+    Unlike a checkpoint the table is columnar, so a later pass reads only the columns it needs.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hydroframe.operators import chunks, climate, discharge, lai, network, raster, waterbody
-from hydroframe.operators.ids import exact_median, sequential_id
+from hydroframe.operators.ids import exact_median, exact_medians, sequential_id, value_at_rank
 from hydroframe.params import Extent, JobParams
 from hydroframe.functions import scalar
 
@@ -116,6 +116,22 @@ def test_exact_median(spark):
     assert exact_median(df2, "v").first()["median"] == pytest.approx(float(np.median(vals[:5])))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_medians_by_narrowing(spark, seed):
+    """Slices of a few rows force every branch: ties of a third of the rows at the middle, gaps, even counts."""
+    rnd = random.Random(seed)
+    vals = [rnd.choice([rnd.gauss(0, 1), 0.25, float(round(rnd.gauss(0, 2)))]) if seed % 2 else rnd.lognormvariate(0, 3) for _ in range(2001 + seed)]
+    ties = [7.0 if i % 3 == 0 else rnd.uniform(0, 14) for i in range(len(vals))]
+    halves = [float(i % 2) for i in range(len(vals))]
+    rows = [*zip(vals, ties, halves), (None, float("nan"), None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = exact_medians(df, ["a", "b", "c"], slice_rows=9)
+    assert got == {k: pytest.approx(float(np.median(v)), abs=0) for k, v in (("a", vals), ("b", ties), ("c", halves))}
+    assert exact_medians(df.limit(0), ["a"]) == {"a": None}
+    for rank in (0, 17, len(vals) - 1):
+        assert value_at_rank(df.filter("a IS NOT NULL"), "a", rank, len(vals), slice_rows=5) == sorted(vals)[rank]
+
+
 def test_export_empty_keeps_schema(spark):
     df = spark.createDataFrame([(1, 1e6, 1.0, 0.0, 1.0, 0.0, 1.0)],
                                "hylak_id long, Vol_total double, Lake_area double, xmin double, xmax double, ymin double, ymax double")
@@ -292,9 +308,10 @@ def test_upstream_matches_brute_force(spark, seed):
     cells = spark.createDataFrame([(c, c % 20, c // 20, nxt, 7, 1.0) for c, nxt in edges.items()],
                                   "cell long, x long, y long, next_cell long, strord int, uparea double")
     outlet = rnd.randrange(n // 2, n)
-    got = {r.cell for r in network.upstream_cells(cells, outlet).collect()}
-    assert got == _brute_upstream(edges, outlet)
-    assert outlet in got
+    for block in (2, 5, 256):  # paths of many blocks, and all in one
+        got = {r.cell for r in network.upstream_cells(cells, outlet, block=block).collect()}
+        assert got == _brute_upstream(edges, outlet)
+        assert outlet in got
 
 
 def test_snap_outlet_prefers_high_order(spark):
@@ -580,6 +597,17 @@ def test_cycles_are_not_upstream(spark):
                                   "cell long, x long, y long, next_cell long, strord int, uparea double")
     assert {r.cell for r in network.upstream_cells(cells, 3).collect()} == {1, 2, 3, 8, 10}
     assert {r.cell for r in network.upstream_cells(cells, 4).collect()} == {4, 5, 6}
+    apart = spark.createDataFrame([(c, n) for c, n in [*edges.items(), (20, None), (21, 20)]], "cell long, next_cell long")
+    for outlet, want in ((3, {1, 2, 3, 8, 10}), (4, {4, 5, 6}), (20, {20, 21})):  # blocks of ids, a cycle across blocks
+        assert {r.cell for r in network.upstream_cells(apart, outlet, block=1).collect()} == want
+
+
+def test_block_contraction_keeps_border_cells_only(spark):
+    cells = spark.range(64 * 64).selectExpr("id as cell", "id % 64 as x", "id div 64 as y", "id + 1 as next_cell")
+    exits = {r.cell: r.ptr for r in network.contract_blocks(cells, 64 * 64 - 1, block=16).collect()}
+    assert len(exits) == 64 * 64
+    assert {ptr % 16 for ptr in exits.values() if ptr != 64 * 64 - 1} == {0}  # blocks are entered at their left edge
+    assert exits[5] == 16 and exits[70] == 80 and exits[64 * 64 - 3] == 64 * 64 - 1
 
 
 def test_long_river_is_followed_to_its_source(spark):

@@ -203,7 +203,50 @@ def test_tile_join_with_a_third_of_features_in_one_tile(spark):
                                                                       for _ in range(40))] + [(99, 0.0, 0.0, 1.0, 1.0)]
     f = spark.createDataFrame(feats, "fid long, xmin double, ymin double, xmax double, ymax double")
     a = spark.createDataFrame(areas, "aid long, xmin double, ymin double, xmax double, ymax double")
-    got = sorted((r.aid, r.fid) for r in extent.features_in_areas(f, a, "aid", tile=1.0).collect())
+    got = sorted((r.aid, r.fid) for r in extent.features_in_areas(f, a, "aid", leaf_pairs=50).collect())
     want = sorted((aid, fid) for fid, x0, y0, x1, y1 in feats for aid, a0, b0, a1, b1 in areas
                   if x1 >= a0 and x0 <= a1 and y1 >= b0 and y0 <= b1)
     assert got == want and len(got) == len(set(got))
+
+
+def test_quadtree_leaves_stay_within_their_budget(spark):
+    """A third of both sides shares one place: it is salted, and no unit is far above the median."""
+    from hydroframe.operators import extent
+    rnd = random.Random(4)
+    feats, areas = [], []
+    for i in range(3000):
+        x, y = (5.2, 5.2) if i % 3 == 0 else (rnd.uniform(0, 30), rnd.uniform(0, 30))
+        feats.append((i, x, y, x + 0.2, y + 0.2))
+    for j in range(300):
+        x, y = (5.0, 5.0) if j % 3 == 0 else (rnd.uniform(0, 30), rnd.uniform(0, 30))
+        areas.append((j, x, y, x + 0.5 + (j % 7) * 0.001, y + 0.5))
+    f = spark.createDataFrame(feats, "fid long, xmin double, ymin double, xmax double, ymax double")
+    a = spark.createDataFrame(areas, "aid long, xmin double, ymin double, xmax double, ymax double")
+    got = sorted((r.aid, r.fid) for r in extent.features_in_areas(f, a, "aid", leaf_pairs=2000).collect())
+    want = sorted((j, i) for i, x0, y0, x1, y1 in feats for j, a0, b0, a1, b1 in areas
+                  if x1 >= a0 and x0 <= a1 and y1 >= b0 and y0 <= b1)
+    assert got == want
+    boxes = a.select(*[F.col(c).alias("a_" + c) for c in extent.BOX]).distinct()
+    tree = extent._grid(f, boxes, 8)
+    n_f, n_a = extent._tally(tree, f), extent._tally(tree, boxes, "a_")
+    rows = tree.leaves(n_f, n_a, 2000)
+    units = {}
+    for gx, gy, leaf, _, _, slices in rows:
+        n = units.setdefault(leaf, [0, 0, slices])
+        n[0] += n_f[gx, gy]
+        n[1] += n_a[gx, gy]
+    pairs = sorted(p / s for p, s in ((n[0] * n[1], n[2]) for n in units.values()) for _ in range(s))
+    assert pairs[-1] <= 2000 and max(s for _, _, s in units.values()) > 1
+    assert len({(x, y, leaf) for x, y, leaf, *_ in rows}) == len(rows)
+
+
+def test_areas_that_nothing_can_meet(spark):
+    from hydroframe.operators import extent
+    box = "xmin double, ymin double, xmax double, ymax double"
+    f = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (2, None, 0.0, 1.0, 1.0)], f"fid long, {box}")
+    far = spark.createDataFrame([(1, 5.0, 5.0, 6.0, 6.0)], f"aid long, {box}")
+    touching = spark.createDataFrame([(1, 1.0, 1.0, 6.0, 6.0), (2, 1.0, 1.0, 6.0, 6.0)], f"aid long, {box}")
+    assert extent.features_in_areas(f, far, "aid").count() == 0
+    assert extent.features_in_areas(f, far.limit(0), "aid").count() == 0
+    assert sorted(r.aid for r in extent.features_in_areas(f, touching, "aid").collect()) == [1, 2]
+    assert extent.features_in_areas(f, touching, "aid", clip=True).count() == 0
