@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydroframe.operators import chunks, climate, lai, network, raster, waterbody
+from hydroframe.operators.digest import content_digest
 from hydroframe.operators.network import AREA_FLOOR
 from hydroframe.params import JobParams
 from hydroframe.sources import sinks, vector
@@ -48,10 +49,12 @@ def _export_of(features: DataFrame):
 
 def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams,
                        out_dir: str, climate_source: str = "era5",
-                       rules: DataFrame | None = None) -> dict[str, dict]:
+                       rules: DataFrame | None = None, digests: bool = False) -> dict[str, dict]:
     """Run the chain and write every output; returns ``{output: {"path", "rows", "columns"}}``
     (the write-back check of B7: each output re-read, counted, its columns listed).
-    ``rules`` is the user's own catalog as a table (``catalog_rules_from_yaml``)."""
+    ``rules`` is the user's own catalog as a table (``catalog_rules_from_yaml``). With
+    ``digests`` each entry also has ``digest``: the order-free digests of what was read back,
+    ``{column: (n_values, hash_sum, hash_xor)}``, to compare two runs without their data."""
     written: dict[str, dict] = {}
 
     def emit(name: str, df: DataFrame, cube_cols: list[str] | None = None) -> None:
@@ -64,6 +67,8 @@ def build_model_inputs(spark: SparkSession, inputs: JobInputs, params: JobParams
         # and the schema keeps it a well-typed empty table.
         back = spark.read.schema(df.schema).parquet(path)
         written[name] = {"path": path, "rows": back.count(), "columns": back.columns}
+        if digests:
+            written[name]["digest"] = {r["column"]: (r["n_values"], r["hash_sum"], r["hash_xor"]) for r in content_digest(back).collect()}
 
     ext = params.extent
     if inputs.basins is not None:

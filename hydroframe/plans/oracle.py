@@ -416,6 +416,44 @@ def geojson_waterbodies_sql() -> str:
     return f"WITH {WATERBODIES}\nSELECT hylak_id, Vol_total, Lake_area, xmin, xmax, ymin, ymax FROM waterbodies"
 
 
+# The asset of unknown properties, built and read with DuckDB's own JSON functions.
+ASSORTED = f"""assorted AS (SELECT hylak_id AS k, json_merge_patch(
+  json_object('hylak_id', hylak_id, 'Lake_area', Lake_area),
+  CASE WHEN hylak_id % 3 = 0 THEN json_object('name', 'lake ' || hylak_id) ELSE '{{}}' END,
+  CASE WHEN hylak_id % 4 = 0 THEN json_object('tags', ['a', 'b']) ELSE '{{}}' END,
+  CASE hylak_id % 7 WHEN 1 THEN '{{"depth":12}}' WHEN 2 THEN '{{"depth":12.5}}' ELSE '{{}}' END,
+  CASE hylak_id % 11 WHEN 0 THEN '{{"code":"A1"}}' WHEN 1 THEN '{{"code":7}}' ELSE '{{}}' END,
+  CASE WHEN hylak_id % 2 = 0 THEN json_object('natural', hylak_id % 6 = 0) ELSE '{{}}' END,
+  CASE WHEN hylak_id % 5 = 0 THEN json_object('dam', json_object('year', 1900 + hylak_id % 100, 'purpose', 'power')) ELSE '{{}}' END) AS p
+  FROM waterbodies)"""
+
+
+def property_keys_sql() -> str:
+    kind = """CASE json_type(p, '$.' || path) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
+    WHEN 'ARRAY' THEN 'array' WHEN 'DOUBLE' THEN 'number' ELSE 'integer' END"""
+    return f"""WITH {WATERBODIES}, {ASSORTED},
+paths AS (SELECT p, unnest(json_keys(p)) AS path FROM assorted
+  UNION ALL SELECT p, 'dam.' || unnest(json_keys(p, '$.dam')) FROM assorted WHERE json_type(p, '$.dam') = 'OBJECT'),
+kinds AS (SELECT path, {kind} AS kind FROM paths),
+found AS (SELECT path, list(DISTINCT kind) AS kinds, count(*) AS n FROM kinds GROUP BY path),
+nulls AS (SELECT count(*) AS n FROM waterbodies WHERE hylak_id % 5 = 1)  -- merging drops the nulls
+SELECT path, CASE WHEN len(kinds) = 1 THEN kinds[1] WHEN list_has_all(['integer', 'number'], kinds) THEN 'number' ELSE 'mixed' END AS type,
+  found.n + CASE WHEN path = 'dam' THEN nulls.n ELSE 0 END AS n_features, CASE WHEN path = 'dam' THEN nulls.n ELSE 0 END AS n_null
+FROM found, nulls"""
+
+
+def property_columns_sql() -> str:
+    return f"""WITH {WATERBODIES}
+SELECT hylak_id, Lake_area, CASE WHEN hylak_id % 3 = 0 THEN 'lake ' || hylak_id END AS name,
+  CASE WHEN hylak_id % 5 = 0 THEN '{{"purpose":"power","year":' || (1900 + hylak_id % 100) || '}}' WHEN hylak_id % 5 = 1 THEN 'null' END AS dam,
+  CASE WHEN hylak_id % 5 = 0 THEN CAST(1900 + hylak_id % 100 AS INTEGER) END AS built,
+  CASE WHEN hylak_id % 4 = 0 THEN '["a","b"]' END AS tags,
+  CASE hylak_id % 7 WHEN 1 THEN 12{D} WHEN 2 THEN 12.5{D} END AS depth,
+  CASE hylak_id % 11 WHEN 0 THEN '"A1"' WHEN 1 THEN '7' END AS code,
+  CASE WHEN hylak_id % 2 = 0 THEN hylak_id % 6 = 0 END AS "natural"
+FROM waterbodies"""
+
+
 def clipped_polygons_sql(ext) -> str:
     w, s, e, n = (f"{x}{D}" for x in (ext.west, ext.south, ext.east, ext.north))
     return f"""WITH {WATERBODIES},
@@ -506,9 +544,28 @@ SELECT count(*) AS n_rows, min(CAST(temp AS FLOAT)) AS min_temp, max(CAST(temp A
   min(CAST(precip AS FLOAT)) AS min_precip, max(CAST(precip AS FLOAT)) AS max_precip FROM q"""
 
 
+def content_digest_sql(sql: str, alias: str) -> str:
+    """Digests of a query's columns and rows, whatever its columns: see operators.digest."""
+    c = "COLUMNS(*)"
+    text = (f"CASE WHEN typeof({c}) IN ('DOUBLE', 'FLOAT') OR typeof({c}) LIKE 'DECIMAL%' "
+            f"THEN CAST(round(TRY_CAST({c}::VARCHAR AS DOUBLE) * 1e6{D}) AS HUGEINT)::VARCHAR "
+            f"WHEN typeof({c}) = 'TIMESTAMP' THEN epoch_us(TRY_CAST({c}::VARCHAR AS TIMESTAMP))::VARCHAR ELSE {c}::VARCHAR END")
+
+    def h(x: str) -> str:
+        return f"('0x' || substr(md5({x}), 1, 15))::BIGINT"
+    return f"""SELECT * FROM (
+  WITH q_{alias} AS ({sql}), t_{alias} AS (SELECT {text} FROM q_{alias}),
+  n_{alias} AS (SELECT row_number() OVER () AS "_r", * FROM t_{alias}),
+  v_{alias} AS (FROM n_{alias} UNPIVOT INCLUDE NULLS ("_v" FOR "_c" IN (COLUMNS(* EXCLUDE "_r")))),
+  r_{alias} AS (SELECT "_r", {h("coalesce(bit_xor(" + h("_v") + "), 0)::VARCHAR")} AS h FROM v_{alias} GROUP BY "_r")
+  SELECT '{alias}' AS output, _c AS "column", count(*) AS n_rows, count(_v) AS n_values,
+    sum({h("_v")})::VARCHAR AS hash_sum, bit_xor({h("_v")}) AS hash_xor FROM v_{alias} GROUP BY _c
+  UNION ALL
+  SELECT '{alias}', '*', count(*), count(h), sum(h)::VARCHAR, bit_xor(h) FROM r_{alias})"""
+
+
 def model_inputs_summary_sql(outputs: dict[str, str]) -> str:
-    return "\nUNION ALL\n".join(f"SELECT '{name}' AS output, count(*) AS n_rows FROM ({sql}) AS t_{i}"
-                                for i, (name, sql) in enumerate(outputs.items()))
+    return "\nUNION ALL\n".join(content_digest_sql(sql, name) for name, sql in outputs.items())
 
 
 def static_maps_sql() -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydroframe.operators import (chunks, climate, discharge, extent, lai, lookup, network, raster,
+from hydroframe.operators import (chunks, climate, digest, discharge, extent, lai, lookup, network, raster,
                                   waterbody)
 from hydroframe.params import FIXTURE_JOB, WHOLE_DOMAIN_JOB, Extent, JobParams
 from hydroframe.plans import oracle as O
@@ -425,6 +425,20 @@ def q_geojson(spark, sf):
     return vector.with_rings_bbox(feats).drop("rings")
 
 
+@register("property_keys", O.property_keys_sql)
+def q_property_keys(spark, sf):
+    """Every property key of an asset of unknown properties, with type and counts."""
+    return vector.property_keys(vector.feature_properties(fx.waterbody_assorted_text(spark, sf), "feature"))
+
+
+@register("property_columns", O.property_columns_sql)
+def q_property_columns(spark, sf):
+    """The discovered properties as columns, and a nested one read by its path."""
+    props = vector.feature_properties(fx.waterbody_assorted_text(spark, sf), "feature")
+    year = props.withColumn("built", vector.property_value("dam.year", "int"))
+    return vector.with_property_columns(year)
+
+
 @register("clipped_polygons", lambda: O.clipped_polygons_sql(CLIP_EXTENT))
 def q_clipped_polygons(spark, sf):
     """C1 + C2 + C3 + N1 on polygon rings (JVM higher-order functions)."""
@@ -640,15 +654,21 @@ def _summary_outputs() -> dict[str, tuple]:
         "lai": (q_lai_cube, O.lai_cube_sql),
         "lai_slots": (q_lai_slots, O.lai_slots_sql),
         "chunks": (q_chunk_table, O.chunk_table_sql),
+        "basins": (q_basins, lambda: O.basins_sql(CLIP_EXTENT)),
+        "landuse": (q_landuse_grid, O.landuse_grid_sql),
+        "static_maps": (q_static_maps, O.static_maps_sql),
     }
 
 
 @register("model_inputs_summary",
           lambda: O.model_inputs_summary_sql({k: v[1]() for k, v in _summary_outputs().items()}))
 def q_model_inputs_summary(spark, sf):
-    """K8: the full chain (vectors, rasters, climate, LAI, chunk labels) as a manifest of
-    output row counts; one union plan, each branch its own aggregate."""
-    parts = [fn(spark, sf).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("output"), "n_rows")
+    """K8: the full chain (vectors, rasters, climate, LAI, chunk labels) as a manifest of what
+    every output holds: rows, values and order-free digests per column and of whole rows.
+
+    Each output is one aggregate of its own; the union of their few rows is the result.
+    """
+    parts = [digest.content_digest(fn(spark, sf)).select(F.lit(name).alias("output"), "*")
              for name, (fn, _) in _summary_outputs().items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 

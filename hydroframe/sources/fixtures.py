@@ -190,6 +190,27 @@ def waterbody_triangles_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _polygon_text(wb, ["hylak_id", "Vol_total", "Lake_area"], [("xmin", "ymin"), ("xmax", "ymin"), ("xmin", "ymax")])
 
 
+def waterbody_assorted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water bodies as an asset of unknown properties: keys that some features lack, nulls, a
+    nested object, an array, a key of two number types and one of two types (GeoJSON text)."""
+    wb = waterbodies(spark, sf_dir)
+    k = F.col("hylak_id")
+    text = lambda c: c.cast("string")
+    parts = [
+        F.concat(F.lit('"hylak_id":'), text(k)),
+        F.concat(F.lit('"Lake_area":'), F.coalesce(text(F.col("Lake_area")), F.lit("null"))),
+        F.when(k % 3 == 0, F.concat(F.lit('"name":"lake '), text(k), F.lit('"'))),
+        F.when(k % 5 == 0, F.concat(F.lit('"dam":{"year":'), text(1900 + k % 100), F.lit(',"purpose":"power"}')))
+        .when(k % 5 == 1, F.lit('"dam":null')),
+        F.when(k % 4 == 0, F.lit('"tags":["a","b"]')),
+        F.when(k % 7 == 1, F.lit('"depth":12')).when(k % 7 == 2, F.lit('"depth":12.5')),
+        F.when(k % 11 == 0, F.lit('"code":"A1"')).when(k % 11 == 1, F.lit('"code":7')),
+        F.when(k % 2 == 0, F.concat(F.lit('"natural":'), text(k % 6 == 0))),
+    ]
+    return wb.select(F.concat(F.lit('{"type":"Feature","properties":{'), F.concat_ws(",", *parts),
+                              F.lit('},"geometry":null}')).alias("feature"))
+
+
 def basin_text(spark: SparkSession, sf_dir: str, key: str = "MAIN_BAS") -> DataFrame:
     """Basins as right triangles with legs of two degrees, GeoJSON text; the id property is ``key``."""
     c = spread(read_table(spark, sf_dir, "customer"))

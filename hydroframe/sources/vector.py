@@ -227,3 +227,81 @@ def lines_in_extent(df: DataFrame, ext: Extent, lines: str = "lines") -> DataFra
     out = kept.select(*others, F.inline_outer("_g")).filter(F.col("length").isNotNull())
     return out.select(*others, lines, "length",
                       *[F.col("box")[k].alias(k) for k in ("xmin", "xmax", "ymin", "ymax")])
+
+
+# --- unknown properties (I18) -----------------------------------------------------------------
+
+PROPERTY_TYPES = {"integer": "bigint", "number": "double", "boolean": "boolean", "string": "string"}
+
+
+def feature_properties(text_df: DataFrame, col: str, out: str = "properties") -> DataFrame:
+    """The ``properties`` of GeoJSON Feature text as a VARIANT column, beside the other columns.
+
+    Text that is no JSON, or has no properties, gives NULL.
+    """
+    props = F.try_variant_get(F.try_parse_json(F.col(col)), "$.properties", "variant")
+    return text_df.select(*[c for c in text_df.columns if c != col], props.alias(out))
+
+
+def _json_type(value: Column) -> Column:
+    name = F.schema_of_variant(value)
+    return (F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array")
+            .when(name == "BIGINT", "integer").when(name == "STRING", "string").when(name == "BOOLEAN", "boolean")
+            .when(name == "VOID", "null").otherwise("number"))
+
+
+def property_keys(df: DataFrame, properties: str = "properties", depth: int = 2) -> DataFrame:
+    """Every key that the properties of the features carry: (path, type, n_features, n_null).
+
+    Keys of nested objects are listed as ``outer.inner``, down to ``depth`` levels. ``type`` is
+    the JSON type of the values that are not null: ``number`` where integers and other numbers
+    meet, ``mixed`` where other types meet, ``null`` where there is none. One scan, in which a
+    feature becomes a row per key, and partial counts per key before the only shuffle.
+    """
+    spark = df.sparkSession
+    level = df.select(F.col(properties).alias("_v0"))
+    names = []
+    for i in range(depth):  # each level opens the objects of the level above and keeps its own rows
+        inner = F.col(f"_v{i}") if i == 0 else F.when(_json_type(F.col(f"_v{i}")) == "object", F.col(f"_v{i}"))
+        level = (level.withColumn("_open", inner).lateralJoin(spark.tvf.variant_explode_outer(F.col("_open").outer()))
+                 .withColumnsRenamed({"key": f"_k{i + 1}", "value": f"_v{i + 1}", "pos": f"_p{i + 1}"}).drop("_open"))
+        names.append(f"_k{i + 1}")
+    found = []
+    for i in range(1, depth + 1):
+        # a key shows once for each key below it: it counts with the first
+        first = F.lit(True)
+        for j in range(i + 1, depth + 1):
+            first &= F.coalesce(F.col(f"_p{j}"), F.lit(0)) == 0
+        found.append(F.when(F.col(f"_k{i}").isNotNull() & first,
+                            F.struct(F.concat_ws(".", *names[:i]).alias("path"), _json_type(F.col(f"_v{i}")).alias("kind"))))
+    kinds = level.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select("f.*")
+    each = F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))  # seven types at most
+    return (kinds.groupBy("path")
+            .agg(each.alias("kinds"), F.count("*").alias("n_features"), F.count_if(F.col("kind") == "null").alias("n_null"))
+            .select("path", F.when(F.size("kinds") == 0, "null").when(F.size("kinds") == 1, F.element_at("kinds", 1))
+                    .when(F.size(F.array_except("kinds", F.array(F.lit("integer"), F.lit("number")))) == 0, "number")
+                    .otherwise("mixed").alias("type"), "n_features", "n_null"))
+
+
+def property_value(path: str, kind: str = "string", properties: str = "properties") -> Column:
+    """One property by path (``name`` or ``outer.inner``); NULL where absent or not of that kind."""
+    steps = "".join("." + p if p.isidentifier() else "['" + p.replace("'", "\\'") + "']" for p in path.split("."))
+    return F.try_variant_get(F.col(properties), "$" + steps, kind)
+
+
+def with_property_columns(df: DataFrame, properties: str = "properties", keys: list[tuple[str, str]] | None = None) -> DataFrame:
+    """The properties of unknown features as columns, beside the table's other columns.
+
+    ``keys`` are (path, type) pairs; by default those found by ``property_keys``, one level deep,
+    in order of name (the list of keys reaches the driver: it becomes the schema). Integers,
+    numbers, booleans and strings get their own type; everything else is JSON text.
+    """
+    if keys is None:
+        keys = [(r["path"], r["type"]) for r in property_keys(df, properties, depth=1).orderBy("path").collect()]
+
+    def column(path: str, kind: str) -> Column:
+        if kind in PROPERTY_TYPES:
+            return property_value(path, PROPERTY_TYPES[kind], properties)
+        return F.to_json(property_value(path, "variant", properties))
+
+    return df.select(*[c for c in df.columns if c != properties], *[column(p, k).alias(p) for p, k in keys])

@@ -1,6 +1,7 @@
 """Hand-written edge tables (FIXTURES.md §3) and properties of the operators."""
 
 import datetime as dt
+import json
 import math
 import random
 
@@ -13,6 +14,7 @@ from hydroframe.operators import chunks, climate, discharge, lai, network, raste
 from hydroframe.operators.ids import exact_median, exact_medians, sequential_id, value_at_rank
 from hydroframe.params import Extent, JobParams
 from hydroframe.functions import scalar
+from hydroframe.sources import vector
 
 D = dt.date
 
@@ -650,3 +652,62 @@ def test_cells_off_the_grid_find_the_nearest_node(spark):
 def test_empty_basin_of_parameter_faults():
     with pytest.raises(ValueError, match="extent needs.*not a date"):
         JobParams.of([1, 2, 3], "2020-13-01", "2020-01-02")
+
+
+# --- content digests (K8) and unknown properties (I18) --------------------------------------
+
+def _digest(df):
+    from hydroframe.operators.digest import content_digest
+    return {r["column"]: tuple(r)[1:] for r in content_digest(df).collect()}
+
+
+def test_digests_ignore_order_and_see_every_change(spark):
+    rows = [(i, i * 0.5, f"s{i % 7}", dt.datetime(2024, 1, 1, i % 24), None if i % 5 == 0 else i % 2 == 0, [i]) for i in range(100)]
+    schema = "a long, b double, c string, t timestamp_ntz, f boolean, arr array<long>"
+    base = _digest(spark.createDataFrame(rows, schema))
+    assert _digest(spark.createDataFrame(rows[::-1], schema).repartition(7)) == base
+    one = [list(r) for r in rows]
+    one[40][1] += 1e-5
+    changed = _digest(spark.createDataFrame(one, schema))
+    assert {c for c in base if base[c] != changed[c]} == {"b", "*"}
+    swap = [list(r) for r in rows]
+    swap[3][0], swap[4][0] = swap[4][0], swap[3][0]  # the column holds the same values
+    changed = _digest(spark.createDataFrame(swap, schema))
+    assert {c for c in base if base[c] != changed[c]} == {"*"}
+    twice = _digest(spark.createDataFrame(rows + rows[:1], schema))
+    assert all(base[c] != twice[c] for c in base)
+
+
+def test_digests_of_odd_values(spark):
+    odd = spark.createDataFrame([(float("nan"), float("inf")), (-0.0, 1e300), (None, None)], "a double, b double")
+    same = spark.createDataFrame([(float("nan"), float("inf")), (0.0, 1e300), (None, None)], "a double, b double")
+    assert _digest(odd) == _digest(same)
+    assert _digest(odd)["a"][:2] == (3, 2)
+    empty = _digest(odd.limit(0))
+    assert empty["a"] == (0, 0, None, None) and empty["*"][0] == 0
+    wide = spark.createDataFrame([(1.5, 2)], "x float, y int")
+    assert _digest(wide) == _digest(wide.selectExpr("cast(x as double) x", "cast(y as long) y"))
+
+
+def test_digest_differences_by_column(spark):
+    from hydroframe.operators.digest import content_digest, differing_columns
+    a = spark.createDataFrame([(1, 2)], "x int, y int")
+    b = spark.createDataFrame([(1, 3)], "x int, y int")
+    diff = lambda p, q: {r["column"] for r in differing_columns(content_digest(p), content_digest(q)).collect()}
+    assert diff(a, a) == set() and diff(a, b) == {"y", "*"} and diff(a, a.withColumn("z", F.lit(1))) == {"z", "*"}
+
+
+def test_property_keys_of_odd_features(spark):
+    text = ['{"properties":{"a":1,"b-c":{"d":null,"e":{"f":1}},"x":[]}}', '{"properties":{"a":1.5,"b-c":2}}', '{"properties":null}',
+            '{"type":"Feature"}', "no json", None, '{"properties":{"a":null,"it\'s":true}}', '{"properties":{"a":12345678901234567890}}']
+    df = vector.feature_properties(spark.createDataFrame([(i, t) for i, t in enumerate(text)], "n int, feature string"), "feature")
+    got = {r.path: (r.type, r.n_features, r.n_null) for r in vector.property_keys(df, depth=3).collect()}
+    assert got == {"a": ("number", 4, 1), "b-c": ("mixed", 2, 0), "b-c.d": ("null", 1, 1), "b-c.e": ("object", 1, 0),
+                   "b-c.e.f": ("integer", 1, 0), "x": ("array", 1, 0), "it's": ("boolean", 1, 0)}
+    out = vector.with_property_columns(df).orderBy("n")
+    assert out.columns == ["n", "a", "b-c", "it's", "x"]
+    rows = out.collect()
+    assert rows[0]["a"] == 1.0 and rows[1]["a"] == 1.5 and rows[6]["it's"] is True and rows[4]["a"] is None
+    assert json.loads(rows[0]["b-c"]) == {"d": None, "e": {"f": 1}} and rows[1]["b-c"] == "2"
+    assert df.select(vector.property_value("b-c.e.f", "int").alias("v")).first().v == 1
+    assert vector.property_keys(df.limit(0)).count() == 0
