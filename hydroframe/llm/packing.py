@@ -40,7 +40,8 @@ CAPACITY = 4096
 END_ID = 1
 GROUPS = 40
 LARGE = 1 / 8
-CACHE_ENTRIES = 250_000  # chunks, and pre-tokens, whose ids a worker remembers (a generation)
+CACHE_ENTRIES = 400_000  # pre-tokens whose ids a worker remembers (a generation)
+LONGEST_KEPT = 64        # characters of a pre-token that is remembered: entries have a bounded size
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -49,10 +50,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# Chunks of these characters are cut into the tokenizer's own pre-tokens before they are looked
-# up; any other chunk goes to the tokenizer as it is. The tokenizer file's split.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Texts of these characters are cut into the tokenizer's own pre-tokens, whose ids are looked up;
+# other texts are cut at blanks, and only their chunks of other characters go to the tokenizer as
+# they are. The tokenizer file's split.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ \n\t\r]*")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \n\t\r]+")
 
 
 class Remembered(dict):
@@ -89,7 +91,7 @@ class WordTokenizer:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.closes = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a pre-token
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.chunks, self.parts = Remembered(CACHE_ENTRIES), Remembered(CACHE_ENTRIES)
+        self.parts = Remembered(CACHE_ENTRIES)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -106,23 +108,35 @@ class WordTokenizer:
             self.parts[part] = raw[at:end]
             at = end
 
-    def _learn(self, chunks: list[str]) -> None:
-        plain = {c: PARTS.findall(c.lower()) for c in chunks if PLAIN.fullmatch(c)}
-        self._learn_parts(self.parts.missing({p for parts in plain.values() for p in parts}))
-        of = self.parts
-        self.chunks.update((c, b"".join([of[p] for p in parts])) for c, parts in plain.items())
-        rest = [c for c in chunks if c not in plain]
-        self.chunks.update(zip(rest, self._encode(rest)))
-
     def batch(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        split = [[] if i in whole else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                 for i, t in enumerate(texts)]
-        every = set().union(*split)
-        self._learn(self.chunks.missing(every))
-        get = self.chunks.__getitem__
-        return [self._encode([t])[0] if i in whole else b"".join(map(get, s))
-                for i, (t, s) in enumerate(zip(texts, split))]
+        """Ids of each text: those of its pre-tokens, in order."""
+        split: list[list[str]] = []
+        whole: dict[int, bytes] = {}
+        other: dict[str, bytes] = {}  # chunks of characters that the pre-token pattern does not cover
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                whole[i] = self._encode([t])[0]
+                split.append([])
+            elif PLAIN.fullmatch(t):
+                split.append(PARTS.findall(t.lower()))
+            else:
+                keys: list[str] = []
+                for chunk in t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
+                    if PLAIN.fullmatch(chunk):
+                        keys += PARTS.findall(chunk.lower())
+                    else:
+                        keys.append(" " + chunk)  # no pre-token starts with a blank
+                        other[keys[-1]] = b""
+                split.append(keys)
+        every = set().union(*split).difference(other)
+        kept = [k for k in every if len(k) <= LONGEST_KEPT]
+        self._learn_parts(self.parts.missing(kept))
+        get = self.parts.__getitem__
+        if other or len(kept) < len(every):
+            long = [k for k in every if len(k) > LONGEST_KEPT]
+            rare = dict(zip(other, self._encode([k[1:] for k in other]))) | dict(zip(long, self._encode(long)))
+            get = lambda k, own=get: rare[k] if k in rare else own(k)
+        return [whole[i] if i in whole else b"".join(map(get, s)) for i, s in enumerate(split)]
 
 
 @lru_cache(maxsize=1)
