@@ -285,7 +285,11 @@ def property_keys(df: DataFrame, properties: str = "properties", depth: int = 2)
 
 def property_value(path: str, kind: str = "string", properties: str = "properties") -> Column:
     """One property by path (``name`` or ``outer.inner``); NULL where absent or not of that kind."""
-    steps = "".join("." + p if p.isidentifier() else "['" + p.replace("'", "\\'") + "']" for p in path.split("."))
+    def step(name: str) -> str:
+        quote = '"' if "'" in name else "'"
+        return f".{name}" if name.isidentifier() else f"[{quote}{name}{quote}]"
+
+    steps = "".join(map(step, path.split(".")))
     return F.try_variant_get(F.col(properties), "$" + steps, kind)
 
 
