@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hydroframe.sources.sinks import replace_whole
+
 CHUNK_MONTHS = 3  # fixed value: the reference builds 3-month chunks
 
 
@@ -73,11 +75,25 @@ def chunk_rollup(tagged: DataFrame, time_col: str = "time") -> DataFrame:
 
 
 def write_chunks(tagged: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4 sink: one folder per chunk that has rows (``chunk_id=k``), zstd parquet.
+    """K4 sink + B6: one folder per chunk that has rows (``chunk_id=k``), zstd parquet.
 
-    Rows are rebalanced by chunk, so files follow the chunks and AQE splits a hot chunk.
+    ``overwrite`` replaces the whole result once the new one is complete; ``chunks`` replaces
+    only the chunks that ``tagged`` holds (dynamic partition overwrite, staged by the committer).
+    Either way an aborted write leaves the old result readable. Rows are rebalanced by chunk,
+    so files follow the chunks and AQE splits a hot chunk.
     """
-    (tagged.hint("rebalance", "chunk_id").write.mode(mode).partitionBy("chunk_id").option("compression", "zstd").parquet(path))
+    spread = tagged.hint("rebalance", "chunk_id")
+
+    def write(to: str, how: str) -> None:
+        (spread.write.mode(how).partitionBy("chunk_id").option("compression", "zstd")
+         .option("partitionOverwriteMode", "dynamic" if how == "overwrite" else "static").parquet(to))
+
+    if mode == "overwrite":
+        replace_whole(tagged.sparkSession, path, lambda new: write(new, "errorifexists"))
+    elif mode == "chunks":
+        write(path, "overwrite")
+    else:
+        raise ValueError(f"mode {mode!r} is neither 'overwrite' nor 'chunks'")
 
 
 def read_chunks(spark: SparkSession, base: str, schema=None) -> DataFrame:

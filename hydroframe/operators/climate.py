@@ -19,7 +19,7 @@ from hydroframe.functions.units import apply_rules_join
 from hydroframe.params import Extent, JobParams
 from hydroframe.session import ensure_checkpoint_dir
 from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VARIABLES,
-                                        GRAVITY, catalog_rules, rules_for, time_shift_days)
+                                        GRAVITY, catalog_rules, rules_for, time_shift_seconds)
 
 CELL_KEYS = ["lat", "lon"]
 AXIS_BROADCAST_MAX_ROWS = 2_000_000  # an axis of (value, position) pairs: ~32 MB at most
@@ -138,16 +138,18 @@ DAILY_AGG = {"precip": "sum", "temp": "avg", "kin": "avg", "kout": "avg", "press
 
 
 def to_daily(long_df: DataFrame, variables: list[str] = CLIMATE_VARIABLES,
-             shift_days: int = 0, round_places: int | None = 6) -> DataFrame:
+             shift_days: int = 0, round_places: int | None = 6, shift_seconds: float = 0.0) -> DataFrame:
     """L5 + F2: hourly long rows -> one daily row per cell, one column per variable.
 
     Conditional aggregation is what ``pivot`` with a fixed value list compiles to; writing
     it out lets each variable carry its own rule (sum vs mean) in a single aggregate.
-    ``shift_days`` is the catalog's ``unit_add.time`` option (Q10), off by default.
+    ``shift_days`` and ``shift_seconds`` are the catalog's ``unit_add.time`` option (Q10), off
+    by default: times are shifted first, and then fall into days.
     """
-    day = F.to_date(F.col("time"))
-    if shift_days:
-        day = F.date_add(day, shift_days)
+    time = F.col("time")
+    if shift_days or shift_seconds:
+        time = time + F.make_dt_interval(days=F.lit(shift_days), secs=F.lit(shift_seconds).cast("decimal(18,6)"))
+    day = F.to_date(time)
     aggs = []
     for v in variables:
         val = F.when(F.col("variable") == v, F.col("value"))
@@ -165,9 +167,8 @@ def daily_forcing(spark: SparkSession, obs: DataFrame, params: JobParams,
                   source: str = "era5", shift_days: int = 0, rules: DataFrame | None = None) -> DataFrame:
     """Flagship: daily precipitation/temperature/radiation/pressure per cell. A user's
     ``rules`` bring their own units and time shift (Q10)."""
-    if rules is not None:
-        shift_days += time_shift_days(rules, source)
-    return to_daily(hourly_long(spark, obs, params, source, rules), shift_days=shift_days)
+    seconds = 0.0 if rules is None else time_shift_seconds(rules, source)
+    return to_daily(hourly_long(spark, obs, params, source, rules), shift_days=shift_days, shift_seconds=seconds)
 
 
 def long_to_wide(long_df: DataFrame, keys: list[str], variables: list[str],

@@ -34,19 +34,10 @@ MODEL_CONSTANTS = {
 }
 # ---------------------------------------------------------------------------------------
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check that stops early: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(df: DataFrame, lut: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a lookup table: broadcast when proven small, else a shuffle join."""
-    side = F.broadcast(lut) if is_small(lut, max_rows) else lut
-    return df.join(side, on, how)
+def lookup_join(df: DataFrame, lut: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a lookup table. Its size is not counted beforehand: AQE broadcasts the side that turns
+    out small when the query runs, and splits skewed partitions of a large one."""
+    return df.join(lut, on, how)
 
 
 def landcover_params(grid: DataFrame, lut: DataFrame, class_col: str = "landcover") -> DataFrame:

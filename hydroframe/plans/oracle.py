@@ -541,7 +541,8 @@ SELECT * FROM f WHERE xmin < xmax AND ymin < ymax AND Lake_area >= {min_area}{D}
 def forcing_write_check_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
     return f"""WITH q AS ({daily_forcing_sql(p)})
 SELECT count(*) AS n_rows, min(CAST(temp AS FLOAT)) AS min_temp, max(CAST(temp AS FLOAT)) AS max_temp,
-  min(CAST(precip AS FLOAT)) AS min_precip, max(CAST(precip AS FLOAT)) AS max_precip FROM q"""
+  min(CAST(precip AS FLOAT)) AS min_precip, max(CAST(precip AS FLOAT)) AS max_precip,
+  'day,kin,kout,lat,lon,precip,press_msl,temp' AS columns FROM q"""
 
 
 def content_digest_sql(sql: str, alias: str) -> str:
@@ -719,6 +720,10 @@ def daily_forcing_catalog_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
         "GROUP BY CAST(time AS DATE)", "GROUP BY CAST(time AS DATE) + 1")
 
 
+def daily_forcing_shifted_sql(p: JobParams = WHOLE_DOMAIN_JOB) -> str:
+    return daily_forcing_catalog_sql(p).replace("CAST(time AS DATE) + 1", "CAST(time - INTERVAL 1 HOUR AS DATE)")
+
+
 def waterbodies_renamed_sql() -> str:
     return f"WITH {WATERBODIES}\nSELECT hylak_id, Vol_total AS volume, Lake_area AS surface FROM waterbodies"
 
@@ -751,13 +756,13 @@ def observation_times_sql() -> str:
 
 
 def static_and_forcing_sql() -> str:
-    return f"""WITH {DISCHARGE},
+    tagged = f"""WITH {DISCHARGE},
 b AS (SELECT CAST(min(time) AS DATE) AS s FROM discharge),
 t AS (SELECT d.*, CAST(floor(((year(d.time) - year(b.s)) * 12 + month(d.time) - month(b.s)) / 3) AS INTEGER) AS chunk_id
   FROM discharge d, b)
-SELECT 'static' AS part, count(*) AS n_rows, max(chunk_id) AS last_chunk
-FROM (SELECT DISTINCT chunk_id, lat, lon FROM t WHERE chunk_id = (SELECT min(chunk_id) FROM t))
-UNION ALL SELECT 'forcing', count(*), max(chunk_id) FROM t"""
+"""
+    first = tagged + "SELECT DISTINCT chunk_id, lat, lon FROM t WHERE chunk_id = (SELECT min(chunk_id) FROM t)"
+    return content_digest_sql(first, "static") + " UNION ALL " + content_digest_sql(tagged + "SELECT * FROM t", "forcing")
 
 
 def river_dimensions_sql() -> str:

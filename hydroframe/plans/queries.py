@@ -35,7 +35,7 @@ JOB: JobParams = WHOLE_DOMAIN_JOB
 CLIP_EXTENT = Extent(86.0, 27.0, 94.0, 33.0)
 STATION_EXTENT = Extent(85.0, 26.0, 87.5, 30.0)
 # The climate buffer's default (I19): the buffered query cuts rows that lie beyond it.
-BUFFERED_JOB = FIXTURE_JOB
+BUFFERED_JOB = FIXTURE_JOB.with_(start_date=WHOLE_DOMAIN_JOB.start_date, end_date=WHOLE_DOMAIN_JOB.end_date)
 # A period of a few image days: fewer images than slots.
 SHORT_LAI_DAYS = 5
 # A 5 x 5 node grid at 500 m (5.5 node spacings wide, so int(span / deg) = 5 on both axes).
@@ -425,6 +425,20 @@ def q_geojson(spark, sf):
     return vector.with_rings_bbox(feats).drop("rings")
 
 
+@register("feature_collections", O.geojson_waterbodies_sql)
+def q_feature_collections(spark, sf):
+    """FeatureCollection documents (a thousand features each) written, and read back in
+    byte ranges, a row per feature."""
+    text = fx.waterbody_geojson_text(spark, sf)
+    group = F.get_json_object("feature", "$.properties.hylak_id").cast("bigint") / 1000
+    docs = text.groupBy(F.floor(group).alias("g")).agg(F.concat_ws(",", F.collect_list("feature")).alias("f"))
+    path = sinks.scratch_path(spark, f"collections-{uuid.uuid4().hex}")
+    docs.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value")).write.text(path)
+    back = vector.read_feature_collection_split(spark, path, WATERBODY_PROPS)
+    rings = back.select("hylak_id", "Vol_total", "Lake_area", vector.polygons_of("geometry")[0].alias("rings"))
+    return vector.with_rings_bbox(rings).drop("rings")
+
+
 @register("property_keys", O.property_keys_sql)
 def q_property_keys(spark, sf):
     """Every property key of an asset of unknown properties, with type and counts."""
@@ -531,6 +545,12 @@ lakes:
   rename: {Vol_total: volume, Lake_area: surface}
 """
 
+SHIFTED_CATALOG = """
+era5:
+  unit_mult: {precip: 500, kout: 0.5}
+  unit_add: {temp: -200, time: -3600}
+"""
+
 
 def _user_rules(spark) -> DataFrame:
     return spark.createDataFrame(catalog_rule_rows_of(USER_CATALOG), RULES_SCHEMA)
@@ -542,6 +562,13 @@ def q_daily_forcing_catalog(spark, sf):
     return climate.daily_forcing(spark, fx.obs_hourly(spark, sf), JOB, rules=_user_rules(spark))
 
 
+@register("daily_forcing_shifted", lambda: O.daily_forcing_shifted_sql(JOB))
+def q_daily_forcing_shifted(spark, sf):
+    """A17 + Q10: a user's catalog that moves all times back by an hour, across day borders."""
+    rules = spark.createDataFrame(catalog_rule_rows_of(SHIFTED_CATALOG), RULES_SCHEMA)
+    return climate.daily_forcing(spark, fx.obs_hourly(spark, sf), JOB, rules=rules)
+
+
 @register("waterbodies_renamed", O.waterbodies_renamed_sql)
 def q_waterbodies_renamed(spark, sf):
     """A17 + F4: renames of a user's catalog on a feature table."""
@@ -587,14 +614,14 @@ def q_observation_times(spark, sf):
 
 @register("static_and_forcing", O.static_and_forcing_sql)
 def q_static_and_forcing(spark, sf):
-    """Static rows (here: the distinct cells of a chunk) from the first chunk only, forcing from all."""
+    """Static rows (here: the distinct cells of a chunk) from the first chunk only, forcing
+    from all; the digests of both parts' columns are compared."""
     dis = fx.discharge(spark, sf)
     b = chunks.data_bounds(dis).first()
     tagged = chunks.assign_chunks(dis, b["start"], b["end"])
     static, forcing = chunks.merge_static_forcing(tagged.select("chunk_id", "lat", "lon").distinct(), tagged)
-    return (static.agg(F.lit("static").alias("part"), F.count("*").alias("n_rows"), F.max("chunk_id").alias("last_chunk"))
-            .unionByName(forcing.agg(F.lit("forcing").alias("part"), F.count("*").alias("n_rows"),
-                                     F.max("chunk_id").alias("last_chunk"))))
+    parts = [digest.content_digest(part).select(F.lit(name).alias("output"), "*") for name, part in (("static", static), ("forcing", forcing))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("river_dimensions", O.river_dimensions_sql)

@@ -20,6 +20,7 @@ CORE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",  # for sinks.read_with_footers
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

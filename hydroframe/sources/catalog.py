@@ -176,7 +176,7 @@ def catalog_rules_from_yaml(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(catalog_rule_rows_from_yaml(path), RULES_SCHEMA)
 
 
-def time_shift_days(rules: DataFrame, source: str) -> int:
-    """Q10: the catalog's ``unit_add.time`` of a source (seconds) in whole days; 0 without one."""
+def time_shift_seconds(rules: DataFrame, source: str) -> float:
+    """Q10: the catalog's ``unit_add.time`` of a source, in seconds (any sign); 0 without one."""
     r = rules.filter((F.col("source") == source) & (F.col("variable") == "time")).select("add").first()
-    return int((r["add"] or 0) // 86400) if r else 0
+    return float(r["add"] or 0.0) if r else 0.0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,12 +69,53 @@ def read_stations(spark: SparkSession, path: str, schema: T.StructType = STATION
         return empty_result(spark, schema)
 
 
+def replace_whole(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace the table at ``path`` only when its successor is complete.
+
+    ``write`` writes the new table to the folder it is given. If that fails, the old table is
+    as it was; if it succeeds, two renames put the new one in its place and the old one is deleted.
+    """
+    jvm = spark._jvm
+    token = uuid.uuid4().hex
+    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{token}", f"{path}.old-{token}"))
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write(new.toString())
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    had = fs.exists(here)
+    if had and not fs.rename(here, old):
+        raise OSError(f"{path} cannot be renamed")
+    if not fs.rename(new, here):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"{path} cannot be replaced")
+    fs.delete(old, True)
+
+
+def read_with_footers(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet files through Spark's second data source interface, which answers count, min and
+    max without a filter from the files' footers (``spark.sql.parquet.aggregatePushdown``)."""
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_back_check(spark: SparkSession, path: str, range_cols: list[str],
                      schema: T.StructType | None = None) -> DataFrame:
-    """Re-read what was written, count it and report min/max of some columns. Pass the
-    written schema to check outputs that may be empty (no data files to infer from)."""
-    back = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    """Re-read what was written, list its columns, count it and report min/max of some columns.
+
+    The figures come from the file footers; no data page is read. Pass the written schema to
+    check outputs that may be empty (no data files to infer from).
+    """
+    back = read_with_footers(spark, path, schema)
     aggs = [F.count("*").alias("n_rows")]
     for c in range_cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return back.agg(*aggs)
+    return back.agg(*aggs).withColumn("columns", F.lit(",".join(sorted(back.columns))))

@@ -7,6 +7,8 @@ split across tasks and are the form to use at scale.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -309,3 +311,47 @@ def with_property_columns(df: DataFrame, properties: str = "properties", keys: l
         return F.to_json(property_value(path, "variant", properties))
 
     return df.select(*[c for c in df.columns if c != properties], *[column(p, k).alias(p) for p, k in keys])
+
+
+# --- large FeatureCollection documents (A7) -----------------------------------------------------
+
+_TYPE_KEY = r'"type"\s*:\s*$'
+_COLLECTION = r'(?s)^.*?"features"\s*:\s*\['
+
+
+def _feature_mark(spark: SparkSession, path: str) -> str | None:
+    """The text that names the type of a feature in these documents, blanks included; None without a feature.
+
+    Reads up to the first feature only.
+    """
+    head = spark.read.option("lineSep", '"Feature"').text(path).limit(1).collect()
+    found = re.search(_TYPE_KEY, head[0]["value"]) if head else None
+    return None if found is None else found[0] + '"Feature"'
+
+
+def read_feature_collection_split(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
+    """FeatureCollection documents of any size, each read by many tasks: a row per feature.
+
+    ``"type": "Feature"``, as the documents write it, is the record separator of Spark's text reader, which
+    finds records in byte ranges of a file; so a document is split like any text file, and a
+    task holds one feature at a time. Between two marks lie the end of one feature and the start
+    of the next: members after the mark belong to the feature it names, and where the type is the last
+    member, as in documents with sorted keys, those before it do. What follows a feature's
+    closing brace is not read by the JSON parser. The columns are those of ``read_feature_collection`` with ``properties``.
+    Documents of one path must be written alike; a property named ``type`` must not be the string ``Feature``.
+    """
+    schema = T.StructType([T.StructField("properties", properties), T.StructField("geometry", POLYGON_GEOMETRY)])
+    mark = _feature_mark(spark, path)
+    if mark is None:
+        pieces = spark.createDataFrame([], "value string")
+    else:
+        pieces = spark.read.option("lineSep", mark).text(path)
+    piece = F.col("value")
+    after = F.concat(F.lit('{"_":0'), piece)                          # type first: , "properties": ... }
+    before = F.regexp_replace(piece, r"(?s)^\s*\}\s*,?\s*", "")        # type last: the next feature up to its type
+    before = F.regexp_replace(F.regexp_replace(before, _COLLECTION, ""), r",\s*$", "}")
+    text = (F.when(piece.rlike(r"^\s*,"), after)
+            .when(before.rlike(r"^\s*\{") & before.rlike(r"\}\s*$"), before))
+    # the filter is on the parsed column's own members: headers and closing brackets hold no feature
+    feature = pieces.select(F.from_json(text, schema).alias("f")).filter("f.properties IS NOT NULL OR f.geometry IS NOT NULL")
+    return feature.select("f.properties.*", F.col("f.geometry").alias("geometry"))

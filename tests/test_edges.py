@@ -376,7 +376,7 @@ def test_lookup_join_small_and_large(spark):
     lut = spark.createDataFrame([(10, 0.5), (20, 0.7)], "class int, rootdepth double")
     got = {r.cell: r.rootdepth for r in landcover_params(grid, lut).collect()}
     assert got == {1: 0.5, 2: 0.7, 3: None}
-    big = lookup_join(grid, lut.withColumnRenamed("class", "landcover"), "landcover", max_rows=1)
+    big = lookup_join(grid, lut.withColumnRenamed("class", "landcover"), "landcover")
     assert big.count() == 3
 
 
@@ -711,3 +711,17 @@ def test_property_keys_of_odd_features(spark):
     assert json.loads(rows[0]["b-c"]) == {"d": None, "e": {"f": 1}} and rows[1]["b-c"] == "2"
     assert df.select(vector.property_value("b-c.e.f", "int").alias("v")).first().v == 1
     assert vector.property_keys(df.limit(0)).count() == 0
+
+
+def test_time_shift_in_seconds_moves_times_before_days(spark):
+    from hydroframe.sources.catalog import RULES_SCHEMA, catalog_rule_rows_of, time_shift_seconds
+    rows = [(dt.datetime(2024, 1, 2, h), 26.0, 85.0, "precip", 1.0) for h in (0, 12, 23)]
+    long = spark.createDataFrame(rows, "time timestamp_ntz, lat double, lon double, variable string, value double")
+    days = lambda s: {r.day: r.precip for r in climate.to_daily(long, ["precip"], shift_seconds=s).collect()}
+    assert days(0) == {D(2024, 1, 2): 3.0}
+    assert days(-3600) == {D(2024, 1, 1): 1.0, D(2024, 1, 2): 2.0}
+    assert days(3600.5) == {D(2024, 1, 2): 2.0, D(2024, 1, 3): 1.0}
+    assert days(-86400) == {D(2024, 1, 1): 3.0}
+    for text, want in (("{time: -3600}", -3600.0), ("{time: 1800}", 1800.0), ("{temp: 1}", 0.0)):
+        rules = spark.createDataFrame(catalog_rule_rows_of(f"era5: {{unit_add: {text}}}"), RULES_SCHEMA)
+        assert time_shift_seconds(rules, "era5") == want

@@ -362,3 +362,79 @@ def test_job_exports_polygon_layers(spark):
     m = build_model_inputs(spark, JobInputs(waterbodies=feats), JobParams.of([86, 27, 94, 33], "2024-01-01", "2024-01-02"), out)
     lakes = spark.read.parquet(m["lakes"]["path"])
     assert {"waterbody_id", "polys", "area", "Dam_height"} <= set(lakes.columns) and lakes.count() > 0
+
+
+# --- large FeatureCollection documents (A7) -------------------------------------------------
+
+def _collection(n, layout):
+    feats = []
+    for i in range(n):
+        ring = [[i, 0.0], [i + 1.0, 0.0], [i, 1.0], [i, 0.0]]
+        f = {"type": "Feature", "id": i, "properties": {"key": i, "note": f'has "type" and {{braces}} {i}', "empty": None},
+             "geometry": {"type": "Polygon", "coordinates": [ring]}}
+        feats.append(f)
+    doc = {"type": "FeatureCollection", "name": "all", "features": feats, "crs": {"type": "name", "properties": {"name": "EPSG:4326"}}}
+    return json.dumps(doc, sort_keys=layout == "sorted", indent=2 if layout == "indented" else None,
+                      separators=(",", ":") if layout == "compact" else None)
+
+
+@pytest.mark.parametrize("layout", ["plain", "compact", "indented", "sorted"])
+def test_one_large_document_is_read_by_many_tasks(spark, tmp_path, layout):
+    path = tmp_path / "one.geojson"
+    path.write_text(_collection(4000, layout))
+    props = T.StructType([T.StructField("key", T.LongType()), T.StructField("note", T.StringType())])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = vector.read_feature_collection_split(spark, str(path), props)
+        got = sorted((r.key, r.note, r.geometry.type, r.geometry.coordinates) for r in df.collect())
+        tasks = df.select(F.spark_partition_id().alias("p")).distinct().count()
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = vector.read_feature_collection(spark, str(path), props)
+    assert [(k, n) for k, n, *_ in got] == sorted((r.key, r.note) for r in whole.collect())
+    polys = lambda d: sorted(map(str, d.select("key", vector.polygons_of("geometry").alias("p")).collect()))
+    assert polys(df) == polys(whole) and len(got) == 4000
+    assert tasks >= 8 and max(sizes) < 4000 / 4
+
+
+def test_small_and_empty_documents(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(_collection(1, "plain"))
+    (tmp_path / "b.geojson").write_text(_collection(0, "plain"))
+    (tmp_path / "c.geojson").write_text(_collection(3, "plain") + "\n" + _collection(2, "plain") + "\n")
+    props = T.StructType([T.StructField("key", T.LongType())])
+    assert sorted(r.key for r in vector.read_feature_collection_split(spark, str(tmp_path), props).collect()) == [0, 0, 0, 1, 1, 2]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "b.geojson").write_text(_collection(0, "plain"))
+    assert vector.read_feature_collection_split(spark, str(tmp_path / "none"), props).count() == 0
+
+
+def test_an_aborted_rewrite_leaves_the_old_result(spark, tmp_path):
+    from hydroframe.operators import chunks
+    path = str(tmp_path / "merged")
+    rows = spark.range(400).selectExpr("id", "cast(id % 4 as int) as chunk_id")
+    chunks.write_chunks(rows, path)
+    bad = rows.withColumn("id", F.when(F.col("id") == 399, F.raise_error(F.lit("stop"))).otherwise(F.col("id") + 1000).cast("bigint"))
+    for mode in ("overwrite", "chunks"):
+        with pytest.raises(Exception, match="stop"):
+            chunks.write_chunks(bad, path, mode)
+        back = chunks.read_chunks(spark, path)
+        assert back.count() == 400 and back.agg(F.max("id")).first()[0] == 399
+    assert [f for f in os.listdir(tmp_path) if f != "merged"] == []
+    chunks.write_chunks(rows.filter("chunk_id = 2").withColumn("id", F.col("id") + 5000), path, "chunks")  # one chunk anew
+    back = chunks.read_chunks(spark, path)
+    assert back.count() == 400 and back.filter("id >= 5000").select("chunk_id").distinct().collect() == [(2,)]
+    chunks.write_chunks(rows.filter("chunk_id < 2"), path)  # a whole rewrite drops chunks that are gone
+    assert sorted(r.chunk_id for r in chunks.read_chunks(spark, path).select("chunk_id").distinct().collect()) == [0, 1]
+
+
+def test_write_back_check_reads_footers_only(spark, tmp_path):
+    path = str(tmp_path / "cube")
+    spark.range(1000).selectExpr("cast(id as float) as temp", "if(id % 2 = 0, null, id) as n", "id div 500 as day").write.partitionBy("day").parquet(path)
+    chk = sinks.write_back_check(spark, path, ["temp", "n"])
+    row = chk.first()
+    assert (row.n_rows, row.min_temp, row.max_temp, row.min_n, row.max_n, row.columns) == (1000, 0.0, 999.0, 1, 999, "day,n,temp")
+    plan = chk._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(temp), MAX(temp), MIN(n), MAX(n)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
