@@ -1,7 +1,9 @@
 """Sharding by proportional stratified interleaving (operator 3), under the law ``rows``.
 
 Within each source, rows are ranked in a seeded shuffle; a row's fractional rank is
-(rank + 1/2) / rows of its source, so every source is spread evenly over 0 to 1. All rows are
+(rank + u) / rows of its source, where u from 0 to 1 is a seeded number of the source: its phase.
+So every source is spread evenly, and many small sources, even of a row each, are spread over all
+shards like one large one instead of meeting in the middle. All rows are
 sorted by fractional rank and cut into runs whose row counts differ by one at most. A shard
 then holds each source's share of the rows to within a row or two.
 
@@ -9,7 +11,7 @@ A hot source is ranked in hash buckets of bounded size; only (id, source, size,
 rows are shuffled, never texts.
 
 Edge cases: a null text has size 1 and the checksum of no bytes; a null source is a stratum of
-its own; repeated rows are separate rows; fewer rows than shards leave shards empty; an empty
+its own; texts of any length are measured whole; repeated rows are separate rows; fewer rows than shards leave shards empty; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -34,7 +36,8 @@ def stratified_shards(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEE
     n = docs.count()
     bits = rank_bits(n)
     ranked = rank_in_group(rows, "source", "_key", ["doc_id", "text_crc32", "size"], bits)
-    ranked = ranked.withColumn("_fraction", (F.col("rank") + 0.5) / F.col("group_rows"))
+    phase = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("phase"), "source"), 11) / float(1 << 53)
+    ranked = ranked.withColumn("_fraction", (F.col("rank") + phase) / F.col("group_rows"))
     placed = rank_by_fraction(ranked, "_fraction", ["source", "_key", "doc_id", "text_crc32", "size"],
                               max(256, 1 << bits))
     base, more = divmod(n, n_shards)  # the first `more` shards take one row more

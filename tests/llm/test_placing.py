@@ -46,6 +46,14 @@ def test_shards_of_the_table(spark):
     check_shards(rows, [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_small_sources_reach_every_shard_alike(spark):
+    rows = [(i, f"t{i}", "en", "big") for i in range(8000)] + [(10_000 + i, f"u{i}", "en", f"one{i}") for i in range(8000)]
+    got = stratified_shards.stratified_shards(edge_docs(spark, rows)).collect()
+    per = Counter(r["shard"] for r in got if r["source"] != "big")
+    assert set(Counter(r["shard"] for r in got).values()) == {1000}
+    assert sorted(per) == list(range(16)) and all(abs(n - 500) <= 50 for n in per.values())
+
+
 def test_shards_edges(spark):
     rows = stratified_shards.stratified_shards(edge_docs(spark)).collect()
     check_shards(rows, [(d, t) for d, t, *_ in EDGE_TEXTS])
@@ -114,6 +122,35 @@ def test_mix_order_keeps_rows_and_columns(spark):
     assert Counter(map(tuple, out.collect())) == Counter(map(tuple, docs.collect()))
 
 
+def test_mix_order_is_the_order_of_positions(spark):
+    docs = documents(spark, SF_SMALL)
+    for range_rows in (3, 40, 10**6):
+        out = pfair_mix.in_mix_order(docs, {"src0": 4, "src1": 3}, block_rows=3, range_rows=range_rows)
+        got = [r["doc_id"] for r in out.collect()]
+        place = {r["doc_id"]: r["mix_position"] for r in pfair_mix.pfair_mix(docs, {"src0": 4, "src1": 3}, block_rows=3).collect()}
+        assert [place[d] for d in got] == list(range(len(got)))
+    rows = [(i % 50, "same text" if i % 3 else f"text {i}", "en", f"s{i % 4}") for i in range(200)]  # repeated rows at the cuts
+    out = pfair_mix.in_mix_order(edge_docs(spark, rows), {"s0": 2}, block_rows=2, range_rows=5)
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, edge_docs(spark, rows).collect()))
+    assert pfair_mix.in_mix_order(empty_docs(spark)).count() == 0
+
+
+def test_many_sources_without_a_target_are_one_stream(spark):
+    rows = [(i, f"text {i}", "en", "big" if i % 3 == 0 else f"site{i}.org") for i in range(600)]
+    mix = sorted(pfair_mix.pfair_mix(edge_docs(spark, rows), {"big": 3}, block_rows=2, max_streams=8).collect(), key=lambda r: r["mix_position"])
+    assert [r["mix_position"] for r in mix] == list(range(600)) and len({r["source"] for r in mix}) == 401
+    slots = {r["slot"]: r["source"] == "big" for r in mix}
+    for t in range(1, 201):  # half of the parts, while both streams last
+        assert abs(sum(slots[s] for s in range(t)) - t / 2) < 1
+
+
+def test_whole_rows_are_moved_once(spark):
+    from hydroframe.plans.report import final_plan
+    plan = final_plan(pfair_mix.in_mix_order(documents(spark, SF_SMALL), range_rows=20))
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 1
+    assert all("row#" not in line for line in plan.splitlines() if "Exchange" in line and "hashpartitioning" in line)
+
+
 # --- 7: exact de-duplication -------------------------------------------------------------------
 
 def test_exact_dedup_matches_sql(spark):
