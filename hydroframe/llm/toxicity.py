@@ -21,7 +21,8 @@ Model sizes are bounded, so the model travels with the tasks; scoring is one pas
 texts without a shuffle, counting terms moves the labelled rows only.
 
 Edge cases: a null text counts as empty and gets the floor; without labels every row gets it;
-labels of a repeated id count as 1 if any is; repeated rows are separate rows; an empty table
+labels of a repeated id count as 1 if any is; texts of any length are read whole, a long stretch
+in parts and overlapping pieces; columns of any other name do not matter; repeated rows are separate rows; an empty table
 gives an empty result; other columns are ignored, and kept by :func:`drop_toxic`.
 """
 
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from hydroframe.llm.common import ready_workers, route, row_and, written
 
 HELD_OUT = (5, 0)  # ids whose CRC-32 leaves 0 modulo 5 are never learnt from
-MAX_TERMS = 20_000
+MAX_TERMS = 500_000  # of the lexicon: the model's size, tens of MB in a worker
 MIN_SHARE = 1e-4    # of the occurrences of a gram's rarest letter; rarer grams are backed off
 MAX_WORDS = 300_000  # different words that a task holds at a time
 MIN_ROWS = 5        # rows with label 1 that a term needs
@@ -64,6 +65,7 @@ SPELT = re.compile(rf"(?<![^\s\"\[{{]){_LETTER}(?:\s+{_LETTER}){{2,}}(?!\w)")
 INSIDE = re.compile(r"[^\W\d_].*[\W\d_].*[^\W\d_]|^[\d@$!|+(€£¡*]+[^\W\d_]{2}|[^\W\d_]{2}[\d@$]+$", re.S)
 SYLLABLE = re.compile("[\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uac00-\ud7a3\uf900-\ufaff\U00020000-\U0003ffff]")
 MAX_STRETCH = 40  # longer stretches are keys, numbers or links: they are decoded in pieces
+SEPARATORS = re.compile(r"[-_/.,:;=&?%\\~]+")
 
 # Channel costs, in nats: a look-alike for its letter, a dropped separator, a dropped look-alike,
 # a dropped letter of a run of three or more.
@@ -161,7 +163,15 @@ def stretches(text: str, words: set[str]) -> set[str]:
             core = core.rstrip("$") if core.endswith("$$$") else core
             if not core.isalpha() and INSIDE.search(core):
                 found.add(core)
-    return {s[i:i + MAX_STRETCH] for s in found for i in range(0, len(s), MAX_STRETCH)}
+    long = {s for s in found if len(s) > MAX_STRETCH}
+    return found.difference(long).union(*map(pieces, long))
+
+
+def pieces(stretch: str) -> set[str]:
+    """What a long stretch is decoded as: its parts between separators, and of parts that are
+    long themselves, pieces that overlap by MAX_STRETCH, so that no word of that length is cut."""
+    parts = {x for x in SEPARATORS.split(stretch) if x and not x.isdigit()}
+    return {x[i:i + 2 * MAX_STRETCH] for x in parts for i in range(0, max(1, len(x) - MAX_STRETCH), MAX_STRETCH)}
 
 
 def spelt(text: str) -> set[str]:
@@ -194,8 +204,7 @@ def _grams_of(tokens: Counter[str]) -> pa.RecordBatch:
     words: Counter[str] = Counter()
     for token, n in tokens.items():
         for w in (token,) if token.isalpha() else WORDS.findall(token):
-            if len(w) <= MAX_STRETCH:
-                words[w] += n
+            words[w] += n
     letters = np.frombuffer("".join(f"^^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.int64)
     times = np.repeat(np.fromiter(words.values(), np.int64, len(words)),
                       np.fromiter((len(w) + 3 for w in words), np.int64, len(words)))

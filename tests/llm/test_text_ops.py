@@ -298,3 +298,12 @@ def test_places_and_distance_by_hand():
     assert sorted(g for g in grams.tolist() if g < 1 << 21) == one
     assert places[grams.tolist().index(ord("a"))] < places[grams.tolist().index(ord("b"))]
     assert langid.mean_places(__import__("numpy").array([5, 3, 3, 1])).tolist() == [0, 1.5, 1.5, 3]
+
+
+def test_long_stretches_are_not_cut_inside_words():
+    token = "x" * 20 + "-" + "ab1" * 15 + "-1diot-here-" + "z9" * 30
+    got = toxicity.stretches(token, set())
+    assert "1diot" in got
+    long = "q7" * 17 + "stup1d" + "q7" * 60
+    assert any("stup1d" in p for p in toxicity.stretches(long, set()))
+    assert toxicity.stretches("st-up1d", set()) == {"st-up1d"}
