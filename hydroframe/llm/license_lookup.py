@@ -8,7 +8,8 @@ beside it. The known texts are ``LICENCE_TEXTS``, those of ``LICENCE_DIGESTS`` a
 their table follows no input, so it is broadcast; documents are never shuffled.
 
 Edge cases: a null text counts as empty, which matches nothing; a text of copyright lines only
-is empty too; repeated rows are separate rows; an empty table gives an empty result; other
+is empty too; texts of any length are hashed whole; of licences with one canonical text the first
+by name counts; columns of any other name do not matter; repeated rows are separate rows; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -54,7 +55,8 @@ GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWE
 LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
 THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 LICENCE_TEXTS: dict[str, list[str]] = {
-    "MIT": [f"MIT License\n{_MIT_GRANT}, subject to the following conditions:\n{_MIT_TERMS}\n{_MIT_WARRANTY}",
+    "MIT": [*(f"{title}\n{_MIT_GRANT}, subject to the following conditions:\n{_MIT_TERMS}\n{_MIT_WARRANTY}"
+              for title in ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)")),
             f"{_MIT_GRANT}, subject to the following conditions:\n{_MIT_TERMS}\n{_MIT_WARRANTY}",
             "Released under the MIT License.", "Licensed under the MIT License."],
     "MIT-0": [f"MIT No Attribution\n{_MIT_GRANT}.\n{_MIT_WARRANTY}", f"{_MIT_GRANT}.\n{_MIT_WARRANTY}"],
@@ -91,14 +93,15 @@ LICENCE_DIGESTS: dict[str, str] = {
     "MPL-2.0": "12274540925f246f7614a52b7ebddfbe0463ff1ab194088c554c73552c45582d",
 }
 # Lines that only name a right holder, and spellings that count as the same word.
-COPYRIGHT_LINE = (r"^[ \t#*/;-]*((copyright|COPYRIGHT|Copyright)[ \t]*(\([cC]\)|©|[0-9][0-9][0-9][0-9]|<|\[|by )"
+COPYRIGHT_LINE = (r"^[ \t#*/;-]*((copyright|COPYRIGHT|Copyright)[ \t ]*(\([cC]\)|©|[0-9][0-9][0-9][0-9]|<|\[|by )"
+                  r"|(Copyright|COPYRIGHT)[ \t ]+[A-Z][^\n.;:]*,[ \t ]*[0-9][0-9][0-9][0-9](-[0-9][0-9][0-9][0-9])?\.?[ \t]*$"
                   r"|\([cC]\)[ \t]*[0-9][0-9][0-9][0-9]|©|[aA]ll [rR]ights [rR]eserved)[^\n]*$")
-SPELLINGS = [(r"\blicenc(e|ed|es|ees?|ing|or)\b", r"licens\1"), (r"\bsub licens", "sublicens"),
+SPELLINGS = [(r"\b(sub)?licenc(e|ed|es|ees?|ing|or)\b", r"\1licens\2"), (r"\bsub licens", "sublicens"),
              (r"\bnon infring", "noninfring"), (r"\b(fav|behavi|hon|lab|col)our", r"\1or"),
              (r"\b(organ|author|util|recogn|min?im)is(e|ed|es|ing|ation|ations)\b", r"\1iz\2"),
              (r"\backnowledgement", "acknowledgment"), (r"\bcopyright owner", "copyright holder"),
              (r"\bwhilst\b", "while"), (r"\bhttps\b", "http")]
-NOTICE_HINT = "licen"  # every known one-line notice holds it, so other lines need no digest
+START = "[A-Za-z0-9][A-Za-z0-9]?"  # the first letters of a line, which no spelling changes
 
 
 def canonical(text: Column) -> Column:
@@ -110,14 +113,29 @@ def canonical(text: Column) -> Column:
     return out
 
 
-def known_digests(spark: SparkSession, licences: DataFrame | None = None) -> DataFrame:
-    """license_id and canonical digest of every known text, and of ``licences`` (license_id, text)."""
+def _known_texts(spark: SparkSession, licences: DataFrame | None) -> DataFrame:
+    """license_id and canonical form of the texts that are known as such."""
     rows = [(k, t) for k, texts in sorted(LICENCE_TEXTS.items()) for t in texts]
     whole = F.inline(F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(t).alias("t")) for k, t in rows]))
     texts = spark.range(1).select(whole).select("license_id", canonical(F.col("t")).alias("t"))
     if licences is not None:
         texts = texts.unionByName(licences.select("license_id", canonical(F.col("text")).alias("t")))
-    digests = texts.where("license_id is not null and t != ''").select("license_id", F.sha2("t", 256).alias("digest"))
+    return texts.where("license_id is not null and t != ''")
+
+
+def known_starts(spark: SparkSession, licences: DataFrame | None = None) -> list[str]:
+    """The first letters of all known texts: at most 36 * 37 pairs of letters and digits.
+
+    The texts known by digest only are full licences of many lines; no single line is one of them
+    but for a text without line feeds, which is looked up as an entire text.
+    """
+    starts = _known_texts(spark, licences).select(F.lower(F.regexp_extract("t", START, 0)).alias("s"))
+    return sorted(r["s"] for r in starts.distinct().collect())
+
+
+def known_digests(spark: SparkSession, licences: DataFrame | None = None) -> DataFrame:
+    """license_id and canonical digest of every known text, and of ``licences`` (license_id, text)."""
+    digests = _known_texts(spark, licences).select("license_id", F.sha2("t", 256).alias("digest"))
     full = F.inline(F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(d).alias("digest"))
                               for k, d in LICENCE_DIGESTS.items()]))
     return (digests.unionByName(spark.range(1).select(full))
@@ -134,15 +152,13 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     known = known_digests(docs.sparkSession, licences)
     table = F.create_map(*[F.lit(x) for r in known.collect() for x in (r["digest"], r["license_id"])])
-    hint = NOTICE_HINT
-    if licences is not None and not licences.where(~F.lower("text").contains(NOTICE_HINT)).isEmpty():
-        hint = ""  # a given notice may lack the hint, so every line is looked up
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    hinted = F.filter(F.split("text", "\n"), lambda x: F.lower(x).contains(hint))
-    found = F.transform(hinted, lambda x: F.try_element_at(table, F.sha2(canonical(x), 256)))
+    # A line can be a known text only if it starts as one does; other lines need no digest.
+    starts = F.array(*[F.lit(x) for x in known_starts(docs.sparkSession, licences)])
+    lines = F.filter(F.split("text", "\n"), lambda x: F.array_contains(starts, F.lower(F.regexp_extract(x, START, 0))))
+    found = F.transform(lines, lambda x: F.try_element_at(table, F.sha2(canonical(x), 256)))
     notices = F.array_join(F.array_sort(F.array_distinct(F.array_compact(found))), ",")
-    scanned = own.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"),
-                         F.when(F.lower("text").contains(hint), notices).otherwise("").alias("notice_ids"))
+    scanned = own.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"), notices.alias("notice_ids"))
     return (scanned.join(F.broadcast(known.withColumnRenamed("digest", "canonical_sha256")), "canonical_sha256", "left")
             .select("doc_id", "canonical_sha256", "license_id", "notice_ids"))
 
@@ -162,10 +178,12 @@ def _canonical_sql(expr: str) -> str:
 
 def oracle() -> str:
     texts = ", ".join(f"({_sql_text(k)}, {_sql_text(t)})" for k, ts in sorted(LICENCE_TEXTS.items()) for t in ts)
+    digests = ", ".join(f"({_sql_text(k)}, {_sql_text(d)})" for k, d in LICENCE_DIGESTS.items())
     return f"""
 WITH known AS (
-  SELECT sha256({_canonical_sql('t')}) AS digest, min(license_id) AS license_id
-  FROM (VALUES {texts}) v(license_id, t) GROUP BY 1),
+  SELECT digest, min(license_id) AS license_id
+  FROM (SELECT license_id, sha256({_canonical_sql('t')}) AS digest FROM (VALUES {texts}) v(license_id, t)
+    UNION ALL SELECT * FROM (VALUES {digests}) w(license_id, digest)) GROUP BY 1),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
 notices AS (
