@@ -1,7 +1,9 @@
 """Main text of HTML pages by tree scoring (operator 5).
 
 A page is parsed into a tree (implied and missing end tags included). Elements that are not
-article text by tag, role, class or id are cut off. Every block with text of its own passes
+article text by tag, role, class or id are cut off. A name says less than a tag: words after "has-",
+"no-" and the like do not count, an ambiguous name ("legal", "notice") does not cut the only element
+with paragraphs, and a form that wraps paragraphs of a page is a container like others. Every block with text of its own passes
 points for its length and commas to its ancestors, halved and thinned with the distance; an
 ancestor's points are discounted by its link density. The best container is widened to the
 article element around it, else to the outermost main element or element named as content, of
@@ -9,8 +11,9 @@ which every block is kept that is not mostly links. Without either, its siblings
 points of their own are kept. The text is read off block by block.
 
 One pass over whole pages, without a shuffle. Edge cases: null or empty html gives an empty
-text; html without tags is one block; unclosed comments, tags and elements run to the end;
-very deep pages are read without recursion; repeated rows are separate rows; an empty table
+text; white space is every blank that Unicode names; of equally good containers the first on the
+page counts; pages of any length are read whole; html without tags is one block; unclosed comments, tags and elements run to the end;
+very deep pages are read without recursion; columns of any other name do not matter; repeated rows are separate rows; an empty table
 gives an empty result.
 """
 
@@ -46,6 +49,13 @@ consent gdpr notice notices notification alert newsletter subscribe subscription
 overlay menu menus nav navbar navigation breadcrumb breadcrumbs footer foot masthead share sharing
 social related recommended recommendations recirc outbrain taboola widget widgets toolbar pagination pager
 login search skip copyright legal disclaimer tags hidden""".split())
+# Names of CUT_WORDS that articles bear as well, and prefixes after which a name tells what an element
+# has or has not, not what it is.
+UNSURE_WORDS = frozenset("""legal copyright disclaimer notice notices notification alert widget widgets modal overlay popup
+social search promo promotion sponsored related recommended skip tags share sharing""".split())
+BESIDE = re.compile(r"^(?:has|have|no|not|non|with|without|is|hide|show|below|above|js|can|enable|disable)[-_]")
+PARAGRAPH = 80       # characters of a block that reads like a paragraph
+FEW_PARAGRAPHS = 3   # so many make a wrapping form, or the only named element with text, a container
 HEAD_WORDS = frozenset(["header", "head", "topbar", "banner"])
 ARTICLE_WORDS = frozenset("article post story entry content main body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -54,36 +64,40 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?
 |<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)
 |<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S | re.X)
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "named", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "cut", "unsure", "named", "points", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False, named: bool = False):
-        self.tag, self.parent, self.cut, self.named = tag, parent, cut, named
+    def __init__(self, tag: str, parent: Node | None, cut: bool = False, named: bool = False, unsure: bool = False):
+        self.tag, self.parent, self.cut, self.named, self.unsure = tag, parent, cut, named, unsure
         self.children: list = []
         self.points = 0.0
         self.chars = self.linked = 0
 
 
-def _marks(tag: str, attrs: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is cut off, and whether its name says that it holds the article."""
-    if tag in CUT_TAGS or (tag == "header" and not inside_article):
-        return True, False
+def _marks(tag: str, attrs: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is cut off, whether its name says that it holds the article, and whether
+    the cut is unsure (see ``uncut``)."""
+    if tag in CUT_TAGS and tag != "form" or (tag == "header" and not inside_article):
+        return True, False, False
     if not attrs:
-        return False, tag in ("article", "main")
+        return tag == "form", tag in ("article", "main"), tag == "form"
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)}
     role = found.get("role", "").lower()
-    words = set(WORD.findall(CAMEL.sub(r"\1 \2", found.get("class", "") + " " + found.get("id", "")).lower()))
+    names = CAMEL.sub(r"\1 \2", found.get("class", "") + " " + found.get("id", "")).lower().split()
+    words = set(WORD.findall(" ".join(n for n in names if not BESIDE.match(n))))
     shown = not ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
                  or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I))
     if tag in ("html", "body", "article", "main"):
-        return not shown and tag in ("article", "main"), tag in ("article", "main")
+        return not shown and tag in ("article", "main"), tag in ("article", "main"), False
     heads = words & HEAD_WORDS and not inside_article and tag not in ("h1", "h2", "h3")
-    cut = not shown or role in CUT_ROLES or bool(words & CUT_WORDS) or bool(heads)
-    return cut, role in ("main", "article") or bool(words & ARTICLE_WORDS) and tag in ("div", "section")
+    sure = not shown or role in CUT_ROLES or bool(heads) or bool(words & CUT_WORDS - UNSURE_WORDS)
+    cut = sure or tag == "form" or bool(words & CUT_WORDS)
+    return cut, role in ("main", "article") or bool(words & ARTICLE_WORDS) and tag in ("div", "section"), cut and not sure
 
 
 def parse(page: str) -> Node:
@@ -129,13 +143,12 @@ def parse(page: str) -> Node:
                 while node is not up.parent:
                     article -= node.tag in ("article", "main")
                     node = node.parent
-        cut, named = _marks(tag, attrs, article > 0)
-        child = Node(tag, node, cut, named)
+        child = Node(tag, node, *_marks(tag, attrs, article > 0))
         node.children.append(child)
         if tag in RAW:
             close = re.compile(f"</{tag}[^>]*(?:>|\\Z)", re.I).search(page, at)
             at = close.end() if close else end
-        elif tag not in VOID and not attrs.rstrip().endswith("/"):
+        elif tag not in VOID and not SELF_CLOSED.search(attrs):  # a slash may end an unquoted value
             article += tag in ("article", "main")
             node = child
     return root
@@ -190,6 +203,36 @@ def _near(node: Node, most: int = 6):
         up, k = up.parent, k + 1
 
 
+def _paragraphs(top: Node) -> int:
+    return sum(len(text) >= PARAGRAPH and linked < 0.5 * len(text) for text, _, linked in blocks(top))
+
+
+def uncut(root: Node) -> None:
+    """Take back unsure cuts: of forms that hold paragraphs, and, while the rest of the page
+    holds none, of the named element that holds most of them (of equal ones the first)."""
+    unsure, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        for child in reversed(node.children):
+            if isinstance(child, Node):
+                if child.unsure:
+                    unsure.append(child)
+                if not child.cut or child.unsure:
+                    stack.append(child)
+    for node in unsure:
+        if node.tag == "form" and _paragraphs(node) >= FEW_PARAGRAPHS:
+            node.cut = False
+    while not _paragraphs(root):
+        held = [(_paragraphs(node), -i) for i, node in enumerate(unsure) if node.cut]
+        most, at = max(held, default=(0, 0))
+        if most < FEW_PARAGRAPHS:
+            return
+        node = unsure[-at]
+        while node is not None:  # it counts once nothing unsure around it is cut
+            node.cut = node.cut and not node.unsure
+            node = node.parent
+
+
 def best_container(root: Node) -> Node:
     found = blocks(root)
     scored: dict[int, Node] = {}
@@ -241,6 +284,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    uncut(root)
     best = best_container(root)
     around = best.parent
     if around is None or best.tag == "article":

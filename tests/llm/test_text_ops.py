@@ -117,9 +117,19 @@ def test_licences_of_the_caller_are_known(spark):
         ("House-1", ""), (None, "House-2"), (None, ""), (None, "")]
 
 
-def test_every_notice_of_one_line_holds_the_hint():
-    for texts in license_lookup.LICENCE_TEXTS.values():
-        assert all(license_lookup.NOTICE_HINT in t.lower() for t in texts if "\n" not in t)
+def test_known_texts_on_one_line_are_notices(spark):
+    one = [(k, t.replace("\n", " ")) for k, texts in license_lookup.LICENCE_TEXTS.items() for t in texts]
+    spaced = [(k, "  * " + t.replace("license", "licence").replace("while", "whilst")) for k, t in one]
+    docs = docs_of(spark, [f"before\n{t}\nafter" for _, t in one + spaced])
+    rows = {r["doc_id"]: r["notice_ids"] for r in license_lookup.scan_licences(docs).collect()}
+    assert [rows[i] for i in range(len(rows))] == [k for k, _ in one + spaced]
+
+
+def test_right_holder_lines_do_not_matter(spark):
+    mit = license_lookup.LICENCE_TEXTS["MIT"][0].split("\n", 1)[1]
+    heads = ["The MIT License (MIT)\n\n", "MIT License\nCopyright Some One, 2020.\n", "Copyright\u00a0(c) 2020 X\n", "Copyright Some One, 2019-2021\n"]
+    rows = license_lookup.scan_licences(docs_of(spark, [h + mit for h in heads])).collect()
+    assert {r["license_id"] for r in rows} == {"MIT"}
 
 
 # --- 5: HTML -----------------------------------------------------------------------------------
@@ -307,3 +317,32 @@ def test_long_stretches_are_not_cut_inside_words():
     long = "q7" * 17 + "stup1d" + "q7" * 60
     assert any("stup1d" in p for p in toxicity.stretches(long, set()))
     assert toxicity.stretches("st-up1d", set()) == {"st-up1d"}
+
+
+PARAS = [f"Paragraph {i}, which is long enough to be read, has commas, words, and more words, and ends after some eighty characters." for i in range(5)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAS)
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id=content class=has-sidebar>{BODY}</div>", f"<div class='article no-ads'>{BODY}</div>", f"<div class='post with-comments'>{BODY}</div>",
+    f"<section class=legal>{BODY}</section>", f"<form action=/x><div><p>Log in</p></div><div class=content>{BODY}</div></form>",
+    f"<div class=page><div class=notice>{BODY}</div><div class=comments><p>{PARAS[0]}</p></div></div>",
+    f"<form><nav><a href=/>{PARAS[0]}</a></nav><section class=alert>{BODY}</section></form>"])
+def test_names_do_not_cut_the_article(page):
+    for html in (page, f"<html><body><nav><a href=/a/>Home</a></nav>{page}<footer>foot</footer></body></html>"):
+        assert html_tree.main_text(html) == "\n".join(PARAS)
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=comments>{BODY}</div>", f"<div class='cookie notice'>{BODY}</div>", f"<div class=sidebar>{BODY}</div>",
+    "<form><p>Your name, please.</p><p>Your address, please.</p></form>", f"<div class=notice><p>{PARAS[0]}</p></div>"])
+def test_what_stays_cut(page):
+    assert html_tree.main_text(page) == ""
+    assert html_tree.main_text(f"<article>{BODY}</article>{page}") == "\n".join(PARAS)
+
+
+def test_slashes_that_end_unquoted_values():
+    assert html_tree.main_text(f"<div><p><a href=/x/>link</a> {PARAS[0]}</p><div data-u=/a/><p>{PARAS[1]}</p></div></div>") == \
+        f"link {PARAS[0]}\n{PARAS[1]}"
+    long = f"<article>{BODY * 4000}</article>"
+    assert html_tree.main_text(long) == "\n".join(PARAS * 4000)
