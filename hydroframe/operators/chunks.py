@@ -103,6 +103,30 @@ def read_chunks(spark: SparkSession, base: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(base)
 
 
+def write_by_month(df: DataFrame, path: str, time_col: str = "time") -> None:
+    """A12 + K4 sink: rows partitioned by calendar month, the unit that chunks are made of."""
+    tagged = df.withColumn("month", F.to_date(F.trunc(F.to_date(time_col), "MM")))
+    tagged.hint("rebalance", "month").write.partitionBy("month").option("compression", "zstd").parquet(path)
+
+
+def chunk_months(chunk_rows: DataFrame) -> DataFrame:
+    """The months of chunks (rows of ``chunk_table``): (chunk_id, chunk_start, chunk_end, month)."""
+    months = F.sequence(F.trunc("chunk_start", "MM"), F.trunc("chunk_end", "MM"), F.expr("INTERVAL 1 MONTH"))
+    return chunk_rows.select("chunk_id", "chunk_start", "chunk_end", F.explode(months).alias("month"))
+
+
+def rows_of_chunks(cube: DataFrame, chunk_rows: DataFrame, time_col: str = "time") -> DataFrame:
+    """A12 + K4: the rows of some chunks of a month-partitioned cube, with their chunk id.
+
+    The months of the chunks reach the scan when the query runs (dynamic partition pruning), so
+    only their folders are listed and read. The months side is bounded by the period: broadcast.
+    """
+    day = F.to_date(F.col(time_col))
+    return (cube.join(F.broadcast(chunk_months(chunk_rows)), "month")
+            .filter((day >= F.col("chunk_start")) & (day <= F.col("chunk_end")))
+            .drop("chunk_start", "chunk_end", "month"))
+
+
 def concat_chunks(parts: list[DataFrame]) -> DataFrame:
     """Concatenate chunk cubes along time, no dedupe."""
     return reduce(lambda a, b: a.unionByName(b), parts)

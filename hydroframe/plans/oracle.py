@@ -371,6 +371,14 @@ c AS (SELECT CAST(k AS INTEGER) AS chunk_id,
 SELECT chunk_id, chunk_start, chunk_end, strftime(chunk_start, '%Y%m%d') || '_' || strftime(chunk_end, '%Y%m%d') AS chunk_label FROM c"""
 
 
+def chunk_rows_pruned_sql() -> str:
+    return f"""WITH {DISCHARGE},
+b AS (SELECT CAST(min(time) AS DATE) AS s FROM discharge),
+t AS (SELECT d.*, CAST(floor(((year(d.time) - year(b.s)) * 12 + month(d.time) - month(b.s)) / 3) AS INTEGER) AS chunk_id
+  FROM discharge d, b)
+SELECT * FROM t WHERE chunk_id % 4 = 1"""
+
+
 def chunk_rollup_sql() -> str:
     return f"""WITH {DISCHARGE},
 b AS (SELECT CAST(min(time) AS DATE) AS s FROM discharge),

@@ -535,6 +535,16 @@ def q_chunk_overwrite(spark, sf):
     return chunks.chunk_rollup(chunks.read_chunks(spark, path, tagged.schema))
 
 
+@register("chunk_rows_pruned", O.chunk_rows_pruned_sql)
+def q_chunk_rows_pruned(spark, sf):
+    """A12 + K4: the discharge written by month; of every fourth chunk the rows are read back, from its months' folders only."""
+    dis = fx.discharge(spark, sf)
+    path = sinks.scratch_path(spark, f"months-{uuid.uuid4().hex}")
+    chunks.write_by_month(dis, path)
+    wanted = chunks.chunk_table(spark, chunks.data_bounds(dis)).filter(F.col("chunk_id") % 4 == 1)
+    return chunks.rows_of_chunks(spark.read.parquet(path), wanted)
+
+
 # --- catalog, lookups and small operators on the tables ----------------------------------
 
 USER_CATALOG = """

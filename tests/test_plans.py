@@ -47,4 +47,13 @@ def test_every_query_reads_data(plans):
     # lineage with a reliable checkpoint read it back as an ExistingRDD scan of data derived
     # from the tables (their oracle comparisons show the values come from the tables).
     for name, plan in plans.items():
-        assert "FileScan" in plan or "Scan ExistingRDD" in plan, name
+        assert "FileScan" in plan or "Scan ExistingRDD" in plan or "BatchScan parquet" in plan, name
+
+
+def test_chunk_rows_prune_the_months_at_run_time(plans):
+    scans = [ln for ln in plans["chunk_rows_pruned"].splitlines() if "PartitionFilters" in ln and "month" in ln]
+    assert any("dynamicpruning" in ln for ln in scans)
+
+
+def test_write_check_answers_from_footers(plans):
+    assert "PushedAggregation: [COUNT(*)" in plans["forcing_write_check"]
