@@ -17,7 +17,7 @@ from hydroframe.functions.geometry import point_in_extent
 from hydroframe.functions.scalar import is_present, round_half_even, to_number
 from hydroframe.functions.units import apply_rules_join
 from hydroframe.params import Extent, JobParams
-from hydroframe.session import ensure_checkpoint_dir
+from hydroframe.session import ensure_checkpoint_dir, stored
 from hydroframe.sources.catalog import (CLIMATE_BANDS, CLIMATE_UNITS, CLIMATE_VARIABLES,
                                         GRAVITY, catalog_rules, rules_for, time_shift_seconds)
 
@@ -220,24 +220,37 @@ def orography_hourly(geo: DataFrame, params: JobParams) -> DataFrame:
     return resolve_duplicates(rows, CUBE_KEYS).withColumnRenamed("value", "elevtn")
 
 
+_BITMAP_BITS = 15  # positions of one bitmap of Spark's bitmap functions: 32,768
+
+
 def cube_shape(long_df: DataFrame) -> DataFrame:
-    """D13 (+D2): per-axis counts, dense size and observed cells, in one aggregate.
+    """D13 (+D2): per-axis counts, dense size, observed cells and points.
 
-    The distinct ``(time, lat, lon)`` points are taken first (one partial-aggregated
-    exchange); the remaining distinct counts run over those points, so Spark's expansion for
-    several distinct aggregates copies points, not every observation row.
+    Points are counted without moving them. The axes are small tables; a row's positions on
+    them make one number, its place in the dense cube, and every task sets bits of bitmaps of
+    32,768 places, which are merged by ``or`` and counted. What is shuffled are the bitmaps, at
+    most a bit per place of the dense cube and task, however often a point repeats. Rows with a
+    missing coordinate are no points.
     """
-    pts = long_df.select("time", "lat", "lon").distinct()
-    agg = pts.agg(
-        F.count_distinct("time").alias("n_time"),
-        F.count_distinct("lat").alias("n_lat"),
-        F.count_distinct("lon").alias("n_lon"),
-        F.count_distinct("lat", "lon").alias("n_cells_observed"),
-        F.count("*").alias("n_points_observed"),
-        F.min("time").alias("first_time"),
-        F.max("time").alias("last_time"),
-    )
-    return agg.withColumn("n_points_dense", F.col("n_time") * F.col("n_lat") * F.col("n_lon"))
+    axes = stored(axis_table(long_df), "axes")
+    size = axes.agg(*[F.count(a).alias(f"n_{a}") for a in CUBE_KEYS], F.min("time").alias("first_time"),
+                    F.max("time").alias("last_time"))
+    n = size.first()
+    rows = long_df.select(*CUBE_KEYS)
+    for a in CUBE_KEYS:
+        rows = rows.join(_indexed_axis(axes.filter((F.col("axis") == a) & F.col(a).isNotNull()).select(a), a), a)
+    cell = F.col("lat_i") * F.lit(n["n_lon"]).cast("bigint") + F.col("lon_i")
+    point = F.col("time_i") * F.lit(n["n_lat"] * n["n_lon"]).cast("bigint") + cell
+    places = rows.select(F.explode(F.array(F.struct(F.lit("cells").alias("kind"), cell.alias("at")),
+                                           F.struct(F.lit("points").alias("kind"), point.alias("at")))).alias("p")).select("p.*")
+    maps = (places.groupBy("kind", F.shiftright("at", _BITMAP_BITS).alias("part"))
+            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND((1 << _BITMAP_BITS) - 1)).alias("map")))
+    found = maps.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.bitmap_count("map"))), F.lit(0)).alias(f"n_{k}_observed")
+                       for k in ("cells", "points")])
+    return found.select(*[F.lit(n[f"n_{a}"]).cast("bigint").alias(f"n_{a}") for a in CUBE_KEYS], "n_cells_observed", "n_points_observed",
+                        F.lit(n["first_time"]).cast(size.schema["first_time"].dataType).alias("first_time"),
+                        F.lit(n["last_time"]).cast(size.schema["last_time"].dataType).alias("last_time"),
+                        F.lit(n["n_time"] * n["n_lat"] * n["n_lon"]).cast("bigint").alias("n_points_dense"))
 
 
 def _indexed_axis(axis: DataFrame, name: str) -> DataFrame:

@@ -725,3 +725,17 @@ def test_time_shift_in_seconds_moves_times_before_days(spark):
     for text, want in (("{time: -3600}", -3600.0), ("{time: 1800}", 1800.0), ("{temp: 1}", 0.0)):
         rules = spark.createDataFrame(catalog_rule_rows_of(f"era5: {{unit_add: {text}}}"), RULES_SCHEMA)
         assert time_shift_seconds(rules, "era5") == want
+
+
+def test_cube_shape_of_repeated_and_sparse_points(spark):
+    rnd = random.Random(8)
+    t0 = dt.datetime(2024, 1, 1)
+    pts = [(t0 + dt.timedelta(hours=rnd.randrange(4000)), rnd.randrange(40) / 4, rnd.randrange(30) / 4) for _ in range(3000)]
+    pts += [pts[0]] * 1500  # a third of the rows is one point
+    df = spark.createDataFrame([*pts, (t0, None, 1.0)], "time timestamp_ntz, lat double, lon double").repartition(4)
+    r = climate.cube_shape(df).first()
+    assert (r.n_points_observed, r.n_cells_observed) == (len(set(pts)), len({p[1:] for p in pts}))
+    assert r.n_points_dense == r.n_time * r.n_lat * r.n_lon and r.n_lat == len({p[1] for p in pts})
+    assert r.first_time == min([p[0] for p in pts] + [t0]) and r.last_time == max(p[0] for p in pts)
+    empty = climate.cube_shape(df.limit(0)).first()
+    assert (empty.n_time, empty.n_points_observed, empty.first_time) == (0, 0, None)

@@ -57,3 +57,8 @@ def test_chunk_rows_prune_the_months_at_run_time(plans):
 
 def test_write_check_answers_from_footers(plans):
     assert "PushedAggregation: [COUNT(*)" in plans["forcing_write_check"]
+
+
+def test_cube_shape_moves_bitmaps_not_points(plans):
+    exchanges = [ln for ln in plans["climate_cube_shape"].splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchanges and all("hashpartitioning(kind#" in ln for ln in exchanges)  # kind of place and number of the bitmap
