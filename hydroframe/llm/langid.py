@@ -11,7 +11,8 @@ Prediction is one pass over whole texts, without a shuffle.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; without any learnt
 language every row is; equal distances go to the first language by name; equal counts share
-their mean place; repeated rows are separate rows; an empty table gives an empty result.
+their mean place; texts of any length are read whole; columns of any other name do not matter;
+any number of languages is learnt, and the model has PROFILE entries for each; repeated rows are separate rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from hydroframe.llm.common import hash_fraction, ready_workers
 
 PER_LANGUAGE = 1500
-MAX_LANGUAGES = 2000
 PROFILE = 400
 HELD_OUT = (4, 2)  # ids whose CRC-32 leaves 2 modulo 4 are never learnt from
 _SEP = 1  # code point that stands for anything but a letter
@@ -77,27 +77,51 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Profiles:
-    """Places of the learnt n-grams in each language, as one matrix."""
+    """Places of the learnt n-grams, by n-gram: for each, the languages that have it and where.
+
+    The size follows the entries, at most ``size`` of a language, and not n-grams times languages.
+    """
 
     def __init__(self, rows: list[tuple[str, int, int]], size: int = PROFILE):
         """rows: (language, n-gram, count), at most ``size`` of a language, in any order."""
         self.size = size
         self.langs = sorted({r[0] for r in rows})
-        self.grams = np.unique(np.array([r[1] for r in rows], np.int64).view(np.uint64))
-        self.places = np.full((len(self.grams), len(self.langs)), np.nan)
-        for k, lang in enumerate(self.langs):
-            own = sorted(((n, -g, g) for x, g, n in rows if x == lang), reverse=True)
-            at = np.searchsorted(self.grams, np.array([g for *_, g in own], np.int64).view(np.uint64))
-            self.places[at, k] = mean_places(np.array([n for n, *_ in own]))
-
-    def nearest(self, text: str | None) -> tuple[str, float]:
+        number = {lang: k for k, lang in enumerate(self.langs)}
+        by_lang: dict[str, list[tuple[int, int]]] = {}
+        for lang, gram, n in rows:
+            by_lang.setdefault(lang, []).append((n, gram))
+        grams, langs, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0)]
+        for lang, own in by_lang.items():
+            own.sort(key=lambda x: (-x[0], x[1]))
+            grams.append(np.array([g for _, g in own], np.int64).view(np.uint64))
+            langs.append(np.full(len(own), number[lang]))
+            places.append(mean_places(np.array([n for n, _ in own])))
+        every = np.concatenate(grams)
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)
+        self.bounds = np.append(first, len(every))  # entries of each n-gram
+        self.entry_lang, self.entry_place = np.concatenate(langs)[order], np.concatenate(places)[order]
+
+    def distances(self, text: str | None) -> np.ndarray | None:
+        """Out-of-place distance to every language; None for a text without a letter.
+
+        An n-gram that a profile lacks counts as ``size`` places away.
+        """
         grams, places = top_ngrams(text or "", self.size)
         if not len(grams) or not self.langs:
-            return "und", 0.0
+            return None
         at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        apart = np.abs(self.places[at] - places[:, None])
-        apart[self.grams[at] != grams] = np.nan
-        distance = np.where(np.isnan(apart), float(self.size), apart).sum(0)
+        known = self.grams[at] == grams
+        at, places = at[known], places[known]
+        many = self.bounds[at + 1] - self.bounds[at]
+        entry = np.repeat(self.bounds[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        nearer = np.abs(self.entry_place[entry] - np.repeat(places, many)) - self.size
+        return float(self.size) * len(grams) + np.bincount(self.entry_lang[entry], nearer, minlength=len(self.langs))
+
+    def nearest(self, text: str | None) -> tuple[str, float]:
+        distance = self.distances(text)
+        if distance is None:
+            return "und", 0.0
         first = int(distance.argmin())
         if len(distance) == 1:
             return self.langs[0], 1.0
@@ -112,13 +136,11 @@ def learn_profiles(docs: DataFrame, per_language: int = PER_LANGUAGE, size: int
     slim = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(lang).cast("string").alias("lang"),
                        F.col(text).alias("text"))
     slim = slim.where(F.col("lang").isNotNull() & (remainder("id") != HELD_OUT[1]))
-    sizes = slim.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()  # a row per language
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = slim.groupBy("lang").count().collect()  # a row per language, a small part of the model
     if not sizes:
         return Profiles([], size)
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]))])
-    sample = slim.where(hash_fraction("id") < share[F.col("lang")])
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, per_language / r["count"])) for r in sizes], "lang string, share double")
+    sample = slim.join(F.broadcast(share), "lang").where(hash_fraction("id") < F.col("share"))
     counts = (sample.select("lang", "text").mapInArrow(_count_batches, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "gram")))

@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -346,3 +348,47 @@ def test_slashes_that_end_unquoted_values():
         f"link {PARAS[0]}\n{PARAS[1]}"
     long = f"<article>{BODY * 4000}</article>"
     assert html_tree.main_text(long) == "\n".join(PARAS * 4000)
+
+
+def slow_grams(text):
+    """1-, 2- and 3-grams with counts, letter by letter."""
+    low = "".join(c if c.isalpha() else "\x01" for c in f"\x01{text.lower()}\x01")
+    low = re.sub("\x01+", "\x01", low)
+    counts = Counter(c for c in low if c != "\x01")
+    counts.update(low[i:i + 2] for i in range(len(low) - 1))
+    counts.update(low[i:i + 3] for i in range(len(low) - 2) if low[i + 1] != "\x01")
+    return counts
+
+
+def slow_places(counts, most):
+    """Mean places of equal counts, the first ``most`` n-grams by count and code."""
+    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    order = sorted(counts, key=lambda g: (-counts[g], code(g)))
+    at = {g: [i for i, h in enumerate(order) if counts[h] == counts[g]] for g in order[:most]}
+    return {code(g): sum(x) / len(x) for g, x in at.items()}
+
+
+def test_out_of_place_distances_of_the_table(spark):
+    docs = documents(spark, SF_SMALL)
+    profiles = langid.learn_profiles(docs, size=60)
+    entries = {}
+    for g, a, b in zip(profiles.grams.tolist(), profiles.bounds, profiles.bounds[1:]):
+        for lang, place in zip(profiles.entry_lang[a:b], profiles.entry_place[a:b]):
+            entries.setdefault(int(lang), {})[g] = place
+    assert {len(e) for e in entries.values()} == {60}
+    texts = [r["text"] for r in docs.where("length(text) < 1500").limit(60).collect()]
+    for text in texts:
+        got = profiles.distances(text)
+        grams = slow_grams(text or "")
+        if got is None:
+            assert not any(c.isalpha() for c in text or "")
+            continue
+        places = slow_places(grams, 60)
+        want = [sum(abs(entries[k][g] - p) if g in entries[k] else 60 for g, p in places.items()) for k in range(len(profiles.langs))]
+        assert np.allclose(got, want)
+
+
+def test_many_languages_need_no_dense_table():
+    rows = [(f"l{k}", k * 1000 + g, 50 - g) for k in range(3000) for g in range(40)]
+    profiles = langid.Profiles(rows, size=40)
+    assert len(profiles.langs) == 3000 and len(profiles.entry_place) == 120_000
