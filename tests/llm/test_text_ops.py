@@ -392,3 +392,35 @@ def test_many_languages_need_no_dense_table():
     rows = [(f"l{k}", k * 1000 + g, 50 - g) for k in range(3000) for g in range(40)]
     profiles = langid.Profiles(rows, size=40)
     assert len(profiles.langs) == 3000 and len(profiles.entry_place) == 120_000
+
+
+def slow_decodings(stretch, model):
+    """All readings of a stretch with their costs, one choice per character."""
+    runs = toxicity._runs(stretch)
+    best = {}
+    todo = [(0, "^^", 0.0, "")]
+    while todo:
+        i, last, cost, text = todo.pop()
+        if i == len(runs):
+            best[text] = min(best.get(text, 1e9), cost + model.cost(*last, "$"))
+            continue
+        ch, n = runs[i]
+        letters = [(c, toxicity.COST_LOOKALIKE) for c in toxicity.LOOKALIKE.get(ch, "")] + ([(ch, 0.0)] if ch.isalpha() else [])
+        todo += [(i + 1, last[1] + c, cost + paid + model.cost(*last, c), text + c) for c, paid in letters]
+        if not ch.isalpha():
+            todo.append((i + 1, last, cost + (toxicity.COST_DROP_LOOKALIKE if letters else toxicity.COST_DROP), text))
+        if n > 2 and last[1] in [c for c, _ in letters]:
+            todo.append((i + 1, last, cost + toxicity.COST_REPEAT, text))
+    return best
+
+
+@pytest.fixture(scope="module")
+def letters(spark):
+    return toxicity.CharModel(toxicity.count_grams(documents(spark, SF_SMALL)))
+
+
+@pytest.mark.parametrize("stretch", ["1d10t", "s.t-u_p1d", "stuuupid", "$tup!d", "m0r0n", "h3ll0o0", "aaab", "i.d.i.0.t"])
+def test_viterbi_finds_the_cheapest_reading(letters, stretch):
+    every = slow_decodings(stretch, letters)
+    got = toxicity.decode(stretch, letters)
+    assert abs(every[got[0]] - min(every.values())) < 1e-9
