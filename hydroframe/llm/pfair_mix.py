@@ -8,12 +8,19 @@ one block of t a_i / H. The schedule repeats after H slots, so one period, whose
 sum of the target parts, places any number of blocks by arithmetic. When a source runs out, the
 others go on with their parts in the same proportion: a new phase, at most one per source.
 
-The planning table has one row per source of the mixture and one entry per slot of a period,
-sizes that the target parts set; rows are placed by joins with it. No text is shuffled.
+A stream is a source. Where a table has more than ``MAX_STREAMS`` sources, those without a
+target form one stream together, with as many parts as all targets have; their rows are in the
+order of one seeded shuffle, so inside the stream each comes in proportion to its rows. So the plan's size
+follows the targets, never the number of sources.
+
+Placing needs (id, stream, hash) rows only. :func:`in_mix_order` then moves each whole row once: the
+hash decides the row's stream rank to within a bucket, and with the few keys at which output
+ranges begin, the range it belongs to; ranks are completed inside the range.
 
 Edge cases: a source without a target has ``default_part`` parts; a null source is a source of
-its own; repeated rows are separate rows; an empty table gives an empty result; other columns
-are ignored, and kept by :func:`in_mix_order`.
+its own; texts of any length are hashed whole; repeated rows (one id and text) are separate rows,
+and where an output range begins among them all of them come in it; an empty table gives an empty result; other columns are ignored, and kept by
+:func:`in_mix_order`, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,17 +28,19 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hydroframe.llm.common import rank_bits, rank_in_group, row_and, text_or_empty, written
+from hydroframe.llm.common import rank_bits, rank_in_group, row_and, text_or_empty, top_bits, written
 
 BLOCK_ROWS = 64
 SEED = 20260102
 # Target parts of the production mixture; sources not named take the default.
 TARGET_PARTS: dict[str | None, int] = {"src0": 4, "src1": 3, "src2": 3, "src3": 3}
 DEFAULT_PART = 1
-MAX_SOURCES = 10_000  # the mixture's own size bounds the plan
+MAX_STREAMS = 64      # sources with a place of their own in the plan
+ROWS_A_RANGE = 10_000  # rows of one output range, while there are at most MAX_RANGES
+MAX_RANGES = 20_000
 
 
 def edf_period(parts: list[int]) -> list[int]:
@@ -48,7 +57,7 @@ def edf_period(parts: list[int]) -> list[int]:
     return slots
 
 
-def plan(blocks: Mapping[str | None, int], target: Mapping[str | None, int], default: int) -> list[dict]:
+def plan(blocks: Mapping[int, int], target: Mapping[int, int], default: int) -> list[dict]:
     """Phases of the mixture: in each, the active sources follow one period again and again.
 
     A row per (phase, source): first block, first slot, parts, period length and the places of
@@ -58,7 +67,7 @@ def plan(blocks: Mapping[str | None, int], target: Mapping[str | None, int], def
     done = dict.fromkeys(left, 0)
     rows, start, phase = [], 0, 0
     while left:
-        names = sorted(left, key=lambda s: (s is not None, s or ""))
+        names = sorted(left)
         parts = [target.get(s, default) for s in names]
         slots = edf_period(parts)
         places = [[t for t, i in enumerate(slots) if i == k] for k in range(len(names))]
@@ -76,63 +85,149 @@ def plan(blocks: Mapping[str | None, int], target: Mapping[str | None, int], def
     return rows
 
 
-def _plan_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    kind = ("array<struct<phase:int,source:string,first_block:bigint,first_slot:bigint,parts:int,"
-            "period:int,places:array<int>>>")
-    whole = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
-    return whole.groupBy(F.col("source").alias("_source")).agg(F.sort_array(F.collect_list(
-        F.struct("first_block", "phase", "first_slot", "parts", "period", "places"))).alias("_phases"))
+class Mixture:
+    """The streams of a table, their row counts and the plan that places their ranks.
+
+    Everything here has the size of the plan: streams, phases and slots of a period.
+    """
+
+    def __init__(self, docs: DataFrame, target: Mapping[str | None, int] | None, default_part: int, block_rows: int,
+                 source: str, max_streams: int):
+        target = TARGET_PARTS if target is None else target
+        self.block_rows = block_rows
+        name = F.col(f"`{source}`").cast("string")
+        found = docs.select(name.alias("s")).groupBy("s").count().limit(max_streams + 1).collect()
+        parts = {(r["s"],): target.get(r["s"], default_part) for r in found}
+        self.rest = len(found) > max_streams
+        if self.rest:
+            parts = {(s,): p for s, p in target.items()} | {(): max(1, sum(target.values()))}
+        # streams in a fixed order: null first, then by name, the rest last
+        self.keys = sorted(parts, key=lambda k: (not k, bool(k) and k[0] is not None, k[0] or "" if k else ""))
+        self.source = name
+        counts = {r["i"]: r["count"] for r in docs.select(self.stream().alias("i")).groupBy("i").count().collect()}
+        self.counts = {i: n for i, n in counts.items() if n}
+        self.phases = plan({i: -(-n // block_rows) for i, n in self.counts.items()}, {i: parts[k] for i, k in enumerate(self.keys)}, default_part)
+        self.rows = sum(self.counts.values())
+
+    def stream(self) -> Column:
+        """The number of a row's stream."""
+        out = F.lit(len(self.keys) - 1)  # with a rest it is the last one; without, every source is named
+        for i, k in enumerate(self.keys):
+            if k:
+                out = F.when(self.source.eqNullSafe(F.lit(k[0])), i).otherwise(out)
+        return out.cast("int")
+
+    def places(self, stream: str, rank: str) -> dict[str, Column]:
+        """block, phase, slot, slot_row and mix_position of a rank in a stream."""
+        kind = "array<struct<first_block:bigint,phase:int,first_slot:bigint,parts:int,period:int,places:array<int>>>"
+        of: dict[int, list] = {}
+        for p in self.phases:
+            of.setdefault(p["source"], []).append({k: p[k] for k in ("first_block", "phase", "first_slot", "parts", "period", "places")})
+        n = self.block_rows
+        block = F.floor(F.col(rank) / n).cast("long")
+        none = F.from_json(F.lit("[]"), kind)
+        own = none
+        for i, rows in of.items():
+            own = F.when(F.col(stream) == i, F.from_json(F.lit(json.dumps(rows)), kind)).otherwise(own)
+        found = F.element_at(F.filter(own, lambda p: p["first_block"] <= block), -1)
+        # Only the last block of a stream can be short: rows missing before a slot, one entry a stream.
+        ends = {}
+        for p in self.phases:
+            last = -(-self.counts[p["source"]] // n) - 1
+            if p["first_block"] <= last:
+                k = last - p["first_block"]
+                ends[p["source"]] = p["first_slot"] + k // p["parts"] * p["period"] + p["places"][k % p["parts"]]
+        short = [{"slot": ends[i], "rows": -c % n} for i, c in self.counts.items() if -c % n]
+        gaps = F.from_json(F.lit(json.dumps(short)), "array<struct<slot:bigint,rows:bigint>>")
+        k = F.col("block") - F.col("_phase.first_block")
+        slot = (F.col("_phase.first_slot") + F.floor(k / F.col("_phase.parts")) * F.col("_phase.period")
+                + F.get(F.col("_phase.places"), (k % F.col("_phase.parts")).cast("int")))
+        missing = F.aggregate(gaps, F.lit(0).cast("long"),
+                              lambda acc, g: acc + F.when(g["slot"] < F.col("slot"), g["rows"]).otherwise(F.lit(0)))
+        return {"block": block, "_phase": found, "slot_row": (F.col(rank) % n).cast("int"), "slot": slot.cast("long"),
+                "phase": F.col("_phase.phase"), "mix_position": F.col("slot") * n + F.col("slot_row") - missing}
+
+    def place(self, ranked: DataFrame, stream: str, rank: str) -> DataFrame:
+        for name, column in self.places(stream, rank).items():
+            ranked = ranked.withColumn(name, column)
+        return ranked.drop("_phase")
+
+
+def _key(seed: int, doc_id: Column, crc: Column) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id, crc)
+
+
+def _crc(text: str) -> Column:
+    return F.crc32(F.encode(text_or_empty(F.col(f"`{text}`")), "UTF-8"))
+
+
+def _placed(docs: DataFrame, mix: Mixture, seed: int, doc_id: str, text: str) -> DataFrame:
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), mix.source.alias("source"), mix.stream().alias("stream"),
+                       _crc(text).alias("text_crc32"))
+    rows = rows.withColumn("_key", _key(seed, F.col("doc_id"), F.col("text_crc32")))
+    ranked = rank_in_group(rows, "stream", "_key", ["doc_id", "text_crc32"], rank_bits(mix.rows))
+    return mix.place(ranked, "stream", "rank")
 
 
 def pfair_mix(docs: DataFrame, target: Mapping[str | None, int] | None = None, default_part: int = DEFAULT_PART,
               block_rows: int = BLOCK_ROWS, seed: int = SEED, doc_id: str = "doc_id",
-              text: str = "text", source: str = "source") -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, block, phase, slot, slot_row, mix_position.
+              text: str = "text", source: str = "source", max_streams: int = MAX_STREAMS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, block, phase, slot, slot_row, mix_position, text_crc32.
 
     Sorted by (slot, slot_row), which is mix_position, the mixture holds at every prefix.
     """
-    spark = docs.sparkSession
-    target = TARGET_PARTS if target is None else target
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-                       F.crc32(F.encode(text_or_empty(text), "UTF-8")).alias("_crc"))
-    rows = rows.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "_crc"))
-    sizes = rows.groupBy("source").count().limit(MAX_SOURCES + 1).collect()  # one row per source
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"a mixture has at most {MAX_SOURCES} sources")
-    counts = {r["source"]: r["count"] for r in sizes}
-    phases = plan({s: -(-n // block_rows) for s, n in counts.items()}, target, default_part)
-    ranked = rank_in_group(rows, "source", "_key", ["doc_id", "_crc"], rank_bits(sum(counts.values())))
-    ranked = (ranked.withColumn("block", F.floor(F.col("rank") / block_rows))
-              .withColumn("slot_row", (F.col("rank") % block_rows).cast("int")))
-    table = _plan_table(spark, phases)
-    own = F.expr("element_at(filter(_phases, p -> p.first_block <= block), -1)")
-    joined = (ranked.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source")))
-              .withColumn("_p", own).withColumn("_k", F.col("block") - F.col("_p.first_block")))
-    slot = (F.col("_p.first_slot") + F.floor(F.col("_k") / F.col("_p.parts")) * F.col("_p.period")
-            + F.expr("_p.places[cast(_k % _p.parts as int)]"))
-    placed = joined.withColumn("slot", slot.cast("long"))
-    # Only the last block of a source can be short: rows missing before a slot, one entry a source.
-    ends = {}
-    for p in phases:
-        last = -(-counts[p["source"]] // block_rows) - 1
-        if p["first_block"] <= last:
-            k = last - p["first_block"]
-            ends[p["source"]] = p["first_slot"] + k // p["parts"] * p["period"] + p["places"][k % p["parts"]]
-    short = [{"slot": ends[s], "rows": -n % block_rows} for s, n in counts.items() if -n % block_rows]
-    gaps = F.from_json(F.lit(json.dumps(short)), "array<struct<slot:bigint,rows:bigint>>")
-    missing = F.aggregate(gaps, F.lit(0).cast("long"),
-                          lambda acc, g: acc + F.when(g["slot"] < F.col("slot"), g["rows"]).otherwise(F.lit(0)))
-    return placed.select("doc_id", "source", F.col("block").cast("long").alias("block"),
-                         F.col("_p.phase").alias("phase"), "slot", "slot_row",
-                         (F.col("slot") * block_rows + F.col("slot_row") - missing).alias("mix_position"),
-                         F.col("_crc").alias("text_crc32"))
-
-
-def in_mix_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """All rows and columns of ``docs``, range-partitioned and sorted by mix position."""
-    mix = written(pfair_mix(docs, doc_id=doc_id, text=text, **options), "mix")
-    place = mix.groupBy(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc2")).agg(
-        F.min("mix_position").alias("_at"))
-    own = row_and(docs, id=F.col(doc_id).cast("long"), crc=F.crc32(F.encode(text_or_empty(text), "UTF-8")))
-    joined = own.join(place, own["id"].eqNullSafe(place["_id"]) & (own["crc"] == place["_crc2"]))
-    return joined.orderBy("_at").select("row.*")
+    mix = Mixture(docs, target, default_part, block_rows, source, max_streams)
+    return _placed(docs, mix, seed, doc_id, text).select(
+        "doc_id", "source", "block", "phase", "slot", "slot_row", "mix_position", "text_crc32")
+
+
+def in_mix_order(docs: DataFrame, target: Mapping[str | None, int] | None = None, default_part: int = DEFAULT_PART,
+                 block_rows: int = BLOCK_ROWS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text",
+                 source: str = "source", max_streams: int = MAX_STREAMS, range_rows: int = ROWS_A_RANGE) -> DataFrame:
+    """All rows and columns of ``docs``, in partitions and rows sorted by mix position.
+
+    One exchange carries the whole rows. Within a stream, rank follows the (unsigned) hash, so an
+    output range takes a range of hashes from every stream. A table of (stream, top bits of the
+    hash) names the range, and the hashes inside those bits at which further ranges begin; it has
+    some four entries a range and stream, a bound that the plan and ``MAX_RANGES`` set.
+    """
+    mix = Mixture(docs, target, default_part, block_rows, source, max_streams)
+    if not mix.rows:
+        return docs
+    ranges = min(MAX_RANGES, max(1, -(-mix.rows // range_rows)))
+    bits = max(2, (4 * ranges - 1).bit_length())
+    order = F.col("_key").bitwiseXOR(F.lit(-(1 << 63)))  # signed order of this is unsigned order of the hash
+    slim = written(_placed(docs, mix, seed, doc_id, text).select(
+        "stream", "_key", order.alias("_u"), "mix_position"), "mix")
+    due = slim.select("stream", "_u", F.floor(F.col("mix_position") * ranges / mix.rows).cast("int").alias("part"))
+    starts = due.groupBy("stream", "part").agg(F.min("_u").alias("_u"))
+    top = lambda u: top_bits(u.bitwiseXOR(F.lit(-(1 << 63))), bits)
+    # the range that holds a bucket's first hash is the last one to start before the bucket
+    marks = starts.select("stream", top(F.col("_u")).alias("bucket"), "_u", "part")
+    grid = docs.sparkSession.range(1 << bits).select(F.explode(F.sequence(F.lit(0), F.lit(len(mix.keys) - 1))).alias("stream"), F.col("id").alias("bucket"))
+    cuts = grid.join(marks.groupBy("stream", "bucket").agg(F.sort_array(F.collect_list(F.struct("_u", "part"))).alias("cuts"),
+                                                           F.max("part").alias("top")), ["stream", "bucket"], "left")
+    before = Window.partitionBy("stream").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = written(cuts.select(F.col("stream").alias("_stream"), F.col("bucket").alias("_bucket"), "cuts",
+                               F.coalesce(F.max("top").over(before), F.lit(0)).alias("first")), "cuts")
+
+    def with_part(df: DataFrame) -> DataFrame:
+        at = df.join(F.broadcast(cuts), (F.col("stream") == F.col("_stream")) & (top(F.col("_u")) == F.col("_bucket")))
+        started = F.filter(F.coalesce("cuts", F.array().cast("array<struct<_u:bigint,part:int>>")), lambda c: c["_u"] <= F.col("_u"))
+        return (at.withColumn("part", F.coalesce(F.get(started, F.size(started) - 1)["part"], "first"))
+                .drop("_stream", "_bucket", "cuts", "first"))
+
+    # rows of a stream in earlier ranges: the rank of a range's first row
+    sizes = with_part(slim.select("stream", "_u")).groupBy("stream", "part").agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.partitionBy("stream").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = written(sizes.select(F.col("stream").alias("_stream"), F.col("part").alias("_part"),
+                                F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")), "bases")
+
+    own = row_and(docs, id=F.col(f"`{doc_id}`").cast("long"), crc=_crc(text), stream=mix.stream())
+    own = own.withColumn("_u", _key(seed, F.col("id"), F.col("crc")).bitwiseXOR(F.lit(-(1 << 63))))
+    moved = with_part(own).repartitionById(ranges, "part")
+    inside = Window.partitionBy("part", "stream").orderBy("_u", "id", "crc")
+    ranked = (moved.withColumn("_n", F.row_number().over(inside))
+              .join(F.broadcast(base), (F.col("stream") == F.col("_stream")) & (F.col("part") == F.col("_part")))
+              .withColumn("rank", F.col("base") + F.col("_n") - 1))
+    return mix.place(ranked, "stream", "rank").sortWithinPartitions("mix_position").select("row.*")
