@@ -31,8 +31,7 @@ def round_half_even(c, places: int = 5) -> Column:
 def nan_to_null(c) -> Column:
     """NaN -> NULL at the scan: Spark orders NaN above every number, so it must not reach
     ``max``/``avg`` or a ``> 0`` test."""
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+    return F.nanvl(col(c), F.lit(None).cast("double"))  # names its argument once, however large
 
 
 def is_missing(c) -> Column:
@@ -59,7 +58,7 @@ def c_type_hint(v) -> str:
 def clip(c, lo: float, hi: float) -> Column:
     """Clip to [lo, hi]. NULL stays NULL (``least``/``greatest`` skip NULL otherwise)."""
     c = col(c)
-    return F.when(c.isNull(), c).otherwise(F.least(F.lit(hi), F.greatest(F.lit(lo), c)))
+    return F.when(c.isNotNull(), F.least(F.lit(hi), F.greatest(F.lit(lo), c)))
 
 
 def replace_infinite(c, value: float) -> Column:

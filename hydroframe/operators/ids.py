@@ -44,13 +44,21 @@ def sequential_id(df: DataFrame, order_cols: list[str], id_col: str, start: int
     return rows.join(place, "_row").drop("_row", "_h")
 
 
-def value_at_rank(df: DataFrame, value_col: str, rank: int, n: int, slice_rows: int = SLICE_ROWS) -> float:
+def _bracket(v, rank: int, n: int):
+    """Two values of the column, from a quantile sketch, that likely enclose the rank."""
+    q, slack = (rank + 0.5) / n, 2.0 / SKETCH_ACCURACY
+    return F.percentile_approx(v, [max(0.0, q - slack), min(1.0, q + slack)], SKETCH_ACCURACY)
+
+
+def value_at_rank(df: DataFrame, value_col: str, rank: int, n: int, slice_rows: int = SLICE_ROWS,
+                  bracket: list[float] | None = None) -> float:
     """The value with ``rank`` (from 0) among the ``n`` values that are present, exactly.
 
     Each round narrows an open interval that holds the rank. Values at its ends are counted apart,
     so ties in any number, even of a third of the rows, end the search instead of filling a slice.
     Every round is one aggregate; the interval is a condition inside it and no filter, which
-    would be pushed below the projection and copy the column's expression.
+    would be pushed below the projection and copy the column's expression. ``bracket`` are two
+    values to begin with, if the caller knows them.
     """
     c = F.col(value_col)
     above, below, offset, inside = None, None, 0, n
@@ -64,12 +72,11 @@ def value_at_rank(df: DataFrame, value_col: str, rank: int, n: int, slice_rows:
         return F.when(keep, c)
 
     while inside > slice_rows:
-        q, slack = (rank - offset + 0.5) / inside, 2.0 / SKETCH_ACCURACY
-        v = part()
-        lo, hi = df.agg(F.percentile_approx(v, [max(0.0, q - slack), min(1.0, q + slack)], SKETCH_ACCURACY)).first()[0]
+        v, k = part(), rank - offset
+        lo, hi = bracket or df.agg(_bracket(v, k, inside)).first()[0]
+        bracket = None
         less, at_lo, mid, at_hi = df.agg(F.count_if(v < lo), F.count_if(v == lo), F.count_if((v > lo) & (v < hi)),
                                          F.count_if((v == hi) & F.lit(hi > lo))).first()
-        k = rank - offset
         if k < less:                       # the sketch missed: the rank lies below its bracket
             below, inside = lo, less
         elif k < less + at_lo:
@@ -90,14 +97,15 @@ def exact_medians(df: DataFrame, value_cols: list[str], slice_rows: int = SLICE_
     Only aggregates run over the whole column: nothing is sorted but the slice in the middle.
     """
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in value_cols])
-    counts = clean.agg(*[F.count(c).alias(c) for c in value_cols]).first()
+    first = clean.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(value_cols)],
+                      *[_bracket(F.col(c), 1, 3).alias(f"b{i}") for i, c in enumerate(value_cols)]).first()
     medians: dict[str, float | None] = {}
-    for name in value_cols:
-        n, c = counts[name], F.col(name)
+    for i, name in enumerate(value_cols):
+        n, c = first[f"n{i}"], F.col(name)
         if n == 0:
             medians[name] = None
             continue
-        low = value_at_rank(clean, name, (n - 1) // 2, n, slice_rows)
+        low = value_at_rank(clean, name, (n - 1) // 2, n, slice_rows, first[f"b{i}"])
         if n % 2 == 0:  # the upper middle value: the same, or the next larger one
             upto, larger = clean.agg(F.count_if(c <= low), F.min(F.when(c > low, c))).first()
             medians[name] = low if n // 2 < upto else (low + larger) / 2
