@@ -250,3 +250,21 @@ def test_areas_that_nothing_can_meet(spark):
     assert extent.features_in_areas(f, far.limit(0), "aid").count() == 0
     assert sorted(r.aid for r in extent.features_in_areas(f, touching, "aid").collect()) == [1, 2]
     assert extent.features_in_areas(f, touching, "aid", clip=True).count() == 0
+
+
+def test_areas_with_one_box_are_fanned_out_in_many_tasks(spark):
+    """All areas and a third of the features at one place: no task gives a large share of the pairs."""
+    from hydroframe.operators import extent
+    box = "xmin double, ymin double, xmax double, ymax double"
+    place = lambda i: (5.0, 5.0) if i % 3 == 0 else (i % 30 * 1.0, i % 7 * 4.0)
+    feats = [(i, x, y, x + 0.2, y + 0.2) for i in range(900) for x, y in [place(i)]]
+    areas = [(j if j % 50 else None, 5.0, 5.0, 5.5, 5.5) for j in range(400)] + [(7, 5.0, 5.0, 5.5, 5.5)] * 2
+    f = spark.createDataFrame(feats, f"fid long, {box}")
+    a = spark.createDataFrame(areas, f"aid long, {box}")
+    out = extent.features_in_areas(f, a, "aid", leaf_pairs=2000)
+    assert out.columns == ["fid", *extent.BOX, "aid"]
+    per = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    met = [i for i, x0, y0, x1, y1 in feats if x1 >= 5.0 and x0 <= 5.5 and y1 >= 5.0 and y0 <= 5.5]
+    assert sum(per) == len(met) * len(areas) and max(per) <= 0.1 * sum(per)
+    want = sorted((aid or 0, fid) for aid, *_ in areas for fid in met)
+    assert sorted((r.aid or 0, r.fid) for r in out.collect()) == want
