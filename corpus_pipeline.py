@@ -35,8 +35,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in sequences of 4096 tokens (operator 8)."""
-    return packing.pack(docs)
+    """Token pieces with their place in sequences of 4096 tokens (operator 8), which follow the order
+    of the rows: any prefix of the sequences is mixed like that prefix of the mixture."""
+    return packing.pack_in_order(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_exact_copies), ("n-gram Jaccard join", drop_near_copies),

@@ -12,6 +12,12 @@ describes the whole corpus and is all that reaches the driver. On it:
    not longer, so every sequence fits and has more room than planned;
 4. best fit: small pieces, longest first, go where the least room is left that holds them.
 
+Packed like this, a sequence holds pieces from anywhere in the table. :func:`pack_in_order` is for
+rows whose order matters, such as a mixture of sources: it takes the rows in the order they were
+written in, packs window after window of so many pieces with the same scheme, and numbers the
+sequences in that order, so any prefix of the sequences holds a prefix of the rows, to within a
+window. A window's pieces meet in one task, its size is fixed.
+
 Every step works on runs (so many sequences with the same content lengths), hence its size
 follows the capacity and the groups, not the corpus. A run says which ranks of a length go
 where; Spark ranks the pieces of each length (hot lengths in hash buckets) and applies it.
@@ -34,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hydroframe.llm.common import rank_bits, rank_in_group, ready_workers, written
+from hydroframe.llm.common import in_row_order, rank_bits, rank_in_group, ready_workers, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -42,8 +48,11 @@ GROUPS = 40
 LARGE = 1 / 8
 CACHE_ENTRIES = 400_000  # pre-tokens whose ids a worker remembers (a generation)
 LONGEST_KEPT = 64        # characters of a pre-token that is remembered: entries have a bounded size
+WINDOW_PIECES = 16_384   # of ordered packing: what a prefix may be off by, against a few more sequences a window
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
+ORDERED_SCHEMA = PIECE_SCHEMA + ", window long, sequence long, offset long"
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -145,23 +154,27 @@ def worker_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _piece_batches(path: str, capacity: int, end_id: int, with_ids: bool):
+def _piece_batches(path: str, capacity: int, end_id: int, with_ids: bool, kept: int = 0):
+    """Pieces of (doc_id, text) batches; ``kept`` further columns are repeated for every piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = worker_tokenizer(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), tok.batch(texts)):
+            of = []
+            for row_no, (doc, ids) in enumerate(zip(batch.column(0).to_pylist(), tok.batch(texts))):
                 raw = ids + end
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at:at + 4 * capacity]
                     row = (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)
+                    of.append(row_no)
                     for col, v in zip(out.values(), row):
                         col.append(v)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             n = 6 if with_ids else 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in list(zip(out.values(), kinds))[:n]],
-                                             names=list(out)[:n])
+            further = [batch.column(2 + i).take(pa.array(of, pa.int64())) for i in range(kept)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in list(zip(out.values(), kinds))[:n]] + further,
+                                             names=list(out)[:n] + batch.schema.names[2:2 + kept])
     return run
 
 
@@ -328,18 +341,26 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, groups:
     return out
 
 
-def _placer(plan: RunPlan):
+def _sequences(plan: RunPlan):
+    """The sequences of pieces given by their lengths and their ranks among equal lengths."""
     rows = np.array(sorted(plan.entries), np.int64).reshape(-1, 5)
     keys = (rows[:, 0] << 48) + rows[:, 1]
 
+    def of(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(keys, (length << 48) + rank, "right") - 1
+        return rows[at, 3] + (rank - rows[at, 1]) // rows[at, 4]
+    return of
+
+
+def _placer(plan: RunPlan):
+    of = _sequences(plan)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
-            at = np.searchsorted(keys, (length << 48) + rank, "right") - 1
-            where = rows[at, 3] + (rank - rows[at, 1]) // rows[at, 4]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(where, pa.int64())],
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of(length, rank), pa.int64())],
                                              names=[*batch.schema.names, "sequence_id"])
     return run
 
@@ -359,3 +380,58 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
               .rowsBetween(Window.unboundedPreceding, -1))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
                          F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+
+
+def _window_packer(capacity: int, groups: int):
+    def run(window: pa.Table) -> pa.Table:
+        """One window: sequences numbered by their first piece, pieces in row order inside them."""
+        window = window.sort_by("place")
+        length = window.column("length").to_numpy()
+        n = len(length)
+        rank = np.empty(n, np.int64)  # among equal lengths, in row order
+        by = np.argsort(length, kind="stable")
+        sizes, starts, counts = np.unique(length[by], return_index=True, return_counts=True)
+        rank[by] = np.arange(n) - np.repeat(starts, counts)
+        plan = pack_histogram(dict(zip(sizes.tolist(), counts.tolist())), capacity, groups)
+        where = _sequences(plan)(length, rank)
+        _, first, own = np.unique(where, return_index=True, return_inverse=True)
+        number = np.empty(len(first), np.int64)
+        number[np.argsort(first)] = np.arange(len(first))
+        sequence = number[own]
+        by = np.argsort(sequence, kind="stable")
+        before = np.cumsum(length[by]) - length[by]
+        heads = np.concatenate([[True], sequence[by][1:] != sequence[by][:-1]])
+        offset = np.empty(n, np.int64)
+        offset[by] = before - np.maximum.accumulate(np.where(heads, before, 0))
+        columns = [window.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "window")]
+        return pa.table([*columns, pa.array(sequence), pa.array(offset)], names=ORDERED_SCHEMA.replace(" long", "").replace(" int", "").split(", "))
+    return run
+
+
+def pack_in_order(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
+                  groups: int = GROUPS, doc_id: str = "doc_id", text: str = "text",
+                  window_pieces: int = WINDOW_PIECES) -> DataFrame:
+    """The columns of :func:`pack`, with sequences that follow the order of the rows of ``docs``.
+
+    Rows are in order as they were written (:func:`common.in_row_order`). Sequence ids are gapless
+    from 0; those of a window come before those of the next.
+    """
+    ready_workers(docs.sparkSession)
+    slim = in_row_order(docs, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    pieces = written(slim.select("doc_id", "text", "file", "row").mapInArrow(
+        _piece_batches(path or tokenizer_path(), capacity, end_id, False, 2), PIECE_SCHEMA + ", file string, row long"), "pieces")
+    # a piece's place: the pieces of the files before, and those before it in its file
+    files = pieces.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("file").alias("_file"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    own = Window.partitionBy("file").orderBy("row", "piece")
+    placed = (pieces.withColumn("n", F.row_number().over(own)).join(F.broadcast(files), F.col("file") == F.col("_file"))
+              .withColumn("place", F.col("before") + F.col("n") - 1).withColumn("window", F.floor(F.col("place") / window_pieces)))
+    packed = written(placed.select("doc_id", "piece", "start", "length", "ids_crc32", "place", "window")
+                     .groupBy("window").applyInArrow(_window_packer(capacity, groups), ORDERED_SCHEMA), "packed")
+    used = packed.groupBy("window").agg((F.max("sequence") + 1).alias("n"))
+    ahead = Window.orderBy("window").rowsBetween(Window.unboundedPreceding, -1)
+    used = used.select(F.col("window").alias("_window"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    return (packed.join(F.broadcast(used), F.col("window") == F.col("_window"))
+            .select("doc_id", "piece", "start", "length", "ids_crc32",
+                    (F.col("before") + F.col("sequence")).alias("sequence_id"), "offset"))

@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 import __spark_entry__ as E
-from hydroframe.llm import toxicity
+from hydroframe.llm import pfair_mix, toxicity
 from hydroframe.llm.common import documents
 from hydroframe.sources.tables import read_table
 from tests.conftest import SF_CHECK
@@ -64,3 +64,19 @@ def test_stages_bear_edge_rows(spark):
             assert now.columns == docs.columns and now.count() <= n, name
         packed = corpus_pipeline.STAGES[-1][1](spark, now, SF_CHECK)
         assert (packed.count() > 0) == (n > 0)
+
+
+def test_packed_sequences_follow_the_mixture(spark, tmp_path):
+    docs = documents(spark, SF_CHECK)
+    docs.write.parquet(str(tmp_path / "plain"))
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mixing sources"](spark, docs, SF_CHECK).write.parquet(str(tmp_path / "mixed"))
+
+    def packed(name):
+        out = stages["best-fit packing"](spark, spark.read.parquet(str(tmp_path / name)), SF_CHECK)
+        return sorted((r["sequence_id"], r["offset"], r["doc_id"]) for r in out.collect())
+    place = {r["doc_id"]: r["mix_position"] for r in pfair_mix.pfair_mix(docs).collect()}
+    mixed = packed("mixed")
+    first = [place[d] for _, offset, d in mixed if offset == 0]
+    assert first == sorted(first) and first[0] == 0
+    assert mixed != packed("plain")

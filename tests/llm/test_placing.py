@@ -230,6 +230,31 @@ def test_packing_edges(spark):
     check_packing(rows, list(enumerate(["a b c d e f g", "a", "b c"])), 4)
 
 
+def test_packing_in_order_of_the_rows(spark, tmp_path):
+    rng = random.Random(3)
+    texts = [" ".join(["word"] * rng.randint(0, 30)) for _ in range(400)]
+    ids = rng.sample(range(10_000), 400)
+    cuts = [0, 3, 200, 210, 211, 399, 400]  # files of very different sizes
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        rows = edge_docs(spark, [(ids[i], texts[i], "en", "a") for i in range(a, b)])
+        rows.coalesce(1).write.parquet(str(tmp_path / f"part{k}"))
+    docs = spark.read.parquet(*[str(tmp_path / f"part{k}") for k in range(len(cuts) - 1)])
+    rows = packing.pack_in_order(docs, capacity=16, window_pieces=50).collect()
+    used, least = check_packing(rows, list(zip(ids, texts)), 16)
+    assert {r["sequence_id"] for r in rows} == set(range(used)) and used <= least * 1.2
+    place = {d: i for i, d in enumerate(ids)}
+    in_order = sorted(rows, key=lambda r: (place[r["doc_id"]], r["piece"]))
+    spans = [{r["sequence_id"] for r in in_order[a:a + 50]} for a in range(0, len(rows), 50)]
+    assert all(max(x) + 1 == min(y) for x, y in zip(spans, spans[1:]))
+    first = {}
+    for n, r in enumerate(in_order):
+        first.setdefault(r["sequence_id"], n)
+    assert list(first) == sorted(first)  # inside a window, too, sequences come by their first pieces
+    other = packing.pack_in_order(edge_docs(spark), window_pieces=3).collect()
+    check_packing(other, [(d, t) for d, t, *_ in EDGE_TEXTS])
+    assert packing.pack_in_order(empty_docs(spark)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_rank_once_and_fits(seed):
     rng = random.Random(seed)
