@@ -15,6 +15,7 @@ from hydroframe.operators.ids import exact_median, exact_medians, sequential_id,
 from hydroframe.params import Extent, JobParams
 from hydroframe.functions import scalar
 from hydroframe.sources import vector
+from tests.conftest import SF_SMALL
 
 D = dt.date
 
@@ -739,3 +740,10 @@ def test_cube_shape_of_repeated_and_sparse_points(spark):
     assert r.first_time == min([p[0] for p in pts] + [t0]) and r.last_time == max(p[0] for p in pts)
     empty = climate.cube_shape(df.limit(0)).first()
     assert (empty.n_time, empty.n_points_observed, empty.first_time) == (0, 0, None)
+
+
+def test_summary_outputs_without_a_shuffle_use_every_slot(spark):
+    from hydroframe.plans.queries import _summary_outputs
+    for name in ("lakes", "glaciers", "soil"):
+        out = _summary_outputs()[name][0](spark, SF_SMALL)
+        assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism, name
