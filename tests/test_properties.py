@@ -268,3 +268,31 @@ def test_areas_with_one_box_are_fanned_out_in_many_tasks(spark):
     assert sum(per) == len(met) * len(areas) and max(per) <= 0.1 * sum(per)
     want = sorted((aid or 0, fid) for aid, *_ in areas for fid in met)
     assert sorted((r.aid or 0, r.fid) for r in out.collect()) == want
+
+
+def test_rows_of_the_area_join_on_disk_follow_the_input(spark, monkeypatch):
+    """Twice the boxes of both sides give four times the pairs, but twice the rows that are shuffled."""
+    from hydroframe.operators import extent
+    monkeypatch.setattr(extent, "LEAF_PAIRS", 50)
+    box = "xmin double, ymin double, xmax double, ymax double"
+
+    def shuffled(plan):
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if "QueryStage" in plan.getClass().getSimpleName():
+            children.append(plan.plan())
+        own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.getClass().getSimpleName() == "ShuffleExchangeExec" else 0
+        return own + sum(shuffled(c) for c in children)
+
+    def run(n):
+        feats = [(i, 5.0 + i % 11 * 0.01, 5.0 + i % 7 * 0.01, 5.5 + i % 11 * 0.01, 5.5 + i % 7 * 0.01) for i in range(2 * n)]
+        areas = [(j, 5.0 + j * 1e-4, 5.0, 5.1 + j * 1e-4, 5.1) for j in range(n)]
+        f, a = spark.createDataFrame(feats, f"fid long, {box}"), spark.createDataFrame(areas, f"aid long, {box}")
+        out = extent.features_in_areas(f, a, "aid")
+        met = [(j, i) for i, x0, y0, x1, y1 in feats for j, a0, b0, a1, b1 in areas if x1 >= a0 and x0 <= a1 and y1 >= b0 and y0 <= b1]
+        assert sorted((r.aid, r.fid) for r in out.collect()) == sorted(met)
+        qe = out._jdf.queryExecution()
+        qe.toRdd().count()
+        return shuffled(qe.executedPlan().executedPlan()), len(met)
+    (rows, pairs), (rows_2, pairs_2) = run(150), run(300)
+    assert pairs_2 > 3.5 * pairs
+    assert 450 <= rows <= rows_2 < 2.5 * rows
